@@ -279,3 +279,49 @@ dim_carrier as ({DIM_CARRIER}),
 dim_airport as ({DIM_AIRPORT}),
 dim_date as ({DIM_DATE})
 {body}"""
+
+
+# ------------------------------------------------------------------ data quality
+
+def _dq(model: str, column: str, rule: str, failures_sql: str) -> str:
+    return (f"select '{model}' as model, '{column}' as column_name, '{rule}' as rule, "
+            f"cast(({failures_sql}) as bigint) as failures")
+
+
+def dq_not_null_sql(model: str, columns) -> str:
+    return "\nunion all\n".join(
+        _dq(model, c, "not_null", f"select count(*) from {model} where {c} is null") for c in columns)
+
+
+def _sql_lit(v) -> str:
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return str(v)
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def dq_accepted_values_sql(model: str, rules) -> str:
+    parts = []
+    for column, values in rules:
+        lits = ", ".join(_sql_lit(v) for v in values)
+        parts.append(_dq(model, column, "accepted_values",
+                         f"select count(distinct {column}) from {model} "
+                         f"where {column} is not null and {column} not in ({lits})"))
+    return "\nunion all\n".join(parts)
+
+
+def dq_unique_sql(pairs) -> str:
+    return "\nunion all\n".join(
+        _dq(model, c, "unique",
+            f"select count(*) from (select {c} from {model} where {c} is not null "
+            f"group by {c} having count(*) > 1) t")
+        for model, c in pairs)
+
+
+def dq_relationships_sql(model: str, rels) -> str:
+    return "\nunion all\n".join(
+        _dq(model, c, "relationships",
+            f"select count(*) from {model} x where x.{c} is not null and not exists "
+            f"(select 1 from {parent} p where p.{pc} = x.{c})")
+        for c, parent, pc in rels)

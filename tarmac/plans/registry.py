@@ -12,7 +12,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.plans import models as M
+from tarmac.operators import quality as Q
 from tarmac.plans import oracle as O
+from tarmac.plans import rule_suites as R
 from tarmac.sources.fixture import fixture_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +65,35 @@ def _model(attr: str) -> Query:
     return run
 
 
+# ------------------------------------------------------------------ data quality
+
+def dq_not_null(spark, sf_dir):
+    m = ModelSet(spark, sf_dir)
+    return Q.check_rows(m.stg, "stg_flights", R.stg_not_null_rules())
+
+
+def dq_accepted_values(spark, sf_dir):
+    m = ModelSet(spark, sf_dir)
+    return Q.check_rows(m.stg, "stg_flights", R.stg_accepted_values_rules())
+
+
+def dq_declared(spark, sf_dir):
+    """The 17 declared staging rules, one scan."""
+    m = ModelSet(spark, sf_dir)
+    return Q.run_checks(spark, [("stg_flights", m.stg, R.stg_declared_rules())])
+
+
+def dq_unique(spark, sf_dir):
+    m = ModelSet(spark, sf_dir)
+    return Q.run_checks(spark, R.key_unique_suite(m.fact, m.dim_carrier, m.dim_airport, m.dim_date))
+
+
+def dq_relationships(spark, sf_dir):
+    m = ModelSet(spark, sf_dir)
+    return Q.check_model(m.fact, "fact_flights",
+                         R.fact_relationship_rules(m.dim_carrier, m.dim_airport, m.dim_date))
+
+
 QUERIES: dict[str, Query] = {
     "stg_flights": _model("stg"),
     "fact_flights": _model("fact"),
@@ -71,8 +102,18 @@ QUERIES: dict[str, Query] = {
     "dim_date": _model("dim_date"),
     "mart_carrier_performance": _model("mart_carrier_performance"),
     "mart_delay_causes": _model("mart_delay_causes"),
+    "dq_not_null": dq_not_null,
+    "dq_accepted_values": dq_accepted_values,
+    "dq_declared": dq_declared,
+    "dq_unique": dq_unique,
+    "dq_relationships": dq_relationships,
 }
 
+# --- fixed values: accepted values declared on stg_flights (for the oracle) ---
+_ACCEPTED = [("carrier_code", ["AA", "DL", "UA"]), ("is_cancelled", [True, False]),
+             ("is_diverted", [True, False]), ("flight_year", [2024]),
+             ("flight_month", list(range(1, 13)))]
+
 ORACLE_SQL: dict[str, str] = {
     "stg_flights": O.with_models("select * from stg_flights"),
     "fact_flights": O.with_models("select * from fact_flights"),
@@ -81,4 +122,16 @@ ORACLE_SQL: dict[str, str] = {
     "dim_date": O.with_models("select * from dim_date"),
     "mart_carrier_performance": O.with_models(O.MART_PERFORMANCE),
     "mart_delay_causes": O.with_models(O.MART_DELAY_CAUSES),
+    "dq_not_null": O.with_models(O.dq_not_null_sql("stg_flights", R.STG_NOT_NULL)),
+    "dq_accepted_values": O.with_models(O.dq_accepted_values_sql("stg_flights", _ACCEPTED)),
+    "dq_declared": O.with_models(O.dq_not_null_sql("stg_flights", R.STG_NOT_NULL) + "\nunion all\n"
+                                 + O.dq_accepted_values_sql("stg_flights", _ACCEPTED)),
+    "dq_unique": O.with_models(O.dq_unique_sql([
+        ("fact_flights", "flight_key"), ("dim_carrier", "carrier_key"),
+        ("dim_airport", "airport_key"), ("dim_date", "date_key")])),
+    "dq_relationships": O.with_models(O.dq_relationships_sql("fact_flights", [
+        ("carrier_key", "dim_carrier", "carrier_key"),
+        ("origin_airport_key", "dim_airport", "airport_key"),
+        ("dest_airport_key", "dim_airport", "airport_key"),
+        ("date_key", "dim_date", "date_key")])),
 }
