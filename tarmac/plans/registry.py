@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tarmac.plans import models as M
 from tarmac.operators import quality as Q
 from tarmac.plans import oracle as O
+from tarmac.plans import ingest_queries as I
 from tarmac.plans import rule_suites as R
 from tarmac.sources.fixture import fixture_raw
 
@@ -107,6 +108,10 @@ QUERIES: dict[str, Query] = {
     "dq_declared": dq_declared,
     "dq_unique": dq_unique,
     "dq_relationships": dq_relationships,
+    "load_roundtrip": I.load_roundtrip,
+    "load_incremental_twice": I.load_incremental_twice,
+    "load_report": I.load_report_query,
+    "pending_files": I.pending_months,
 }
 
 # --- fixed values: accepted values declared on stg_flights (for the oracle) ---
@@ -134,4 +139,8 @@ ORACLE_SQL: dict[str, str] = {
         ("origin_airport_key", "dim_airport", "airport_key"),
         ("dest_airport_key", "dim_airport", "airport_key"),
         ("date_key", "dim_date", "date_key")])),
+    "load_roundtrip": O.raw_text_columns_sql(),
+    "load_incremental_twice": O.raw_text_columns_sql(),
+    "load_report": O.LOAD_REPORT,
+    "pending_files": O.PENDING_MONTHS,
 }
