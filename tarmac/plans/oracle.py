@@ -358,3 +358,12 @@ PENDING_MONTHS = f"""with raw_flights as ({RAW_FLIGHTS})
 select distinct cast("Year" as int) as year, cast("Month" as int) as month
 from raw_flights where cast("Month" as int) > 6
 """
+
+TABLE_COUNTS = "\nunion all\n".join(
+    f"select '{name}' as table_name, cast(count(*) as bigint) as n_rows from {src}"
+    for name, src in (
+        ("raw_flights", "raw_flights"), ("stg_flights", "stg_flights"),
+        ("fact_flights", "fact_flights"), ("dim_carrier", "dim_carrier"),
+        ("dim_airport", "dim_airport"), ("dim_date", "dim_date"),
+        ("mart_carrier_performance_monthly", f"({MART_PERFORMANCE}) m1"),
+        ("mart_delay_cause_breakdown_monthly", f"({MART_DELAY_CAUSES}) m2")))

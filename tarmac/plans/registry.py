@@ -112,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "load_incremental_twice": I.load_incremental_twice,
     "load_report": I.load_report_query,
     "pending_files": I.pending_months,
+    "pipeline_end_to_end": I.pipeline_end_to_end,
 }
 
 # --- fixed values: accepted values declared on stg_flights (for the oracle) ---
@@ -143,4 +144,5 @@ ORACLE_SQL: dict[str, str] = {
     "load_incremental_twice": O.raw_text_columns_sql(),
     "load_report": O.LOAD_REPORT,
     "pending_files": O.PENDING_MONTHS,
+    "pipeline_end_to_end": O.with_models(O.TABLE_COUNTS),
 }
