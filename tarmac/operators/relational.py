@@ -48,6 +48,22 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+               bounded: bool = False) -> DataFrame:
+    """The join side to use for a dimension: broadcast when its size is proven.
+
+    ``bounded`` sides (size fixed by construction) are broadcast as they are.
+    Otherwise the side is computed once and checkpointed to the shared
+    checkpoint folder (lineage cut, survives executor loss), its row count
+    is checked on the materialised copy, and it is broadcast only when it
+    has at most ``max_rows`` rows; larger sides are joined by shuffle.
+    """
+    if bounded:
+        return F.broadcast(df)
+    saved = df.checkpoint(eager=True)
+    return F.broadcast(saved) if bounded_rows(saved, max_rows) else saved
+
+
 def join_dim(fact: DataFrame, dim: DataFrame, key: str, cols: Sequence[str],
              bounded: bool = False, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)`` adding ``cols`` from the dimension.
@@ -57,7 +73,5 @@ def join_dim(fact: DataFrame, dim: DataFrame, key: str, cols: Sequence[str],
     against ``max_rows``.  Otherwise a regular shuffle join is planned.
     Non-unique dimension keys fan out exactly as in SQL.
     """
-    d = dim.select(F.col(key).alias("_dk"), *cols)
-    if bounded or bounded_rows(d, max_rows):
-        d = F.broadcast(d)
-    return (fact.join(d, fact[key] == d["_dk"], "left").drop("_dk"))
+    d = small_side(dim.select(F.col(key).alias("_dk"), *cols), max_rows, bounded)
+    return fact.join(d, fact[key] == d["_dk"], "left").drop("_dk")

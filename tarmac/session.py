@@ -23,6 +23,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Wide projections generate large methods; above HotSpot's 8000-byte
+    # JIT limit they would run interpreted, so fall back to per-operator
+    # codegen for such subtrees (the documented setting for HotSpot).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

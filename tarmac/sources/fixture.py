@@ -12,6 +12,8 @@ independent implementations that must agree row for row.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,9 +136,47 @@ def raw_flights_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _row_groups(uri: str) -> int | None:
+    """Row groups of one parquet file when it is on a local filesystem."""
+    local = re.sub(r"^file:(//)?", "", uri)
+    if not local.startswith("/"):
+        return None
+    try:
+        import pyarrow.parquet as pq
+        return pq.ParquetFile(local).metadata.num_row_groups
+    except Exception:  # unreadable footer: assume it splits well
+        return None
+
+
+def spread_small_scan(df: DataFrame, target: int | None = None,
+                      keys: tuple[str, ...] = ()) -> DataFrame:
+    """Round-robin a scan whose input cannot keep ``target`` cores busy.
+
+    A parquet split is a row group: a table stored as one single-row-group
+    file is read by one task however many cores there are.  Only when the
+    input has fewer files than ``target`` are their footers inspected; large
+    inputs (thousands of files) are returned untouched, with no shuffle.
+    With ``keys`` (a unique key: no skew) rows are hash-partitioned, which is
+    deterministic without the per-partition sort round-robin needs.
+    """
+    target = target or df.sparkSession.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if len(files) >= target:
+        return df
+    groups = [_row_groups(f) for f in files]
+    if any(g is None for g in groups) or sum(groups) >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
+# unique keys of the driver tables used for spreading
+TABLE_KEYS: dict[str, tuple[str, ...]] = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """One driver table (parquet) by name."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(df, keys=TABLE_KEYS.get(name, ())) if spread else df
 
 
 def fixture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
