@@ -367,3 +367,90 @@ TABLE_COUNTS = "\nunion all\n".join(
         ("dim_airport", "dim_airport"), ("dim_date", "dim_date"),
         ("mart_carrier_performance_monthly", f"({MART_PERFORMANCE}) m1"),
         ("mart_delay_cause_breakdown_monthly", f"({MART_DELAY_CAUSES}) m2")))
+
+
+# ------------------------------------------------------------------ single operators
+
+_FACT_MONTH = "select *, cast(month(flight_date) as int) as flight_month from fact_flights"
+
+_CAUSE_TOTALS = f"""
+select *, {" + ".join(f"total_{c}_delay_min" for c in CAUSES)} as total_delay_min from (
+  select carrier_key, flight_month, cast(count(*) as bigint) as delayed_flights_count,
+    {", ".join(f"round(sum(delay_{c}_min), 0) as total_{c}_delay_min" for c in CAUSES)}
+  from ({_FACT_MONTH}) f
+  where arr_delayed_15 = 1 and not is_cancelled
+  group by carrier_key, flight_month) a
+"""
+
+OPERATOR_SQL = {
+    "carrier_filter": with_models(
+        '''select "Reporting_Airline", "FlightDate", "Flight_Number_Reporting_Airline", "Origin", "Dest",
+                  "Tail_Number" from raw_flights where "Reporting_Airline" in ('AA', 'UA', 'DL')'''),
+    "hhmm_times": with_models(
+        f'''select "CRSDepTime", "DepTime", "CRSArrTime", "ArrTime",
+                   {_dep_time("CRSDepTime")} as crs_dep_time_raw, {_dep_time("DepTime")} as dep_time_raw,
+                   {_arr_time("CRSArrTime")} as crs_arr_time_raw, {_arr_time("ArrTime")} as arr_time_raw
+            from raw_flights'''),
+    "status_flags": with_models(
+        '''select "Cancelled", "Diverted", "CancellationCode",
+                  coalesce(cast("Cancelled" as double) = 1.0, false) as is_cancelled,
+                  coalesce(cast("Diverted" as double) = 1.0, false) as is_diverted
+           from raw_flights'''),
+    "typed_casts": with_models(
+        '''select cast("Year" as int) as flight_year, cast("Month" as int) as flight_month,
+                  cast("DOT_ID_Reporting_Airline" as int) as dot_id_carrier,
+                  cast("Flight_Number_Reporting_Airline" as int) as flight_number,
+                  cast("FlightDate" as date) as flight_date, cast("DepDelay" as double) as dep_delay_min,
+                  cast("Distance" as double) as distance_miles,
+                  cast("SecurityDelay" as double) as delay_security_min
+           from raw_flights'''),
+    "surrogate_key": with_models(
+        '''select carrier_code, flight_number, flight_date, origin, dest, tail_number,
+                  md5(coalesce(carrier_code, '') || '-' || coalesce(cast(flight_number as varchar), '') || '-' ||
+                      coalesce(cast(flight_date as varchar), '') || '-' || coalesce(origin, '') || '-' ||
+                      coalesce(dest, '') || '-' || coalesce(tail_number, '')) as flight_key,
+                  cast(strftime(flight_date, '%Y%m%d') as int) as date_key
+           from stg_flights'''),
+    "date_spine_dynamic": with_models(
+        '''select cast(strftime(full_date, '%Y%m%d') as int) as date_key, full_date,
+                  strftime(full_date, '%b') as month_name, strftime(full_date, '%a') as day_name,
+                  cast(dayofweek(full_date) as int) as day_of_week,
+                  dayofweek(full_date) in (0, 6) as is_weekend
+           from (select cast(unnest(generate_series(min(flight_date), max(flight_date), interval 1 day))
+                             as date) as full_date
+                 from stg_flights having count(flight_date) > 0) s'''),
+    "airport_regions": with_models(
+        f'''select origin, origin_state, {REGION_CASE.replace("state in", "origin_state in")} as origin_region,
+                   dest, dest_state, {REGION_CASE.replace("state in", "dest_state in")} as dest_region
+            from stg_flights'''),
+    "monthly_status_counts": with_models(
+        f'''select *, {_round("cancelled_count * 100.0 / total_flights", 2)} as cancelled_pct,
+                   {_round("diverted_count * 100.0 / total_flights", 2)} as diverted_pct,
+                   {_round("on_time_count * 100.0 / total_flights", 2)} as on_time_pct
+            from (select carrier_key, flight_month, cast(count(*) as bigint) as total_flights,
+                    cast(sum(case when is_cancelled then 1 else 0 end) as bigint) as cancelled_count,
+                    cast(sum(case when is_diverted then 1 else 0 end) as bigint) as diverted_count,
+                    cast(sum(case when arr_delayed_15 = 0 and not is_cancelled and not is_diverted
+                                  then 1 else 0 end) as bigint) as on_time_count
+                  from ({_FACT_MONTH}) f group by carrier_key, flight_month) a'''),
+    "delay_averages": with_models(
+        f'''select carrier_key, flight_month,
+                   {_round("avg(case when not is_cancelled then dep_delay_min end)", 2)} as avg_dep_delay,
+                   {_round("avg(case when not is_cancelled then arr_delay_min end)", 2)} as avg_arr_delay
+            from ({_FACT_MONTH}) f group by carrier_key, flight_month'''),
+    "delay_percentiles": with_models(
+        f'''select carrier_key, flight_month,
+                   {_round("quantile_cont(arr_delay_min, 0.75)", 2)} as p75_arr_delay,
+                   {_round("quantile_cont(arr_delay_min, 0.95)", 2)} as p95_arr_delay
+            from ({_FACT_MONTH}) f group by carrier_key, flight_month'''),
+    "delay_cause_totals": with_models(_CAUSE_TOTALS),
+    "delay_cause_shares": with_models(
+        f'''select carrier_key, flight_month,
+                   {", ".join(_round(f"total_{c}_delay_min * 100.0 / nullif(total_delay_min, 0)", 1)
+                              + f" as pct_{c}" for c in CAUSES)}
+            from ({_CAUSE_TOTALS}) t'''),
+    "dim_left_joins": with_models(
+        '''select f.flight_key, f.carrier_key, f.date_key, c.carrier_name, d.year, d.month_num, d.month_name
+           from fact_flights f left join dim_carrier c on f.carrier_key = c.carrier_key
+           left join dim_date d on f.date_key = d.date_key'''),
+}

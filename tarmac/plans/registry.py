@@ -7,57 +7,19 @@ fixture) so its work grows with the input; none runs on made-up input alone.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.plans import models as M
 from tarmac.operators import quality as Q
 from tarmac.plans import oracle as O
 from tarmac.plans import ingest_queries as I
 from tarmac.plans import rule_suites as R
-from tarmac.sources.fixture import fixture_raw
+from tarmac.plans import operator_queries as P
+from tarmac.plans.modelset import ModelSet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-class ModelSet:
-    """The model graph over one input folder, built lazily (plans only)."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str, strict: bool = True):
-        self.spark, self.sf_dir, self.strict = spark, sf_dir, strict
-
-    @cached_property
-    def raw(self) -> DataFrame:
-        return fixture_raw(self.spark, self.sf_dir)
-
-    @cached_property
-    def stg(self) -> DataFrame:
-        return M.stg_flights(self.raw, strict=self.strict)
-
-    @cached_property
-    def fact(self) -> DataFrame:
-        return M.fact_flights(self.stg)
-
-    @cached_property
-    def dim_carrier(self) -> DataFrame:
-        return M.dim_carrier(self.stg)
-
-    @cached_property
-    def dim_airport(self) -> DataFrame:
-        return M.dim_airport(self.stg)
-
-    @cached_property
-    def dim_date(self) -> DataFrame:
-        return M.dim_date(self.stg)
-
-    def mart_carrier_performance(self) -> DataFrame:
-        return M.mart_carrier_performance(self.fact, self.dim_carrier, self.dim_date)
-
-    def mart_delay_causes(self) -> DataFrame:
-        return M.mart_delay_causes(self.fact, self.dim_carrier, self.dim_date)
-
-
 def _model(attr: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         value = getattr(ModelSet(spark, sf_dir), attr)
@@ -113,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "load_report": I.load_report_query,
     "pending_files": I.pending_months,
     "pipeline_end_to_end": I.pipeline_end_to_end,
+    **P.QUERIES,
 }
 
 # --- fixed values: accepted values declared on stg_flights (for the oracle) ---
@@ -145,4 +108,5 @@ ORACLE_SQL: dict[str, str] = {
     "load_report": O.LOAD_REPORT,
     "pending_files": O.PENDING_MONTHS,
     "pipeline_end_to_end": O.with_models(O.TABLE_COUNTS),
+    **O.OPERATOR_SQL,
 }
