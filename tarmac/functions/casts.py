@@ -35,7 +35,7 @@ def to_double(col, strict: bool = True) -> Column:
 def to_date_iso(col, strict: bool = True) -> Column:
     """Text ``yyyy-MM-dd`` to DATE."""
     c = _c(col)
-    return F.to_date(c, "yyyy-MM-dd") if strict else F.try_to_date(c, F.lit("yyyy-MM-dd"))
+    return F.to_date(c, "yyyy-MM-dd") if strict else F.try_to_date(c, "yyyy-MM-dd")
 
 
 def flag(col, strict: bool = True) -> Column:

@@ -27,6 +27,11 @@ DEFAULT_CONF = {
     # JIT limit they would run interpreted, so fall back to per-operator
     # codegen for such subtrees (the documented setting for HotSpot).
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Malformed-row detection must not depend on which columns a query
+    # selects: with CSV parser pruning a ragged row is only flagged when its
+    # missing fields are among the selected ones.  The load writes every
+    # column anyway, so nothing is lost.
+    "spark.sql.csv.parser.columnPruning.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -112,7 +112,11 @@ def _odd_quotes(c: Column) -> Column:
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, unparsable rows).  A record is unparsable when its raw text
     has unbalanced quoting; ragged rows (flagged by the CSV reader too) are
-    good rows.  The raw text column is dropped from the good side."""
+    good rows.  The raw text column is dropped from the good side.
+
+    Requires ``spark.sql.csv.parser.columnPruning.enabled=false`` (a session
+    default of this engine) so the reader flags rows the same way whatever
+    columns the query selects."""
     rec = F.col(CORRUPT_COL)
     bad_pred = rec.isNotNull() & _odd_quotes(rec)
     # Always true, but keeps one data column in the scan: the CSV reader
@@ -120,7 +124,7 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     # (e.g. a bare count over the good rows).
     keep_scan = F.coalesce(F.length(F.col(FILE_COLUMNS[0])), F.lit(0)) >= 0
     good = df.where((~bad_pred | rec.isNull()) & keep_scan).drop(CORRUPT_COL)
-    bad = df.where(bad_pred).select(CORRUPT_COL, *[c for c in df.columns
+    bad = df.where(bad_pred & keep_scan).select(CORRUPT_COL, *[c for c in df.columns
                                                   if c in (SOURCE_FILE_COL, LOAD_TS_COL)])
     return good, bad
 
