@@ -222,6 +222,14 @@ def mart_carrier_performance(fact: DataFrame, carriers: DataFrame, dates: DataFr
 CAUSES = ("carrier", "weather", "nas", "security", "late_aircraft")
 
 
+def _grand_total(cols):
+    """Sum of columns with SQL ``+`` (one NULL makes the total NULL)."""
+    total = None
+    for c in cols:
+        total = F.col(c) if total is None else total + F.col(c)
+    return total
+
+
 def mart_delay_causes(fact: DataFrame, carriers: DataFrame, dates: DataFrame) -> DataFrame:
     """Monthly delay minutes by cause per carrier over flights >= 15 min late
     and not cancelled.  The filter is on fact columns, so it is pushed below
@@ -233,13 +241,61 @@ def mart_delay_causes(fact: DataFrame, carriers: DataFrame, dates: DataFrame) ->
         *[F.round(F.sum(f"delay_{c}_min"), 0).alias(f"total_{c}_delay_min") for c in CAUSES],
     )
     # grand total = sum of the *rounded* sums; one NULL cause makes it NULL
-    total = None
-    for c in CAUSES:
-        col = F.col(f"total_{c}_delay_min")
-        total = col if total is None else total + col
-    agg = agg.withColumn("total_delay_min", total)
+    agg = agg.withColumn("total_delay_min", _grand_total(f"total_{c}_delay_min" for c in CAUSES))
     return (agg.select(
         *MART_KEYS, "delayed_flights_count",
         *[f"total_{c}_delay_min" for c in CAUSES], "total_delay_min",
         *[pct_of(f"total_{c}_delay_min", "total_delay_min", 1).alias(f"pct_{c}") for c in CAUSES],
     ).orderBy("carrier_key", "year", "month_num"))
+
+
+# ------------------------------------------------------------------ both marts, one pass
+
+def carrier_month_stats(fact: DataFrame, carriers: DataFrame, dates: DataFrame) -> DataFrame:
+    """Every aggregate of both marts in ONE pass over the fact.
+
+    The delayed-flight filter of the delay-cause mart becomes a condition
+    inside its aggregates (rows failing it contribute nothing, exactly like a
+    WHERE), so one scan, one broadcast join pair and one shuffle of group
+    buffers serve both marts.  Used by ``build()``, which checkpoints it.
+    """
+    flights = _fact_with_dims(fact, carriers, dates,
+                              ["dep_delay_min", "arr_delay_min", "is_cancelled", "is_diverted",
+                               "arr_delayed_15"] + [f"delay_{c}_min" for c in CAUSES])
+    canc, divd = F.col("is_cancelled"), F.col("is_diverted")
+    delayed = (F.col("arr_delayed_15") == 1) & ~canc
+    return flights.groupBy(*MART_KEYS).agg(
+        F.count(F.lit(1)).alias("total_flights"),
+        count_where(canc).alias("cancelled_count"),
+        count_where(divd).alias("diverted_count"),
+        count_where((F.col("arr_delayed_15") == 0) & ~canc & ~divd).alias("on_time_count"),
+        avg_where("dep_delay_min", ~canc, 2).alias("avg_dep_delay"),
+        avg_where("arr_delay_min", ~canc, 2).alias("avg_arr_delay"),
+        p_cont("arr_delay_min", [0.75, 0.95]).alias("_p"),
+        count_where(delayed).alias("delayed_flights_count"),
+        *[F.round(F.sum(F.when(delayed, F.col(f"delay_{c}_min"))), 0).alias(f"total_{c}_delay_min")
+          for c in CAUSES],
+    )
+
+
+def mart_carrier_performance_from_stats(stats: DataFrame) -> DataFrame:
+    return (stats.select(
+        *MART_KEYS, "total_flights",
+        "cancelled_count", pct("cancelled_count", "total_flights", 2).alias("cancelled_pct"),
+        "diverted_count", pct("diverted_count", "total_flights", 2).alias("diverted_pct"),
+        "on_time_count", pct("on_time_count", "total_flights", 2).alias("on_time_pct"),
+        "avg_dep_delay", "avg_arr_delay",
+        F.round(F.col("_p")[0], 2).alias("p75_arr_delay"),
+        F.round(F.col("_p")[1], 2).alias("p95_arr_delay"),
+    ).orderBy("carrier_key", "year", "month_num"))
+
+
+def mart_delay_causes_from_stats(stats: DataFrame) -> DataFrame:
+    """Groups without a delayed flight do not exist in the filtered mart."""
+    s = (stats.where(F.col("delayed_flights_count") > 0)
+              .withColumn("total_delay_min", _grand_total(f"total_{c}_delay_min" for c in CAUSES)))
+    return (s.select(
+        *MART_KEYS, "delayed_flights_count",
+        *[f"total_{c}_delay_min" for c in CAUSES], "total_delay_min",
+        *[pct_of(f"total_{c}_delay_min", "total_delay_min", 1).alias(f"pct_{c}") for c in CAUSES],
+    ).orderBy("carrier_key", "year", "month_num"))

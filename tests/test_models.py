@@ -116,3 +116,24 @@ def test_build_layers_and_preview(spark, tmp_path):
     only_core = build(spark, raw, None, until="dim_carrier", register_views=False)
     assert "mart_carrier_performance_monthly" not in only_core.names()
     assert only_core.table("dim_carrier").where(F.col("carrier_group") == "Major").count() == 3
+
+
+def test_one_pass_marts_equal_separate_marts(spark):
+    m = ModelSet(spark, SF001)
+    stats = M.carrier_month_stats(m.fact, m.dim_carrier, m.dim_date)
+    a = M.mart_carrier_performance_from_stats(stats)
+    b = M.mart_delay_causes_from_stats(stats)
+    assert a.exceptAll(m.mart_carrier_performance()).count() == 0
+    assert m.mart_carrier_performance().exceptAll(a).count() == 0
+    assert b.exceptAll(m.mart_delay_causes()).count() == 0
+    assert m.mart_delay_causes().exceptAll(b).count() == 0
+
+
+def test_delay_mart_drops_groups_without_delays(spark):
+    _, fact, car, dat = star(spark, [{}, {"Month": "2", "FlightDate": "2024-02-01"} | {
+        "ArrDelay": "30.00", "ArrDel15": "1.00", "CarrierDelay": "30.00", "WeatherDelay": "0.00",
+        "NASDelay": "0.00", "SecurityDelay": "0.00", "LateAircraftDelay": "0.00"}])
+    stats = M.carrier_month_stats(fact, car, dat)
+    assert [r.month_num for r in M.mart_delay_causes_from_stats(stats).collect()] == [2]
+    assert [r.month_num for r in M.mart_delay_causes(fact, car, dat).collect()] == [2]
+    assert M.mart_carrier_performance_from_stats(stats).count() == 2
