@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions import casts as X
+from tarmac.functions.memo import per_jvm
 from tarmac.functions.constants import (
     CARRIER_GROUP_DEFAULT, CARRIER_GROUPS, CARRIER_NAME_DEFAULT, CARRIER_NAMES,
     DATE_SPINE_DAYS, DATE_SPINE_START, STAGED_CARRIERS, WEEKEND_DAYS,
@@ -26,6 +27,7 @@ from tarmac.sources.calendar import date_spine
 
 # ------------------------------------------------------------------ staging
 
+@per_jvm
 def staging_spec(strict: bool = True):
     """(output name, column expression) pairs of the staging projection."""
     i = lambda c: X.to_int(c, strict)       # noqa: E731

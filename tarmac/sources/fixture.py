@@ -17,6 +17,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.functions.memo import per_jvm
+
 # --- fixed values: fixture airports (index, code, airport id, city, state, state name) ---
 FIXTURE_AIRPORTS = (
     (0, "JFK", "12478", "New York, NY", "NY", "New York"),
@@ -55,16 +57,22 @@ def _dec(col: Column) -> Column:
 
 def raw_flights_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """One raw flight (all text + 2 audit columns) per line item."""
+    keep, stage1, stage2 = _fixture_exprs()
+    return lineitem.where(keep).select(*stage1).select(*stage2)
+
+
+@per_jvm
+def _fixture_exprs():
+    """(row filter, first projection, final projection) of the derivation."""
     pk, sk, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     n_ap = len(FIXTURE_AIRPORTS)
     o_idx = pk % n_ap
     e_idx = (pk + 1 + sk % 9) % n_ap
     airports = _airport_array()
 
-    b = (lineitem
-         # the derivation is an inner lookup: rows without a valid index drop out
-         .where(o_idx.between(0, n_ap - 1) & e_idx.between(0, n_ap - 1))
-         .select(
+    # the derivation is an inner lookup: rows without a valid index drop out
+    keep = o_idx.between(0, n_ap - 1) & e_idx.between(0, n_ap - 1)
+    stage1 = [
              "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate",
              (F.col("l_orderkey") % FIXTURE_DAYS).cast("int").alias("dn"),
              ((F.col("l_quantity").cast("int") * 37 + (pk % 1000).cast("int")) % 150 - 40).alias("dl"),
@@ -73,7 +81,7 @@ def raw_flights_from_lineitem(lineitem: DataFrame) -> DataFrame:
              (F.floor("l_extendedprice").cast("int") % 2500 + 100).alias("dist"),
              F.element_at(airports, (o_idx + 1).cast("int")).alias("o"),
              F.element_at(airports, (e_idx + 1).cast("int")).alias("e"),
-         ))
+    ]
     dn, dl, disc, hm, dist = (F.col(c) for c in ("dn", "dl", "disc", "hm", "dist"))
     d = F.date_add(F.lit(FIXTURE_START).cast("date"), dn)
     canc = disc == 0
@@ -87,7 +95,7 @@ def raw_flights_from_lineitem(lineitem: DataFrame) -> DataFrame:
     def unless(cond: Column, value: Column) -> Column:
         return F.when(cond, null_s).otherwise(value)
 
-    return b.select(
+    stage2 = [
         _s(F.year(d)).alias("Year"),
         _s(F.quarter(d)).alias("Quarter"),
         _s(F.month(d)).alias("Month"),
@@ -133,7 +141,8 @@ def raw_flights_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.concat(F.lit("on_time_2024_"), F.lpad(_s(F.month(d)), 2, "0"), F.lit(".csv.gz"))
          .alias("_SOURCE_FILE"),
         F.col("l_shipdate").alias("_LOAD_TIMESTAMP"),
-    )
+    ]
+    return keep, stage1, stage2
 
 
 def _row_groups(uri: str) -> int | None:
