@@ -71,10 +71,13 @@ def write_ingestion_log(manifest: DataFrame, out: str, uploaded_at=None) -> None
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", dynamic_overwrite: bool = False) -> None:
     """Materialise a model as parquet (full rebuild by default).  With
-    ``partitionOverwriteMode=dynamic`` only the touched partitions change."""
+    ``dynamic_overwrite`` and ``partition_by`` only the partitions present in
+    ``df`` are replaced (opt-in incremental rebuild of touched months)."""
     w = df.write.mode(mode)
+    if dynamic_overwrite:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

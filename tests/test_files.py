@@ -100,3 +100,25 @@ def test_land_then_pending_and_report(spark, tmp_path):
     man = file_manifest(spark, root, LANDED_GLOB).withColumn("source_file", F.regexp_replace("path", ".*/landing/", ""))
     todo = pending_files(man, rep, on=("source_file",)).collect()
     assert [(r.year, r.month) for r in todo] == [(2024, 2)]
+
+
+def test_zip_to_raw_shape(spark, tmp_path):
+    z = tmp_path / "zips" / "a.zip"
+    os.makedirs(z.parent)
+    with zipfile.ZipFile(z, "w") as zf:
+        zf.writestr("m.csv", ",".join(["h"] * 110) + "\n" + csv_line({**ROW, "Tail_Number": "NULL"}))
+    from tarmac.sources.files import read_zip_raw
+    from tarmac.sources.schema import RAW_COLUMNS
+    df = read_zip_raw(spark, str(tmp_path / "zips"), loaded_at="2024-01-01 00:00:00")
+    r = df.first()
+    assert df.columns == list(RAW_COLUMNS)
+    assert r["Tail_Number"] is None and r["_SOURCE_FILE"] == "a.zip!m.csv"
+
+
+def test_dynamic_partition_overwrite(spark, tmp_path):
+    from tarmac.sinks.files import write_table
+    out = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "m int, v string")
+    write_table(df, out, ["m"])
+    write_table(spark.createDataFrame([(2, "c")], "m int, v string"), out, ["m"], dynamic_overwrite=True)
+    assert sorted((r.m, r.v) for r in spark.read.parquet(out).collect()) == [(1, "a"), (2, "c")]
