@@ -60,10 +60,22 @@ def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     """
     if bounded:
         return F.broadcast(df)
-    saved = df.checkpoint(eager=True)
+    saved = df if is_stored(df) else df.checkpoint(eager=True)
     return F.broadcast(saved) if bounded_rows(saved, max_rows) else saved
 
 
+def is_stored(df: DataFrame) -> bool:
+    """True when ``df`` is a plain read of stored data (file table or
+    checkpoint) with at most projections/filters on top: counting it is cheap
+    and a second materialisation would only copy it."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    kinds = {leaves.apply(i).nodeName() for i in range(leaves.size())}
+    text = plan.toString()
+    return bool(kinds) and kinds <= {"Relation", "LogicalRelation", "LogicalRDD"} and \
+        not any(op in text for op in ("Aggregate", "Join", "Window", "Generate", "Union"))
+
+
 def join_dim(fact: DataFrame, dim: DataFrame, key: str, cols: Sequence[str],
              bounded: bool = False, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)`` adding ``cols`` from the dimension.
