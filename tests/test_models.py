@@ -137,3 +137,13 @@ def test_delay_mart_drops_groups_without_delays(spark):
     assert [r.month_num for r in M.mart_delay_causes_from_stats(stats).collect()] == [2]
     assert [r.month_num for r in M.mart_delay_causes(fact, car, dat).collect()] == [2]
     assert M.mart_carrier_performance_from_stats(stats).count() == 2
+
+
+def test_lenient_build_stages_bad_text_as_null(spark):
+    raw = raw_df(spark, [{}, {"FlightDate": "2024-13-45", "Flight_Number_Reporting_Airline": "x1"}])
+    cat = build(spark, raw, None, until="stg_flights", register_views=False, strict=False)
+    rows = sorted(cat.table("stg_flights").collect(), key=lambda r: r.flight_date is None)
+    assert rows[1].flight_date is None and rows[1].flight_number is None
+    import pytest
+    with pytest.raises(Exception):
+        build(spark, raw, None, until="stg_flights", register_views=False).table("stg_flights").collect()
