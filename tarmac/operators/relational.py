@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.session import ensure_checkpoint_dir
+
 # Largest dimension (rows) joined by broadcast.  Above it the join falls back
 # to a shuffle join, where AQE's skew handling splits hot keys.
 MAX_BROADCAST_ROWS = 1_000_000
@@ -60,7 +62,11 @@ def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     """
     if bounded:
         return F.broadcast(df)
-    saved = df if is_stored(df) else df.checkpoint(eager=True)
+    if is_stored(df):
+        saved = df
+    else:
+        ensure_checkpoint_dir(df.sparkSession)
+        saved = df.checkpoint(eager=True)
     return F.broadcast(saved) if bounded_rows(saved, max_rows) else saved
 
 

@@ -63,7 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local tests: a fresh folder per session.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS/object "
+                               "store) that every executor can reach")
+        # local mode only (tests): a fresh folder per session
         configured = tempfile.mkdtemp(prefix="tarmac-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
