@@ -1,0 +1,69 @@
+"""Property tests: column functions vs plain-Python definitions of the same
+semantics, over generated inputs (one Spark job per generated list)."""
+
+import hashlib
+from decimal import ROUND_HALF_UP, Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tarmac.functions import casts as X
+from tarmac.functions.constants import CENSUS_REGIONS, REGION_DEFAULT
+from tarmac.functions.scalar import census_region, surrogate_key
+
+SETTINGS = settings(max_examples=8, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def run(spark, values, fn, type_="string"):
+    df = spark.createDataFrame([(v,) for v in values], f"x {type_}")
+    return [r[0] for r in df.select(fn(F.col("x"))).collect()]
+
+
+hhmm = st.one_of(st.just(2400),
+                 st.builds(lambda h, m: h * 100 + m, st.integers(0, 23), st.integers(0, 59)))
+
+
+@SETTINGS
+@given(st.lists(hhmm, min_size=1, max_size=40))
+def test_hhmm_functions(spark, values):
+    text = [str(v) for v in values]
+    want_time = ["00:00:00" if v == 2400 else f"{v // 100:02d}:{v % 100:02d}:00" for v in values]
+    want_pad = ["0000" if v == 2400 else s.rjust(4, "0")[:4] for v, s in zip(values, text)]
+    assert run(spark, text, X.hhmm_to_time) == want_time
+    assert run(spark, text, X.hhmm_pad) == want_pad
+
+
+@SETTINGS
+@given(st.lists(st.decimals(min_value=-99999, max_value=99999, places=2, allow_nan=False,
+                            allow_infinity=False), min_size=1, max_size=40))
+def test_to_int_rounds_half_away(spark, values):
+    text = [f"{v:.2f}" for v in values]
+    want = [int(Decimal(t).quantize(Decimal("1"), rounding=ROUND_HALF_UP)) for t in text]
+    assert run(spark, text, X.to_int) == want
+
+
+codes = st.text(alphabet="ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 ,-", max_size=8)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), codes), st.one_of(st.none(), st.integers(1, 9999)),
+                          st.one_of(st.none(), codes)), min_size=1, max_size=30))
+def test_surrogate_key_matches_md5(spark, rows):
+    df = spark.createDataFrame(rows, "a string, b int, c string")
+    got = [r[0] for r in df.select(surrogate_key("a", "b", "c")).collect()]
+    want = [hashlib.md5("-".join("" if x is None else str(x) for x in r).encode()).hexdigest()
+            for r in rows]
+    assert got == want
+
+
+states = st.one_of(st.none(), st.sampled_from(
+    [s for _, group in CENSUS_REGIONS for s in group] + ["PR", "GU", "VI", "XX", ""]))
+
+
+@SETTINGS
+@given(st.lists(states, min_size=1, max_size=40))
+def test_census_region_lookup(spark, values):
+    table = {s: region for region, group in CENSUS_REGIONS for s in group}
+    assert run(spark, values, census_region) == [table.get(v, REGION_DEFAULT) for v in values]
