@@ -49,8 +49,10 @@ def hhmm_pad(col, strict: bool = True) -> Column:
     return F.when(to_int(c, strict) == 2400, F.lit("0000")).otherwise(F.lpad(c, 4, "0"))
 
 
-def hhmm_to_time(col, strict: bool = True) -> Column:
+def hhmm_to_time(col, strict: bool = True, as_time: bool = False) -> Column:
     """HHMM text to a time of day rendered ``HH:mm:ss``; ``2400`` is midnight.
+    With ``as_time`` the value is Spark's TIME type instead (requires
+    ``spark.sql.timeType.enabled``).
 
     The value is validated (hour < 24, minute < 60): invalid text fails the
     query in strict mode and is NULL otherwise.  Parsing is plain substring
@@ -64,10 +66,11 @@ def hhmm_to_time(col, strict: bool = True) -> Column:
     rendered = F.concat(hh, F.lit(":"), mi, F.lit(":00"))
     bad = (F.raise_error(F.concat(F.lit("invalid HHMM time: "), c)).cast("string")
            if strict else F.lit(None).cast("string"))
-    return (F.when(c.isNull(), F.lit(None).cast("string"))
+    text = (F.when(c.isNull(), F.lit(None).cast("string"))
              .when(to_int(c, strict) == 2400, F.lit("00:00:00"))
              .when(valid, rendered)
              .otherwise(bad))
+    return text.cast("time") if as_time else text
 
 
 def date_key(col) -> Column:

@@ -23,13 +23,14 @@ from tarmac.functions.scalar import (
 from tarmac.operators.relational import (
     airports_union, distinct_cols, filter_carriers, join_dim, rename_cast,
 )
-from tarmac.sources.calendar import date_spine
+from tarmac.sources.calendar import date_spine, date_spine_between
 
 # ------------------------------------------------------------------ staging
 
 @per_jvm
-def staging_spec(strict: bool = True):
-    """(output name, column expression) pairs of the staging projection."""
+def staging_spec(strict: bool = True, time_type: bool = False):
+    """(output name, column expression) pairs of the staging projection.
+    ``time_type`` renders departure times as Spark TIME (opt-in flag)."""
     i = lambda c: X.to_int(c, strict)       # noqa: E731
     f = lambda c: X.to_double(c, strict)
     s = F.col
@@ -59,8 +60,8 @@ def staging_spec(strict: bool = True):
         ("dest_state", s("DestState")),
         ("dest_state_name", s("DestStateName")),
         # departure: a time of day; arrival: padded HHMM text (kept asymmetric)
-        ("crs_dep_time_raw", X.hhmm_to_time("CRSDepTime", strict)),
-        ("dep_time_raw", X.hhmm_to_time("DepTime", strict)),
+        ("crs_dep_time_raw", X.hhmm_to_time("CRSDepTime", strict, time_type)),
+        ("dep_time_raw", X.hhmm_to_time("DepTime", strict, time_type)),
         ("dep_delay_min", f("DepDelay")),
         ("dep_delay_min_positive", f("DepDelayMinutes")),
         ("dep_delayed_15", f("DepDel15")),
@@ -92,13 +93,15 @@ def staging_spec(strict: bool = True):
     ]
 
 
-def stg_flights(raw: DataFrame, carriers=STAGED_CARRIERS, strict: bool = True) -> DataFrame:
+def stg_flights(raw: DataFrame, carriers=STAGED_CARRIERS, strict: bool = True,
+                time_type: bool = False) -> DataFrame:
     """Typed, cleaned staging rows of the kept carriers (47 columns).
 
     The carrier filter is applied first and is a plain predicate on a raw
     column, so it reaches the scan; casts run only on surviving rows.
     """
-    return rename_cast(filter_carriers(raw, "Reporting_Airline", carriers), staging_spec(strict))
+    return rename_cast(filter_carriers(raw, "Reporting_Airline", carriers),
+                       staging_spec(strict, time_type))
 
 
 # ------------------------------------------------------------------ core
@@ -162,13 +165,21 @@ def dim_airport(stg: DataFrame) -> DataFrame:
     )
 
 
-def dim_date(stg: DataFrame, start: str = DATE_SPINE_START, days: int = DATE_SPINE_DAYS) -> DataFrame:
+def dim_date(stg: DataFrame, start: str = DATE_SPINE_START, days: int = DATE_SPINE_DAYS,
+             dynamic: bool = False) -> DataFrame:
     """Calendar rows ``start .. start+days-1`` capped at the latest staged
-    flight date (an uncorrelated scalar subquery; empty staging -> no rows)."""
-    spine = date_spine(stg.sparkSession, start, days)
-    latest = stg.select(F.max("flight_date")).scalar()
+    flight date (an uncorrelated scalar subquery; empty staging -> no rows).
+
+    ``dynamic=True`` (opt-in) spans the first to the last flight date instead
+    of a fixed start and length.
+    """
+    if dynamic:
+        spine = date_spine_between(stg, "flight_date")
+    else:
+        latest = stg.select(F.max("flight_date")).scalar()
+        spine = date_spine(stg.sparkSession, start, days).where(F.col("full_date") <= latest)
     d = F.col("full_date")
-    return (spine.where(d <= latest)
+    return (spine
             .select(X.date_key(d).alias("date_key"),
                     d,
                     F.year(d).alias("year"),

@@ -41,12 +41,18 @@ def land_csv_gz(df: DataFrame, out: str, year_col: str = "Year", month_col: str
        .csv(out))
 
 
-def ingestion_log(manifest: DataFrame, uploaded_at=None) -> DataFrame:
-    """One log record per landed file (13 fields) from a file manifest with
-    columns ``path, size, sha256, year, month``.  ``uploaded_at`` may be
-    injected; it defaults to the job's start time."""
+# --- fixed values: fields of the short (scheduled-run) log record ---
+DAG_LOG_FIELDS = ("pipeline_name", "year", "month", "s3_key", "file_size_bytes", "file_sha256",
+                  "uploaded_at_utc", "status")
+
+
+def ingestion_log(manifest: DataFrame, uploaded_at=None, variant: str = "full") -> DataFrame:
+    """One log record per landed file from a file manifest with columns
+    ``path, size, sha256, year, month``: 13 fields (``variant="full"``) or
+    the 8-field record of the scheduled run (``variant="dag"``).
+    ``uploaded_at`` may be injected; it defaults to the job's start time."""
     ts = F.current_timestamp() if uploaded_at is None else F.lit(uploaded_at).cast("timestamp")
-    return manifest.select(
+    full = manifest.select(
         F.lit(PIPELINE_NAME).alias("pipeline_name"),
         F.lit(SOURCE_SYSTEM).alias("source_system"),
         F.lit(LOG_STEP).alias("step"),
@@ -61,6 +67,11 @@ def ingestion_log(manifest: DataFrame, uploaded_at=None) -> DataFrame:
         utc_iso(ts).alias("uploaded_at_utc"),
         F.lit(LOG_STATUS).alias("status"),
     )
+    if variant == "dag":
+        return full.select(*DAG_LOG_FIELDS)
+    if variant != "full":
+        raise ValueError(f"unknown log variant {variant!r}")
+    return full
 
 
 def write_ingestion_log(manifest: DataFrame, out: str, uploaded_at=None) -> None:

@@ -122,3 +122,12 @@ def test_dynamic_partition_overwrite(spark, tmp_path):
     write_table(df, out, ["m"])
     write_table(spark.createDataFrame([(2, "c")], "m int, v string"), out, ["m"], dynamic_overwrite=True)
     assert sorted((r.m, r.v) for r in spark.read.parquet(out).collect()) == [(1, "a"), (2, "c")]
+
+
+def test_ingestion_log_dag_variant(spark, tmp_path):
+    gz = tmp_path / "landing" / "year=2024" / "month=02" / "on_time_2024_02.csv.gz"
+    os.makedirs(gz.parent)
+    gz.write_bytes(gzip.compress(b"a,b\n"))
+    log = ingestion_log(file_manifest(spark, str(tmp_path / "landing")), variant="dag")
+    assert log.columns == ["pipeline_name", "year", "month", "s3_key", "file_size_bytes",
+                           "file_sha256", "uploaded_at_utc", "status"]

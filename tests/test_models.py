@@ -147,3 +147,21 @@ def test_lenient_build_stages_bad_text_as_null(spark):
     import pytest
     with pytest.raises(Exception):
         build(spark, raw, None, until="stg_flights", register_views=False).table("stg_flights").collect()
+
+
+def test_time_type_option(spark):
+    spark.conf.set("spark.sql.timeType.enabled", "true")
+    try:
+        stg = M.stg_flights(raw_df(spark, [{"CRSDepTime": "2400"}, {"CRSDepTime": "905"}]), time_type=True)
+        assert dict(stg.dtypes)["crs_dep_time_raw"].startswith("time")
+        import datetime as dt
+        assert sorted(r.crs_dep_time_raw for r in stg.collect()) == [dt.time(0, 0), dt.time(9, 5)]
+    finally:
+        spark.conf.unset("spark.sql.timeType.enabled")
+
+
+def test_dynamic_calendar_bounds(spark):
+    stg = M.stg_flights(raw_df(spark, [{"FlightDate": "2024-03-30"}, {"FlightDate": "2024-04-02"}]))
+    days = [r.full_date.isoformat() for r in M.dim_date(stg, dynamic=True).orderBy("full_date").collect()]
+    assert days == ["2024-03-30", "2024-03-31", "2024-04-01", "2024-04-02"]
+    assert M.dim_date(stg).count() == 93            # fixed start 2024-01-01 .. 2024-04-02
