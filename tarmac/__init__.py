@@ -2,6 +2,6 @@
 
 Subpackages: ``sources`` (scans, schema, fixture), ``functions`` (column
 expressions), ``operators`` (relational, quality, bookkeeping),
-``plans`` (models, build, pipeline, registry), ``streaming`` (incremental
+``plans`` (models, build, monthly run, registry), ``streaming`` (incremental
 load), ``sinks`` (writers and logs).
 """

@@ -62,14 +62,14 @@ def pending_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return todo.select("year", "month").distinct()
 
 
-def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the fixture, run the whole monthly pipeline (incremental load,
+def monthly_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the fixture, run the whole monthly job (incremental load,
     build of all seven models as written tables, declared rules) and report
     the row count of every table."""
     from tarmac.plans.build import build
-    from tarmac.plans.pipeline import checks, paths, table_counts_df
+    from tarmac.plans.monthly import checks, paths, table_counts_df
     _, root = _land(spark, sf_dir)
-    p = paths(scratch_path(spark, "pipeline"))
+    p = paths(scratch_path(spark, "monthly"))
     load_raw(spark, root, p["raw"], p["raw_checkpoint"], pattern=LANDED_GLOB)
     catalog = build(spark, read_loaded(spark, p["raw"]), p["models"])
     from tarmac.operators.quality import assert_passed

@@ -74,7 +74,7 @@ QUERIES: dict[str, Query] = {
     "load_incremental_twice": I.load_incremental_twice,
     "load_report": I.load_report_query,
     "pending_files": I.pending_months,
-    "pipeline_end_to_end": I.pipeline_end_to_end,
+    "monthly_run_counts": I.monthly_run_counts,
     **P.QUERIES,
 }
 
@@ -107,6 +107,6 @@ ORACLE_SQL: dict[str, str] = {
     "load_incremental_twice": O.raw_text_columns_sql(),
     "load_report": O.LOAD_REPORT,
     "pending_files": O.PENDING_MONTHS,
-    "pipeline_end_to_end": O.with_models(O.TABLE_COUNTS),
+    "monthly_run_counts": O.with_models(O.TABLE_COUNTS),
     **O.OPERATOR_SQL,
 }
