@@ -66,7 +66,7 @@ def test_inspect_csv(spark, tmp_path):
     make_csv(str(p), 5)
     stats, preview = inspect_csv(spark, str(p), n=3)
     s = stats.first()
-    assert s.n_lines == 5 and s.n_columns == 110
+    assert s.n_lines == 5 and s.n_records == 5 and s.n_columns == 110
     assert s.first_columns[:3] == ["Year", "Month", "Reporting_Airline"] and len(s.last_columns) == 5
     lines = [r.line for r in preview.collect()]
     assert len(lines) == 3 and lines[0].startswith("2024,,1,0,")
@@ -131,3 +131,23 @@ def test_ingestion_log_dag_variant(spark, tmp_path):
     log = ingestion_log(file_manifest(spark, str(tmp_path / "landing")), variant="dag")
     assert log.columns == ["pipeline_name", "year", "month", "s3_key", "file_size_bytes",
                            "file_sha256", "uploaded_at_utc", "status"]
+
+
+def test_inspect_counts_records_apart_from_lines(spark, tmp_path):
+    p = tmp_path / "q.csv"
+    p.write_text(",".join(["h"] * 110) + "\n" + csv_line({**ROW, "OriginCityName": "two\nlines"}))
+    s = inspect_csv(spark, str(p))[0].first()
+    assert (s.n_lines, s.n_records) == (2, 1)
+
+
+def test_pending_by_hash_catches_rewritten_file(spark, tmp_path):
+    f = tmp_path / "landing" / "year=2024" / "month=01" / "on_time_2024_01.csv.gz"
+    os.makedirs(f.parent)
+    f.write_bytes(gzip.compress(b"v1\n"))
+    root = str(tmp_path / "landing")
+    loaded = file_manifest(spark, root).collect()           # what the last load saw
+    f.write_bytes(gzip.compress(b"v2 rewritten\n"))          # same path, new content
+    now = file_manifest(spark, root)
+    seen = spark.createDataFrame([(r.path, r.sha256) for r in loaded], "path string, sha256 string")
+    assert pending_files(now, seen, on=("path",)).count() == 0
+    assert pending_files(now, seen, on=("path", "sha256")).count() == 1
