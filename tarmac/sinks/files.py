@@ -14,9 +14,29 @@ from tarmac.sources.schema import FILE_COLUMNS
 LANDED_GLOB = "*.csv.gz"   # Spark names the part files itself
 
 
+def landed_months(spark, out: str) -> list[tuple[int, int]]:
+    """(year, month) folders already present under ``out`` (a metadata-only
+    listing through the Hadoop FileSystem API; no file is read)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(out)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = []
+    for ys in fs.listStatus(root):
+        yname = ys.getPath().getName()
+        if not (ys.isDirectory() and yname.startswith("year=")):
+            continue
+        for ms in fs.listStatus(ys.getPath()):
+            mname = ms.getPath().getName()
+            if ms.isDirectory() and mname.startswith("month="):
+                found.append((int(yname[5:]), int(mname[6:])))
+    return found
+
+
 def land_csv_gz(df: DataFrame, out: str, year_col: str = "Year", month_col: str = "Month",
                 columns: Sequence[str] = FILE_COLUMNS, mode: str = "append",
-                max_records_per_file: int = 2_000_000) -> None:
+                max_records_per_file: int = 2_000_000, skip_existing: bool = True) -> None:
     """Write rows as gzip CSV in ``year=YYYY/month=MM`` folders (month zero-padded).
 
     Data columns are written under positional names ``_c0..`` in file order:
@@ -26,13 +46,24 @@ def land_csv_gz(df: DataFrame, out: str, year_col: str = "Year", month_col: str
     writes the months it holds (the writer sorts by folder within the task),
     so a hot month is spread over as many tasks as it spans, and
     ``max_records_per_file`` bounds every output file.
+
+    ``skip_existing`` (default) makes landing idempotent per month, like an
+    upload that is skipped when the object exists: months whose folder is
+    already present are left out, so a re-run after a failure adds nothing
+    twice.  The list of months is tiny (one row per landed month).
     """
     have = set(df.columns)
     data = [(F.col(c) if c in have else F.lit(None).cast("string")).alias(f"_c{i}")
             for i, c in enumerate(columns)]
     year = F.col(year_col).cast("int").cast("string").alias("year")
     month = F.lpad(F.col(month_col).cast("int").cast("string"), 2, "0").alias("month")
-    (df.select(*data, year, month)
+    rows = df.select(*data, year, month)
+    if skip_existing and mode == "append":
+        done = [(str(y), f"{m:02d}") for y, m in landed_months(df.sparkSession, out)]
+        if done:
+            present = df.sparkSession.createDataFrame(done, "year string, month string")
+            rows = rows.join(F.broadcast(present), ["year", "month"], "left_anti")
+    (rows
        .write.mode(mode)
        .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy("year", "month")

@@ -151,3 +151,13 @@ def test_pending_by_hash_catches_rewritten_file(spark, tmp_path):
     seen = spark.createDataFrame([(r.path, r.sha256) for r in loaded], "path string, sha256 string")
     assert pending_files(now, seen, on=("path",)).count() == 0
     assert pending_files(now, seen, on=("path", "sha256")).count() == 1
+
+
+def test_landing_is_idempotent_per_month(spark, tmp_path):
+    raw = raw_df(spark, [{}, {"Month": "2", "FlightDate": "2024-02-01"}])
+    root = str(tmp_path / "landing")
+    land_csv_gz(raw.where("Month = '1'"), root)
+    land_csv_gz(raw, root)                  # January exists: only February is added
+    land_csv_gz(raw, root)                  # re-run: nothing added
+    months = sorted(r.Month for r in read_raw(spark, root, pattern=LANDED_GLOB).collect())
+    assert months == ["1", "2"]
