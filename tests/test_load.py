@@ -110,3 +110,14 @@ def test_file_columns_are_positional():
     assert len(FILE_COLUMNS) == 110
     assert FILE_COLUMNS[-2] == "Div5TailNum" and FILE_COLUMNS[-1] == "_TRAILING_EMPTY_COL"
     assert os.path.basename(__file__).startswith("test_")
+
+
+def test_backfill_in_bounded_batches(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    for m in (1, 2, 3):
+        land(tmp_path, [csv_line({**BASE, "Month": str(m)})] * m,
+             name=f"on_time_2024_{m:02d}.csv.gz", month=f"{m:02d}")
+    out, ckpt = str(tmp_path / "raw"), str(tmp_path / "ckpt")
+    res = load_raw(spark, root, out, ckpt, max_files_per_trigger=1)
+    assert res == {"batches": 3, "rows": 6}
+    assert sorted(r.Month for r in read_loaded(spark, out).collect()) == ["1", "2", "2", "3", "3", "3"]
