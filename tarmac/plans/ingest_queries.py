@@ -75,3 +75,16 @@ def monthly_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.operators.quality import assert_passed
     assert_passed(checks(spark, catalog))
     return table_counts_df(spark, catalog)
+
+
+def ingestion_log_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the fixture and build the ingestion log from the file manifest
+    (size and SHA-256 hashed in the JVM); report the deterministic fields per
+    landed month plus validity flags for size and hash."""
+    from tarmac.sinks.files import ingestion_log
+    _, root = _land(spark, sf_dir)
+    log = ingestion_log(file_manifest(spark, root, LANDED_GLOB))
+    return (log.select("pipeline_name", "source_system", "step", "year", "month", "status",
+                       (F.col("file_size_bytes") > 0).alias("size_ok"),
+                       F.col("file_sha256").rlike("^[0-9a-f]{64}$").alias("sha_ok"))
+               .distinct())

@@ -454,3 +454,12 @@ OPERATOR_SQL = {
            from fact_flights f left join dim_carrier c on f.carrier_key = c.carrier_key
            left join dim_date d on f.date_key = d.date_key'''),
 }
+
+INGESTION_LOG_MONTHS = f"""with raw_flights as ({RAW_FLIGHTS})
+select distinct 'dot_flights_ingestion_v1' as pipeline_name,
+  'DOT BTS Reporting Carrier On-Time Performance' as source_system,
+  'recompress_and_upload_gzip' as step,
+  cast("Year" as int) as year, cast("Month" as int) as month, 'SUCCESS' as status,
+  true as size_ok, true as sha_ok
+from raw_flights
+"""

@@ -75,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "load_report": I.load_report_query,
     "pending_files": I.pending_months,
     "monthly_run_counts": I.monthly_run_counts,
+    "ingestion_log_months": I.ingestion_log_months,
     **P.QUERIES,
 }
 
@@ -108,5 +109,6 @@ ORACLE_SQL: dict[str, str] = {
     "load_report": O.LOAD_REPORT,
     "pending_files": O.PENDING_MONTHS,
     "monthly_run_counts": O.with_models(O.TABLE_COUNTS),
+    "ingestion_log_months": O.INGESTION_LOG_MONTHS,
     **O.OPERATOR_SQL,
 }
