@@ -207,29 +207,10 @@ def _fact_with_dims(fact: DataFrame, carriers: DataFrame, dates: DataFrame,
 def mart_carrier_performance(fact: DataFrame, carriers: DataFrame, dates: DataFrame) -> DataFrame:
     """Monthly volume, cancellation, diversion, on-time and delay statistics
     per carrier.  Dimensions are broadcast (size-checked), so the fact streams
-    through a map-side partial aggregate and only group buffers shuffle."""
-    flights = _fact_with_dims(fact, carriers, dates,
-                              ["dep_delay_min", "arr_delay_min", "is_cancelled",
-                               "is_diverted", "arr_delayed_15"])
-    canc, divd = F.col("is_cancelled"), F.col("is_diverted")
-    agg = flights.groupBy(*MART_KEYS).agg(
-        F.count(F.lit(1)).alias("total_flights"),
-        count_where(canc).alias("cancelled_count"),
-        count_where(divd).alias("diverted_count"),
-        count_where((F.col("arr_delayed_15") == 0) & ~canc & ~divd).alias("on_time_count"),
-        avg_where("dep_delay_min", ~canc, 2).alias("avg_dep_delay"),
-        avg_where("arr_delay_min", ~canc, 2).alias("avg_arr_delay"),
-        p_cont("arr_delay_min", [0.75, 0.95]).alias("_p"),
-    )
-    return (agg.select(
-        *MART_KEYS, "total_flights",
-        "cancelled_count", pct("cancelled_count", "total_flights", 2).alias("cancelled_pct"),
-        "diverted_count", pct("diverted_count", "total_flights", 2).alias("diverted_pct"),
-        "on_time_count", pct("on_time_count", "total_flights", 2).alias("on_time_pct"),
-        "avg_dep_delay", "avg_arr_delay",
-        F.round(F.col("_p")[0], 2).alias("p75_arr_delay"),
-        F.round(F.col("_p")[1], 2).alias("p95_arr_delay"),
-    ).orderBy("carrier_key", "year", "month_num"))
+    through a map-side partial aggregate and only group buffers shuffle.
+    Built on the shared one-pass aggregate; the delay-cause aggregates this
+    mart does not select are pruned by the optimizer."""
+    return mart_carrier_performance_from_stats(carrier_month_stats(fact, carriers, dates))
 
 
 CAUSES = ("carrier", "weather", "nas", "security", "late_aircraft")
