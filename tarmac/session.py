@@ -88,3 +88,27 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared root for one run of ``name``."""
     return f"{shared_root(spark)}/tarmac/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle and split sizing for a run over ``input_bytes`` on a cluster
+    with ``total_cores`` task slots.
+
+    * input splits of ``target_partition_bytes`` (parquet row groups / files);
+    * the initial shuffle partition count is large enough that each reducer
+      gets about ``target_partition_bytes`` even if a shuffle carried the whole
+      input (e.g. the uniqueness check), rounded up to whole task waves; AQE
+      then coalesces small ones to the advisory size and splits skewed ones;
+    * broadcast stays an explicit, size-checked decision (``small_side``),
+      with Spark's automatic threshold kept at its small default.
+    """
+    waves = max(1, -(-input_bytes // (target_partition_bytes * total_cores)))
+    partitions = max(total_cores * 2, waves * total_cores)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 4),
+        "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
+    }

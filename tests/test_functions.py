@@ -82,3 +82,24 @@ def test_pct_of_zero_total_e19(spark):
 def test_truncate_text(spark):
     assert col_values(spark, ["a" * 201, "short  "], lambda c: truncate_text(c, 200)) == \
         ["a" * 200 + "...", "short"]
+
+
+def test_relative_path_strips_scheme_and_root(spark):
+    from tarmac.sources.landing import relative_path
+    rows = [("s3a://lake/flights/landing/year=2024/month=01/f.csv.gz",),
+            ("file:/tmp/x/landing/year=2024/month=02/g.csv.gz",),
+            ("hdfs://nn:8020/other/h.csv.gz",)]
+    df = spark.createDataFrame(rows, "p string")
+    got = [r[0] for r in df.select(relative_path(F.col("p"), "s3a://lake/flights/landing")).collect()]
+    assert got[0] == "year=2024/month=01/f.csv.gz"
+    assert got[2] == "/other/h.csv.gz"             # outside the root: path without scheme
+    got2 = [r[0] for r in df.select(relative_path(F.col("p"), "/tmp/x/landing")).collect()]
+    assert got2[1] == "year=2024/month=02/g.csv.gz"
+
+
+def test_cluster_conf_sizes_for_100tb():
+    from tarmac.session import cluster_conf
+    conf = cluster_conf(100 << 40, total_cores=4000)
+    parts = int(conf["spark.sql.shuffle.partitions"])
+    assert parts % 4000 == 0 and (100 << 40) / parts <= 256 << 20
+    assert int(cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
