@@ -90,25 +90,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tarmac/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
-    """Shuffle and split sizing for a run over ``input_bytes`` on a cluster
-    with ``total_cores`` task slots.
-
-    * input splits of ``target_partition_bytes`` (parquet row groups / files);
-    * the initial shuffle partition count is large enough that each reducer
-      gets about ``target_partition_bytes`` even if a shuffle carried the whole
-      input (e.g. the uniqueness check), rounded up to whole task waves; AQE
-      then coalesces small ones to the advisory size and splits skewed ones;
+def cluster_conf(total_cores: int, largest_shuffle_bytes: int,
+                 split_bytes: int = 256 << 20, reducer_bytes: int = 256 << 20) -> dict:
+    """Split and shuffle sizing for a cluster with ``total_cores`` task slots.
+
+    Reducer count follows the bytes of the largest shuffle, not the input
+    size: shuffle blocks are maps x reducers, so over-partitioning a 100 TB
+    scan's shuffles would create ~10^11 tiny blocks.  In this engine most
+    shuffles carry partial aggregates (tiny); the largest is the hashed
+    uniqueness check, about 16 bytes per fact row.
+
+    * input splits of ``split_bytes`` (parquet row groups / files);
+    * initial shuffle partitions = largest shuffle / ``reducer_bytes``,
+      rounded up to whole task waves; AQE coalesces small partitions to the
+      advisory size and splits skewed ones;
     * broadcast stays an explicit, size-checked decision (``small_side``),
       with Spark's automatic threshold kept at its small default.
     """
-    waves = max(1, -(-input_bytes // (target_partition_bytes * total_cores)))
+    needed = max(1, -(-largest_shuffle_bytes // reducer_bytes))
+    waves = -(-needed // total_cores)
     partitions = max(total_cores * 2, waves * total_cores)
     return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 4),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(reducer_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(reducer_bytes * 4),
         "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
     }

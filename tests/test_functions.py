@@ -97,9 +97,10 @@ def test_relative_path_strips_scheme_and_root(spark):
     assert got2[1] == "year=2024/month=02/g.csv.gz"
 
 
-def test_cluster_conf_sizes_for_100tb():
+def test_cluster_conf_sizes_from_largest_shuffle():
     from tarmac.session import cluster_conf
-    conf = cluster_conf(100 << 40, total_cores=4000)
+    rows = 170 * 10**9                            # ~100 TB of raw CSV at ~600 bytes a row
+    conf = cluster_conf(total_cores=4000, largest_shuffle_bytes=16 * rows)
     parts = int(conf["spark.sql.shuffle.partitions"])
-    assert parts % 4000 == 0 and (100 << 40) / parts <= 256 << 20
-    assert int(cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
+    assert parts % 4000 == 0 and 16 * rows / parts <= 256 << 20 and parts <= 20000
+    assert int(cluster_conf(8, 1 << 20)["spark.sql.shuffle.partitions"]) == 16
