@@ -1,0 +1,66 @@
+"""Plan-shape checks behind the scale claims in README (build path over stored tables)."""
+
+import re
+
+import pytest
+
+from conftest import SF001
+from tarmac.operators import quality as Q
+from tarmac.plans import models as M
+from tarmac.plans import rule_suites as R
+from tarmac.sources.fixture import fixture_raw
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def read_schemas(plan: str) -> list[str]:
+    return re.findall(r"ReadSchema: (struct<[^\n]*?>)(?:\n|,|$)", plan)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("stored")
+    fixture_raw(spark, SF001).write.parquet(str(base / "raw"))
+    raw = spark.read.parquet(str(base / "raw"))
+    stg = M.stg_flights(raw)
+    tables = {"fact": M.fact_flights(stg), "car": M.dim_carrier(stg),
+              "air": M.dim_airport(stg)}
+    out = {}
+    for k, df in tables.items():
+        df.write.parquet(str(base / k))
+        out[k] = spark.read.parquet(str(base / k))
+    out["dat"] = M.dim_date(out["fact"])
+    out["stg"], out["raw"] = stg, raw
+    return out
+
+
+def test_marts_one_exchange_two_broadcasts(stored):
+    p = plan_of(M.carrier_month_stats(stored["fact"], stored["car"], stored["dat"]))
+    assert p.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in p
+    assert p.count("Exchange hashpartitioning") == 1      # group buffers only
+
+
+def test_calendar_reads_one_fact_column(stored):
+    p = plan_of(M.dim_date(stored["fact"]))
+    assert "ReadSchema: struct<flight_date:date>" in p
+
+
+def test_staging_rules_one_scan(stored):
+    p = plan_of(Q.check_rows(stored["stg"], "stg_flights", R.stg_declared_rules()))
+    assert p.count("Scan parquet") == 1
+
+
+def test_relationships_one_scan_of_child(stored):
+    rels = R.fact_relationship_rules(stored["car"], stored["air"], stored["dat"])
+    p = plan_of(Q.check_relationships(stored["fact"], "fact_flights", rels))
+    fact_scans = [line for line in p.split("\n") if "Scan parquet" in line and "/fact" in line]
+    assert len(fact_scans) == 1 and re.search(r"BroadcastHashJoin [^\n]*LeftAnti", p)
+
+
+def test_dimension_scans_are_pruned(stored):
+    p = plan_of(M.dim_carrier(stored["stg"]))
+    assert "ReadSchema: struct<Reporting_Airline:string,DOT_ID_Reporting_Airline:string," \
+           "IATA_CODE_Reporting_Airline:string>" in p
+    assert re.search(r"PushedFilters: \[[^\]]*In\(Reporting_Airline", p)
