@@ -73,14 +73,14 @@ def _fixture_exprs():
     # the derivation is an inner lookup: rows without a valid index drop out
     keep = o_idx.between(0, n_ap - 1) & e_idx.between(0, n_ap - 1)
     stage1 = [
-             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate",
-             (F.col("l_orderkey") % FIXTURE_DAYS).cast("int").alias("dn"),
-             ((F.col("l_quantity").cast("int") * 37 + (pk % 1000).cast("int")) % 150 - 40).alias("dl"),
-             F.round(F.col("l_discount") * 100).cast("int").alias("disc"),
-             ((pk % 24) * 100 + (sk % 60)).cast("int").alias("hm"),
-             (F.floor("l_extendedprice").cast("int") % 2500 + 100).alias("dist"),
-             F.element_at(airports, (o_idx + 1).cast("int")).alias("o"),
-             F.element_at(airports, (e_idx + 1).cast("int")).alias("e"),
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate",
+        (F.col("l_orderkey") % FIXTURE_DAYS).cast("int").alias("dn"),
+        ((F.col("l_quantity").cast("int") * 37 + (pk % 1000).cast("int")) % 150 - 40).alias("dl"),
+        F.round(F.col("l_discount") * 100).cast("int").alias("disc"),
+        ((pk % 24) * 100 + (sk % 60)).cast("int").alias("hm"),
+        (F.floor("l_extendedprice").cast("int") % 2500 + 100).alias("dist"),
+        F.element_at(airports, (o_idx + 1).cast("int")).alias("o"),
+        F.element_at(airports, (e_idx + 1).cast("int")).alias("e"),
     ]
     dn, dl, disc, hm, dist = (F.col(c) for c in ("dn", "dl", "disc", "hm", "dist"))
     d = F.date_add(F.lit(FIXTURE_START).cast("date"), dn)
@@ -157,16 +157,13 @@ def _row_groups(uri: str) -> int | None:
         return None
 
 
-def spread_small_scan(df: DataFrame, target: int | None = None,
-                      keys: tuple[str, ...] = ()) -> DataFrame:
+def spread_small_scan(df: DataFrame, target: int | None = None) -> DataFrame:
     """Round-robin a scan whose input cannot keep ``target`` cores busy.
 
     A parquet split is a row group: a table stored as one single-row-group
     file is read by one task however many cores there are.  Only when the
     input has fewer files than ``target`` are their footers inspected; large
     inputs (thousands of files) are returned untouched, with no shuffle.
-    With ``keys`` (a unique key: no skew) rows are hash-partitioned, which is
-    deterministic without the per-partition sort round-robin needs.
     """
     target = target or df.sparkSession.sparkContext.defaultParallelism
     files = df.inputFiles()
@@ -175,17 +172,13 @@ def spread_small_scan(df: DataFrame, target: int | None = None,
     groups = [_row_groups(f) for f in files]
     if any(g is None for g in groups) or sum(groups) >= target:
         return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
-
-
-# unique keys of the driver tables used for spreading
-TABLE_KEYS: dict[str, tuple[str, ...]] = {}
+    return df.repartition(target)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """One driver table (parquet) by name."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_scan(df, keys=TABLE_KEYS.get(name, ())) if spread else df
+    return spread_small_scan(df) if spread else df
 
 
 def fixture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
