@@ -55,10 +55,12 @@ def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     """The join side to use for a dimension: broadcast when its size is proven.
 
     ``bounded`` sides (size fixed by construction) are broadcast as they are.
-    Otherwise the side is computed once and checkpointed to the shared
-    checkpoint folder (lineage cut, survives executor loss), its row count
-    is checked on the materialised copy, and it is broadcast only when it
-    has at most ``max_rows`` rows; larger sides are joined by shuffle.
+    A side that is already stored (a written table or checkpoint) is counted
+    directly.  Otherwise the side is computed once and checkpointed to the
+    shared checkpoint folder (lineage cut, survives executor loss) and counted
+    there.  It is broadcast only with at most ``max_rows`` rows (the join
+    sides passed here are a key plus a few attributes, so 1M rows stay in the
+    tens of MB); larger sides are joined by shuffle.
     """
     if bounded:
         return F.broadcast(df)
