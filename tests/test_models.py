@@ -165,3 +165,20 @@ def test_dynamic_calendar_bounds(spark):
     days = [r.full_date.isoformat() for r in M.dim_date(stg, dynamic=True).orderBy("full_date").collect()]
     assert days == ["2024-03-30", "2024-03-31", "2024-04-01", "2024-04-02"]
     assert M.dim_date(stg).count() == 93            # fixed start 2024-01-01 .. 2024-04-02
+
+
+def test_partitioned_fact_and_month_rebuild(spark, tmp_path):
+    from tarmac.plans.build import rebuild_fact_months
+    jan = {"Month": "1", "FlightDate": "2024-01-05"}
+    feb = {"Month": "2", "FlightDate": "2024-02-05"}
+    raw1 = raw_df(spark, [jan, jan, feb])
+    out = str(tmp_path / "wh")
+    cat = build(spark, raw1, out, fact_partitioned=True, register_views=False)
+    fact = cat.table("fact_flights")
+    assert sorted(r.flight_month_key for r in fact.collect()) == [202401, 202401, 202402]
+    assert cat.table("mart_carrier_performance_monthly").count() == 2
+    # February is re-delivered with three flights; January must stay untouched
+    raw2 = raw_df(spark, [jan, feb, feb, feb])
+    after = rebuild_fact_months(spark, raw2, out, [(2024, 2)])
+    got = sorted((r.flight_month_key, 1) for r in after.collect())
+    assert [k for k, _ in got] == [202401, 202401, 202402, 202402, 202402]
