@@ -13,7 +13,7 @@ The common entry points are re-exported here::
 from tarmac.operators.quality import (
     accepted_values, assert_passed, not_null, offending_values, relationships, run_checks, unique,
 )
-from tarmac.plans.build import build, preview
+from tarmac.plans.build import build, preview, rebuild_fact_months
 from tarmac.plans.models import (
     dim_airport, dim_carrier, dim_date, fact_flights, mart_carrier_performance,
     mart_delay_causes, stg_flights,
@@ -29,7 +29,7 @@ __all__ = [
     "read_raw", "load_raw", "read_loaded", "land_csv_gz", "file_manifest", "inspect_csv",
     "read_zip_csv", "read_zip_raw", "write_ingestion_log",
     "stg_flights", "fact_flights", "dim_carrier", "dim_airport", "dim_date",
-    "mart_carrier_performance", "mart_delay_causes", "build", "preview",
+    "mart_carrier_performance", "mart_delay_causes", "build", "preview", "rebuild_fact_months",
     "not_null", "accepted_values", "unique", "relationships", "run_checks", "assert_passed",
     "offending_values",
 ]
