@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from tarmac.functions.constants import CSV_QUOTE, LANDING_FILE_GLOB, NULL_TOKENS
 from tarmac.functions.scalar import null_if_token
 from tarmac.sources.schema import (
-    FILE_COLUMNS, FILE_SCHEMA, LOAD_TS_COL, RAW_COLUMNS, SOURCE_FILE_COL,
+    FILE_COLUMNS, FILE_SCHEMA, LOAD_TS_COL, RAW_COLUMNS, RAW_SCHEMA, SOURCE_FILE_COL,
 )
 
 CORRUPT_COL = "_corrupt_record"
@@ -144,6 +144,9 @@ def read_raw(spark: SparkSession, root: str, months=None, pattern: str | None =
     With ``with_rejects=True`` returns ``(raw, rejects)`` where ``rejects``
     holds the unparsable records for a quarantine table.
     """
+    if months is not None and not list(months):
+        empty = spark.createDataFrame([], RAW_SCHEMA)       # nothing selected
+        return (empty, spark.createDataFrame([], f"{CORRUPT_COL} string")) if with_rejects else empty
     good, bad = split_corrupt(scan_landing(spark, root, months, pattern, multiline, loaded_at))
     raw = good.select(*RAW_COLUMNS)
     return (raw, bad) if with_rejects else raw

@@ -166,3 +166,12 @@ def test_failed_batch_parquet_sink_commits_nothing(spark, tmp_path, monkeypatch)
     monkeypatch.setattr(inc, "split_corrupt", real_split)
     assert load_raw(spark, root, out, ckpt)["rows"] == 3
     assert read_loaded(spark, out).count() == 3
+
+
+def test_month_selection_edges(spark, tmp_path):
+    import pytest
+    from tarmac.sources.landing import month_paths
+    with pytest.raises(ValueError):
+        month_paths(str(tmp_path), [(2024, 13)])
+    assert month_paths("/x/", [(2024, 3)]) == ["/x/year=2024/month=03"]
+    assert read_raw(spark, str(tmp_path), months=[]).count() == 0
