@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tarmac.llm import exact_dedup
+from tarmac.llm import decontaminate, exact_dedup
 
 QUERIES = {
+    "op5_decontaminate": decontaminate.op5_decontaminate,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op5_decontaminate": decontaminate.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
