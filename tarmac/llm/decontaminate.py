@@ -42,7 +42,7 @@ def _fold(words: Column) -> Column:
 
 
 def windows(items: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """Distinct windows: words, n, the anchor word and its offset, and the ids of their items."""
+    """Distinct windows: joined words, n, offset and word of the anchor, ids of their items."""
     words = items.select(F.col(id_col).cast("string").alias("item"),
                          F.filter(_fold(_split(F.col(text_col))), lambda w: w != "").alias("w")
                          ).filter(F.size("w") > 0)
@@ -51,21 +51,23 @@ def windows(items: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
     longest = F.array_max(F.transform("window", lambda w, i: F.struct(F.length(w).alias("n"), (-i).alias("at"))))
     return (each.groupBy("window").agg(F.collect_set("item").alias("items"))
             .withColumn("at", -longest["at"])
-            .select("window", "items", F.size("window").alias("n"), "at",
-                    F.lower(F.get("window", F.col("at"))).alias("anchor")))
+            .select(F.array_join("window", " ").alias("window"), "items", F.size("window").alias("n"),
+                    "at", F.lower(F.get("window", F.col("at"))).alias("anchor")))
 
 
 def hits(docs: DataFrame, wins: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per document with hits: its id, the text's hash, covered word spans and item ids."""
     words = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"),
                         _split(F.col(text_col)).alias("w"))
-    spots = words.select("id", "h", "w", F.posexplode("w").alias("p", "word"))
+    # Every expression from here to the verified hit compiles into one stage (a lambda would
+    # not), so the word array is referred to, not copied, for each word.
+    spots = words.select("id", "h", "w", F.posexplode_outer("w").alias("p", "word"))
     start = F.col("p") - F.col("at")  # 0-based; the anchor is word p
+    passage = F.array_join(F.slice("w", F.greatest(start, F.lit(0)) + 1, F.col("n")), " ")
     found = spots.join(
         small_side(wins),
         (F.lower("word") == F.col("anchor")) & (start >= 0)
-        & (F.transform(F.slice("w", F.greatest(start, F.lit(0)) + 1, F.col("n")),
-                       lambda x: F.translate(x, UPPER, LOWER)) == F.col("window")))
+        & (F.translate(passage, UPPER, LOWER) == F.col("window")))
     found = found.select("id", "h", start.alias("s"), (start + F.col("n")).alias("e"), "items")
     per_doc = found.groupBy("id", "h").agg(
         F.collect_set(F.struct("s", "e")).alias("spans"), F.collect_set("items").alias("items"))
