@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tarmac.llm import decontaminate, exact_dedup
+from tarmac.llm import decontaminate, exact_dedup, sharding
 
 QUERIES = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op9_sharding": sharding.op9_sharding,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
