@@ -196,12 +196,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(vocabulary(path))
 
 
-def stretches(texts: pa.Array):
-    """(first row, rows) of slices of about ``PIECE`` bytes."""
-    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+def slices(size: np.ndarray, limit: int):
+    """(first row, rows) of runs of rows that hold about ``limit`` in all."""
     total, row = np.cumsum(size), 0
     while row < len(size):
-        end = max(row + 1, int(np.searchsorted(total, (total[row - 1] if row else 0) + PIECE, "right")))
+        end = max(row + 1, int(np.searchsorted(total, (total[row - 1] if row else 0) + limit, "right")))
         yield row, end - row
         row = end
 
@@ -214,7 +213,8 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids")
     def run(batches):
         code = encoder(path)
         for batch in batches:
-            for row, n in stretches(batch.column(text_col)):
+            size = pc.fill_null(pc.binary_length(batch.column(text_col)), 0)
+            for row, n in slices(size.to_numpy(zero_copy_only=False), PIECE):
                 part = batch.slice(row, n)
                 yield pa.RecordBatch.from_arrays([*part.columns, code(part.column(text_col))], [*names, out])
 
@@ -227,14 +227,14 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded
     kind = rows.select(*names).withColumn(out, F.lit("").cast("string")).schema
 
     def run(batches):
-        tokens = pa.array(vocabulary(path).tokens.tolist(), pa.large_string())
+        tokens = pa.array(vocabulary(path).tokens.tolist(), pa.string())
         for batch in batches:
-            lists = batch.column(ids_col)
-            size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            text = tokens.take(lists.flatten())
-            ends = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int64())
-            text = pc.binary_join(pa.LargeListArray.from_arrays(ends, text), " ")
-            yield pa.RecordBatch.from_arrays([*batch.columns, text.cast(pa.string())], [*names, out])
+            size = pc.fill_null(pc.list_value_length(batch.column(ids_col)), 0).to_numpy(zero_copy_only=False)
+            for row, n in slices(size, PIECE // 4):
+                part = batch.slice(row, n)
+                ends = pa.array(np.concatenate([[0], np.cumsum(size[row:row + n])]), pa.int32())
+                text = pa.ListArray.from_arrays(ends, tokens.take(part.column(ids_col).flatten()))
+                yield pa.RecordBatch.from_arrays([*part.columns, pc.binary_join(text, " ")], [*names, out])
 
     return rows.select(*names).mapInArrow(run, kind)
 
