@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -118,3 +119,23 @@ def cluster_conf(total_cores: int, largest_shuffle_bytes: int,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(reducer_bytes * 4),
         "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
     }
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever the session was started.
+
+    Sends a zip of the package's sources (well under a megabyte) once per application.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tarmac_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tarmac-py-"), "tarmac_src.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)
+    sc._tarmac_shipped = True
