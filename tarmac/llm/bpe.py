@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm.common import table
+from tarmac.llm.common import map_arrow, table
 
 CACHE_WORDS = 600_000   # stretches a worker remembers; more are worked out again
 BLOCK = 1 << 18         # parts of words merged side by side
@@ -218,7 +218,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids")
                 part = batch.slice(row, n)
                 yield pa.RecordBatch.from_arrays([*part.columns, code(part.column(text_col))], [*names, out])
 
-    return docs.select(*names).mapInArrow(run, kind)
+    return map_arrow(docs.select(*names), run, kind)
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -236,7 +236,7 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded
                 text = pa.ListArray.from_arrays(ends, tokens.take(part.column(ids_col).flatten()))
                 yield pa.RecordBatch.from_arrays([*part.columns, pc.binary_join(text, " ")], [*names, out])
 
-    return rows.select(*names).mapInArrow(run, kind)
+    return map_arrow(rows.select(*names), run, kind)
 
 
 def default_path() -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.session import ensure_checkpoint_dir, scratch_path
+from tarmac.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 # Rows a broadcast side may hold.  Callers count first (a partial aggregate) and
 # join by shuffle beyond it, so nothing unbounded is ever broadcast.
@@ -39,3 +39,9 @@ def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
 def plain(docs: DataFrame, *cols: str) -> DataFrame:
     """Only ``cols``: whatever else a caller's table carries cannot clash with our names."""
     return docs.select(*[docs[c] for c in cols])
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` with this package importable in the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tarmac.llm import wordhash as H
-from tarmac.llm.common import plain, saved, small_side, table
+from tarmac.llm.common import map_arrow, plain, saved, small_side, table
 from tarmac.llm.components import components
 
 WORDS = 5
@@ -94,7 +94,7 @@ def _sketch(docs: DataFrame, words: int) -> np.ndarray:
                                           pa.array([total.tobytes()], pa.binary())], ["slice", "counts"])
 
     kind = "slice int, counts binary"
-    parts = docs.select("text").mapInArrow(count, kind).groupBy("slice").applyInArrow(add, kind).collect()
+    parts = map_arrow(docs.select("text"), count, kind).groupBy("slice").applyInArrow(add, kind).collect()
     out = np.zeros((SLICES, SKETCH // SLICES), np.int32)
     for part in parts:  # SLICES rows, 4 MB in all
         out[part["slice"]] = np.frombuffer(part["counts"], np.int32)
@@ -131,7 +131,7 @@ def _prints(docs: DataFrame, words: int, whole: bool, sketch) -> DataFrame:
                      pa.array(d2.view(np.int64)), lists], ["id", "n", "d1", "d2", "hashes"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(each, f"id {kind}, n long, d1 long, d2 long, hashes array<long>")
+    return map_arrow(docs.select("id", "text"), each, f"id {kind}, n long, d1 long, d2 long, hashes array<long>")
 
 
 def _close(nx, ny):

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tarmac.llm import bpe, decontaminate, exact_dedup, jaccard_join, sharding
+from tarmac.llm import bpe, decontaminate, exact_dedup, jaccard_join, quality, sharding
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op3_bpe": bpe.op3_bpe,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_quality": quality.op6_quality,
     "op9_sharding": sharding.op9_sharding,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
