@@ -145,15 +145,30 @@ def _reach(nx, ny, px, py):
     return (NUM + DEN) * most >= NUM * (nx + ny)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """(a, b, d, linked) of distinct pairs, by intersecting whole sets."""
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-    both = F.size(F.array_intersect("x", "y")).cast("long")
-    out = pairs.join(left, "a").join(right, "b").select(
-        "a", "b", both.alias("i"), (F.size("x") + F.size("y") - both).alias("u"))
-    return saved(out.select("a", "b", (1 - F.col("i") / F.col("u")).alias("d"),
-                            (DEN * F.col("i") >= NUM * F.col("u")).alias("linked")), name)
+class Sets:
+    """Whole shingle sets of nodes, worked out anew from the texts of those a round asks for."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, words: int):
+        self.docs, self.nodes, self.words = docs, nodes, words
+
+    def of(self, wanted: DataFrame, name: str) -> DataFrame:
+        """(node, hashes) of the nodes in ``wanted``; a repeated row may come twice."""
+        nodes = small_side(saved(self.nodes.join(wanted, "node", "left_semi"), f"{name}-nodes"))
+        rows = self.docs.join(nodes.select(F.col("first_id").alias("id")), "id", "left_semi")
+        sets = _prints(rows, self.words, True, None).join(nodes.drop("first_id"), ["n", "d1", "d2"])
+        return saved(sets.select("node", "hashes"), f"{name}-sets")
+
+    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
+        """(a, b, d, linked) of distinct pairs (a, b), by intersecting whole sets."""
+        pairs = saved(pairs, f"{name}-pairs")
+        sets = self.of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), name)
+        left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
+        right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
+        both = F.size(F.array_intersect("x", "y")).cast("long")
+        out = pairs.join(left, "a").join(right, "b").select(
+            "a", "b", both.alias("i"), (F.size("x") + F.size("y") - both).alias("u"))
+        return saved(out.select("a", "b", (1 - F.col("i") / F.col("u")).alias("d"),
+                                (DEN * F.col("i") >= NUM * F.col("u")).alias("linked")).distinct(), name)
 
 
 def _pairs(x, y):
@@ -184,7 +199,7 @@ def _rooted(members: DataFrame, comp: DataFrame) -> DataFrame:
     return with_root.join(open_.select("region", "members"), "region")
 
 
-def class_components(cells: DataFrame, sets: DataFrame, small: int = SMALL, pivots: int = PIVOTS) -> DataFrame:
+def class_components(cells: DataFrame, sets: Sets, small: int = SMALL, pivots: int = PIVOTS) -> DataFrame:
     """(node, root) of the nodes with links.  ``cells``: region, node, n, pos."""
     # round 0: one pivot per region, the same one wherever a group meets
     lead = W.partitionBy("region")
@@ -194,7 +209,7 @@ def class_components(cells: DataFrame, sets: DataFrame, small: int = SMALL, pivo
     star = saved(star, "jaccard-stars")
     near = star.filter("node <> pivot").filter(
         _close(F.col("n"), F.col("pn")) & _reach(F.col("n"), F.col("pn"), F.col("pos"), F.col("pp")))
-    known = _verified(near.select(*_pairs("node", "pivot")).distinct(), sets, "jaccard-round0")
+    known = sets.verified(near.select(*_pairs("node", "pivot")).distinct(), "jaccard-round0")
     comp = _merge(None, known.filter("linked").select("a", "b"), "jaccard-comp0")
     to_pivot = known.select("a", "b", "d")
     rest = star.join(to_pivot.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "d").unionByName(
@@ -214,8 +229,8 @@ def class_components(cells: DataFrame, sets: DataFrame, small: int = SMALL, pivo
             heads = large.filter("core").withColumn("turn", turn).filter(F.col("turn") <= pivots)
             heads = heads.select("region", F.col("node").alias("head"))
             spokes = saved(large.join(heads, "region"), f"jaccard-spokes{n}")
-            far = _verified(spokes.filter("node <> head").select(*_pairs("node", "head")).distinct(),
-                            sets, f"jaccard-spans{n}")
+            far = sets.verified(spokes.filter("node <> head").select(*_pairs("node", "head")).distinct(),
+                                f"jaccard-spans{n}")
             comp = _merge(comp, far.filter("linked").select("a", "b"), f"jaccard-far{n}")
             ends = [F.col("a").alias("node"), F.col("b").alias("head")]
             back = [F.col("b").alias("node"), F.col("a").alias("head")]
@@ -233,7 +248,7 @@ def class_components(cells: DataFrame, sets: DataFrame, small: int = SMALL, pivo
             pairs = pairs.unionByName(_within(large.join(stuck, "region", "left_semi")))
             again = again.join(stuck, "region", "left_anti").select(
                 F.col("inner").alias("region"), "node", "n", "pos", "d", "core")
-        got = _verified(saved(pairs.distinct(), f"jaccard-pairs{n}"), sets, f"jaccard-round{n}")
+        got = sets.verified(pairs.distinct(), f"jaccard-round{n}")
         comp = _merge(comp, got.filter("linked").select("a", "b"), f"jaccard-comp{n}")
         if again is None:
             return comp
@@ -260,14 +275,15 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     classes = saved(prints.filter("n > 0").groupBy("n", "d1", "d2").agg(
         F.min("id").alias("first_id"), F.first("hashes").alias("hashes"))
         .withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
-    posted = classes.select(F.posexplode("hashes").alias("pos", "region"), "node", "n")
+    # size and place share a long: most of these rows meet nobody, so they are kept narrow
+    posted = classes.select("node", "n", F.posexplode("hashes").alias("pos", "region")).select(
+        "region", "node", (F.shiftleft("n", 31) + F.col("pos")).alias("place"))
     together = F.count(F.lit(1)).over(W.partitionBy("region"))
-    cells = saved(posted.withColumn("members", together).filter("members > 1").drop("members"), "jaccard-cells")
-    met = classes.join(cells.select("node").distinct(), "node", "left_semi").select("node", "first_id", "n", "d1", "d2")
-    met = saved(met, "jaccard-met")
-    rows = docs.join(small_side(met.select(F.col("first_id").alias("id"))), "id", "left_semi")
-    sets = _prints(rows, words, True, None).join(met.select("node", "n", "d1", "d2"), ["n", "d1", "d2"])
-    sets = saved(sets.groupBy("node").agg(F.first("hashes").alias("hashes")), "jaccard-sets")
+    cells = posted.withColumn("members", together).filter("members > 1").select(
+        "region", "node", F.shiftright("place", 31).alias("n"),
+        F.col("place").bitwiseAND((1 << 31) - 1).cast("int").alias("pos"))
+    cells = saved(cells, "jaccard-cells")
+    sets = Sets(docs, classes.select("node", "first_id", "n", "d1", "d2"), words)
     comp = class_components(cells, sets)
     roots = classes.select("node", "n", "d1", "d2", "first_id").join(comp, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
