@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarmac.llm.common import map_arrow, table
 
-CACHE_WORDS = 600_000   # stretches a worker remembers; more are worked out again
+CACHE_WORDS = 200_000   # stretches a worker remembers; more are worked out again
 BLOCK = 1 << 18         # parts of words merged side by side
-PIECE = 8 << 20         # bytes of text encoded at once; a longer text is a piece of its own
+PIECE = 4 << 20         # bytes of text encoded at once; a longer text is a piece of its own
 
 
 def byte_alphabet() -> list[str]:
