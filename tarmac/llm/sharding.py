@@ -129,9 +129,12 @@ def assign(nodes: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Data
               .agg(F.count(F.lit(1)).alias("members"), F.min("rank").alias("start")).filter("members > 1"))
     block = max(1, int(BLOCK * nodes.count() / shards))
     piece = F.floor((F.col("rank") - F.col("start")) / block).cast("int")
-    nodes = nodes.join(groups, "key", "left").withColumns({
+    groups = saved(groups, "shard-groups")
+    big = F.broadcast(groups.filter(F.col("members") > block))  # at most shards / BLOCK rows
+    cut = nodes.join(big, "key").withColumn("key", F.concat_ws("/", "key", piece))
+    other = nodes.join(big, "key", "left_anti").join(groups.filter(F.col("members") <= block), "key", "left")
+    nodes = cut.unionByName(other).withColumns({
         "linked": F.col("members").isNotNull(),
-        "key": F.when(F.col("members") > block, F.concat_ws("/", "key", piece)).otherwise(F.col("key")),
         "shard": F.pmod(F.xxhash64("id", "rank"), F.lit(shards)).cast("int")})
     nodes = saved(nodes.drop("members", "start", "rank"), "shard-start")
     return settle(propagate(nodes, shards, rounds), shards)
