@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarmac.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_model, quality, sharding
+from tarmac.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_model, quality, sharding, suffix_dedup
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_quality": quality.op6_quality,
     "op7_lm_score": language_model.op7_lm_score,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_sharding": sharding.op9_sharding,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
