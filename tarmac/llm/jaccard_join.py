@@ -30,8 +30,6 @@ as component id; an empty table gives an empty result; extra columns are ignored
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
@@ -39,13 +37,12 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from tarmac.llm import wordhash as H
 from tarmac.llm.common import map_arrow, plain, saved, small_side, table
 from tarmac.llm.components import components
+from tarmac.llm.sketch import cell, counted
 
 WORDS = 5
 NUM, DEN = 80, 100          # links at DEN * intersection >= NUM * union
 SMALL = 64                  # members of a region that is compared pair by pair
 PIVOTS = 16                 # document pivots of a larger region
-SKETCH = 1 << 20            # counters of the rarity estimate
-SLICES = 64                 # rows that table is summed in
 EPS = 1 - NUM / DEN
 
 
@@ -71,36 +68,6 @@ def shingle_sets(texts: pa.Array, words: int = WORDS):
         yield row, got, at, np.searchsorted(at, np.arange(len(count) + 1))
 
 
-def _sketch(docs: DataFrame, words: int) -> np.ndarray:
-    """How often shingles fall on each of ``SKETCH`` counters, over all documents."""
-
-    def count(batches):
-        seen = np.zeros(SKETCH, np.int64)
-        for batch in batches:
-            for _, got, _, _ in shingle_sets(batch.column(0), words):
-                seen += np.bincount((got & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-        part = np.minimum(seen, np.iinfo(np.int32).max).astype(np.int32).reshape(SLICES, -1)
-        if part.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()),
-                                              pa.array([x.tobytes() for x in part], pa.binary())], ["slice", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH // SLICES, np.int64)
-        for batch in batches:
-            for x in batch.column("counts"):
-                total += np.frombuffer(x.as_py(), np.int32)
-        total = np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([batch.column("slice").slice(0, 1),
-                                          pa.array([total.tobytes()], pa.binary())], ["slice", "counts"])
-
-    kind = "slice int, counts binary"
-    parts = map_arrow(docs.select("text"), count, kind).groupBy("slice").applyInArrow(add, kind).collect()
-    out = np.zeros((SLICES, SKETCH // SLICES), np.int32)
-    for part in parts:  # SLICES rows, 4 MB in all
-        out[part["slice"]] = np.frombuffer(part["counts"], np.int32)
-    return out.reshape(-1)
-
-
 def _prints(docs: DataFrame, words: int, whole: bool, sketch) -> DataFrame:
     """Per document: id, n, two digests of its set, and the set (``whole``) or its prefix by rarity."""
 
@@ -118,7 +85,7 @@ def _prints(docs: DataFrame, words: int, whole: bool, sketch) -> DataFrame:
                         d2[full] = np.add.reduceat(H.mix(got + np.uint64(1)), edge[full])
                 keep, bound = got, edge
                 if not whole:
-                    seen = rare[(got & np.uint64(SKETCH - 1)).astype(np.int64)]
+                    seen = rare[cell(got)]
                     order = np.lexsort((got, seen, at))
                     prefix = size - (NUM * size + DEN - 1) // DEN + 1
                     prefix[size == 0] = 0
@@ -270,7 +237,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     """Per document: id, n_shingles, component_id."""
     spark = docs.sparkSession
     docs = plain(docs, id_col, text_col).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sketch = spark.sparkContext.broadcast(_sketch(docs, words))  # SKETCH counters, whatever the input
+    seen = counted(docs.select("text"), lambda texts: (got for _, got, _, _ in shingle_sets(texts, words)))
+    sketch = spark.sparkContext.broadcast(seen)  # of fixed size
     prints = saved(_prints(docs, words, False, sketch), "jaccard-prints")
     classes = saved(prints.filter("n > 0").groupBy("n", "d1", "d2").agg(
         F.min("id").alias("first_id"), F.first("hashes").alias("hashes"))

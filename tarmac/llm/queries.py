@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tarmac.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_model, quality, sharding, suffix_dedup
+from tarmac.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_model, line_dedup, quality, sharding, suffix_dedup
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op3_bpe": bpe.op3_bpe,
+    "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_quality": quality.op6_quality,
     "op7_lm_score": language_model.op7_lm_score,
