@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tarmac.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_model, line_dedup, quality, sharding, suffix_dedup
+from tarmac.llm import bpe, decontaminate, exact_dedup, html_extract, jaccard_join, language_model, line_dedup, quality, sharding, suffix_dedup
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
+    "op2_html_extract": html_extract.op2_html_extract,
     "op3_bpe": bpe.op3_bpe,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_decontaminate": decontaminate.op5_decontaminate,
