@@ -251,3 +251,9 @@ def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Last pipeline stage: every document that was kept, with its token ids and decoded text."""
+    path = path or default_path()
+    return decode(encode(docs, path), path)

@@ -152,5 +152,6 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: contaminated documents go."""
     found = find(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
     bad = found.select(F.col("id").alias("_id"), F.col("h").alias("_h")).distinct()
+    bad = small_side(saved(bad, "contaminated"))
     return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_id"))
                      & (F.xxhash64(docs["text"]) == F.col("_h")), "left_anti")

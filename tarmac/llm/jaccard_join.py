@@ -268,6 +268,6 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component the document with the least doc_id stays."""
-    out = join(docs)
-    stays = out.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id")).distinct()
-    return docs.join(stays, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    gone = join(docs).filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id"))
+    gone = small_side(saved(gone.distinct(), "jaccard-gone"))
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
