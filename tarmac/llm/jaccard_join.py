@@ -10,12 +10,13 @@ d = 1 - Jaccard is a metric on sets, and documents link at d <= 0.2.
    the regions of its first n - ceil(0.8 n) + 1 shingles brings every linked pair
    together in a region.
 3. In a region documents are the pivots.  The region's pivot is compared with every
-   member that sizes and positions allow, and links join components.  A region
-   whose members are one component is done: no further pair can change the result,
-   so a large group of near copies costs one comparison per member.
+   member that sizes and places allow, and links join components.  A region whose
+   members are one component is done: no further pair can change the result, so a
+   large group of near copies costs one comparison per member.  This is done
+   ``STARS`` times with other pivots.
 4. What is left joins recursively: a region of at most ``SMALL`` members compares
    the pairs of different components that the triangle inequality allows
-   (|d(x,p) - d(y,p)| <= 0.2).  A larger one takes ``PIVOTS`` members as pivots,
+   (|d(x,p) - d(y,p)| <= 0.2) and whose 256 parity bits allow a link.  A larger one takes ``PIVOTS`` members as pivots,
    every member goes to its nearest pivot's Voronoi region and is replicated into
    each region with d(x,q) <= d(x,home) + 0.4, and these regions follow in the next
    round.  A region that does not shrink compares its pairs by size order.
@@ -41,9 +42,11 @@ from tarmac.llm.sketch import cell, counted
 
 WORDS = 5
 NUM, DEN = 80, 100          # links at DEN * intersection >= NUM * union
-SMALL = 64                  # members of a region that is compared pair by pair
+SMALL = 4096                # members of a region that is compared pair by pair
 PIVOTS = 16                 # document pivots of a larger region
 EPS = 1 - NUM / DEN
+STARS = 2                   # rounds of one pivot per region
+BITS = ["b0", "b1", "b2", "b3"]   # parity of the hashes on each of 256 bits
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS):
@@ -93,12 +96,20 @@ def _prints(docs: DataFrame, words: int, whole: bool, sketch) -> DataFrame:
                     keep = got[order][inside]
                     bound = np.concatenate([[0], np.cumsum(prefix)])
                 lists = pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.array(keep.view(np.int64)))
+                bits = np.zeros((len(BITS), len(size)), np.uint64)
+                if len(full) and not whole:
+                    one = np.uint64(1) << ((got >> np.uint64(56)) & np.uint64(63))
+                    part = got >> np.uint64(62)
+                    for k in range(len(BITS)):
+                        bits[k][full] = np.bitwise_xor.reduceat(np.where(part == k, one, np.uint64(0)), edge[full])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(row, len(size)), pa.array(size, pa.int64()), pa.array(d1.view(np.int64)),
-                     pa.array(d2.view(np.int64)), lists], ["id", "n", "d1", "d2", "hashes"])
+                    [ids.slice(row, len(size)), pa.array(size, pa.int64()),
+                     *[pa.array(x.view(np.int64)) for x in (d1, d2, *bits)], lists],
+                    ["id", "n", "d1", "d2", *BITS, "hashes"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return map_arrow(docs.select("id", "text"), each, f"id {kind}, n long, d1 long, d2 long, hashes array<long>")
+    return map_arrow(docs.select("id", "text"), each,
+                     f"id {kind}, n long, d1 long, d2 long, {', '.join(f'{b} long' for b in BITS)}, hashes array<long>")
 
 
 def _close(nx, ny):
@@ -112,6 +123,12 @@ def _reach(nx, ny, px, py):
     return (NUM + DEN) * most >= NUM * (nx + ny)
 
 
+def _bits_allow(x: str, y: str, nx, ny):
+    """Sets differ in at least as many shingles as their parities do in bits."""
+    apart = sum(F.bit_count(F.col(f"{x}{b}").bitwiseXOR(F.col(f"{y}{b}"))) for b in BITS)
+    return (NUM + DEN) * (nx + ny - apart) >= 2 * NUM * (nx + ny)
+
+
 class Sets:
     """Whole shingle sets of nodes, worked out anew from the texts of those a round asks for."""
 
@@ -166,26 +183,41 @@ def _rooted(members: DataFrame, comp: DataFrame) -> DataFrame:
     return with_root.join(open_.select("region", "members"), "region")
 
 
-def class_components(cells: DataFrame, sets: Sets, small: int = SMALL, pivots: int = PIVOTS) -> DataFrame:
-    """(node, root) of the nodes with links.  ``cells``: region, node, n, pos."""
-    # round 0: one pivot per region, the same one wherever a group meets
-    lead = W.partitionBy("region")
-    first = F.min(F.struct(F.xxhash64("node").alias("turn"), "node", "n", "pos")).over(lead)
-    star = cells.withColumn("p", first).select("region", "node", "n", "pos", F.col("p.node").alias("pivot"),
-                                               F.col("p.n").alias("pn"), F.col("p.pos").alias("pp"))
-    star = saved(star, "jaccard-stars")
-    near = star.filter("node <> pivot").filter(
-        _close(F.col("n"), F.col("pn")) & _reach(F.col("n"), F.col("pn"), F.col("pos"), F.col("pp")))
-    known = sets.verified(near.select(*_pairs("node", "pivot")).distinct(), "jaccard-round0")
-    comp = _merge(None, known.filter("linked").select("a", "b"), "jaccard-comp0")
-    to_pivot = known.select("a", "b", "d")
-    rest = star.join(to_pivot.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "d").unionByName(
-        to_pivot.select(F.col("b").alias("node"), F.col("a").alias("pivot"), "d")), ["node", "pivot"], "left")
-    rest = rest.withColumn("d", F.when(F.col("node") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("d")))
-    rest = rest.select(F.col("region").cast("string").alias("region"), "node", "n", "pos",
-                       "d", F.lit(True).alias("core"))
+def class_components(cells: DataFrame, sets: Sets, bits: DataFrame, small: int = SMALL,
+                     pivots: int = PIVOTS, stars: int = STARS) -> DataFrame:
+    """(node, root) of the nodes with links.  ``cells``: region, node, n, pos; ``bits``: node, b0..b3."""
+    rest = cells.select("region", "node", "n", "pos", F.lit(None).cast("double").alias("d"), F.lit(True).alias("core"))
+    comp = None
+    for n in range(stars):
+        rest = rest if n == 0 else saved(_rooted(rest, comp).join(bits, "node") if n == 1 else _rooted(rest, comp),
+                                         f"jaccard-rest{n}")
+        if n and rest.isEmpty():
+            return comp
+        # rare shingles of its own push a member's common ones back: the least place tells the original
+        # of a group of copies.  Later rounds take some other component's member.
+        turn = F.lit(0) if n == 0 else F.xxhash64("root", F.lit(n))
+        lead = F.min(F.struct(turn.alias("turn"), "pos", F.xxhash64("node").alias("tie"), "node", "n",
+                              *(BITS if n else []), *(["root"] if n else []))).over(W.partitionBy("region"))
+        star = rest.withColumn("p", lead)
+        near = F.col("node") != F.col("p.node")
+        near &= _close(F.col("n"), F.col("p.n")) & _reach(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos"))
+        if n:
+            near &= (F.col("root") != F.col("p.root")) & _bits_allow("", "p.", F.col("n"), F.col("p.n"))
+        pairs = star.filter(near).select(*_pairs("node", "p.node")).distinct()
+        known = sets.verified(pairs, f"jaccard-star{n}")
+        comp = _merge(comp, known.filter("linked").select("a", "b"), f"jaccard-comp{n}")
+        if n == 0:
+            span = known.select("a", "b", "d")
+            span = span.unionByName(span.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
+            star = star.select("region", "node", "n", "pos", "core", F.col("p.node").alias("pivot"))
+            to = F.when(F.col("node") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("d"))
+            rest = star.join(span.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "d"),
+                             ["node", "pivot"], "left").withColumn("d", to).select(
+                F.col("region").cast("string").alias("region"), "node", "n", "pos", "d", "core")
+        else:
+            rest = rest.drop("root", "members")
     for n in range(1, 64):
-        rest = saved(_rooted(rest, comp), f"jaccard-open{n}")
+        rest = saved(_rooted(rest.drop("root", "members"), comp), f"jaccard-open{n}")
         if rest.isEmpty():
             return comp
         pairs = _within(rest.filter(F.col("members") <= small))
@@ -208,13 +240,13 @@ def class_components(cells: DataFrame, sets: Sets, small: int = SMALL, pivots: i
             at = at.withColumn("home", home).filter(F.col("to") <= F.col("home.to") + 2 * EPS + 1e-9)
             again = saved(at.select("region", F.concat_ws("/", "region", "head").alias("inner"), "node", "n", "pos",
                                     F.col("to").alias("d"), (F.col("head") == F.col("home.head")).alias("core"),
-                                    "members"), f"jaccard-voronoi{n}")
+                                    "members", *BITS), f"jaccard-voronoi{n}")
             # a region that hardly shrinks is compared by size order, the rest goes on
             sizes = again.groupBy("region", "inner").agg(F.count(F.lit(1)).alias("now"), F.max("members").alias("was"))
             stuck = sizes.filter("now > 0.8 * was").select("region").distinct()
             pairs = pairs.unionByName(_within(large.join(stuck, "region", "left_semi")))
             again = again.join(stuck, "region", "left_anti").select(
-                F.col("inner").alias("region"), "node", "n", "pos", "d", "core")
+                F.col("inner").alias("region"), "node", "n", "pos", "d", "core", *BITS)
         got = sets.verified(pairs.distinct(), f"jaccard-round{n}")
         comp = _merge(comp, got.filter("linked").select("a", "b"), f"jaccard-comp{n}")
         if again is None:
@@ -224,13 +256,15 @@ def class_components(cells: DataFrame, sets: Sets, small: int = SMALL, pivots: i
 
 
 def _within(members: DataFrame) -> DataFrame:
-    """Pairs of different components in a region that sizes, places and the pivot's distance allow."""
-    x = members.select("region", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "pos", "d", "root", "core")])
-    y = members.select("region", *[F.col(c).alias(f"y_{c}") for c in ("node", "n", "pos", "d", "root", "core")])
-    both = x.join(y, "region").filter("x_node < y_node AND x_root <> y_root AND (x_core OR y_core)").filter(
-        _close(F.col("x_n"), F.col("y_n")) & _reach(F.col("x_n"), F.col("y_n"), F.col("x_pos"), F.col("y_pos")))
+    """Pairs of different components in a region that sizes, places, bits and the pivot's distance allow."""
+    x, y = (members.select("region", *[F.col(c).alias(f"{side}_{c}") for c in (
+        "node", "n", "pos", "d", "root", "core", *BITS)]) for side in "xy")
+    nx, ny = F.col("x_n"), F.col("y_n")
+    near = F.expr("x_node < y_node AND x_root <> y_root AND (x_core OR y_core)") & _close(nx, ny) \
+        & _reach(nx, ny, F.col("x_pos"), F.col("y_pos")) & _bits_allow("x_", "y_", nx, ny)
     window = F.coalesce(F.abs(F.col("x_d") - F.col("y_d")) <= EPS + 1e-9, F.lit(True))
-    return both.filter(window).select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
+    both = x.withColumnRenamed("region", "x_region").join(y, (F.col("x_region") == F.col("region")) & near & window)
+    return both.select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
@@ -241,7 +275,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     sketch = spark.sparkContext.broadcast(seen)  # of fixed size
     prints = saved(_prints(docs, words, False, sketch), "jaccard-prints")
     classes = saved(prints.filter("n > 0").groupBy("n", "d1", "d2").agg(
-        F.min("id").alias("first_id"), F.first("hashes").alias("hashes"))
+        F.min("id").alias("first_id"), F.first("hashes").alias("hashes"), *[F.first(b).alias(b) for b in BITS])
         .withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
     # size and place share a long: most of these rows meet nobody, so they are kept narrow
     posted = classes.select("node", "n", F.posexplode("hashes").alias("pos", "region")).select(
@@ -252,7 +286,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
         F.col("place").bitwiseAND((1 << 31) - 1).cast("int").alias("pos"))
     cells = saved(cells, "jaccard-cells")
     sets = Sets(docs, classes.select("node", "first_id", "n", "d1", "d2"), words)
-    comp = class_components(cells, sets)
+    comp = class_components(cells, sets, classes.select("node", *BITS))
     roots = classes.select("node", "n", "d1", "d2", "first_id").join(comp, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     least = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
