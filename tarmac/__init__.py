@@ -20,14 +20,14 @@ from tarmac.plans.models import (
 )
 from tarmac.session import cluster_conf, get_spark
 from tarmac.sinks.files import land_csv_gz, write_ingestion_log
-from tarmac.sources.files import file_manifest, inspect_csv, read_zip_csv, read_zip_raw
+from tarmac.sources.files import file_manifest, inspect_csv
 from tarmac.sources.landing import read_raw
 from tarmac.streaming.incremental import load_raw, read_loaded
 
 __all__ = [
     "get_spark", "cluster_conf",
     "read_raw", "load_raw", "read_loaded", "land_csv_gz", "file_manifest", "inspect_csv",
-    "read_zip_csv", "read_zip_raw", "write_ingestion_log",
+    "write_ingestion_log",
     "stg_flights", "fact_flights", "dim_carrier", "dim_airport", "dim_date",
     "mart_carrier_performance", "mart_delay_causes", "build", "preview", "rebuild_fact_months",
     "not_null", "accepted_values", "unique", "relationships", "run_checks", "assert_passed",

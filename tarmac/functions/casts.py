@@ -1,8 +1,8 @@
 """Text-to-typed casts used by the staging model.
 
 All of them are built-in column expressions (whole-stage codegen, no Python).
-``strict=True`` keeps ANSI behaviour: unparsable text fails the query, as the
-warehouse cast would.  ``strict=False`` turns bad text into NULL instead.
+``strict=True``: unparsable text fails the query, as the warehouse cast would, with
+or without the session's ANSI mode.  ``strict=False`` turns bad text into NULL instead.
 """
 
 from __future__ import annotations
@@ -16,15 +16,30 @@ def _c(col) -> Column:
 
 
 def _cast(col: Column, type_: str, strict: bool) -> Column:
-    return col.cast(type_) if strict else col.try_cast(type_)
+    """``col`` as ``type_``; in strict mode text that does not cast fails the query,
+    whatever the session's ANSI setting."""
+    value = col.try_cast(type_)
+    return F.coalesce(value, _refuse(col, type_)) if strict else value
+
+
+def _refuse(col: Column, type_: str) -> Column:
+    text = F.concat(F.lit(f"cannot cast to {type_}: "), col.cast("string"))
+    return F.when(col.isNotNull(), F.raise_error(text).cast(type_))
+
+
+def cast_fails(col, type_: str) -> Column:
+    """Whether a strict cast to int, double or date refuses the text."""
+    c = _c(col)
+    value = {"int": to_int, "double": to_double, "date": to_date_iso}[type_](c, False)
+    return c.isNotNull() & value.isNull()
 
 
 def to_int(col, strict: bool = True) -> Column:
     """Text to INTEGER.  Integral text takes the fast path; text such as
     ``'1.00'`` goes through an exact decimal and rounds half away from zero."""
     c = _c(col)
-    exact = F.round(_cast(c, "decimal(18,6)", strict), 0)
-    return F.coalesce(c.try_cast("int"), _cast(exact, "int", strict))
+    value = F.coalesce(c.try_cast("int"), F.round(c.try_cast("decimal(18,6)"), 0).try_cast("int"))
+    return F.coalesce(value, _refuse(c, "int")) if strict else value
 
 
 def to_double(col, strict: bool = True) -> Column:
@@ -35,7 +50,8 @@ def to_double(col, strict: bool = True) -> Column:
 def to_date_iso(col, strict: bool = True) -> Column:
     """Text ``yyyy-MM-dd`` to DATE."""
     c = _c(col)
-    return F.to_date(c, "yyyy-MM-dd") if strict else F.try_to_date(c, "yyyy-MM-dd")
+    value = F.try_to_date(c, "yyyy-MM-dd")
+    return F.coalesce(value, _refuse(c, "date")) if strict else value
 
 
 def flag(col, strict: bool = True) -> Column:

@@ -45,8 +45,11 @@ ACCEPTED_YEARS = (2024,)
 ACCEPTED_MONTHS = tuple(range(1, 13))
 ACCEPTED_BOOLEANS = (True, False)
 
+# --- ingestion log: default labels of a run (parameters of ``ingestion_log``) ---
+PIPELINE_NAME = "flights_ingestion"
+SCHEDULED_PIPELINE_NAME = "flights_scheduled"
+
 # --- fixed values: ingestion log ---
-PIPELINE_NAME = "dot_flights_ingestion_v1"
 SOURCE_SYSTEM = "DOT BTS Reporting Carrier On-Time Performance"
 LOG_STEP = "recompress_and_upload_gzip"
 LOG_STATUS = "SUCCESS"

@@ -86,20 +86,35 @@ def p_cont(x, quantiles: Sequence[float]) -> Column:
     """Exact interpolated percentiles (percentile_cont) of ``x`` in ONE
     aggregate buffer; returns an array aligned with ``quantiles``.  NULLs
     are ignored.  Partial aggregation is supported, so the map-side buffer is
-    a value->count map per group, not the group's rows."""
+    a value->count map per group, not the group's rows; it grows with the distinct
+    values, so add up fractional measures per value first (see the marts)."""
     return F.percentile(_c(x), F.array(*[F.lit(float(q)) for q in quantiles]))
 
 
 # ---------------------------------------------------------------- text / time
 
 def truncate_text(col, n: int = 200, suffix: str = "...") -> Column:
-    """First ``n`` characters (trailing whitespace stripped), plus ``suffix``
-    when the text was longer than ``n``."""
+    """First ``n`` characters without trailing white space, plus ``suffix`` when
+    the line was longer.  The line end counts as a character of the line, so a
+    text of exactly ``n`` characters, which had one, gets the suffix too."""
     c = _c(col)
-    head = F.rtrim(F.substring(c, 1, n))
-    return F.when(F.length(c) > n, F.concat(head, F.lit(suffix))).otherwise(head)
+    head = F.regexp_replace(F.substring(c, 1, n), r"\s+$", "")
+    return F.when(F.length(c) >= n, F.concat(head, F.lit(suffix))).otherwise(head)
+
+
+def utc_ntz(ts) -> Column:
+    """A timestamp's clock time in UTC, whatever the session's time zone."""
+    return F.to_utc_timestamp(_c(ts), F.current_timezone()).cast("timestamp_ntz")
 
 
 def utc_iso(ts) -> Column:
-    """Timestamp rendered ``yyyy-MM-ddTHH:mm:ssZ`` (session time zone is UTC)."""
-    return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """Timestamp in UTC as ``yyyy-MM-ddTHH:mm:ssZ``, whatever the session's time zone."""
+    return F.date_format(utc_ntz(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def utc_offset_iso(ts) -> Column:
+    """Timestamp in UTC as ``yyyy-MM-ddTHH:mm:ss[.ffffff]+00:00``."""
+    t = utc_ntz(ts)
+    micros = F.date_format(t, "SSSSSS")
+    return F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"),
+                    F.when(micros == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micros)), F.lit("+00:00"))

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from tarmac.session import ensure_checkpoint_dir
 
-# Largest dimension (rows) joined by broadcast.  Above it the join falls back
-# to a shuffle join, where AQE's skew handling splits hot keys.
+# Most rows of a one-column side that is broadcast on demand (8-byte hashes).
 MAX_BROADCAST_ROWS = 1_000_000
 
 
@@ -45,53 +44,24 @@ def airports_union(df: DataFrame, roles: Mapping[str, Mapping[str, str]]) -> Dat
               .distinct())
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` checkpointed once (shared folder) and broadcast when it has at most ``max_rows`` rows.
 
+    The count is a partial aggregate over the stored rows.  Meant for narrow
+    sides (a key of a few bytes); larger ones are joined by shuffle.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    saved = df.checkpoint(eager=True)
+    return F.broadcast(saved) if saved.count() <= max_rows else saved
 
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-               bounded: bool = False) -> DataFrame:
-    """The join side to use for a dimension: broadcast when its size is proven.
 
-    ``bounded`` sides (size fixed by construction) are broadcast as they are.
-    A side that is already stored (a written table or checkpoint) is counted
-    directly.  Otherwise the side is computed once and checkpointed to the
-    shared checkpoint folder (lineage cut, survives executor loss) and counted
-    there.  It is broadcast only with at most ``max_rows`` rows (the join
-    sides passed here are a key plus a few attributes, so 1M rows stay in the
-    tens of MB); larger sides are joined by shuffle.
-    """
-    if bounded:
-        return F.broadcast(df)
-    if is_stored(df):
-        saved = df
-    else:
-        ensure_checkpoint_dir(df.sparkSession)
-        saved = df.checkpoint(eager=True)
-    return F.broadcast(saved) if bounded_rows(saved, max_rows) else saved
-
-
-def is_stored(df: DataFrame) -> bool:
-    """True when ``df`` is a plain read of stored data (file table or
-    checkpoint) with at most projections/filters on top: counting it is cheap
-    and a second materialisation would only copy it."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    leaves = plan.collectLeaves()
-    kinds = {leaves.apply(i).nodeName() for i in range(leaves.size())}
-    text = plan.toString()
-    return bool(kinds) and kinds <= {"Relation", "LogicalRelation", "LogicalRDD"} and \
-        not any(op in text for op in ("Aggregate", "Join", "Window", "Generate", "Union"))
-
-
-def join_dim(fact: DataFrame, dim: DataFrame, key: str, cols: Sequence[str],
-             bounded: bool = False, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def join_dim(fact: DataFrame, dim: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)`` adding ``cols`` from the dimension.
 
-    The dimension is broadcast when its size is proven: either ``bounded``
-    (fixed by construction, e.g. a 366-day calendar) or checked at run time
-    against ``max_rows``.  Otherwise a regular shuffle join is planned.
+    Nothing runs while planning and nothing is forced: Spark broadcasts the
+    dimension when its bytes (file sizes, or AQE's run-time statistics) are under
+    its threshold, and else joins by shuffle with AQE splitting hot keys.
     Non-unique dimension keys fan out exactly as in SQL.
     """
-    d = small_side(dim.select(F.col(key).alias("_dk"), *cols), max_rows, bounded)
+    d = dim.select(F.col(key).alias("_dk"), *cols)
     return fact.join(d, fact[key] == d["_dk"], "left").drop("_dk")

@@ -4,17 +4,21 @@ files.  Each call works in a fresh folder under the shared checkpoint root."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarmac.operators.bookkeeping import load_report, pending_files
+from tarmac.functions.casts import cast_fails
+from tarmac.operators.bookkeeping import compression_report, load_report, pending_files
+from tarmac.plans.build import FACT_PARTITION, build, partitioned_fact, rebuild_fact_months
+from tarmac.plans.models import stg_flights
+from tarmac.plans.modelset import ModelSet
 from tarmac.session import scratch_path
-from tarmac.sinks.files import LANDED_GLOB, land_csv_gz
+from tarmac.sinks.files import LANDED_GLOB, land_csv_gz, write_table
 from tarmac.sources.files import file_manifest
-from tarmac.sources.fixture import fixture_raw
-from tarmac.sources.landing import read_raw, relative_path
-from tarmac.sources.schema import LOAD_TS_COL, SOURCE_FILE_COL
-from tarmac.streaming.incremental import load_raw, read_loaded
+from tarmac.sources.fixture import fixture_raw, raw_flights_from_lineitem, read_table
+from tarmac.sources.landing import CORRUPT_COL, read_raw, relative_path
+from tarmac.sources.schema import FILE_COLUMNS, LOAD_TS_COL, SOURCE_FILE_COL
+from tarmac.streaming.incremental import load_counts, load_raw, read_loaded
 
 
 def _fixture_text_columns(raw: DataFrame) -> list[str]:
@@ -62,11 +66,186 @@ def pending_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return todo.select("year", "month").distinct()
 
 
+def _month() -> F.Column:
+    return F.col("Month").cast("int")
+
+
+def load_backfill_old_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: months from February on are loaded, then January arrives with file times a month
+    older than theirs; the next run loads it too."""
+    raw = fixture_raw(spark, sf_dir)
+    root, out, ckpt = (scratch_path(spark, n) for n in ("landing", "raw", "raw-ckpt"))
+    land_csv_gz(raw.where(_month() > 1), root)
+    load_raw(spark, root, out, ckpt, pattern=LANDED_GLOB)
+    land_csv_gz(raw.where(_month() == 1), root)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(path(f"{root}/year=*/month=01/*")):
+        old = status.getModificationTime() - 30 * 24 * 3600 * 1000
+        fs.setTimes(status.getPath(), old, old)
+    load_raw(spark, root, out, ckpt, pattern=LANDED_GLOB)
+    return read_loaded(spark, out).select(*_fixture_text_columns(raw))
+
+
+def load_all_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: files are found at any depth: in month folders, below them, and above."""
+    raw = fixture_raw(spark, sf_dir)
+    root, out, ckpt = (scratch_path(spark, n) for n in ("landing", "raw", "raw-ckpt"))
+    land_csv_gz(raw.where(_month() <= 4), root)
+    land_csv_gz(raw.where(_month().between(5, 8)), f"{root}/deeper/still")
+    flat = raw.where(_month() > 8)
+    _write_lines(flat, root, "append")
+    load_raw(spark, root, out, ckpt, pattern=LANDED_GLOB)
+    return read_loaded(spark, out).select(*_fixture_text_columns(raw))
+
+
+def _fields(raw: DataFrame) -> list:
+    have = set(raw.columns)
+    quoted = [F.when(F.col(c).contains(","), F.concat(F.lit('"'), F.col(c), F.lit('"'))).otherwise(
+        F.coalesce(F.col(c), F.lit(""))) if c in have else F.lit("") for c in FILE_COLUMNS]
+    return quoted
+
+
+def _write_lines(raw: DataFrame, root: str, mode: str = "overwrite", line=None) -> None:
+    """Rows as text lines in gzip files right under ``root`` (each with a header line)."""
+    text = line if line is not None else F.concat_ws(",", *_fields(raw))
+    lines = raw.select(text.alias("header"))
+    (lines.write.mode(mode).option("header", "true").option("compression", "gzip")
+     .option("quote", "\u0000").option("escapeQuotes", "false").option("sep", "\u0001").csv(root))
+
+
+def _with_rejects(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Line number 7 of every order lands as a record with an unbalanced quote."""
+    raw = raw_flights_from_lineitem(read_table(spark, sf_dir, "lineitem"), extra=["l_linenumber"])
+    root = scratch_path(spark, "landing-bad")
+    broken = F.concat(F.lit('2024,1,"'), F.col("Month"))
+    _write_lines(raw, root, line=F.when(F.col("l_linenumber") == 7, broken).otherwise(
+        F.concat_ws(",", *_fields(raw))))
+    return raw, root
+
+
+def load_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: records parsed, loaded and rejected by the incremental load, over all its files."""
+    _, root = _with_rejects(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "raw"), scratch_path(spark, "raw-ckpt")
+    told = load_raw(spark, root, out, ckpt, pattern=LANDED_GLOB, multiline=False)
+    return load_counts(spark, out).agg(
+        F.sum("parsed").alias("parsed"), F.sum("loaded").alias("loaded"), F.sum("rejected").alias("rejected")).select(
+        "*", F.lit(told["rows"]).cast("long").alias("told_loaded"),
+        F.lit(told["rejected"]).cast("long").alias("told_rejected"))
+
+
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records of each month the scan keeps and sets aside."""
+    _, root = _with_rejects(spark, sf_dir)
+    raw, rejects = read_raw(spark, root, pattern=LANDED_GLOB, multiline=False, with_rejects=True)
+    good = raw.groupBy("Month").agg(F.count(F.lit(1)).alias("good"))
+    bad = rejects.groupBy(F.regexp_extract(CORRUPT_COL, r"(\d+)$", 1).alias("Month")).agg(
+        F.count(F.lit(1)).alias("bad"))
+    return good.join(bad, "Month", "full").select(
+        "Month", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("bad", F.lit(0)).alias("bad"))
+
+
+def load_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short records are padded with NULL, surplus fields dropped, nothing is lost."""
+    raw = raw_flights_from_lineitem(read_table(spark, sf_dir, "lineitem"), extra=["l_linenumber"])
+    root = scratch_path(spark, "landing-ragged")
+    fields = _fields(raw)
+    short = F.concat_ws(",", *fields[:7])
+    long_ = F.concat_ws(",", *fields, F.lit("surplus"), F.lit("more"))
+    _write_lines(raw, root, line=F.when(F.col("l_linenumber") % 2 == 0, short).otherwise(long_))
+    got = read_raw(spark, root, pattern=LANDED_GLOB)
+    return got.select("Year", "Month", "FlightDate", "Reporting_Airline", "Origin", "Dest")
+
+
+def load_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only files of the landing pattern are read; plain CSV beside them is not."""
+    raw = fixture_raw(spark, sf_dir)
+    root = scratch_path(spark, "landing")
+    land_csv_gz(raw.where(_month() <= 6), root)
+    raw.where(_month() > 6).select(F.concat_ws(",", *_fields(raw)).alias("h")).write.mode("append").option(
+        "header", "true").csv(f"{root}/plain")
+    return read_raw(spark, root, pattern=LANDED_GLOB).select(*_fixture_text_columns(raw))
+
+
+def land_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: two objects hold rows of the same months; landing the first again adds nothing."""
+    raw = raw_flights_from_lineitem(read_table(spark, sf_dir, "lineitem"), extra=["l_linenumber"])
+    root = scratch_path(spark, "landing")
+    early, late = raw.where("l_linenumber <= 3"), raw.where("l_linenumber > 3")
+    for rows, name in ((early, "first"), (late, "second"), (early, "first")):
+        land_csv_gz(rows, root, source=name)
+    return read_raw(spark, root, pattern=LANDED_GLOB).select(
+        *[c for c in _fixture_text_columns(raw) if c != "l_linenumber"])
+
+
+def compression_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: the months' files before and after compression, each smaller, none missing."""
+    raw = fixture_raw(spark, sf_dir)
+    plain, root = scratch_path(spark, "plain"), scratch_path(spark, "landing")
+    (raw.select(F.concat_ws(",", *_fields(raw)).alias("line"), _month().alias("month"))
+     .write.partitionBy("month").text(plain))
+    land_csv_gz(raw, root)
+    per_month = [file_manifest(spark, p, "part-*", with_hash=False).groupBy(F.col("month").cast("string").alias("stem"))
+                 .agg(F.sum("size").alias("size")) for p in (plain, root)]
+    return compression_report(*per_month).select(
+        F.col("stem").cast("int").alias("month"), (F.col("saved_pct") > 0).alias("smaller"),
+        (F.col("saved_pct") == F.round((1 - F.col("gz_bytes") / F.col("csv_bytes")) * 100, 1)).alias("share_ok"))
+
+
+def strict_cast_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that a strict cast refuses."""
+    raw = raw_flights_from_lineitem(read_table(spark, sf_dir, "lineitem"), extra=["l_linenumber"])
+    bad = F.col("l_linenumber") == 7
+    texts = raw.select(
+        F.when(bad, F.lit("1x")).otherwise(F.col("Distance")).alias("number"),
+        F.when(bad, F.lit("2024-13-01")).otherwise(F.col("FlightDate")).alias("day"), "Month")
+    return texts.groupBy("Month").agg(
+        F.count_if(cast_fails("number", "int")).alias("bad_int"),
+        F.count_if(cast_fails("number", "double")).alias("bad_double"),
+        F.count_if(cast_fails("day", "date")).alias("bad_date"), F.count(F.lit(1)).alias("n"))
+
+
+def fact_month_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month-partitioned fact after rebuilding three months equals a full build.
+
+    The table first holds wrong months: March without its rows, April twice, and a
+    May that the raw rows no longer have.  Some months are written ``'3.00'``.
+    """
+    raw = fixture_raw(spark, sf_dir).withColumn(
+        "Month", F.when(F.col("DayofMonth") == "5", F.concat("Month", F.lit(".00"))).otherwise(F.col("Month")))
+    month = F.month(F.to_date("FlightDate"))
+    now = raw.where(month != 5)
+    out = scratch_path(spark, "models")
+    stale = raw.where(month != 3).unionByName(raw.where(month == 4))
+    write_table(partitioned_fact(stg_flights(stale)), f"{out}/fact_flights", (FACT_PARTITION,))
+    fact = rebuild_fact_months(spark, now, out, [(2024, 3), (2024, 4), (2024, 5)])
+    return fact.drop(FACT_PARTITION)
+
+
+def build_mart_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart layer alone, from core tables an earlier build left."""
+    raw, out = fixture_raw(spark, sf_dir), scratch_path(spark, "models")
+    build(spark, raw, out, layers=("staging", "core"), register_views=False)
+    marts = build(spark, raw, out, layers=("mart",), register_views=False)
+    return marts.table("mart_carrier_performance_monthly")
+
+
+def mart_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: position of every row of the stored mart in the order it is written in."""
+    m = ModelSet(spark, sf_dir)
+    out = scratch_path(spark, "mart")
+    m.mart_carrier_performance().write.parquet(out)
+    at = F.struct(F.col("_metadata.file_name"), F.monotonically_increasing_id())
+    rows = spark.read.parquet(out).withColumn("at", at)
+    return rows.select("carrier_key", "year", "month_num",
+                       F.row_number().over(Window.orderBy("at")).alias("position"))
+
+
 def monthly_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the fixture, run the whole monthly job (incremental load,
     build of all seven models as written tables, declared rules) and report
     the row count of every table."""
-    from tarmac.plans.build import build
     from tarmac.plans.monthly import checks, paths, table_counts_df
     _, root = _land(spark, sf_dir)
     p = paths(scratch_path(spark, "monthly"))
@@ -78,13 +257,17 @@ def monthly_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingestion_log_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the fixture and build the ingestion log from the file manifest
-    (size and SHA-256 hashed in the JVM); report the deterministic fields per
-    landed month plus validity flags for size and hash."""
+    """Land the fixture and build the ingestion log from the file manifest;
+    compare each record's size, hash and names with the bytes of its file, read
+    apart, and report the fixed fields per landed month."""
     from tarmac.sinks.files import ingestion_log
     _, root = _land(spark, sf_dir)
-    log = ingestion_log(file_manifest(spark, root, LANDED_GLOB))
-    return (log.select("pipeline_name", "source_system", "step", "year", "month", "status",
-                       (F.col("file_size_bytes") > 0).alias("size_ok"),
-                       F.col("file_sha256").rlike("^[0-9a-f]{64}$").alias("sha_ok"))
+    log = ingestion_log(file_manifest(spark, root, LANDED_GLOB), "2024-07-01 09:26:16", aws_region="eu-west-1")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", LANDED_GLOB)
+             .load(root).select(F.regexp_replace("path", r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?/?", "").alias("s3_key"),
+                                F.octet_length("content").alias("bytes"), F.sha2("content", 256).alias("sha")))
+    return (log.join(files, "s3_key", "left")
+               .select("pipeline_name", "source_system", "step", "year", "month", "status", "aws_region",
+                       "uploaded_at_utc", "log_name", F.col("file_size_bytes").eqNullSafe(F.col("bytes")).alias("size_ok"),
+                       F.col("file_sha256").eqNullSafe(F.col("sha")).alias("sha_ok"))
                .distinct())

@@ -18,7 +18,7 @@ from tarmac.functions.constants import (
     DATE_SPINE_DAYS, DATE_SPINE_START, STAGED_CARRIERS, WEEKEND_DAYS,
 )
 from tarmac.functions.scalar import (
-    avg_where, census_region, count_where, lookup, p_cont, pct, pct_of, surrogate_key,
+    census_region, count_where, lookup, pct, pct_of, surrogate_key,
 )
 from tarmac.operators.relational import (
     airports_union, distinct_cols, filter_carriers, join_dim, rename_cast,
@@ -197,19 +197,8 @@ def dim_date(stg: DataFrame, start: str = DATE_SPINE_START, days: int = DATE_SPI
 MART_KEYS = ("carrier_key", "carrier_name", "year", "month_num", "month_name")
 
 
-def _fact_with_dims(fact: DataFrame, carriers: DataFrame, dates: DataFrame,
-                    fact_cols: list[str]) -> DataFrame:
-    f = fact.select("carrier_key", "date_key", *fact_cols)
-    f = join_dim(f, carriers, "carrier_key", ["carrier_name"])
-    return join_dim(f, dates, "date_key", ["year", "month_num", "month_name"], bounded=True)
-
-
 def mart_carrier_performance(fact: DataFrame, carriers: DataFrame, dates: DataFrame) -> DataFrame:
-    """Monthly volume, cancellation, diversion, on-time and delay statistics
-    per carrier.  Dimensions are broadcast (size-checked), so the fact streams
-    through a map-side partial aggregate and only group buffers shuffle.
-    Built on the shared one-pass aggregate; the delay-cause aggregates this
-    mart does not select are pruned by the optimizer."""
+    """Monthly volume, cancellation, diversion, on-time and delay statistics per carrier."""
     return mart_carrier_performance_from_stats(carrier_month_stats(fact, carriers, dates))
 
 
@@ -225,22 +214,8 @@ def _grand_total(cols):
 
 
 def mart_delay_causes(fact: DataFrame, carriers: DataFrame, dates: DataFrame) -> DataFrame:
-    """Monthly delay minutes by cause per carrier over flights >= 15 min late
-    and not cancelled.  The filter is on fact columns, so it is pushed below
-    both dimension joins to the fact scan."""
-    delayed = fact.where((F.col("arr_delayed_15") == 1) & ~F.col("is_cancelled"))
-    flights = _fact_with_dims(delayed, carriers, dates, [f"delay_{c}_min" for c in CAUSES])
-    agg = flights.groupBy(*MART_KEYS).agg(
-        F.count(F.lit(1)).alias("delayed_flights_count"),
-        *[F.round(F.sum(f"delay_{c}_min"), 0).alias(f"total_{c}_delay_min") for c in CAUSES],
-    )
-    # grand total = sum of the *rounded* sums; one NULL cause makes it NULL
-    agg = agg.withColumn("total_delay_min", _grand_total(f"total_{c}_delay_min" for c in CAUSES))
-    return (agg.select(
-        *MART_KEYS, "delayed_flights_count",
-        *[f"total_{c}_delay_min" for c in CAUSES], "total_delay_min",
-        *[pct_of(f"total_{c}_delay_min", "total_delay_min", 1).alias(f"pct_{c}") for c in CAUSES],
-    ).orderBy("carrier_key", "year", "month_num"))
+    """Monthly delay minutes by cause per carrier over flights >= 15 min late and not cancelled."""
+    return mart_delay_causes_from_stats(carrier_month_stats(fact, carriers, dates))
 
 
 # ------------------------------------------------------------------ both marts, one pass
@@ -248,28 +223,37 @@ def mart_delay_causes(fact: DataFrame, carriers: DataFrame, dates: DataFrame) ->
 def carrier_month_stats(fact: DataFrame, carriers: DataFrame, dates: DataFrame) -> DataFrame:
     """Every aggregate of both marts in ONE pass over the fact.
 
-    The delayed-flight filter of the delay-cause mart becomes a condition
-    inside its aggregates (rows failing it contribute nothing, exactly like a
-    WHERE), so one scan, one broadcast join pair and one shuffle of group
-    buffers serve both marts.  Used by ``build()``, which checkpoints it.
+    The fact is first added up per (carrier, date, arrival delay) with plain hash
+    aggregates, so the dimensions join a few rows per carrier and day and the
+    percentiles see values with frequencies.  Duplicate dimension keys multiply
+    those rows, and with them every count and frequency, as they would the flights.
+    The delayed-flight filter of the delay-cause mart is a condition inside its sums.
     """
-    flights = _fact_with_dims(fact, carriers, dates,
-                              ["dep_delay_min", "arr_delay_min", "is_cancelled", "is_diverted",
-                               "arr_delayed_15"] + [f"delay_{c}_min" for c in CAUSES])
     canc, divd = F.col("is_cancelled"), F.col("is_diverted")
     delayed = (F.col("arr_delayed_15") == 1) & ~canc
-    return flights.groupBy(*MART_KEYS).agg(
-        F.count(F.lit(1)).alias("total_flights"),
-        count_where(canc).alias("cancelled_count"),
-        count_where(divd).alias("diverted_count"),
-        count_where((F.col("arr_delayed_15") == 0) & ~canc & ~divd).alias("on_time_count"),
-        avg_where("dep_delay_min", ~canc, 2).alias("avg_dep_delay"),
-        avg_where("arr_delay_min", ~canc, 2).alias("avg_arr_delay"),
-        p_cont("arr_delay_min", [0.75, 0.95]).alias("_p"),
-        count_where(delayed).alias("delayed_flights_count"),
-        *[F.round(F.sum(F.when(delayed, F.col(f"delay_{c}_min"))), 0).alias(f"total_{c}_delay_min")
-          for c in CAUSES],
-    )
+    days = fact.groupBy("carrier_key", "date_key", "arr_delay_min").agg(
+        F.count(F.lit(1)).alias("n"),
+        count_where(canc).alias("cancelled"), count_where(divd).alias("diverted"),
+        count_where((F.col("arr_delayed_15") == 0) & ~canc & ~divd).alias("on_time"),
+        F.sum(F.when(~canc, F.col("dep_delay_min"))).alias("dep_sum"),
+        F.count(F.when(~canc, F.col("dep_delay_min"))).alias("dep_n"),
+        F.sum(F.when(~canc, F.col("arr_delay_min"))).alias("arr_sum"),
+        F.count(F.when(~canc, F.col("arr_delay_min"))).alias("arr_n"),
+        count_where(delayed).alias("late"),
+        *[F.sum(F.when(delayed, F.col(f"delay_{c}_min"))).alias(f"late_{c}") for c in CAUSES])
+    days = join_dim(days, carriers, "carrier_key", ["carrier_name"])
+    days = join_dim(days, dates, "date_key", ["year", "month_num", "month_name"])
+
+    def mean(part: str):
+        return F.round(F.try_divide(F.sum(f"{part}_sum"), F.sum(f"{part}_n")), 2)
+
+    return days.groupBy(*MART_KEYS).agg(
+        F.sum("n").alias("total_flights"), F.sum("cancelled").alias("cancelled_count"),
+        F.sum("diverted").alias("diverted_count"), F.sum("on_time").alias("on_time_count"),
+        mean("dep").alias("avg_dep_delay"), mean("arr").alias("avg_arr_delay"),
+        F.percentile("arr_delay_min", F.array(F.lit(0.75), F.lit(0.95)), F.col("n")).alias("_p"),
+        F.sum("late").alias("delayed_flights_count"),
+        *[F.round(F.sum(f"late_{c}"), 0).alias(f"total_{c}_delay_min") for c in CAUSES])
 
 
 def mart_carrier_performance_from_stats(stats: DataFrame) -> DataFrame:

@@ -154,11 +154,11 @@ def delay_cause_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_left_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fact LEFT JOIN carrier and date dimensions (broadcast, size-checked)."""
+    """Fact LEFT JOIN carrier and date dimensions ."""
     m = ModelSet(spark, sf_dir)
     f = join_dim(m.fact.select("flight_key", "carrier_key", "date_key"), m.dim_carrier,
                  "carrier_key", ["carrier_name"])
-    return join_dim(f, m.dim_date, "date_key", ["year", "month_num", "month_name"], bounded=True)
+    return join_dim(f, m.dim_date, "date_key", ["year", "month_num", "month_name"])
 
 
 QUERIES = {

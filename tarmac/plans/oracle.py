@@ -456,10 +456,38 @@ OPERATOR_SQL = {
 }
 
 INGESTION_LOG_MONTHS = f"""with raw_flights as ({RAW_FLIGHTS})
-select distinct 'dot_flights_ingestion_v1' as pipeline_name,
+select distinct 'flights_ingestion' as pipeline_name,
   'DOT BTS Reporting Carrier On-Time Performance' as source_system,
   'recompress_and_upload_gzip' as step,
   cast("Year" as int) as year, cast("Month" as int) as month, 'SUCCESS' as status,
+  'eu-west-1' as aws_region, '2024-07-01T09:26:16+00:00' as uploaded_at_utc,
+  'ingestion_' || cast("Year" as int) || '_' || lpad("Month", 2, '0') || '_gzip_20240701T092616Z.json' as log_name,
   true as size_ok, true as sha_ok
 from raw_flights
 """
+
+# Line number 7 lands broken; month and line number come from the same derivation as the fixture.
+_LINES = """select l_linenumber as ln, cast(month(date '2024-01-01' + cast(l_orderkey % 340 as int)) as varchar) as "Month"
+from lineitem"""
+
+LOAD_COUNTS = f"""select cast(count(*) as bigint) as parsed, cast(count(*) filter (where ln <> 7) as bigint) as loaded,
+  cast(count(*) filter (where ln = 7) as bigint) as rejected,
+  cast(count(*) filter (where ln <> 7) as bigint) as told_loaded,
+  cast(count(*) filter (where ln = 7) as bigint) as told_rejected from ({_LINES}) x"""
+
+LOAD_REJECTS = f"""select "Month", cast(count(*) filter (where ln <> 7) as bigint) as good,
+  cast(count(*) filter (where ln = 7) as bigint) as bad from ({_LINES}) x group by 1"""
+
+STRICT_CAST_ERRORS = f"""select "Month", cast(count(*) filter (where ln = 7) as bigint) as bad_int,
+  cast(count(*) filter (where ln = 7) as bigint) as bad_double,
+  cast(count(*) filter (where ln = 7) as bigint) as bad_date, cast(count(*) as bigint) as n
+from ({_LINES}) x group by 1"""
+
+COMPRESSION = f"""with raw_flights as ({RAW_FLIGHTS})
+select distinct cast("Month" as int) as month, true as smaller, true as share_ok from raw_flights"""
+
+_NUMBERED = RAW_FLIGHTS.replace("l_shipdate as _LOAD_TIMESTAMP", "l_shipdate as _LOAD_TIMESTAMP, l_linenumber as ln")
+
+LOAD_RAGGED = f"""select "Year", "Month", "FlightDate", "Reporting_Airline",
+  case when ln % 2 = 1 then "Origin" end as "Origin", case when ln % 2 = 1 then "Dest" end as "Dest"
+from ({_NUMBERED}) r"""

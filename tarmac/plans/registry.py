@@ -16,6 +16,7 @@ from tarmac.plans import ingest_queries as I
 from tarmac.plans import rule_suites as R
 from tarmac.plans import operator_queries as P
 from tarmac.plans.modelset import ModelSet
+from tarmac.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,7 +54,10 @@ def dq_unique(spark, sf_dir):
 
 def dq_relationships(spark, sf_dir):
     m = ModelSet(spark, sf_dir)
-    return Q.check_model(m.fact, "fact_flights",
+    # staged once: each relationship then reads one stored column
+    path = scratch_path(spark, "fact-keys")
+    m.fact.select("carrier_key", "origin_airport_key", "dest_airport_key", "date_key").write.parquet(path)
+    return Q.check_model(spark.read.parquet(path), "fact_flights",
                          R.fact_relationship_rules(m.dim_carrier, m.dim_airport, m.dim_date))
 
 
@@ -74,6 +78,18 @@ QUERIES: dict[str, Query] = {
     "load_incremental_twice": I.load_incremental_twice,
     "load_report": I.load_report_query,
     "pending_files": I.pending_months,
+    "load_backfill_old_file": I.load_backfill_old_file,
+    "load_all_depths": I.load_all_depths,
+    "load_counts": I.load_counts_query,
+    "load_rejects": I.load_rejects,
+    "load_ragged": I.load_ragged,
+    "load_pattern": I.load_pattern,
+    "land_late_rows": I.land_late_rows,
+    "compression_report": I.compression_query,
+    "strict_cast_errors": I.strict_cast_errors,
+    "fact_month_rebuild": I.fact_month_rebuild,
+    "build_mart_layer": I.build_mart_layer,
+    "mart_order": I.mart_order,
     "monthly_run_counts": I.monthly_run_counts,
     "ingestion_log_months": I.ingestion_log_months,
     **P.QUERIES,
@@ -108,6 +124,20 @@ ORACLE_SQL: dict[str, str] = {
     "load_incremental_twice": O.raw_text_columns_sql(),
     "load_report": O.LOAD_REPORT,
     "pending_files": O.PENDING_MONTHS,
+    "load_backfill_old_file": O.raw_text_columns_sql(),
+    "load_all_depths": O.raw_text_columns_sql(),
+    "load_counts": O.LOAD_COUNTS,
+    "load_rejects": O.LOAD_REJECTS,
+    "load_ragged": O.LOAD_RAGGED,
+    "load_pattern": O.raw_text_columns_sql() + ' where cast("Month" as int) <= 6',
+    "land_late_rows": O.raw_text_columns_sql(),
+    "compression_report": O.COMPRESSION,
+    "strict_cast_errors": O.STRICT_CAST_ERRORS,
+    "fact_month_rebuild": O.with_models("select * from fact_flights where month(flight_date) <> 5"),
+    "build_mart_layer": O.with_models(O.MART_PERFORMANCE),
+    "mart_order": O.with_models(f"""select carrier_key, year, month_num, cast(row_number() over (
+        order by carrier_key nulls first, year nulls first, month_num nulls first) as int) as position
+        from ({O.MART_PERFORMANCE}) m"""),
     "monthly_run_counts": O.with_models(O.TABLE_COUNTS),
     "ingestion_log_months": O.INGESTION_LOG_MONTHS,
     **O.OPERATOR_SQL,

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions.constants import CSV_QUOTE, LOG_STATUS, LOG_STEP, PIPELINE_NAME, SOURCE_SYSTEM
-from tarmac.functions.scalar import utc_iso
+from tarmac.functions.constants import (
+    CSV_QUOTE, LOG_STATUS, LOG_STEP, PIPELINE_NAME, SCHEDULED_PIPELINE_NAME, SOURCE_SYSTEM,
+)
+from tarmac.functions.scalar import utc_ntz, utc_offset_iso
 from tarmac.sources.schema import FILE_COLUMNS
 
 LANDED_GLOB = "*.csv.gz"   # Spark names the part files itself
@@ -16,53 +19,53 @@ LANDED_GLOB = "*.csv.gz"   # Spark names the part files itself
 
 def landed_months(spark, out: str) -> list[tuple[int, int]]:
     """(year, month) folders already present under ``out`` (a metadata-only
-    listing through the Hadoop FileSystem API; no file is read)."""
+    listing through the Hadoop FileSystem API; no file is read).  Rows without a
+    year or month are in (0, 0)."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(out)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return []
-    found = []
-    for ys in fs.listStatus(root):
-        yname = ys.getPath().getName()
-        if not (ys.isDirectory() and yname.startswith("year=")):
-            continue
-        for ms in fs.listStatus(ys.getPath()):
-            mname = ms.getPath().getName()
-            if ms.isDirectory() and mname.startswith("month="):
-                found.append((int(yname[5:]), int(mname[6:])))
-    return found
+    found = set()
+    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{out}/{{,source=*/}}year=*/month=*")) or []:
+        parts = str(status.getPath().toString()).split("/")[-2:]
+        year, month = parts[0][5:], parts[1][6:]
+        if status.isDirectory() and year.isdigit() and month.isdigit():
+            found.add((int(year), int(month)))
+    return sorted(found)
 
 
 def land_csv_gz(df: DataFrame, out: str, year_col: str = "Year", month_col: str = "Month",
                 columns: Sequence[str] = FILE_COLUMNS, mode: str = "append",
-                max_records_per_file: int = 2_000_000, skip_existing: bool = True) -> None:
+                max_records_per_file: int = 2_000_000, source: str | None = None) -> bool:
     """Write rows as gzip CSV in ``year=YYYY/month=MM`` folders (month zero-padded).
 
     Data columns are written under positional names ``_c0..`` in file order:
     the header is ignored on load (positional mapping) and real names would
     collide case-insensitively with the ``year``/``month`` folder columns.
-    Columns missing from ``df`` are written empty.  No shuffle: each task
-    writes the months it holds (the writer sorts by folder within the task),
-    so a hot month is spread over as many tasks as it spans, and
-    ``max_records_per_file`` bounds every output file.
-
-    ``skip_existing`` (default) makes landing idempotent per month, like an
-    upload that is skipped when the object exists: months whose folder is
-    already present are left out, so a re-run after a failure adds nothing
-    twice.  The list of months is tiny (one row per landed month).
+    Columns missing from ``df`` are written empty; a row without a year or month
+    goes to ``year=0000/month=00``.  Rows are rebalanced by month, so the number
+    of files follows the data (AQE joins small months' tasks and splits large
+    ones), not tasks times months.
+
+    ``source`` names the object the rows come from.  Its rows land in a folder of
+    their own, ``source=<name>``; an object that has landed whole is skipped
+    (returns False), a failed landing is replaced.  Other objects' rows for the
+    same months are never touched.
     """
+    spark = df.sparkSession
     have = set(df.columns)
     data = [(F.col(c) if c in have else F.lit(None).cast("string")).alias(f"_c{i}")
             for i, c in enumerate(columns)]
-    year = F.col(year_col).cast("int").cast("string").alias("year")
-    month = F.lpad(F.col(month_col).cast("int").cast("string"), 2, "0").alias("month")
-    rows = df.select(*data, year, month)
-    if skip_existing and mode == "append":
-        done = [(str(y), f"{m:02d}") for y, m in landed_months(df.sparkSession, out)]
-        if done:
-            present = df.sparkSession.createDataFrame(done, "year string, month string")
-            rows = rows.join(F.broadcast(present), ["year", "month"], "left_anti")
+    year = F.coalesce(F.lpad(F.col(year_col).try_cast("int").cast("string"), 4, "0"), F.lit("0000"))
+    month = F.coalesce(F.lpad(F.col(month_col).try_cast("int").cast("string"), 2, "0"), F.lit("00"))
+    rows = df.select(*data, year.alias("year"), month.alias("month"))
+    if source is not None:
+        out, mode = f"{out.rstrip('/')}/source={source}", "overwrite"
+        done = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/_SUCCESS")
+        if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+            return False
+    rows = spark.sql("SELECT /*+ REBALANCE(year, month) */ * FROM {rows}", rows=rows)
     (rows
        .write.mode(mode)
        .option("maxRecordsPerFile", max_records_per_file)
@@ -70,6 +73,7 @@ def land_csv_gz(df: DataFrame, out: str, year_col: str = "Year", month_col: str
        .option("header", "true").option("quote", CSV_QUOTE).option("escape", CSV_QUOTE)
        .option("compression", "gzip")
        .csv(out))
+    return True
 
 
 # --- fixed values: fields of the short (scheduled-run) log record ---
@@ -77,49 +81,76 @@ DAG_LOG_FIELDS = ("pipeline_name", "year", "month", "s3_key", "file_size_bytes",
                   "uploaded_at_utc", "status")
 
 
-def ingestion_log(manifest: DataFrame, uploaded_at=None, variant: str = "full") -> DataFrame:
+def ingestion_log(manifest: DataFrame, uploaded_at=None, variant: str = "full",
+                  pipeline_name: str | None = None, aws_region: str | None = None) -> DataFrame:
     """One log record per landed file from a file manifest with columns
     ``path, size, sha256, year, month``: 13 fields (``variant="full"``) or
     the 8-field record of the scheduled run (``variant="dag"``).
-    ``uploaded_at`` may be injected; it defaults to the job's start time."""
+    ``uploaded_at`` may be injected; it defaults to the job's start time.
+    ``log_name`` comes after the fields: the record's own file name."""
+    if variant not in ("full", "dag"):
+        raise ValueError(f"unknown log variant {variant!r}")
     ts = F.current_timestamp() if uploaded_at is None else F.lit(uploaded_at).cast("timestamp")
+    label = pipeline_name or (PIPELINE_NAME if variant == "full" else SCHEDULED_PIPELINE_NAME)
+    stamp = F.date_format(utc_ntz(ts), "yyyyMMdd'T'HHmmss'Z'")
     full = manifest.select(
-        F.lit(PIPELINE_NAME).alias("pipeline_name"),
+        F.lit(label).alias("pipeline_name"),
         F.lit(SOURCE_SYSTEM).alias("source_system"),
         F.lit(LOG_STEP).alias("step"),
         F.col("year").cast("int").alias("year"),
         F.col("month").cast("int").alias("month"),
         F.regexp_extract("path", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/]*)", 1).alias("s3_bucket"),
         F.regexp_replace("path", r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?/?", "").alias("s3_key"),
-        F.lit(None).cast("string").alias("aws_region"),
+        F.lit(aws_region).cast("string").alias("aws_region"),
         F.element_at(F.split("path", "/"), -1).alias("filename"),
         F.col("size").cast("long").alias("file_size_bytes"),
         F.col("sha256").alias("file_sha256"),
-        utc_iso(ts).alias("uploaded_at_utc"),
+        utc_offset_iso(ts).alias("uploaded_at_utc"),
         F.lit(LOG_STATUS).alias("status"),
+        F.concat(F.lit("ingestion_"), F.col("year").cast("string"), F.lit("_"),
+                 F.lpad(F.col("month").cast("string"), 2, "0"), F.lit("_gzip_"), stamp, F.lit(".json")).alias("log_name"),
     )
-    if variant == "dag":
-        return full.select(*DAG_LOG_FIELDS)
-    if variant != "full":
-        raise ValueError(f"unknown log variant {variant!r}")
-    return full
+    return full.select(*DAG_LOG_FIELDS, "log_name") if variant == "dag" else full
+
 
+def write_ingestion_log(manifest: DataFrame, out: str, uploaded_at=None, **kwargs) -> None:
+    """Append the log records as JSON, every field written (NULL too), under
+    ``log_year=/log_month=`` folders."""
+    (ingestion_log(manifest, uploaded_at, **kwargs)
+       .withColumn("log_year", F.col("year")).withColumn("log_month", F.lpad(F.col("month").cast("string"), 2, "0"))
+       .write.mode("append").option("ignoreNullFields", "false").partitionBy("log_year", "log_month").json(out))
 
-def write_ingestion_log(manifest: DataFrame, out: str, uploaded_at=None) -> None:
-    """Append the log records as JSON under ``year=/month=`` folders."""
-    (ingestion_log(manifest, uploaded_at)
-       .withColumn("_y", F.col("year")).withColumn("_m", F.lpad(F.col("month").cast("string"), 2, "0"))
-       .write.mode("append").partitionBy("_y", "_m").json(out))
+
+def _filesystem(spark, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 mode: str = "overwrite", dynamic_overwrite: bool = False) -> None:
-    """Materialise a model as parquet (full rebuild by default).  With
-    ``dynamic_overwrite`` and ``partition_by`` only the partitions present in
-    ``df`` are replaced (opt-in incremental rebuild of touched months)."""
+    """Materialise a model as parquet.
+
+    A full rebuild is written beside the table and then put in its place, so a
+    failed job leaves the old table.  With ``dynamic_overwrite`` and
+    ``partition_by`` only the partitions present in ``df`` are replaced.
+    """
+    path, spark = path.rstrip("/"), df.sparkSession
+    swap = mode == "overwrite" and not dynamic_overwrite
     w = df.write.mode(mode)
     if dynamic_overwrite:
         w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if not swap:
+        w.parquet(path)
+        return
+    mark = uuid.uuid4().hex[:8]
+    new, fs = _filesystem(spark, f"{path}.new-{mark}")
+    w.parquet(f"{path}.new-{mark}")
+    target, old = _filesystem(spark, path)[0], _filesystem(spark, f"{path}.old-{mark}")[0]
+    if fs.exists(target):
+        fs.rename(target, old)
+    if not fs.rename(new, target):
+        fs.rename(old, target)
+        raise OSError(f"could not put the new table in place at {path}")
+    fs.delete(old, True)

@@ -12,8 +12,6 @@ independent implementations that must agree row for row.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,10 +53,10 @@ def _dec(col: Column) -> Column:
     return F.concat(col.cast("string"), F.lit(".00"))
 
 
-def raw_flights_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """One raw flight (all text + 2 audit columns) per line item."""
+def raw_flights_from_lineitem(lineitem: DataFrame, extra=()) -> DataFrame:
+    """One raw flight (all text + 2 audit columns) per line item, with ``extra`` key columns."""
     keep, stage1, stage2 = _fixture_exprs()
-    return lineitem.where(keep).select(*stage1).select(*stage2)
+    return lineitem.where(keep).select(*stage1).select(*stage2, *extra)
 
 
 @per_jvm
@@ -145,40 +143,9 @@ def _fixture_exprs():
     return keep, stage1, stage2
 
 
-def _row_groups(uri: str) -> int | None:
-    """Row groups of one parquet file when it is on a local filesystem."""
-    local = re.sub(r"^file:(//)?", "", uri)
-    if not local.startswith("/"):
-        return None
-    try:
-        import pyarrow.parquet as pq
-        return pq.ParquetFile(local).metadata.num_row_groups
-    except Exception:  # unreadable footer: assume it splits well
-        return None
-
-
-def spread_small_scan(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Round-robin a scan whose input cannot keep ``target`` cores busy.
-
-    A parquet split is a row group: a table stored as one single-row-group
-    file is read by one task however many cores there are.  Only when the
-    input has fewer files than ``target`` are their footers inspected; large
-    inputs (thousands of files) are returned untouched, with no shuffle.
-    """
-    target = target or df.sparkSession.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if len(files) >= target:
-        return df
-    groups = [_row_groups(f) for f in files]
-    if any(g is None for g in groups) or sum(groups) >= target:
-        return df
-    return df.repartition(target)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table (parquet) by name."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_scan(df) if spread else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def fixture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

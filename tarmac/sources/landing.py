@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.constants import CSV_QUOTE, LANDING_FILE_GLOB, NULL_TOKENS
-from tarmac.functions.scalar import null_if_token
+from tarmac.functions.scalar import null_if_token, utc_ntz
 from tarmac.sources.schema import (
     FILE_COLUMNS, FILE_SCHEMA, LOAD_TS_COL, RAW_COLUMNS, RAW_SCHEMA, SOURCE_FILE_COL,
 )
@@ -46,6 +46,8 @@ def csv_options(multiline: bool = True, pattern: str | None = LANDING_FILE_GLOB)
         "columnNameOfCorruptRecord": CORRUPT_COL,
         "recursiveFileLookup": "true",
         "compression": "gzip",
+        # whether a ragged row is flagged must not depend on the selected columns
+        "columnPruning": "false",
     }
     if pattern:
         opts["pathGlobFilter"] = pattern
@@ -97,11 +99,11 @@ def relative_path(path_col: Column, root: str | None) -> Column:
 def with_audit(df: DataFrame, root: str | None = None, loaded_at=None) -> DataFrame:
     """Add ``_SOURCE_FILE`` (file path relative to ``root``) and
     ``_LOAD_TIMESTAMP`` (the load's start time, or an injected value)."""
-    ts = (F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp"))
+    ts = utc_ntz(F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp"))
     return df.select(
         *[F.col(c) for c in df.columns],
         relative_path(F.col("_metadata.file_path"), root).alias(SOURCE_FILE_COL),
-        ts.cast("timestamp_ntz").alias(LOAD_TS_COL),
+        ts.alias(LOAD_TS_COL),
     )
 
 
@@ -109,22 +111,21 @@ def _odd_quotes(c: Column) -> Column:
     return (F.length(c) - F.length(F.regexp_replace(c, CSV_QUOTE, ""))) % 2 == 1
 
 
-def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, unparsable rows).  A record is unparsable when its raw text
-    has unbalanced quoting; ragged rows (flagged by the CSV reader too) are
-    good rows.  The raw text column is dropped from the good side.
-
-    Requires ``spark.sql.csv.parser.columnPruning.enabled=false`` (a session
-    default of this engine) so the reader flags rows the same way whatever
-    columns the query selects."""
+def is_reject() -> Column:
+    """A record is unparsable when its raw text has unbalanced quoting; ragged
+    rows (flagged by the CSV reader too) are good rows."""
     rec = F.col(CORRUPT_COL)
-    bad_pred = rec.isNotNull() & _odd_quotes(rec)
+    return F.coalesce(_odd_quotes(rec), F.lit(False))
+
+
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, unparsable rows); the raw text column is dropped from the good side."""
     # Always true, but keeps one data column in the scan: the CSV reader
     # refuses queries whose only input column is the corrupt-record text
     # (e.g. a bare count over the good rows).
     keep_scan = F.coalesce(F.length(F.col(FILE_COLUMNS[0])), F.lit(0)) >= 0
-    good = df.where((~bad_pred | rec.isNull()) & keep_scan).drop(CORRUPT_COL)
-    bad = df.where(bad_pred & keep_scan).select(CORRUPT_COL, *[c for c in df.columns
+    good = df.where(~is_reject() & keep_scan).drop(CORRUPT_COL)
+    bad = df.where(is_reject() & keep_scan).select(CORRUPT_COL, *[c for c in df.columns
                                                   if c in (SOURCE_FILE_COL, LOAD_TS_COL)])
     return good, bad
 

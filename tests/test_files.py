@@ -1,18 +1,16 @@
-"""Manifests, compression report, ingestion log, CSV inspection, zip archives."""
+"""Manifests, compression report, ingestion log, CSV inspection (K4-K9)."""
 
 import gzip
 import hashlib
-import io
 import json
 import os
-import zipfile
 
 from pyspark.sql import functions as F
 
 from conftest import csv_line
 from tarmac.operators.bookkeeping import compression_report, file_stem, load_report, load_total, pending_files
 from tarmac.sinks.files import ingestion_log, land_csv_gz, write_ingestion_log, LANDED_GLOB
-from tarmac.sources.files import file_manifest, inspect_csv, read_zip_csv
+from tarmac.sources.files import file_manifest, inspect_csv
 from tarmac.sources.landing import read_raw
 from helpers_raw import raw_df
 
@@ -50,15 +48,15 @@ def test_ingestion_log_fields(spark, tmp_path):
     gz.write_bytes(gzip.compress(b"a,b\n"))
     man = file_manifest(spark, str(tmp_path / "landing"))
     log = ingestion_log(man, uploaded_at="2024-04-01 12:00:00")
-    assert len(log.columns) == 13
+    assert len(log.columns) == 14 and log.columns[-1] == "log_name"      # 13 fields and the file's name
     r = log.first()
     assert (r.year, r.month, r.filename, r.status) == (2024, 3, "on_time_2024_03.csv.gz", "SUCCESS")
-    assert r.uploaded_at_utc == "2024-04-01T12:00:00Z" and r.file_size_bytes == gz.stat().st_size
+    assert r.uploaded_at_utc == "2024-04-01T12:00:00+00:00" and r.file_size_bytes == gz.stat().st_size
     out = str(tmp_path / "logs")
     write_ingestion_log(man, out, uploaded_at="2024-04-01 12:00:00")
     files = [os.path.join(d, f) for d, _, fs in os.walk(out) for f in fs if f.endswith(".json")]
     rec = json.loads(open(files[0]).readline())
-    assert rec["pipeline_name"] == "dot_flights_ingestion_v1" and rec["file_sha256"] == r.file_sha256
+    assert rec["pipeline_name"] == "flights_ingestion" and "aws_region" in rec and rec["file_sha256"] == r.file_sha256
 
 
 def test_inspect_csv(spark, tmp_path):
@@ -75,21 +73,6 @@ def test_inspect_csv(spark, tmp_path):
     assert all(r.line.endswith("...") and len(r.line) == 203 for r in inspect_csv(spark, str(q))[1].collect())
 
 
-def test_zip_archives(spark, tmp_path):
-    z = tmp_path / "zips" / "year=2024" / "month=01" / "archive_2024_1.zip"
-    os.makedirs(z.parent)
-    body = io.StringIO()
-    body.write(",".join(["h"] * 110) + "\n")
-    body.write(csv_line({**ROW, "OriginCityName": "Quoted\nnewline"}))
-    body.write(csv_line(ROW))
-    with zipfile.ZipFile(z, "w") as zf:
-        zf.writestr("On_Time_2024_1.csv", body.getvalue())
-        zf.writestr("readme.html", "not data")
-    recs = read_zip_csv(spark, str(tmp_path / "zips")).orderBy("record_no").collect()
-    assert len(recs) == 2 and recs[0]["OriginCityName"] == "Quoted\nnewline"
-    assert recs[1]["Reporting_Airline"] == "AA" and recs[1]["member"] == "On_Time_2024_1.csv"
-
-
 def test_land_then_pending_and_report(spark, tmp_path):
     raw = raw_df(spark, [{}, {"Month": "2", "FlightDate": "2024-02-01"}])
     root = str(tmp_path / "landing")
@@ -102,19 +85,6 @@ def test_land_then_pending_and_report(spark, tmp_path):
     assert [(r.year, r.month) for r in todo] == [(2024, 2)]
 
 
-def test_zip_to_raw_shape(spark, tmp_path):
-    z = tmp_path / "zips" / "a.zip"
-    os.makedirs(z.parent)
-    with zipfile.ZipFile(z, "w") as zf:
-        zf.writestr("m.csv", ",".join(["h"] * 110) + "\n" + csv_line({**ROW, "Tail_Number": "NULL"}))
-    from tarmac.sources.files import read_zip_raw
-    from tarmac.sources.schema import RAW_COLUMNS
-    df = read_zip_raw(spark, str(tmp_path / "zips"), loaded_at="2024-01-01 00:00:00")
-    r = df.first()
-    assert df.columns == list(RAW_COLUMNS)
-    assert r["Tail_Number"] is None and r["_SOURCE_FILE"] == "a.zip!m.csv"
-
-
 def test_dynamic_partition_overwrite(spark, tmp_path):
     from tarmac.sinks.files import write_table
     out = str(tmp_path / "t")
@@ -130,7 +100,10 @@ def test_ingestion_log_dag_variant(spark, tmp_path):
     gz.write_bytes(gzip.compress(b"a,b\n"))
     log = ingestion_log(file_manifest(spark, str(tmp_path / "landing")), variant="dag")
     assert log.columns == ["pipeline_name", "year", "month", "s3_key", "file_size_bytes",
-                           "file_sha256", "uploaded_at_utc", "status"]
+                           "file_sha256", "uploaded_at_utc", "status", "log_name"]
+    assert log.first().pipeline_name == "flights_scheduled"
+    named = ingestion_log(file_manifest(spark, str(tmp_path / "landing")), variant="dag", pipeline_name="own_label")
+    assert named.first().pipeline_name == "own_label"
 
 
 def test_inspect_counts_records_apart_from_lines(spark, tmp_path):
@@ -153,11 +126,39 @@ def test_pending_by_hash_catches_rewritten_file(spark, tmp_path):
     assert pending_files(now, seen, on=("path", "sha256")).count() == 1
 
 
-def test_landing_is_idempotent_per_month(spark, tmp_path):
+def test_landing_skips_objects_not_months(spark, tmp_path):
     raw = raw_df(spark, [{}, {"Month": "2", "FlightDate": "2024-02-01"}])
     root = str(tmp_path / "landing")
-    land_csv_gz(raw.where("Month = '1'"), root)
-    land_csv_gz(raw, root)                  # January exists: only February is added
-    land_csv_gz(raw, root)                  # re-run: nothing added
+    assert land_csv_gz(raw.where("Month = '1'"), root, source="a")
+    assert not land_csv_gz(raw.where("Month = '1'"), root, source="a")    # the object has landed
+    assert land_csv_gz(raw, root, source="b")                             # late January rows are kept
     months = sorted(r.Month for r in read_raw(spark, root, pattern=LANDED_GLOB).collect())
-    assert months == ["1", "2"]
+    assert months == ["1", "1", "2"]
+
+
+def test_landing_rows_without_a_month(spark, tmp_path):
+    from tarmac.sinks.files import landed_months
+    root = str(tmp_path / "landing")
+    land_csv_gz(raw_df(spark, [{}, {"Year": None}]), root)
+    land_csv_gz(raw_df(spark, [{}]), root)
+    assert landed_months(spark, root) == [(0, 1), (2024, 1)]
+    assert read_raw(spark, root, pattern=LANDED_GLOB).count() == 3
+
+
+def test_landing_file_count_follows_the_data(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    rows = raw_df(spark, [{"Month": str(m)} for m in (1, 2, 3)] * 40).repartition(16)
+    land_csv_gz(rows, root)
+    assert file_manifest(spark, root, LANDED_GLOB, with_hash=False).count() == 3
+
+
+def test_failed_rebuild_leaves_the_table(spark, tmp_path):
+    import pytest
+    from tarmac.sinks.files import write_table
+    out = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "a")], "m int, v string")
+    write_table(df, out)
+    with pytest.raises(Exception):
+        write_table(df.withColumn("v", F.raise_error(F.lit("no")).cast("string")), out)
+    write_table(df.withColumn("v", F.lit("b")), out)
+    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(1, "b")]

@@ -79,6 +79,40 @@ def test_pct_of_zero_total_e19(spark):
     assert [r[0] for r in df.select(pct_of("p", "t", 1)).collect()] == [None, None, 12.5]
 
 
+def test_truncate_counts_the_line_end(spark):
+    assert col_values(spark, ["a" * 199, "a" * 200, "b\t "], lambda c: truncate_text(c, 200)) == [
+        "a" * 199, "a" * 200 + "...", "b"]
+
+
+def test_strict_casts_fail_without_ansi(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from tarmac.functions import casts as X
+    df = spark.createDataFrame([("1x",)], "t string")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for cast in (X.to_int, X.to_double, X.to_date_iso):
+            assert df.select(cast("t", False).alias("v")).first().v is None
+            with pytest.raises(Exception, match="cannot cast"):
+                df.select(cast("t").alias("v")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_utc_texts_in_another_zone(spark):
+    from pyspark.sql import functions as F
+    from tarmac.functions.scalar import utc_iso, utc_offset_iso
+    df = spark.range(1).select(F.lit("2024-07-01 14:26:16.5+00:00").cast("timestamp").alias("t"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert tuple(df.select(utc_iso("t"), utc_offset_iso("t")).first()) == (
+            "2024-07-01T14:26:16Z", "2024-07-01T14:26:16.500000+00:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_truncate_text(spark):
     assert col_values(spark, ["a" * 201, "short  "], lambda c: truncate_text(c, 200)) == \
         ["a" * 200 + "...", "short"]

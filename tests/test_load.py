@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from conftest import csv_line, write_gz
 from tarmac.sources.landing import read_raw
 from tarmac.sources.schema import FILE_COLUMNS, RAW_COLUMNS
-from tarmac.streaming.incremental import load_raw, read_loaded
+from tarmac.sources.files import file_manifest
+from tarmac.streaming.incremental import (
+    changed_files, load_counts, load_raw, read_loaded, read_rejects, reload_files,
+)
 
 BASE = {"Year": "2024", "Month": "1", "FlightDate": "2024-01-05", "Reporting_Airline": "AA",
         "Flight_Number_Reporting_Airline": "100", "Origin": "JFK", "Dest": "LAX"}
@@ -86,10 +89,12 @@ def test_incremental_load_exactly_once_e7(spark, tmp_path):
 def test_incremental_load_with_quarantine(spark, tmp_path):
     root = str(tmp_path / "landing")
     land(tmp_path, [csv_line(BASE), '2024,1,"broken,1\n', csv_line(BASE)])
-    out, rej, ckpt = str(tmp_path / "raw"), str(tmp_path / "rej"), str(tmp_path / "ckpt")
-    load_raw(spark, root, out, ckpt, multiline=False, rejects_out=rej)
-    assert read_loaded(spark, out).count() == 2
-    assert spark.read.parquet(rej).count() == 1
+    out, ckpt = str(tmp_path / "raw"), str(tmp_path / "ckpt")
+    told = load_raw(spark, root, out, ckpt, multiline=False)
+    assert (told["rows"], told["rejected"]) == (2, 1)
+    assert read_loaded(spark, out).count() == 2 and read_rejects(spark, out).count() == 1
+    counts = load_counts(spark, out).first()
+    assert (counts.parsed, counts.loaded, counts.rejected) == (3, 2, 1)
 
 
 def test_raw_scan_prunes_and_pushes(spark, tmp_path):
@@ -119,53 +124,73 @@ def test_backfill_in_bounded_batches(spark, tmp_path):
              name=f"on_time_2024_{m:02d}.csv.gz", month=f"{m:02d}")
     out, ckpt = str(tmp_path / "raw"), str(tmp_path / "ckpt")
     res = load_raw(spark, root, out, ckpt, max_files_per_trigger=1)
-    assert res == {"batches": 3, "rows": 6}
+    assert (res["batches"], res["rows"], res["rejected"]) == (3, 6, 0)
     assert sorted(r.Month for r in read_loaded(spark, out).collect()) == ["1", "2", "2", "3", "3", "3"]
 
 
 def test_failed_batch_is_replayed_without_duplicates(spark, tmp_path, monkeypatch):
-    """A batch that fails after writing its good rows is replayed on the next
-    run; per-batch overwrite keeps every row exactly once."""
+    """A batch that fails is replayed on the next run into the same folder."""
     import pytest
     import tarmac.streaming.incremental as inc
     root = str(tmp_path / "landing")
     land(tmp_path, [csv_line(BASE)] * 4)
-    out, rej, ckpt = str(tmp_path / "raw"), str(tmp_path / "rej"), str(tmp_path / "ckpt")
-    real_split = inc.split_corrupt
+    out, ckpt = str(tmp_path / "raw"), str(tmp_path / "ckpt")
+    real = inc._write_batch
 
-    def failing_split(df):
-        good, _ = real_split(df)
-        # the quarantine write fails after the good rows were written
-        return good, good.withColumn("boom", F.raise_error(F.lit("simulated failure")))
+    def failing(rows, out, batch):
+        real(rows, out, batch)
+        raise RuntimeError("simulated failure after the write")
 
-    monkeypatch.setattr(inc, "split_corrupt", failing_split)
+    monkeypatch.setattr(inc, "_write_batch", failing)
     with pytest.raises(Exception):
-        load_raw(spark, root, out, ckpt, rejects_out=rej, multiline=False)
-    assert read_loaded(spark, out).count() == 4          # good rows of the failed batch
-    monkeypatch.setattr(inc, "split_corrupt", real_split)
-    load_raw(spark, root, out, ckpt, rejects_out=rej, multiline=False)   # replay
+        load_raw(spark, root, out, ckpt, multiline=False)
+    monkeypatch.setattr(inc, "_write_batch", real)
+    assert load_raw(spark, root, out, ckpt, multiline=False)["rows"] == 4   # replay
     assert read_loaded(spark, out).count() == 4
 
 
-def test_failed_batch_parquet_sink_commits_nothing(spark, tmp_path, monkeypatch):
-    import pytest
-    import tarmac.streaming.incremental as inc
-    root = str(tmp_path / "landing")
+def test_old_files_and_all_depths_load(spark, tmp_path):
+    root = tmp_path / "landing"
     land(tmp_path, [csv_line(BASE)] * 3)
     out, ckpt = str(tmp_path / "raw"), str(tmp_path / "ckpt")
-    real_split = inc.split_corrupt
+    load_raw(spark, str(root), out, ckpt)
+    old = land(tmp_path, [csv_line(BASE)] * 5, name="on_time_old.csv.gz", month="02")
+    for path, n in ((old, 5), (root / "on_time_top.csv.gz", 2), (root / "a/b/c/on_time_deep.csv.gz", 7)):
+        if path is not old:
+            write_gz(path, [csv_line(BASE)] * n)
+        os.utime(path, (1_600_000_000, 1_600_000_000))
+    assert load_raw(spark, str(root), out, ckpt)["rows"] == 14
+    assert read_loaded(spark, out).count() == 17
 
-    def failing_split(df):
-        good, bad = real_split(df)
-        return good.where(F.raise_error(F.lit("simulated failure")).isNull()), bad
 
-    monkeypatch.setattr(inc, "split_corrupt", failing_split)
-    with pytest.raises(Exception):
-        load_raw(spark, root, out, ckpt)
-    assert read_loaded(spark, out).count() == 0          # nothing committed
-    monkeypatch.setattr(inc, "split_corrupt", real_split)
-    assert load_raw(spark, root, out, ckpt)["rows"] == 3
-    assert read_loaded(spark, out).count() == 3
+def test_changed_file_is_reloaded_once(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    path = land(tmp_path, [csv_line(BASE)] * 2)
+    out, ckpt = str(tmp_path / "raw"), str(tmp_path / "ckpt")
+    load_raw(spark, root, out, ckpt)
+    known = spark.createDataFrame(file_manifest(spark, root).collect())
+    assert changed_files(spark, root, known).count() == 0
+    write_gz(path, [csv_line(BASE)] * 5)
+    changed = [r.path for r in changed_files(spark, root, known).collect()]
+    assert len(changed) == 1
+    assert reload_files(spark, root, out, changed)["rows"] == 5
+    assert read_loaded(spark, out, reloads=True).count() == 5
+
+
+def test_scan_does_not_depend_on_the_session(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    land(tmp_path, [csv_line(BASE), '2024,1,"broken,1\n', csv_line(BASE)])
+    keys = ("spark.sql.csv.parser.columnPruning.enabled", "spark.sql.session.timeZone")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set(keys[0], "true")
+        spark.conf.set(keys[1], "America/New_York")
+        raw = read_raw(spark, root, multiline=False, loaded_at="2024-07-01 05:26:16")
+        assert raw.count() == len(raw.collect()) == len(raw.select("Year").collect()) == 2
+        assert str(raw.first()["_LOAD_TIMESTAMP"]) == "2024-07-01 09:26:16"     # UTC
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_month_selection_edges(spark, tmp_path):
