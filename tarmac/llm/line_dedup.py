@@ -133,6 +133,15 @@ def matches(classes: DataFrame) -> DataFrame:
         F.col("x_class").alias("x"), F.col("y_class").alias("y")).distinct()
 
 
+def _true(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Later classes of the pairs (early, late) that match on their whole sets."""
+    x, y = (sets.select(F.col("class").alias(s), F.col("words").alias(f"{s}_words")) for s in "xy")
+    both = F.size(F.array_intersect("x_words", "y_words")).cast("long")
+    size = F.size("x_words") + F.size("y_words")
+    found = pairs.select(F.col("early.class").alias("x"), F.col("late").alias("y")).join(x, "x").join(y, "y")
+    return found.filter(_enough(both, size, F.lit(0))).select(F.col("y").alias("late")).distinct()
+
+
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every line: id, h (hash of the text), line, n (distinct words), removed."""
     docs = plain(docs, id_col, text_col).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -150,14 +159,19 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sets = map_arrow(rows, _rows(True, rare), kind).select("n", "d1", "d2", "id", "line", "words")
     sets = saved(sets.join(small_side(met), ["n", "d1", "d2"]).filter(
         F.struct("id", "line").eqNullSafe(F.col("first"))).select(
-        "class", "first", "words").dropDuplicates(["class"]), "line-whole")
-    x, y = (sets.select(F.col("class").alias(s), F.col("first").alias(f"{s}_first"), F.col("words").alias(f"{s}_words"))
-            for s in "xy")
-    both = F.size(F.array_intersect("x_words", "y_words")).cast("long")
-    size = F.size("x_words") + F.size("y_words")
-    true = pairs.join(x, "x").join(y, "y").filter(_enough(both, size, F.lit(0)))
-    later = saved(true.select(F.when(F.col("x_first") > F.col("y_first"), F.col("x")).otherwise(F.col("y")).alias("class"))
-                  .distinct().withColumn("beaten", F.lit(True)), "line-later")
+        "class", "words").dropDuplicates(["class"]), "line-whole")
+    x, y = (met.select(F.col("class").alias(s), F.col("first").alias(f"{s}_first")) for s in "xy")
+    pairs = pairs.join(x, "x").join(y, "y")
+    early = F.when(F.col("x_first") < F.col("y_first"), F.struct(F.col("x_first").alias("at"), F.col("x").alias("class")))
+    early = early.otherwise(F.struct(F.col("y_first").alias("at"), F.col("y").alias("class")))
+    late = F.when(F.col("x_first") < F.col("y_first"), F.col("y")).otherwise(F.col("x"))
+    pairs = saved(pairs.select(early.alias("early"), late.alias("late")), "line-pairs")
+    # most lines with a match already match their earliest candidate; only the others meet the rest
+    lead = saved(pairs.groupBy("late").agg(F.min("early").alias("early")), "line-leads")
+    beaten = saved(_true(lead, sets), "line-beaten")
+    rest = pairs.join(beaten, "late", "left_anti").join(lead, ["late", "early"], "left_anti")
+    later = beaten.unionByName(_true(rest, sets)).distinct()
+    later = saved(later.select(F.col("late").alias("class"), F.lit(True).alias("beaten")), "line-later")
     ruled = saved(classes.select("n", "d1", "d2", "class", "first").join(later, "class", "left")
                   .select("n", "d1", "d2", "first", F.coalesce("beaten", F.lit(False)).alias("beaten")), "line-ruled")
     out = lines.drop("words", "bits").join(ruled, ["n", "d1", "d2"], "left")
