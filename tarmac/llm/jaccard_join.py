@@ -16,7 +16,7 @@ d = 1 - Jaccard is a metric on sets, and documents link at d <= 0.2.
    ``STARS`` times with other pivots.
 4. What is left joins recursively: a region of at most ``SMALL`` members compares
    the pairs of different components that the triangle inequality allows
-   (|d(x,p) - d(y,p)| <= 0.2) and whose 256 parity bits allow a link.  A larger one takes ``PIVOTS`` members as pivots,
+   (|d(x,p) - d(y,p)| <= 0.2) and whose parity bits allow a link.  A larger one takes ``PIVOTS`` members as pivots,
    every member goes to its nearest pivot's Voronoi region and is replicated into
    each region with d(x,q) <= d(x,home) + 0.4, and these regions follow in the next
    round.  A region that does not shrink compares its pairs by size order.
@@ -46,7 +46,8 @@ SMALL = 4096                # members of a region that is compared pair by pair
 PIVOTS = 16                 # document pivots of a larger region
 EPS = 1 - NUM / DEN
 STARS = 2                   # rounds of one pivot per region
-BITS = ["b0", "b1", "b2", "b3"]   # parity of the hashes on each of 256 bits
+WIDE = [f"w{k}" for k in range(16)]   # parity of the hashes on each of 1024 bits
+BITS = ["b0", "b1", "b2", "b3"]       # the same on 256: words of WIDE that fold onto one another
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS):
@@ -96,20 +97,20 @@ def _prints(docs: DataFrame, words: int, whole: bool, sketch) -> DataFrame:
                     keep = got[order][inside]
                     bound = np.concatenate([[0], np.cumsum(prefix)])
                 lists = pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.array(keep.view(np.int64)))
-                bits = np.zeros((len(BITS), len(size)), np.uint64)
-                if len(full) and not whole:
-                    one = np.uint64(1) << ((got >> np.uint64(56)) & np.uint64(63))
-                    part = got >> np.uint64(62)
-                    for k in range(len(BITS)):
-                        bits[k][full] = np.bitwise_xor.reduceat(np.where(part == k, one, np.uint64(0)), edge[full])
+                bits = np.zeros((len(WIDE), len(size)), np.uint64)
+                if not whole:
+                    # one bit per hash: texts x words x bits as one histogram, then its parity
+                    bit = (at * 1024 + (got >> np.uint64(54)).astype(np.int64))
+                    odd = np.bincount(bit, minlength=len(size) * 1024).reshape(len(size), 1024) & 1
+                    bits = np.packbits(odd.astype(np.uint8), axis=1).view(np.uint64).T
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(row, len(size)), pa.array(size, pa.int64()),
-                     *[pa.array(x.view(np.int64)) for x in (d1, d2, *bits)], lists],
-                    ["id", "n", "d1", "d2", *BITS, "hashes"])
+                     *[pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (d1, d2, *bits)], lists],
+                    ["id", "n", "d1", "d2", *WIDE, "hashes"])
 
     kind = docs.schema["id"].dataType.simpleString()
     return map_arrow(docs.select("id", "text"), each,
-                     f"id {kind}, n long, d1 long, d2 long, {', '.join(f'{b} long' for b in BITS)}, hashes array<long>")
+                     f"id {kind}, n long, d1 long, d2 long, {', '.join(f'{b} long' for b in WIDE)}, hashes array<long>")
 
 
 def _close(nx, ny):
@@ -123,36 +124,55 @@ def _reach(nx, ny, px, py):
     return (NUM + DEN) * most >= NUM * (nx + ny)
 
 
-def _bits_allow(x: str, y: str, nx, ny):
+def _folded():
+    """The 256-bit parities from the 1024-bit ones."""
+    out = []
+    for k, b in enumerate(BITS):
+        part = F.col(WIDE[k])
+        for j in range(k + len(BITS), len(WIDE), len(BITS)):
+            part = part.bitwiseXOR(F.col(WIDE[j]))
+        out.append(part.alias(b))
+    return out
+
+
+def _bits_allow(x: str, y: str, nx, ny, bits=BITS):
     """Sets differ in at least as many shingles as their parities do in bits."""
-    apart = sum(F.bit_count(F.col(f"{x}{b}").bitwiseXOR(F.col(f"{y}{b}"))) for b in BITS)
+    apart = sum(F.bit_count(F.col(f"{x}{b}").bitwiseXOR(F.col(f"{y}{b}"))) for b in bits)
     return (NUM + DEN) * (nx + ny - apart) >= 2 * NUM * (nx + ny)
 
 
 class Sets:
-    """Whole shingle sets of nodes, worked out anew from the texts of those a round asks for."""
+    """Whole shingle sets of nodes, worked out anew from the texts of those a round asks for.
+
+    ``nodes``: node, first_id (a document that holds the set), n, d1, d2 and WIDE.
+    """
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, words: int):
         self.docs, self.nodes, self.words = docs, nodes, words
 
-    def of(self, wanted: DataFrame, name: str) -> DataFrame:
-        """(node, hashes) of the nodes in ``wanted``; a repeated row may come twice."""
-        nodes = small_side(saved(self.nodes.join(wanted, "node", "left_semi"), f"{name}-nodes"))
-        rows = self.docs.join(nodes.select(F.col("first_id").alias("id")), "id", "left_semi")
-        sets = _prints(rows, self.words, True, None).join(nodes.drop("first_id"), ["n", "d1", "d2"])
-        return saved(sets.select("node", "hashes"), f"{name}-sets")
-
-    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """(a, b, d, linked) of distinct pairs (a, b), by intersecting whole sets."""
-        pairs = saved(pairs, f"{name}-pairs")
-        sets = self.of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), name)
-        left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
-        right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-        both = F.size(F.array_intersect("x", "y")).cast("long")
-        out = pairs.join(left, "a").join(right, "b").select(
-            "a", "b", both.alias("i"), (F.size("x") + F.size("y") - both).alias("u"))
-        return saved(out.select("a", "b", (1 - F.col("i") / F.col("u")).alias("d"),
-                                (DEN * F.col("i") >= NUM * F.col("u")).alias("linked")).distinct(), name)
+    def verified(self, pairs: DataFrame, name: str, all_distances: bool = False) -> DataFrame:
+        """(a, b, d, linked) of distinct pairs (a, b), by intersecting whole sets.
+
+        Pairs that their parities rule out are left out unless ``all_distances``.
+        """
+        if not all_distances:
+            x, y = (self.nodes.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("n", *WIDE)])
+                    for s in "ab")
+            pairs = pairs.join(x, "a").join(y, "b").filter(
+                _bits_allow("a_", "b_", F.col("a_n"), F.col("b_n"), WIDE)).select("a", "b")
+        pairs = saved(pairs.withColumn("pair", F.monotonically_increasing_id()), f"{name}-pairs")
+        ends = pairs.select("pair", F.explode(F.array("a", "b")).alias("node")).join(
+            self.nodes.select("node", "first_id", "n", "d1", "d2"), "node")
+        ends = small_side(saved(ends, f"{name}-ends"))
+        rows = self.docs.join(ends.select(F.col("first_id").alias("id")), "id", "left_semi")
+        # each set travels once per pair it is in, to the task of that pair
+        sets = _prints(rows, self.words, True, None).select("n", "d1", "d2", "hashes").join(ends, ["n", "d1", "d2"])
+        both = sets.groupBy("pair").agg(F.collect_set("hashes").alias("s"))
+        x, y = F.col("s")[0], F.col("s")[1]
+        shared = F.size(F.array_intersect(x, y)).cast("long")
+        both = both.select("pair", shared.alias("i"), (F.size(x) + F.size(y) - shared).alias("u"))
+        return saved(pairs.join(both, "pair").select("a", "b", (1 - F.col("i") / F.col("u")).alias("d"),
+                                                     (DEN * F.col("i") >= NUM * F.col("u")).alias("linked")), name)
 
 
 def _pairs(x, y):
@@ -229,7 +249,7 @@ def class_components(cells: DataFrame, sets: Sets, bits: DataFrame, small: int =
             heads = heads.select("region", F.col("node").alias("head"))
             spokes = saved(large.join(heads, "region"), f"jaccard-spokes{n}")
             far = sets.verified(spokes.filter("node <> head").select(*_pairs("node", "head")).distinct(),
-                                f"jaccard-spans{n}")
+                                f"jaccard-spans{n}", all_distances=True)
             comp = _merge(comp, far.filter("linked").select("a", "b"), f"jaccard-far{n}")
             ends = [F.col("a").alias("node"), F.col("b").alias("head")]
             back = [F.col("b").alias("node"), F.col("a").alias("head")]
@@ -275,7 +295,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     sketch = spark.sparkContext.broadcast(seen)  # of fixed size
     prints = saved(_prints(docs, words, False, sketch), "jaccard-prints")
     classes = saved(prints.filter("n > 0").groupBy("n", "d1", "d2").agg(
-        F.min("id").alias("first_id"), F.first("hashes").alias("hashes"), *[F.first(b).alias(b) for b in BITS])
+        F.min("id").alias("first_id"), F.first("hashes").alias("hashes"), *[F.first(b).alias(b) for b in WIDE])
         .withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
     # size and place share a long: most of these rows meet nobody, so they are kept narrow
     posted = classes.select("node", "n", F.posexplode("hashes").alias("pos", "region")).select(
@@ -285,8 +305,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
         "region", "node", F.shiftright("place", 31).alias("n"),
         F.col("place").bitwiseAND((1 << 31) - 1).cast("int").alias("pos"))
     cells = saved(cells, "jaccard-cells")
-    sets = Sets(docs, classes.select("node", "first_id", "n", "d1", "d2"), words)
-    comp = class_components(cells, sets, classes.select("node", *BITS))
+    sets = Sets(docs, classes.drop("hashes"), words)
+    comp = class_components(cells, sets, classes.select("node", *_folded()))
     roots = classes.select("node", "n", "d1", "d2", "first_id").join(comp, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     least = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
