@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarmac.llm.common import map_arrow, table
 
-CACHE_WORDS = 200_000   # stretches a worker remembers; more are worked out again
+CACHE_WORDS = 150_000   # stretches a worker remembers; more are worked out again
 BLOCK = 1 << 18         # parts of words merged side by side
-PIECE = 4 << 20         # bytes of text encoded at once; a longer text is a piece of its own
+PIECE = 2 << 20         # bytes of text encoded at once; a longer text is a piece of its own
 
 
 def byte_alphabet() -> list[str]:
@@ -205,18 +205,37 @@ def slices(size: np.ndarray, limit: int):
         row = end
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the column ``out`` of token ids."""
-    names = [c for c in docs.columns if c != out]
-    kind = docs.select(*names).withColumn(out, F.lit(None).cast("array<int>")).schema
+def decode_ids(tokens: pa.Array, lists: pa.Array):
+    """Decoded text of every id list, piece by piece: (first row, rows, texts)."""
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    for row, n in slices(size, PIECE // 4):
+        ends = pa.array(np.concatenate([[0], np.cumsum(size[row:row + n])]), pa.int32())
+        text = pa.ListArray.from_arrays(ends, tokens.take(lists.slice(row, n).flatten()))
+        yield row, n, pc.binary_join(text, " ")
+
+
+def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids",
+           decoded: str | None = None) -> DataFrame:
+    """``docs`` with the column ``out`` of token ids and, if named, ``decoded``: the ids' text."""
+    new = [out, decoded] if decoded else [out]
+    names = [c for c in docs.columns if c not in new]
+    kind = docs.select(*names).withColumn(out, F.lit(None).cast("array<int>"))
+    kind = (kind.withColumn(decoded, F.lit("").cast("string")) if decoded else kind).schema
 
     def run(batches):
         code = encoder(path)
+        tokens = pa.array(code.vocab.tokens.tolist(), pa.string())
         for batch in batches:
             size = pc.fill_null(pc.binary_length(batch.column(text_col)), 0)
             for row, n in slices(size.to_numpy(zero_copy_only=False), PIECE):
                 part = batch.slice(row, n)
-                yield pa.RecordBatch.from_arrays([*part.columns, code(part.column(text_col))], [*names, out])
+                ids = code(part.column(text_col))
+                if not decoded:
+                    yield pa.RecordBatch.from_arrays([*part.columns, ids], [*names, out])
+                    continue
+                for at, k, text in decode_ids(tokens, ids):
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.slice(at, k).columns, ids.slice(at, k), text], [*names, out, decoded])
 
     return map_arrow(docs.select(*names), run, kind)
 
@@ -229,12 +248,8 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded
     def run(batches):
         tokens = pa.array(vocabulary(path).tokens.tolist(), pa.string())
         for batch in batches:
-            size = pc.fill_null(pc.list_value_length(batch.column(ids_col)), 0).to_numpy(zero_copy_only=False)
-            for row, n in slices(size, PIECE // 4):
-                part = batch.slice(row, n)
-                ends = pa.array(np.concatenate([[0], np.cumsum(size[row:row + n])]), pa.int32())
-                text = pa.ListArray.from_arrays(ends, tokens.take(part.column(ids_col).flatten()))
-                yield pa.RecordBatch.from_arrays([*part.columns, pc.binary_join(text, " ")], [*names, out])
+            for row, n, text in decode_ids(tokens, batch.column(ids_col)):
+                yield pa.RecordBatch.from_arrays([*batch.slice(row, n).columns, text], [*names, out])
 
     return map_arrow(rows.select(*names), run, kind)
 
@@ -247,7 +262,7 @@ def default_path() -> str:
 def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     path = path or default_path()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = decode(encode(docs, path).drop("text"), path)
+    coded = encode(docs, path, decoded="decoded")
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -256,4 +271,4 @@ def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str, path: str | None = None) -> DataFrame:
     """Last pipeline stage: every document that was kept, with its token ids and decoded text."""
     path = path or default_path()
-    return decode(encode(docs, path), path)
+    return encode(docs, path, decoded="decoded")

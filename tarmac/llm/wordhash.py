@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-PIECE = 4 << 20  # bytes of text hashed at once; a longer text is one piece of its own
+PIECE = 1 << 20  # bytes of text hashed at once; a longer text is one piece of its own
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
