@@ -209,8 +209,8 @@ def class_components(cells: DataFrame, sets: Sets, bits: DataFrame, small: int =
     rest = cells.select("region", "node", "n", "pos", F.lit(None).cast("double").alias("d"), F.lit(True).alias("core"))
     comp = None
     for n in range(stars):
-        rest = rest if n == 0 else saved(_rooted(rest, comp).join(bits, "node") if n == 1 else _rooted(rest, comp),
-                                         f"jaccard-rest{n}")
+        if n > 1:
+            rest = saved(_rooted(rest, comp), f"jaccard-rest{n}")
         if n and rest.isEmpty():
             return comp
         # rare shingles of its own push a member's common ones back: the least place tells the original
@@ -234,6 +234,7 @@ def class_components(cells: DataFrame, sets: Sets, bits: DataFrame, small: int =
             rest = star.join(span.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "d"),
                              ["node", "pivot"], "left").withColumn("d", to).select(
                 F.col("region").cast("string").alias("region"), "node", "n", "pos", "d", "core")
+            rest = saved(_rooted(rest, comp).join(bits, "node"), "jaccard-rest1")
         else:
             rest = rest.drop("root", "members")
     for n in range(1, 64):

@@ -175,7 +175,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ruled = saved(classes.select("n", "d1", "d2", "class", "first").join(later, "class", "left")
                   .select("n", "d1", "d2", "first", F.coalesce("beaten", F.lit(False)).alias("beaten")), "line-ruled")
     out = lines.drop("words", "bits").join(ruled, ["n", "d1", "d2"], "left")
-    gone = F.col("beaten") | ~F.struct("id", "line").eqNullSafe(F.col("first"))
+    gone = (F.col("n") > 0) & (F.col("beaten") | ~F.struct("id", "line").eqNullSafe(F.col("first")))
     return out.select("id", "line", "n", F.coalesce(gone, F.lit(False)).alias("removed"))
 
 

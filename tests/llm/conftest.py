@@ -1,0 +1,34 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from tarmac.session import get_spark  # noqa: E402
+
+SF001 = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    yield get_spark("local[4]", 4, app_name="tarmac-tests")
+
+
+LOREM = "the quick brown fox jumps over the lazy dog while seven small birds sing in an old green tree near water"
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls in any column, empty, blank, very long, tied and repeated rows, and columns named like ours."""
+    long_text = " ".join(f"w{i % 997}x{i}" for i in range(60_000))
+    rows = [(0, LOREM), (1, LOREM), (2, None), (3, ""), (4, " \n\t "), (5, "one two"), (6, "ONE two"),
+            (7, long_text), (7, long_text), (8, LOREM + " and then some"), (None, LOREM), (9, "é ß x 😀\nThe end.")]
+    data = [(i, t, None, "src", None, "x", 1, 2.0, True, "r") for i, t in rows]
+    return spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long, "
+                                       "node string, h int, score double, kept boolean, region string")
+
+
+@pytest.fixture(scope="session")
+def no_docs(odd_docs):
+    return odd_docs.limit(0)
