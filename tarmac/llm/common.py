@@ -45,3 +45,11 @@ def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``df.mapInArrow(run, schema)`` with this package importable in the workers."""
     ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name

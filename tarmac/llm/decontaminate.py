@@ -140,11 +140,11 @@ def remove_spans(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id",
     """
     spans = found.filter("n_hit > 0").select(F.col("id").alias("_id"), F.col("h").alias("_h"),
                                              F.col("spans").alias("_spans"))
-    out = docs.join(spans, docs[doc_id].eqNullSafe(F.col("_id"))
-                    & (F.xxhash64(docs[doc_text]) == F.col("_h")), "left")
+    out = docs.join(spans, docs[doc_id].eqNullSafe(spans["_id"])
+                    & (F.xxhash64(docs[doc_text]) == spans["_h"]), "left")
     left = F.filter(_split(docs[doc_text]), lambda w, i: (w != "") & ~F.exists(
-        "_spans", lambda x: (i >= x["s"]) & (i < x["e"])))
-    text = F.when(F.col("_spans").isNull(), docs[doc_text]).otherwise(F.array_join(left, " "))
+        spans["_spans"], lambda x: (i >= x["s"]) & (i < x["e"])))
+    text = F.when(spans["_spans"].isNull(), docs[doc_text]).otherwise(F.array_join(left, " "))
     return out.select(*[text.alias(c) if c == doc_text else docs[c] for c in docs.columns])
 
 
@@ -153,5 +153,5 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = find(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
     bad = found.select(F.col("id").alias("_id"), F.col("h").alias("_h")).distinct()
     bad = small_side(saved(bad, "contaminated"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_id"))
-                     & (F.xxhash64(docs["text"]) == F.col("_h")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"])
+                     & (F.xxhash64(docs["text"]) == bad["_h"]), "left_anti")

@@ -172,6 +172,6 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of equal texts only the row with the largest doc_id goes on."""
     gone = dedup(docs).filter(~F.col("kept")).select(F.col("id").alias("_id"), F.col("digest").alias("_digest"))
     gone = small_side(saved(gone.distinct(), "dedup-gone"))
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (
-        sha256_of(F.coalesce(docs["text"], F.lit(""))) == F.col("_digest"))
+    same = docs["doc_id"].eqNullSafe(gone["_id"]) & (
+        sha256_of(F.coalesce(docs["text"], F.lit(""))) == gone["_digest"])
     return docs.join(gone, same, "left_anti")

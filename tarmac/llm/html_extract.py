@@ -30,7 +30,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tarmac.llm.common import map_arrow, saved, small_side, table
+from tarmac.llm.common import map_arrow, saved, small_side, table, unused
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
@@ -244,16 +244,16 @@ def host_paths(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", out: str = "text") -> DataFrame:
     """``pages`` with the main text of every page."""
     names = [c for c in pages.columns if c != out]
-    paths = small_side(saved(host_paths(pages, url_col, html_col), "host-paths")).withColumnsRenamed(
-        {"host": "_host", "path": "_path"})
-    rows = pages.select(*names, host_of(pages[url_col]).alias("_of"))
-    rows = rows.join(paths, F.col("_of") == F.col("_host"), "left").select(*names, "_path")
+    paths = small_side(saved(host_paths(pages, url_col, html_col), "host-paths"))
+    own = unused(pages, "winning_path")
+    rows = pages.join(paths, host_of(pages[url_col]) == paths["host"], "left").select(
+        *[pages[c] for c in names], paths["path"].alias(own))
     kind = pages.select(*names).withColumn(out, F.lit("").cast("string")).schema
 
     def run(batches):
         for batch in batches:
             texts = []
-            for source, path in zip(batch.column(html_col).to_pylist(), batch.column("_path").to_pylist()):
+            for source, path in zip(batch.column(html_col).to_pylist(), batch.column(own).to_pylist()):
                 page = Page(source or "")
                 texts.append(page.text(page.best(path)))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(texts, pa.string())],

@@ -45,6 +45,7 @@ NUM, DEN = 80, 100          # links at DEN * intersection >= NUM * union
 SMALL = 4096                # members of a region that is compared pair by pair
 PIVOTS = 16                 # document pivots of a larger region
 EPS = 1 - NUM / DEN
+LONG = 512                  # shingles of a set whose parities get more bits than WIDE
 STARS = 2                   # rounds of one pivot per region
 WIDE = [f"w{k}" for k in range(16)]   # parity of the hashes on each of 1024 bits
 BITS = ["b0", "b1", "b2", "b3"]       # the same on 256: words of WIDE that fold onto one another
@@ -113,6 +114,31 @@ def _prints(docs: DataFrame, words: int, whole: bool, sketch) -> DataFrame:
                      f"id {kind}, n long, d1 long, d2 long, {', '.join(f'{b} long' for b in WIDE)}, hashes array<long>")
 
 
+def _bit_length(n):
+    """Bits of a long set's parities: four a shingle at least, in powers of two."""
+    return 1 << int(np.ceil(np.log2(4 * n)))
+
+
+def _parities(docs: DataFrame, words: int) -> DataFrame:
+    """(n, d1, d2, bits) of the documents with sets over ``LONG``."""
+
+    def each(batches):
+        for batch in batches:
+            for _, got, at, edge in shingle_sets(batch.column(0), words):
+                for k in np.flatnonzero(np.diff(edge) > LONG):
+                    s = got[edge[k]:edge[k + 1]]
+                    size = _bit_length(len(s))
+                    place = (s >> np.uint64(64 - int(size).bit_length() + 1)).astype(np.int64)
+                    odd = (np.bincount(place, minlength=size) & 1).astype(np.uint8)
+                    with np.errstate(over="ignore"):
+                        d1, d2 = s.sum(dtype=np.uint64), H.mix(s + np.uint64(1)).sum(dtype=np.uint64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([len(s)], pa.int64()), *[pa.array(np.array([d]).view(np.int64)) for d in (d1, d2)],
+                         pa.array([np.packbits(odd).view(np.int64)], pa.list_(pa.int64()))], ["n", "d1", "d2", "bits"])
+
+    return map_arrow(docs.select("text"), each, "n long, d1 long, d2 long, bits array<long>")
+
+
 def _close(nx, ny):
     """Sizes that allow a link."""
     return DEN * F.least(nx, ny) >= NUM * F.greatest(nx, ny)
@@ -150,6 +176,22 @@ class Sets:
     def __init__(self, docs: DataFrame, nodes: DataFrame, words: int):
         self.docs, self.nodes, self.words = docs, nodes, words
 
+    def _long_allowed(self, pairs: DataFrame, name: str) -> DataFrame:
+        """``pairs`` without those of long sets that parities in proportion to the sets rule out."""
+        ends = pairs.select("pair", F.explode(F.array("a", "b")).alias("node")).join(
+            self.nodes.filter(F.col("n") > LONG).select("node", "first_id", "n", "d1", "d2"), "node")
+        ends = saved(ends, f"{name}-long")
+        rows = self.docs.join(small_side(ends).select(F.col("first_id").alias("id")), "id", "left_semi")
+        bits = _parities(rows, self.words).join(small_side(ends), ["n", "d1", "d2"]).groupBy("pair").agg(
+            F.collect_set(F.struct("bits", "n")).alias("s"))
+        x, y = F.col("s")[0], F.col("s")[1]
+        size = x["n"] + y["n"]
+        apart = F.aggregate(F.zip_with(x["bits"], y["bits"], lambda a, b: F.bit_count(a.bitwiseXOR(b))),
+                            F.lit(0), lambda a, b: a + b)
+        far = bits.filter((F.size("s") == 2) & (F.size(x["bits"]) == F.size(y["bits"])) & (
+            (NUM + DEN) * (size - apart) < 2 * NUM * size)).select("pair")
+        return pairs.join(far, "pair", "left_anti")
+
     def verified(self, pairs: DataFrame, name: str, all_distances: bool = False) -> DataFrame:
         """(a, b, d, linked) of distinct pairs (a, b), by intersecting whole sets.
 
@@ -161,6 +203,8 @@ class Sets:
             pairs = pairs.join(x, "a").join(y, "b").filter(
                 _bits_allow("a_", "b_", F.col("a_n"), F.col("b_n"), WIDE)).select("a", "b")
         pairs = saved(pairs.withColumn("pair", F.monotonically_increasing_id()), f"{name}-pairs")
+        if not all_distances:
+            pairs = saved(self._long_allowed(pairs, name), f"{name}-left")
         ends = pairs.select("pair", F.explode(F.array("a", "b")).alias("node")).join(
             self.nodes.select("node", "first_id", "n", "d1", "d2"), "node")
         ends = small_side(saved(ends, f"{name}-ends"))
@@ -325,4 +369,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component the document with the least doc_id stays."""
     gone = join(docs).filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id"))
     gone = small_side(saved(gone.distinct(), "jaccard-gone"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")

@@ -183,10 +183,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """``docs`` without the removed lines."""
     gone = removed_lines(docs, id_col, text_col).filter("removed").groupBy(F.col("id").alias("_id")).agg(
         F.collect_set("line").alias("_gone"))
-    parts = F.split(F.regexp_replace(F.col(text_col), r"\n$", ""), "\n", -1)
-    kept = F.filter(parts, lambda _, i: ~F.array_contains("_gone", i))
-    out = docs.join(gone, docs[id_col].eqNullSafe(F.col("_id")), "left")
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    parts = F.split(F.regexp_replace(docs[text_col], r"\n$", ""), "\n", -1)
+    kept = F.filter(parts, lambda _, i: ~F.array_contains(gone["_gone"], i))
+    out = docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]), "left")
+    text = F.when(gone["_gone"].isNull(), docs[text_col]).otherwise(F.array_join(kept, "\n"))
     return out.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tarmac.llm import wordhash as H
-from tarmac.llm.common import map_arrow, plain, saved, table
+from tarmac.llm.common import map_arrow, plain, saved, table, unused
 
 SAMPLE = 12_000       # rows of each kind the model is fitted on
 STEPS, RATE, DECAY = 400, 0.03, 1e-4
@@ -126,6 +126,8 @@ def estimated_prior(pos: np.ndarray, unl: np.ndarray) -> float:
     so the ratio of their shares there is the prior; the least upper bound over the
     thresholds that keep enough positives is taken.
     """
+    if min(len(pos), len(unl)) < 4:
+        return 0.5  # nothing to estimate it from
     half = slice(0, None, 2), slice(1, None, 2)
     w = _fit(pos[half[0]], unl[half[0]], 0.5, STEPS // 2)
     p, u = np.sort(pos[half[1]] @ w), np.sort(unl[half[1]] @ w)
@@ -211,5 +213,6 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents scored under 0.5 go."""
-    scored = score(docs, fit(docs, table(spark, sf_dir, "labels")), out="_score")
-    return scored.filter(F.col("_score") >= 0.5).drop("_score")
+    own = unused(docs, "quality_score")
+    scored = score(docs, fit(docs, table(spark, sf_dir, "labels")), out=own)
+    return scored.filter(F.col(own) >= 0.5).drop(own)

@@ -26,7 +26,7 @@ def odd_docs(spark):
             (7, long_text), (7, long_text), (8, LOREM + " and then some"), (None, LOREM), (9, "é ß x 😀\nThe end.")]
     data = [(i, t, None, "src", None, "x", 1, 2.0, True, "r") for i, t in rows]
     return spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long, "
-                                       "node string, h int, score double, kept boolean, region string")
+                                       "node string, h int, score double, kept boolean, _id string")
 
 
 @pytest.fixture(scope="session")

@@ -59,7 +59,7 @@ def test_html_odd_pages(spark):
                             ("http://c.d", long_page), ("http://c.d", long_page), ("http://e.f", "<script>never ends")])
     assert got[:4] == ["", "", "no markup <here>", "open text"] and got[6] == ""
     assert got[4] == got[5] == "\n".join(f"part {i}" for i in range(20_000))
-    empty = spark.createDataFrame([], "page_id long, url string, html string, _path string, text int")
+    empty = spark.createDataFrame([], "page_id long, url string, html string, path string, winning_path string, text int")
     assert X.extract(empty).count() == 0
 
 
@@ -110,7 +110,7 @@ def test_decontaminate_odd_rows(spark, odd_docs, no_docs):
                                   "item_id string, text string")
     got = {(r.id, r.n_words): r for r in D.find(odd_docs, items).collect()}
     assert got[0, 21].n_hit == 21 and got[0, 21].items == ["a", "b"] and got[0, 21].contaminated
-    assert got[5, 2].items == ["e"] and got[6, 2].items == ["e"] and got[9, 5].n_hit == 2
+    assert got[5, 2].items == ["e"] and got[6, 2].items == ["e"] and got[9, 6].n_hit == 2
     assert got[2, 0].n_hit == 0 and not got[2, 0].contaminated and got[4, 0].n_words == 0
     assert got[7, 60_000].n_hit == 0 and got[None, 21].contaminated
     assert D.find(no_docs, items).count() == 0
