@@ -106,11 +106,11 @@ def test_bpe_query(spark, library):
 # ---------------------------------------------------------------- decontamination
 
 def test_decontaminate_odd_rows(spark, odd_docs, no_docs):
-    items = spark.createDataFrame([("b", LOREM), ("a", LOREM), ("c", None), ("d", "..."), ("e", "One, TWO!"), ("f", "é ß")],
+    items = spark.createDataFrame([("b", LOREM), ("a", LOREM), ("c", None), ("d", "..."), ("e", "One, TWO!"), ("f", "é")],
                                   "item_id string, text string")
     got = {(r.id, r.n_words): r for r in D.find(odd_docs, items).collect()}
     assert got[0, 21].n_hit == 21 and got[0, 21].items == ["a", "b"] and got[0, 21].contaminated
-    assert got[5, 2].items == ["e"] and got[6, 2].items == ["e"] and got[9, 6].n_hit == 2
+    assert got[5, 2].items == ["e"] and got[6, 2].items == ["e"] and got[9, 5].n_hit == 1
     assert got[2, 0].n_hit == 0 and not got[2, 0].contaminated and got[4, 0].n_words == 0
     assert got[7, 60_000].n_hit == 0 and got[None, 21].contaminated
     assert D.find(no_docs, items).count() == 0
