@@ -31,10 +31,15 @@ def _split(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), SEPARATORS)
 
 
-def _n_words(words: Column) -> Column:
-    first, last = F.get(words, F.lit(0)) == "", F.get(words, F.size(words) - 1) == ""
-    return (F.size(words) - F.when(F.size(words) == 1, first.cast("int"))
-            .otherwise(first.cast("int") + last.cast("int"))).cast("long")
+def _n_words(text: Column) -> Column:
+    """Words of a text; the lambda binds the split, which is the costly part, once."""
+
+    def count(words):
+        first, last = F.get(words, F.lit(0)) == "", F.get(words, F.size(words) - 1) == ""
+        return F.size(words) - F.when(F.size(words) == 1, first.cast("int")).otherwise(
+            first.cast("int") + last.cast("int"))
+
+    return F.get(F.transform(F.array(_split(text)), count), F.lit(0)).cast("long")
 
 
 def _fold(words: Column) -> Column:
@@ -90,7 +95,7 @@ def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: st
     wins = saved(windows(items, item_id, item_text, size), "benchmark-windows")
     hit = hits(docs, wins, doc_id, doc_text).withColumnsRenamed({"id": "hid", "h": "hh"})
     each = docs.select(F.col(doc_id).alias("id"), F.xxhash64(doc_text).alias("h"),
-                       _n_words(_split(F.col(doc_text))).alias("n_words"))
+                       _n_words(F.col(doc_text)).alias("n_words"))
     out = each.join(hit, F.col("id").eqNullSafe(F.col("hid")) & (F.col("h") == F.col("hh")), "left")
     n_hit = F.coalesce(covered(F.col("spans")), F.lit(0).cast("long"))
     return (out.select("id", "h", "n_words", n_hit.alias("n_hit"), "spans",
