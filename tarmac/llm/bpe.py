@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarmac.llm.common import map_arrow, table
 
-CACHE_WORDS = 150_000   # stretches a worker remembers; more are worked out again
+CACHE_WORDS = 100_000   # stretches a worker remembers; more are worked out again
 BLOCK = 1 << 18         # parts of words merged side by side
 PIECE = 2 << 20         # bytes of text encoded at once; a longer text is a piece of its own
 

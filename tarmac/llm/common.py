@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarmac.session import ensure_checkpoint_dir, scratch_path, ship_package
@@ -41,10 +44,24 @@ def plain(docs: DataFrame, *cols: str) -> DataFrame:
     return docs.select(*[docs[c] for c in cols])
 
 
+def _release() -> None:
+    """Give freed memory back: idle workers stay beside the executor for a while."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``df.mapInArrow(run, schema)`` with this package importable in the workers."""
+
+    def task(batches):
+        yield from run(batches)
+        _release()
+
     ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task, schema)
 
 
 def unused(df: DataFrame, name: str) -> str:
