@@ -184,11 +184,11 @@ class Sets:
         rows = self.docs.join(small_side(ends).select(F.col("first_id").alias("id")), "id", "left_semi")
         bits = _parities(rows, self.words).join(small_side(ends), ["n", "d1", "d2"]).groupBy("pair").agg(
             F.collect_set(F.struct("bits", "n")).alias("s"))
-        x, y = F.col("s")[0], F.col("s")[1]
+        x, y = F.get("s", F.lit(0)), F.get("s", F.lit(1))
         size = x["n"] + y["n"]
         apart = F.aggregate(F.zip_with(x["bits"], y["bits"], lambda a, b: F.bit_count(a.bitwiseXOR(b))),
                             F.lit(0), lambda a, b: a + b)
-        far = bits.filter((F.size("s") == 2) & (F.size(x["bits"]) == F.size(y["bits"])) & (
+        far = bits.filter((F.size(x["bits"]) == F.size(y["bits"])) & (
             (NUM + DEN) * (size - apart) < 2 * NUM * size)).select("pair")
         return pairs.join(far, "pair", "left_anti")
 
@@ -212,7 +212,7 @@ class Sets:
         # each set travels once per pair it is in, to the task of that pair
         sets = _prints(rows, self.words, True, None).select("n", "d1", "d2", "hashes").join(ends, ["n", "d1", "d2"])
         both = sets.groupBy("pair").agg(F.collect_set("hashes").alias("s"))
-        x, y = F.col("s")[0], F.col("s")[1]
+        x, y = F.get("s", F.lit(0)), F.get("s", F.lit(1))
         shared = F.size(F.array_intersect(x, y)).cast("long")
         both = both.select("pair", shared.alias("i"), (F.size(x) + F.size(y) - shared).alias("u"))
         return saved(pairs.join(both, "pair").select("a", "b", (1 - F.col("i") / F.col("u")).alias("d"),

@@ -83,6 +83,11 @@ def near_copies(spark):
         step = list(step)
         step[rng.randrange(60)] = rng.choice(vocab)
         rows.append(step)
+    large = [rng.choice(vocab) for _ in range(520)]     # sets just over and under LONG, and well over it
+    for n in (1, 2, 6, 11, 40):
+        rows.append(large[n:])
+    for n in (0, 30, 400, 700):
+        rows.append((large * 3)[: 1500 - n] + [rng.choice(vocab) for _ in range(n)])
     for _ in range(60):
         rows.append([rng.choice(vocab[:6]) for _ in range(rng.randint(1, 9))])
     return [(i, " ".join(w)) for i, w in enumerate(rows)]
