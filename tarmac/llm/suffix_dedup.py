@@ -121,11 +121,12 @@ def _windows(batches):
                  *[pa.array(c.view(np.int64)) for c in cols]], ["id", "lo", "hi", "h1", "h2"])
 
 
-def _compare(keys: list[str]):
+def _compare(keys: list[str], others: bool):
     """Compare neighbours in sorted order.
 
     State 0: the row's key is in two documents; 1: its run meets an edge of the task
-    and is not settled; 2: says that a run at an edge is settled.  The rows of a run
+    and is not settled; 2: says that a run at an edge is settled; 3 (with ``others``):
+    its key is in this document only.  The rows of a run
     wait until a second document comes or the run ends, so what waits is one
     document's.
     """
@@ -158,7 +159,7 @@ def _compare(keys: list[str]):
             last = run_of == len(start) - 1
             wait = last & ~flag
             edge = (run_of == 0) & ~flag & ~wait & (not inner)
-            for mask, state in ((flag, 0), (edge, 1)):
+            for mask, state in ((flag, 0), (edge, 1), (~flag & ~edge & ~wait & others, 3)):
                 if mask.any():
                     yield told(rows.filter(pa.array(mask)), state)
             held = rows.filter(pa.array(wait)) if wait.any() else None
@@ -173,18 +174,21 @@ def _compare(keys: list[str]):
     return run
 
 
-def repeated(rows: DataFrame, keys: list[str], order: str, name: str) -> DataFrame:
-    """Rows of ``rows`` whose ``keys`` occur under at least two ids.  ``rows`` must be stored."""
+def repeated(rows: DataFrame, keys: list[str], order: str, name: str,
+             others: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``keys`` occur under at least two ids, the other rows if asked for).  ``rows`` must be stored."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = [*keys, "id", order]
     kind = rows.withColumn("state", F.lit(0)).schema
-    told = saved(map_arrow(rows.repartitionByRange(n, *by).sortWithinPartitions(*by), _compare(keys), kind), name)
-    open_ = told.filter("state > 0")
+    told = saved(map_arrow(rows.repartitionByRange(n, *by).sortWithinPartitions(*by), _compare(keys, others), kind), name)
+    open_ = told.filter("state IN (1, 2)")
     settled = (open_.groupBy(*keys).agg(F.max("state").alias("s"), F.min("id").alias("a"), F.max("id").alias("b"),
                                         F.count_if(F.col("id").isNull()).alias("z"))
                .filter("s = 2 OR a <> b OR (z > 0 AND a IS NOT NULL)").select(*keys))
-    return told.filter("state = 0").unionByName(
-        told.filter("state = 1").join(settled, keys, "left_semi").select(*told.columns)).drop("state")
+    edge = told.filter("state = 1")
+    common = told.filter("state = 0").unionByName(edge.join(settled, keys, "left_semi").select(*told.columns))
+    single = told.filter("state = 3").unionByName(edge.join(settled, keys, "left_anti").select(*told.columns))
+    return common.drop("state"), single.drop("state")
 
 
 def _holders(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -202,14 +206,13 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     kind = docs.schema["id"].dataType.simpleString()
     sparse = saved(map_arrow(docs, _suffixes, f"id {kind}, pos long, lo long, hi long, key long, h1 long, h2 long"),
                    "suffix-sparse")
-    close = saved(repeated(sparse, ["key"], "pos", "suffix-sorted"), "suffix-close")
-    blocks = saved(repeated(close, ["h1", "h2"], "pos", "suffix-stretches"), "suffix-blocks")
+    close = saved(repeated(sparse, ["key"], "pos", "suffix-sorted")[0], "suffix-close")
+    blocks, alone = repeated(close, ["h1", "h2"], "pos", "suffix-stretches", others=True)
+    blocks, alone = saved(blocks, "suffix-blocks"), saved(alone.select("id", "pos", "key"), "suffix-alone")
     # of a repeated stretch two holders stand for all against the suffixes at edges
     place = F.struct("id", "pos", "key")
     two = blocks.groupBy("h1", "h2").agg(F.min(place).alias("x"), F.max(place).alias("y"))
     two = two.select("h1", "h2", F.explode(F.array("x", "y")).alias("z")).select("h1", "h2", "z.*")
-    alone = saved(close.join(two.select("h1", "h2").distinct(), ["h1", "h2"], "left_anti")
-                  .select("id", "pos", "key"), "suffix-alone")
     stand = two.join(alone.select("key").distinct(), "key", "left_semi").select("id", "pos")
     edges = saved(alone.select("id", "pos").unionByName(stand).groupBy("id").agg(
         F.sort_array(F.collect_set("pos")).alias("places")), "suffix-edges")
@@ -217,7 +220,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                    F.col("id").eqNullSafe(F.col("_id")), "left_semi")
     at = at.join(edges.withColumnRenamed("id", "_id"), F.col("id").eqNullSafe(F.col("_id"))).select("id", "text", "places")
     near = saved(map_arrow(at, _windows, f"id {kind}, lo long, hi long, h1 long, h2 long"), "suffix-windows")
-    runs = repeated(near, ["h1", "h2"], "lo", "suffix-runs")
+    runs, _ = repeated(near, ["h1", "h2"], "lo", "suffix-runs")
     long_ = blocks.filter(F.col("hi") - F.col("lo") >= LENGTH)
     found = saved(_holders(long_, ["h1", "h2"]).unionByName(_holders(runs, ["h1", "h2"])), "suffix-found")
     # gaps and islands per document
