@@ -41,6 +41,7 @@ from tarmac.session import ensure_checkpoint_dir, scratch_path, ship_package
 HOLD, FOLDS = 1, 5          # held out: crc32(id as text) mod FOLDS = HOLD
 START, END = np.uint64(0x5D1AF5A1B7C3E94D), np.uint64(0x2C9E77D0A3B1F685)
 SPREAD = 8                  # shards over which one word's followers spread
+MANY = 255                  # counts from here on are in arrays of their own; one byte holds the others
 PAIRS = 3_000_000           # pairs a task sums before it passes them on
 
 
@@ -149,8 +150,12 @@ def _write_pairs(root: str):
         v, w = v.view(np.uint64), w.view(np.uint64)
         key = pair_key(v, w)
         order = np.argsort(key)
-        _write(root, f"pair-keys-{shard}", key[order])
-        _write(root, f"pair-counts-{shard}", c[order].astype(np.float32))
+        key, count = key[order], c[order]
+        _write(root, f"pair-keys-{shard}", key)
+        _write(root, f"pair-counts-{shard}", np.minimum(count, MANY).astype(np.uint8))
+        many = count >= MANY
+        _write(root, f"many-keys-{shard}", key[many])
+        _write(root, f"many-counts-{shard}", count[many])
         words, at = np.unique(w, return_inverse=True)
         yield _word_rows(words, c=np.bincount(at, c).astype(np.int64), left=np.bincount(at).astype(np.int64))
         words, at = np.unique(v, return_inverse=True)
@@ -187,8 +192,8 @@ def _write_words(root: str, meta: dict):
         total = np.where(h[order] == START, meta["texts"], c)
         p = (left - _discount(left, low)) / meta["pairs"] + meta["spare"] / (meta["V"] + 1)
         mass = (d[0] * f1 + d[1] * f2 + d[2] * f3) / np.maximum(total, 1)
-        for name, values, kind in (("hash", h[order], np.uint64), ("count", c, np.float64), ("p", p, np.float32),
-                                   ("mass", np.where(total > 0, mass, 1), np.float32)):
+        for name, values, kind in (("hash", h[order], np.uint64), ("count", c, np.float64), ("p", p, np.float64),
+                                   ("mass", np.where(total > 0, mass, 1), np.float64)):
             _write(root, f"word-{name}-{part}", values.astype(kind))
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32())], ["part"])
 
@@ -279,14 +284,16 @@ def score_texts(model: Model, texts: pa.Array):
         words, at = np.unique(after, return_inverse=True)
         part = (words.view(np.int64) % model.shards).astype(np.int32)
         count, p, mass = found.find(words, part, "word-hash", [
-            ("word-count", np.float64, 0), ("word-p", np.float32, unseen), ("word-mass", np.float32, 1)])
+            ("word-count", np.float64, 0), ("word-p", np.float64, unseen), ("word-mass", np.float64, 1)])
         start = np.array([START])
         _, _, mass0 = found.find(start, (start.view(np.int64) % model.shards).astype(np.int32), "word-hash", [
-            ("word-count", np.float64, 0), ("word-p", np.float32, unseen), ("word-mass", np.float32, 1)])
+            ("word-count", np.float64, 0), ("word-p", np.float64, unseen), ("word-mass", np.float64, 1)])
         key, pos, of = np.unique(pair_key(before, after), return_index=True, return_inverse=True)
-        together, = found.find(key, pair_shard(before[pos], after[pos], model.shards), "pair-keys",
-                               [("pair-counts", np.float32, 0)])
-        together = together[of].astype(np.float64)
+        shard = pair_shard(before[pos], after[pos], model.shards)
+        together, = found.find(key, shard, "pair-keys", [("pair-counts", np.uint8, 0)])
+        many, together = together == MANY, together.astype(np.float64)
+        together[many], = found.find(key[many], shard[many], "many-keys", [("many-counts", np.int64, 0)])
+        together = together[of]
         c = count[at]
         total, left = np.empty(len(c)), np.empty(len(c))
         total[1:], left[1:] = c[:-1], mass[at][:-1]
@@ -328,3 +335,42 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.meta["N"]).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+# The folds' crc32 is worked out bit by bit; '< >' and '</ >' hold a space, so no word equals them.
+ORACLE = r"""
+WITH ids AS (SELECT DISTINCT doc_id, coalesce(doc_id::VARCHAR, '') AS id FROM documents),
+crc AS (SELECT doc_id, xor(list_reduce(
+          [4294967295::BIGINT] || list_transform(string_split(id, ''), lambda c: ascii(c)::BIGINT),
+          lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                                   lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 5 = 1 AS held_out
+        FROM ids),
+d AS (SELECT doc_id, held_out, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') || ['</ >'] AS ws
+      FROM documents JOIN crc USING (doc_id)),
+t AS (SELECT doc_id, held_out, unnest(ws) AS w, unnest(['< >'] || ws[:-2]) AS v FROM d),
+c AS (SELECT w, count(*) AS c FROM t WHERE NOT held_out GROUP BY 1),
+vw AS (SELECT v, w, count(*) AS c FROM t WHERE NOT held_out GROUP BY 1, 2),
+num AS (SELECT (SELECT sum(c) FROM c) AS n, (SELECT count(*) FROM c) AS vocab, (SELECT count(*) FROM vw) AS pairs,
+        (SELECT count(*) FROM d WHERE NOT held_out) AS texts),
+lw AS (SELECT w, count(*) AS l FROM vw GROUP BY 1),
+told AS (SELECT 'vw' AS k, count(*) FILTER (c = 1) AS n1, count(*) FILTER (c = 2) AS n2, count(*) FILTER (c = 3) AS n3,
+           count(*) FILTER (c = 4) AS n4 FROM vw
+         UNION ALL SELECT 'lw', count(*) FILTER (l = 1), count(*) FILTER (l = 2), count(*) FILTER (l = 3),
+           count(*) FILTER (l = 4) FROM lw),
+disc AS (SELECT k, CASE WHEN least(n1, n2, n3, n4) = 0 THEN [0.5::DOUBLE, 0.75, 0.9] ELSE
+           [least(greatest(1 - 2 * y * n2 / n1, 0.05), 0.95), least(greatest(2 - 3 * y * n3 / n2, 0.05), 1.95),
+            least(greatest(3 - 4 * y * n4 / n3, 0.05), 2.95)] END AS off
+         FROM (SELECT *, n1::DOUBLE / (n1 + 2 * n2) AS y FROM told)),
+dv AS (SELECT off FROM disc WHERE k = 'vw'), dl AS (SELECT off FROM disc WHERE k = 'lw'),
+spare AS (SELECT sum(off[least(l, 3)]) / (SELECT pairs FROM num) AS spare FROM lw, dl),
+p1 AS (SELECT w, (l - off[least(l, 3)]) / pairs + spare / (vocab + 1) AS p FROM lw, dl, num, spare),
+mass AS (SELECT v, sum(off[least(vw.c, 3)]) AS m, CASE WHEN v = '< >' THEN (SELECT texts FROM num) ELSE any_value(c.c) END AS total
+         FROM vw LEFT JOIN c ON c.w = vw.v, dv GROUP BY v)
+SELECT t.doc_id, t.held_out, count(*) AS n_tokens, count(c.c) AS n_known, any_value(n)::BIGINT AS train_tokens,
+  sum(log10((coalesce(c.c, 0) + 0.5) / (n + 0.5 * (vocab + 1)))) AS base_score,
+  sum(log10(coalesce((vw.c - off[least(vw.c, 3)]) / total, 0) + coalesce(m / total, 1) * coalesce(p, spare / (vocab + 1)))) AS score
+FROM t, num, dv, spare LEFT JOIN c ON c.w = t.w LEFT JOIN vw ON vw.v = t.v AND vw.w = t.w
+  LEFT JOIN mass ON mass.v = t.v LEFT JOIN p1 ON p1.w = t.w
+GROUP BY 1, 2
+"""

@@ -19,5 +19,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op5_decontaminate": decontaminate.ORACLE,
+    "op7_lm_score": language_model.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
