@@ -1,4 +1,8 @@
-"""Registered queries of the training-data operators and their DuckDB SQL."""
+"""Registered queries of the training-data operators and their DuckDB SQL.
+
+The others have no SQL that runs on whole tables: tests/llm checks them against
+brute force, the tokenizers library, or held-out accuracy.
+"""
 
 from __future__ import annotations
 
