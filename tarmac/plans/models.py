@@ -223,15 +223,23 @@ def mart_delay_causes(fact: DataFrame, carriers: DataFrame, dates: DataFrame) ->
 def carrier_month_stats(fact: DataFrame, carriers: DataFrame, dates: DataFrame) -> DataFrame:
     """Every aggregate of both marts in ONE pass over the fact.
 
-    The fact is first added up per (carrier, date, arrival delay) with plain hash
-    aggregates, so the dimensions join a few rows per carrier and day and the
-    percentiles see values with frequencies.  Duplicate dimension keys multiply
-    those rows, and with them every count and frequency, as they would the flights.
+    The dimensions join the day sums: a few rows per carrier and day.  Duplicate
+    dimension keys multiply those rows, and with them every count and frequency, as
+    they would the flights.
+    """
+    days = join_dim(day_sums(fact), carriers, "carrier_key", ["carrier_name"])
+    days = join_dim(days, dates, "date_key", ["year", "month_num", "month_name"])
+    return stats_of(days, MART_KEYS)
+
+
+def day_sums(fact: DataFrame) -> DataFrame:
+    """The fact added up per (carrier, date, arrival delay) with plain hash aggregates.
+
     The delayed-flight filter of the delay-cause mart is a condition inside its sums.
     """
     canc, divd = F.col("is_cancelled"), F.col("is_diverted")
     delayed = (F.col("arr_delayed_15") == 1) & ~canc
-    days = fact.groupBy("carrier_key", "date_key", "arr_delay_min").agg(
+    return fact.groupBy("carrier_key", "date_key", "arr_delay_min").agg(
         F.count(F.lit(1)).alias("n"),
         count_where(canc).alias("cancelled"), count_where(divd).alias("diverted"),
         count_where((F.col("arr_delayed_15") == 0) & ~canc & ~divd).alias("on_time"),
@@ -241,39 +249,43 @@ def carrier_month_stats(fact: DataFrame, carriers: DataFrame, dates: DataFrame)
         F.count(F.when(~canc, F.col("arr_delay_min"))).alias("arr_n"),
         count_where(delayed).alias("late"),
         *[F.sum(F.when(delayed, F.col(f"delay_{c}_min"))).alias(f"late_{c}") for c in CAUSES])
-    days = join_dim(days, carriers, "carrier_key", ["carrier_name"])
-    days = join_dim(days, dates, "date_key", ["year", "month_num", "month_name"])
 
+
+def stats_of(days: DataFrame, keys) -> DataFrame:
+    """All measures of the marts per ``keys``, from day sums; percentiles read values with frequencies."""
     def mean(part: str):
         return F.round(F.try_divide(F.sum(f"{part}_sum"), F.sum(f"{part}_n")), 2)
 
-    return days.groupBy(*MART_KEYS).agg(
+    stats = days.groupBy(*keys).agg(
         F.sum("n").alias("total_flights"), F.sum("cancelled").alias("cancelled_count"),
         F.sum("diverted").alias("diverted_count"), F.sum("on_time").alias("on_time_count"),
         mean("dep").alias("avg_dep_delay"), mean("arr").alias("avg_arr_delay"),
         F.percentile("arr_delay_min", F.array(F.lit(0.75), F.lit(0.95)), F.col("n")).alias("_p"),
         F.sum("late").alias("delayed_flights_count"),
         *[F.round(F.sum(f"late_{c}"), 0).alias(f"total_{c}_delay_min") for c in CAUSES])
+    # grand total = sum of the *rounded* sums; one NULL cause makes it NULL
+    total = _grand_total(f"total_{c}_delay_min" for c in CAUSES)
+    return stats.withColumn("total_delay_min", total).select(
+        *keys, "total_flights",
+        *[x for c in ("cancelled", "diverted", "on_time")
+          for x in (f"{c}_count", pct(f"{c}_count", "total_flights", 2).alias(f"{c}_pct"))],
+        "avg_dep_delay", "avg_arr_delay",
+        F.round(F.col("_p")[0], 2).alias("p75_arr_delay"), F.round(F.col("_p")[1], 2).alias("p95_arr_delay"),
+        "delayed_flights_count", *[f"total_{c}_delay_min" for c in CAUSES], "total_delay_min",
+        *[pct_of(f"total_{c}_delay_min", "total_delay_min", 1).alias(f"pct_{c}") for c in CAUSES])
+
+
+PERFORMANCE = ("total_flights", "cancelled_count", "cancelled_pct", "diverted_count", "diverted_pct",
+               "on_time_count", "on_time_pct", "avg_dep_delay", "avg_arr_delay", "p75_arr_delay", "p95_arr_delay")
+CAUSE_TOTALS = ("delayed_flights_count", *(f"total_{c}_delay_min" for c in CAUSES), "total_delay_min")
+CAUSE_SHARES = tuple(f"pct_{c}" for c in CAUSES)
 
 
 def mart_carrier_performance_from_stats(stats: DataFrame) -> DataFrame:
-    return (stats.select(
-        *MART_KEYS, "total_flights",
-        "cancelled_count", pct("cancelled_count", "total_flights", 2).alias("cancelled_pct"),
-        "diverted_count", pct("diverted_count", "total_flights", 2).alias("diverted_pct"),
-        "on_time_count", pct("on_time_count", "total_flights", 2).alias("on_time_pct"),
-        "avg_dep_delay", "avg_arr_delay",
-        F.round(F.col("_p")[0], 2).alias("p75_arr_delay"),
-        F.round(F.col("_p")[1], 2).alias("p95_arr_delay"),
-    ).orderBy("carrier_key", "year", "month_num"))
+    return (stats.select(*MART_KEYS, *PERFORMANCE).orderBy("carrier_key", "year", "month_num"))
 
 
 def mart_delay_causes_from_stats(stats: DataFrame) -> DataFrame:
     """Groups without a delayed flight do not exist in the filtered mart."""
-    s = (stats.where(F.col("delayed_flights_count") > 0)
-              .withColumn("total_delay_min", _grand_total(f"total_{c}_delay_min" for c in CAUSES)))
-    return (s.select(
-        *MART_KEYS, "delayed_flights_count",
-        *[f"total_{c}_delay_min" for c in CAUSES], "total_delay_min",
-        *[pct_of(f"total_{c}_delay_min", "total_delay_min", 1).alias(f"pct_{c}") for c in CAUSES],
-    ).orderBy("carrier_key", "year", "month_num"))
+    return (stats.where(F.col("delayed_flights_count") > 0)
+            .select(*MART_KEYS, *CAUSE_TOTALS, *CAUSE_SHARES).orderBy("carrier_key", "year", "month_num"))

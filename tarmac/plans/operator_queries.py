@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from tarmac.functions import casts as X
 from tarmac.functions.constants import STAGED_CARRIERS, WEEKEND_DAYS
-from tarmac.functions.scalar import avg_where, census_region, count_where, p_cont, pct, pct_of, surrogate_key
+from tarmac.functions.scalar import census_region, surrogate_key
 from tarmac.operators.relational import filter_carriers, join_dim
-from tarmac.plans.models import CAUSES
+from tarmac.plans import models as M
 from tarmac.plans.modelset import ModelSet
 from tarmac.sources.calendar import date_spine_between
 
@@ -91,66 +91,40 @@ def airport_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "dest", "dest_state", census_region("dest_state").alias("dest_region"))
 
 
-def _carrier_month(fact: DataFrame) -> DataFrame:
-    return fact.withColumn("flight_month", F.month("flight_date"))
+def _carrier_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marts' measures per carrier and month, from the fact's day sums (no dimension)."""
+    days = M.day_sums(ModelSet(spark, sf_dir).fact)
+    return M.stats_of(days.withColumn("flight_month", (F.col("date_key") / 100).cast("int") % 100),
+                      ("carrier_key", "flight_month"))
 
 
 def monthly_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A2-A4: counts, conditional counts and exact-decimal shares per
-    carrier and month (partial aggregation on the map side)."""
-    fact = _carrier_month(ModelSet(spark, sf_dir).fact)
-    canc, divd = F.col("is_cancelled"), F.col("is_diverted")
-    agg = fact.groupBy("carrier_key", "flight_month").agg(
-        F.count(F.lit(1)).alias("total_flights"),
-        count_where(canc).alias("cancelled_count"),
-        count_where(divd).alias("diverted_count"),
-        count_where((F.col("arr_delayed_15") == 0) & ~canc & ~divd).alias("on_time_count"))
-    return agg.select("*", *[pct(f"{c}_count", "total_flights", 2).alias(f"{c}_pct")
-                             for c in ("cancelled", "diverted", "on_time")])
+    """A2-A4: counts, conditional counts and exact-decimal shares per carrier and month."""
+    return _carrier_month(spark, sf_dir).select("carrier_key", "flight_month", *M.PERFORMANCE[:7])
 
 
 def delay_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: averages over non-cancelled flights, rounded to 2 decimals."""
-    fact = _carrier_month(ModelSet(spark, sf_dir).fact)
-    ok = ~F.col("is_cancelled")
-    return fact.groupBy("carrier_key", "flight_month").agg(
-        avg_where("dep_delay_min", ok, 2).alias("avg_dep_delay"),
-        avg_where("arr_delay_min", ok, 2).alias("avg_arr_delay"))
+    return _carrier_month(spark, sf_dir).select("carrier_key", "flight_month", "avg_dep_delay", "avg_arr_delay")
 
 
 def delay_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact interpolated 75th/95th percentiles, one aggregate buffer."""
-    fact = _carrier_month(ModelSet(spark, sf_dir).fact)
-    p = p_cont("arr_delay_min", [0.75, 0.95])
-    return (fact.groupBy("carrier_key", "flight_month").agg(p.alias("_p"))
-                .select("carrier_key", "flight_month",
-                        F.round(F.col("_p")[0], 2).alias("p75_arr_delay"),
-                        F.round(F.col("_p")[1], 2).alias("p95_arr_delay")))
-
-
-def _cause_totals(fact: DataFrame) -> DataFrame:
-    delayed = fact.where((F.col("arr_delayed_15") == 1) & ~F.col("is_cancelled"))
-    agg = _carrier_month(delayed).groupBy("carrier_key", "flight_month").agg(
-        F.count(F.lit(1)).alias("delayed_flights_count"),
-        *[F.round(F.sum(f"delay_{c}_min"), 0).alias(f"total_{c}_delay_min") for c in CAUSES])
-    total = None
-    for c in CAUSES:
-        col = F.col(f"total_{c}_delay_min")
-        total = col if total is None else total + col
-    return agg.withColumn("total_delay_min", total)
+    return _carrier_month(spark, sf_dir).select("carrier_key", "flight_month", "p75_arr_delay", "p95_arr_delay")
+
+
+def _with_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _carrier_month(spark, sf_dir).where("delayed_flights_count > 0")
 
 
 def delay_cause_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rounded cause sums and their (NULL-propagating) grand total."""
-    return _cause_totals(ModelSet(spark, sf_dir).fact)
+    return _with_delays(spark, sf_dir).select("carrier_key", "flight_month", *M.CAUSE_TOTALS)
 
 
 def delay_cause_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of each cause, NULL when the total is zero or NULL."""
-    t = _cause_totals(ModelSet(spark, sf_dir).fact)
-    return t.select("carrier_key", "flight_month",
-                    *[pct_of(f"total_{c}_delay_min", "total_delay_min", 1).alias(f"pct_{c}")
-                      for c in CAUSES])
+    return _with_delays(spark, sf_dir).select("carrier_key", "flight_month", *M.CAUSE_SHARES)
 
 
 def dim_left_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
