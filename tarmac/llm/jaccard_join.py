@@ -241,7 +241,7 @@ def _merge(comp: DataFrame, links: DataFrame, name: str) -> DataFrame:
 
 def _rooted(members: DataFrame, comp: DataFrame) -> DataFrame:
     """``members`` of unresolved regions only, with their ``root``."""
-    with_root = members.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    with_root = members.join(small_side(comp), "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = with_root.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                             F.count(F.lit(1)).alias("members")).filter("lo <> hi")
     return with_root.join(open_.select("region", "members"), "region")
@@ -275,9 +275,9 @@ def class_components(cells: DataFrame, sets: Sets, bits: DataFrame, small: int =
             span = span.unionByName(span.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
             star = star.select("region", "node", "n", "pos", "core", F.col("p.node").alias("pivot"))
             to = F.when(F.col("node") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("d"))
-            rest = star.join(span.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "d"),
+            rest = star.join(small_side(span.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "d")),
                              ["node", "pivot"], "left").withColumn("d", to).select(
-                F.col("region").cast("string").alias("region"), "node", "n", "pos", "d", "core")
+                "region", "node", "n", "pos", "d", "core")
             rest = saved(_rooted(rest, comp).join(bits, "node"), "jaccard-rest1")
         else:
             rest = rest.drop("root", "members")
@@ -303,7 +303,7 @@ def class_components(cells: DataFrame, sets: Sets, bits: DataFrame, small: int =
                 "to", F.when(F.col("node") == F.col("head"), F.lit(0.0)).otherwise(F.col("to")))
             home = F.min(F.struct("to", "head")).over(W.partitionBy("region", "node"))
             at = at.withColumn("home", home).filter(F.col("to") <= F.col("home.to") + 2 * EPS + 1e-9)
-            again = saved(at.select("region", F.concat_ws("/", "region", "head").alias("inner"), "node", "n", "pos",
+            again = saved(at.select("region", F.xxhash64("region", "head").alias("inner"), "node", "n", "pos",
                                     F.col("to").alias("d"), (F.col("head") == F.col("home.head")).alias("core"),
                                     "members", *BITS), f"jaccard-voronoi{n}")
             # a region that hardly shrinks is compared by size order, the rest goes on
