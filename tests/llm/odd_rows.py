@@ -1,20 +1,8 @@
-import os
-import sys
+"""Shared fixtures and constants; the session comes from the parent folder's conftest."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
-from tarmac.session import get_spark  # noqa: E402
-
 SF001 = "/root/testdata/sf0.001"
-
-
-@pytest.fixture(scope="session")
-def spark():
-    yield get_spark("local[4]", 4, app_name="tarmac-tests")
-
-
 LOREM = "the quick brown fox jumps over the lazy dog while seven small birds sing in an old green tree near water"
 
 

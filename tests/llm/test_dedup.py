@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from conftest import LOREM, SF001
+from odd_rows import LOREM, SF001, no_docs, odd_docs  # noqa: F401
 from tarmac.llm import exact_dedup as E
 from tarmac.llm import jaccard_join as J
 from tarmac.llm import line_dedup as L

@@ -4,7 +4,7 @@ import hashlib  # noqa: F401
 
 import brute
 import corpus_pipeline as P
-from conftest import SF001
+from odd_rows import SF001
 from tarmac.llm import decontaminate as D
 from tarmac.llm import quality as Q
 from tarmac.llm.common import saved, table

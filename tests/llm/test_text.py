@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from conftest import LOREM, SF001
+from odd_rows import LOREM, SF001, no_docs, odd_docs  # noqa: F401
 from tarmac.llm import bpe, decontaminate as D, html_extract as X, language_model as M, quality as Q, sharding as Z
 from tarmac.llm.queries import ORACLE_SQL, QUERIES
 from tarmac.oracle_check import compare
