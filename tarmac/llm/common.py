@@ -44,7 +44,7 @@ def plain(docs: DataFrame, *cols: str) -> DataFrame:
     return docs.select(*[docs[c] for c in cols])
 
 
-def _release() -> None:
+def release() -> None:
     """Give freed memory back: idle workers stay beside the executor for a while."""
     pa.default_memory_pool().release_unused()
     try:
@@ -58,7 +58,7 @@ def map_arrow(df: DataFrame, run, schema) -> DataFrame:
 
     def task(batches):
         yield from run(batches)
-        _release()
+        release()
 
     ship_package(df.sparkSession)
     return df.mapInArrow(task, schema)

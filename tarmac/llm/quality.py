@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tarmac.llm import wordhash as H
-from tarmac.llm.common import map_arrow, plain, saved, table, unused
+from tarmac.llm.common import map_arrow, plain, release, saved, table, unused
 
 SAMPLE = 12_000       # rows of each kind the model is fitted on
 STEPS, RATE, DECAY = 400, 0.03, 1e-4
@@ -92,8 +92,13 @@ def features(texts: pa.Array) -> np.ndarray:
 
 def scaled(x: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
     """Standardised, clipped, and with squares, so that both tails of a feature can count."""
-    z = np.clip((x - mean) / spread, -6, 6)
-    return np.concatenate([z, z * z / 6, np.ones((len(z), 1), z.dtype)], axis=1)
+    width = x.shape[1]
+    out = np.ones((len(x), 2 * width + 1), np.float32)
+    z = out[:, :width]
+    np.divide(x - mean.astype(np.float32), spread.astype(np.float32), out=z)
+    np.clip(z, -6, 6, out=z)
+    np.multiply(z, z / 6, out=out[:, width:-1])
+    return out
 
 
 def _sigmoid(g):
@@ -142,11 +147,14 @@ def estimated_prior(pos: np.ndarray, unl: np.ndarray) -> float:
 
 class Model:
     def __init__(self, pos: np.ndarray, unl: np.ndarray):
-        every = np.concatenate([pos, unl]).astype(np.float64) if len(pos) and len(unl) else np.zeros((1, WIDTH))
-        self.mean, self.spread = every.mean(0), every.std(0) + 1e-3
+        both = [x for x in (pos, unl) if len(x)]
+        n = max(1, sum(map(len, both)))
+        self.mean = sum((x.sum(0, dtype=np.float64) for x in both), np.zeros(WIDTH)) / n
+        square = sum((np.einsum("ij,ij->j", x, x, dtype=np.float64) for x in both), np.zeros(WIDTH)) / n
+        self.spread = np.sqrt(np.maximum(square - self.mean ** 2, 0)) + 1e-3
         self.weights, self.prior = np.zeros(2 * WIDTH + 1), 0.5
         if len(pos) and len(unl):
-            pos, unl = (scaled(x, self.mean, self.spread).astype(np.float32) for x in (pos, unl))
+            pos, unl = (scaled(x, self.mean, self.spread) for x in (pos, unl))
             self.prior = estimated_prior(pos, unl)
             self.weights = _fit(pos, unl, self.prior)
 
@@ -175,9 +183,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = train.join(F.broadcast(picked), "id")
     kept = map_arrow(rows.select("id", "good", "text"), _numbers(["good"]), "id string, good boolean, x binary")
     got = kept.orderBy("id", "x").collect()  # at most 2 * sample rows of WIDTH numbers
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in got]).reshape(-1, WIDTH)
-    good = np.array([r["good"] for r in got], bool)
-    return Model(x[good], x[~good])
+    kinds = [np.frombuffer(b"".join(r["x"] for r in got if r["good"] == kind), np.float32).reshape(-1, WIDTH)
+             for kind in (True, False)]
+    del got
+    model = Model(*kinds)
+    del kinds
+    release()  # the driver keeps running for long
+    return model
 
 
 def _numbers(keep: list[str]):
