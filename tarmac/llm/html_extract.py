@@ -8,8 +8,9 @@
    paths: tags and classes from the root, numbers written as ``#``.  Spark adds the
    votes up per host and path with partial sums, so a host holding a third of all
    pages is a few rows per task, and takes each host's winner.
-3. The pages are read again and the text of the winning path's container is taken,
-   or of the page's own best container where the page lacks that path.
+3. The pages are read again and the text of every container with the winning path is
+   taken, in page order, so an article spread over such containers stays whole.  Where
+   the page lacks that path, its own best container's path takes its place.
 
 Text: character references are decoded, white space in a block becomes one space,
 blocks follow in page order with one line end between, and furniture is left out.
@@ -194,23 +195,30 @@ class Page:
                 node = self.parent[node]
         return {i: max(h, d) / total for i, (h, d) in enumerate(zip(holds, deep)) if i and (h or d)}
 
-    def best(self, path: str | None) -> int:
-        """The container of ``path`` that earns most, else the one of any path; 0 is the page."""
+    def best(self, path: str | None) -> list[int]:
+        """The containers of ``path``, else those of the path whose container earns most; 0 is the page."""
         scores = self.scores()
-        among = {i: s for i, s in scores.items() if self.path[i] == path} or scores
-        return max(among, key=lambda i: (among[i], -i)) if among else 0
-
-    def text(self, node: int) -> str:
-        blocks, block = [], []
+        if not any(self.path[i] == path for i in scores):
+            path = self.path[max(scores, key=lambda i: (scores[i], -i))] if scores else ""
+        return [i for i, p in enumerate(self.path) if p == path]
+
+    def text(self, nodes: list[int]) -> str:
+        """Text of the containers, none of which holds another; each starts a block."""
+        within = [-1] * len(self.tag)
+        for node in nodes:
+            within[node:self.end[node]] = [node] * (self.end[node] - node)
+        blocks, block, last = [], [], -1
         for piece in [*self.pieces, None]:
-            if piece is None:
-                if block:
-                    text = " ".join(entities.unescape("".join(block)).split())
-                    if text:
-                        blocks.append(text)
-                    block = []
-            elif node <= piece[0] < self.end[node] and not self.bad[piece[0]]:
-                block.append(piece[1])
+            node = -1 if piece is None else within[piece[0]]
+            if block and (piece is None or node >= 0 and node != last):
+                text = " ".join(entities.unescape("".join(block)).split())
+                if text:
+                    blocks.append(text)
+                block = []
+            if node >= 0:
+                last = node
+                if not self.bad[piece[0]]:
+                    block.append(piece[1])
         return "\n".join(blocks)
 
 

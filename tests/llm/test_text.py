@@ -63,6 +63,26 @@ def test_html_odd_pages(spark):
     assert X.extract(empty).count() == 0
 
 
+def test_html_article_over_several_containers(spark):
+    """Every container with the winning path counts, on a host's own path and on a page that lacks it."""
+    parts = ["words of part %d " % i * 20 for i in range(3)]
+    want = "\n".join(p.strip() for p in parts)
+    body = "<body><nav>menu</nav>{}<div class='teaser'><p>more</p></div></body>"
+    shapes = ["".join(f"<div class='part-{i}'><p>{p}</p></div>" for i, p in enumerate(parts)),
+              "<hr><div class='ad'>Buy!</div>".join(f"<section><p>{p}</p></section>" for p in parts),
+              "".join(f"<article><p>{p}</p></article>" for p in parts),
+              "<x-part>%s</x-part> <x-part>%s</x-part>aside<x-part>%s</x-part>" % tuple(
+                  f"<div>{p}</div>" for p in parts),
+              f"<section><p>{parts[0]}</p></section><section><a href='#'>{parts[1]}</a></section>"
+              f"<section><p>{parts[2]}</p></section>"]
+    pages = [(f"http://h{i}.org/{k}", body.format(s)) for i, s in enumerate(shapes) for k in range(2)]
+    assert extracted(spark, pages) == [want] * len(pages)
+    story = "<body><div class='story'><p>%s</p></div></body>" % ("real text " * 30)
+    pages = [("http://g.org/%d" % i, story) for i in range(9)] + [("http://g.org/9", body.format(shapes[1].replace(
+        parts[0], parts[0] * 9)))]
+    assert extracted(spark, pages)[9] == "\n".join([(parts[0] * 9).strip(), *want.split("\n")[1:]])
+
+
 # ---------------------------------------------------------------- BPE
 
 @pytest.fixture(scope="module")
