@@ -27,6 +27,8 @@ Defined results: a null, empty or wordless text has no shingles, is its own
 component and links with nothing; a text of fewer than five words is one shingle;
 rows repeating an id are linked when their sets are; ids may be null and then lose
 as component id; an empty table gives an empty result; extra columns are ignored.
+``stage`` judges every row by its id and its text: other rows of the id stay, as do
+rows that tie on the least id of their component.
 """
 
 from __future__ import annotations
@@ -74,12 +76,12 @@ def shingle_sets(texts: pa.Array, words: int = WORDS):
 
 
 def _prints(docs: DataFrame, words: int, whole: bool, sketch) -> DataFrame:
-    """Per document: id, n, two digests of its set, and the set (``whole``) or its prefix by rarity."""
+    """Per document: id, h, n, two digests of its set, and the set (``whole``) or its prefix by rarity."""
 
     def each(batches):
         rare = sketch.value if sketch is not None else None
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            ids, texts, h = batch.column(0), batch.column(1), batch.column(2)
             for row, got, at, edge in shingle_sets(texts, words):
                 size = np.diff(edge)
                 d1, d2 = np.zeros(len(size), np.uint64), np.zeros(len(size), np.uint64)
@@ -105,13 +107,13 @@ def _prints(docs: DataFrame, words: int, whole: bool, sketch) -> DataFrame:
                     odd = np.bincount(bit, minlength=len(size) * 1024).reshape(len(size), 1024) & 1
                     bits = np.packbits(odd.astype(np.uint8), axis=1).view(np.uint64).T
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(row, len(size)), pa.array(size, pa.int64()),
+                    [ids.slice(row, len(size)), h.slice(row, len(size)), pa.array(size, pa.int64()),
                      *[pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (d1, d2, *bits)], lists],
-                    ["id", "n", "d1", "d2", *WIDE, "hashes"])
+                    ["id", "h", "n", "d1", "d2", *WIDE, "hashes"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return map_arrow(docs.select("id", "text"), each,
-                     f"id {kind}, n long, d1 long, d2 long, {', '.join(f'{b} long' for b in WIDE)}, hashes array<long>")
+    return map_arrow(docs.select("id", "text", "h"), each,
+                     f"id {kind}, h long, n long, d1 long, d2 long, {', '.join(f'{b} long' for b in WIDE)}, hashes array<long>")
 
 
 def _bit_length(n):
@@ -170,19 +172,23 @@ def _bits_allow(x: str, y: str, nx, ny, bits=BITS):
 class Sets:
     """Whole shingle sets of nodes, worked out anew from the texts of those a round asks for.
 
-    ``nodes``: node, first_id (a document that holds the set), n, d1, d2 and WIDE.
+    ``nodes``: node, first_id and first_h (a document that holds the set), n, d1, d2 and WIDE.
     """
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, words: int):
         self.docs, self.nodes, self.words = docs, nodes, words
 
+    def _rows(self, ends: DataFrame) -> DataFrame:
+        """The documents that hold the sets of ``ends``; ids alone may be null or repeat."""
+        firsts = ends.select(F.col("first_id").alias("_id"), F.col("first_h").alias("_h"))
+        return self.docs.join(firsts, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left_semi")
+
     def _long_allowed(self, pairs: DataFrame, name: str) -> DataFrame:
         """``pairs`` without those of long sets that parities in proportion to the sets rule out."""
         ends = pairs.select("pair", F.explode(F.array("a", "b")).alias("node")).join(
-            self.nodes.filter(F.col("n") > LONG).select("node", "first_id", "n", "d1", "d2"), "node")
+            self.nodes.filter(F.col("n") > LONG).select("node", "first_id", "first_h", "n", "d1", "d2"), "node")
         ends = saved(ends, f"{name}-long")
-        rows = self.docs.join(small_side(ends).select(F.col("first_id").alias("id")), "id", "left_semi")
-        bits = _parities(rows, self.words).join(small_side(ends), ["n", "d1", "d2"]).groupBy("pair").agg(
+        bits = _parities(self._rows(small_side(ends)), self.words).join(small_side(ends), ["n", "d1", "d2"]).groupBy("pair").agg(
             F.collect_set(F.struct("bits", "n")).alias("s"))
         x, y = F.get("s", F.lit(0)), F.get("s", F.lit(1))
         size = x["n"] + y["n"]
@@ -206,11 +212,10 @@ class Sets:
         if not all_distances:
             pairs = saved(self._long_allowed(pairs, name), f"{name}-left")
         ends = pairs.select("pair", F.explode(F.array("a", "b")).alias("node")).join(
-            self.nodes.select("node", "first_id", "n", "d1", "d2"), "node")
+            self.nodes.select("node", "first_id", "first_h", "n", "d1", "d2"), "node")
         ends = small_side(saved(ends, f"{name}-ends"))
-        rows = self.docs.join(ends.select(F.col("first_id").alias("id")), "id", "left_semi")
         # each set travels once per pair it is in, to the task of that pair
-        sets = _prints(rows, self.words, True, None).select("n", "d1", "d2", "hashes").join(ends, ["n", "d1", "d2"])
+        sets = _prints(self._rows(ends), self.words, True, None).select("n", "d1", "d2", "hashes").join(ends, ["n", "d1", "d2"])
         both = sets.groupBy("pair").agg(F.collect_set("hashes").alias("s"))
         x, y = F.get("s", F.lit(0)), F.get("s", F.lit(1))
         shared = F.size(F.array_intersect(x, y)).cast("long")
@@ -333,15 +338,18 @@ def _within(members: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """Per document: id, n_shingles, component_id."""
+    """Per document: id, h (hash of the text), n_shingles, component_id."""
     spark = docs.sparkSession
-    docs = plain(docs, id_col, text_col).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs = plain(docs, id_col, text_col).select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
     seen = counted(docs.select("text"), lambda texts: (got for _, got, _, _ in shingle_sets(texts, words)))
     sketch = spark.sparkContext.broadcast(seen)  # of fixed size
     prints = saved(_prints(docs, words, False, sketch), "jaccard-prints")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h"))  # a null id only if all are
     classes = saved(prints.filter("n > 0").groupBy("n", "d1", "d2").agg(
-        F.min("id").alias("first_id"), F.first("hashes").alias("hashes"), *[F.first(b).alias(b) for b in WIDE])
-        .withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
+        first.alias("first"), F.first("hashes").alias("hashes"), *[F.first(b).alias(b) for b in WIDE])
+        .withColumns({"node": F.monotonically_increasing_id(), "first_id": F.col("first.id"),
+                      "first_h": F.col("first.h")}).drop("first"), "jaccard-classes")
     # size and place share a long: most of these rows meet nobody, so they are kept narrow
     posted = classes.select("node", "n", F.posexplode("hashes").alias("pos", "region")).select(
         "region", "node", (F.shiftleft("n", 31) + F.col("pos")).alias("place"))
@@ -356,17 +364,19 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
         "root", F.coalesce("root", "node"))
     least = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = saved(roots.join(least, "root").select("n", "d1", "d2", "component_id"), "jaccard-named")
-    return prints.select("id", "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left").select(
-        "id", F.col("n").alias("n_shingles"),
+    return prints.select("id", "h", "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left").select(
+        "id", "h", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return join(table(spark, sf_dir, "documents")).drop("h").withColumnRenamed("id", "doc_id")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component the document with the least doc_id stays."""
-    gone = join(docs).filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id"))
+    gone = join(docs).filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(
+        F.col("id").alias("_id"), F.col("h").alias("_h"))
     gone = small_side(saved(gone.distinct(), "jaccard-gone"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"])
+                     & (F.xxhash64(docs["text"]) == gone["_h"]), "left_anti")

@@ -118,6 +118,29 @@ def test_jaccard_stage_keeps_one_of_each(odd_docs):
     assert sorted(r.doc_id for r in got.collect()) == [0, 2, 3, 4, 5, 7, 7, 9]
 
 
+def test_jaccard_null_and_repeated_ids(spark):
+    """Rows of one id, or of none, are judged one by one, and a null-id set links others."""
+    rng = random.Random(3)
+    text = lambda n: " ".join(f"u{rng.randrange(10 ** 6)}" for _ in range(n))
+    one, two, three, four = text(60), text(50), text(60), text(40)
+    left = " ".join(three.split()[5:])                   # three: left -- three -- right, ends too far apart
+    right = " ".join(three.split()[:-8])
+    large = text(1200)
+    docs = spark.createDataFrame([
+        (1, one), (None, one), (None, two), (None, four), (4, one + " end"), (4, text(45)), (4, None),
+        (10, left), (None, three), (11, right), (12, " ".join(large.split()[90:])), (None, large),
+        (13, " ".join(large.split()[:-120]))], "doc_id long, text string")
+    assert brute.jaccard_components([(1, left), (2, right)])[2][1] == 2
+    got = {(r.id, r.n_shingles): r.component_id for r in J.join(docs).collect()}
+    assert got[10, 51] == got[11, 48] == 10
+    assert {r.component_id for r in J.join(docs).collect() if (r.id, r.n_shingles) == (None, 56)} == {1, 10}
+    assert [got[12, 1106], got[None, 1196], got[13, 1076]] == [12, 12, 12]
+    kept = sorted((r.doc_id or 0, r.text) for r in J.stage(spark, docs, SF001).collect() if r.text)
+    gone = {(0, one), (4, one + " end"), (0, three), (11, right), (0, large), (13, " ".join(large.split()[:-120]))}
+    assert kept == sorted({(r.doc_id or 0, r.text) for r in docs.collect() if r.text} - gone)
+    assert J.stage(spark, docs, SF001).filter("doc_id = 4 AND text IS NULL").count() == 1
+
+
 # ---------------------------------------------------------------- line dedup
 
 def test_line_dedup_matches_brute_force(spark):
