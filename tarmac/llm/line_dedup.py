@@ -1,8 +1,9 @@
 """Line dedup: an exact set-similarity join of lines; later matches are removed.
 
 A line's set is its distinct words; two lines match when their sets' Jaccard
-similarity is at least 0.8.  Lines are ordered by (document, number); a line goes
-when any earlier line matches it, whether or not that one stays.
+similarity is at least 0.8.  Lines are ordered by (document, number), documents by
+their id and then their text's hash; a line goes when any earlier line matches it,
+whether or not that one stays.
 
 1. Lines with equal sets are one class, named by its first line.  Every line but the
    first of a class goes at once; only classes join.
@@ -16,9 +17,9 @@ when any earlier line matches it, whether or not that one stays.
    goes.
 
 Defined results: white space around words does not count; lines without words are
-kept and match nothing; a null text stays null; of rows repeating an id the lines
-are ordered by their text's hash too; null ids come first; an empty table gives an
-empty result; extra columns pass through ``dedup``; lines of any length are compared
+kept and match nothing; a null text stays null; rows repeating an id, or without one,
+are documents of their own where their texts differ, and one document, treated alike,
+where both are the same; null ids come first; an empty table gives an empty result; extra columns pass through ``dedup``; lines of any length are compared
 whole.
 """
 
@@ -90,7 +91,7 @@ def _rows(whole: bool, rare):
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
+            ids, h = batch.column(0), batch.column(2)
             for row, number, text, tokens, edge, d1, d2, bits in line_sets(batch.column(1), rare.value):
                 size = np.diff(edge)
                 keep = size.copy()
@@ -103,15 +104,16 @@ def _rows(whole: bool, rare):
                 inside = np.arange(len(tokens)) - np.repeat(edge[:-1], size) < np.repeat(keep, size)
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(keep)), pa.int32()),
                                                  pa.array(tokens[inside].view(np.int64)))
+                at = pa.array(row + text)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(row + text)), pa.array(number, pa.int32()), pa.array(size, pa.int32()),
+                    [ids.take(at), h.take(at), pa.array(number, pa.int32()), pa.array(size, pa.int32()),
                      *[pa.array(x.view(np.int64)) for x in (d1, d2, bits)], lists],
-                    ["id", "line", "n", "d1", "d2", "bits", "words"])
+                    ["id", "h", "line", "n", "d1", "d2", "bits", "words"])
 
     return run
 
 
-KIND = "id {}, line int, n int, d1 long, d2 long, bits long, words array<long>"
+KIND = "id {}, h long, line int, n int, d1 long, d2 long, bits long, words array<long>"
 
 
 def _enough(common, nx, ny):
@@ -144,21 +146,23 @@ def _true(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every line: id, h (hash of the text), line, n (distinct words), removed."""
-    docs = plain(docs, id_col, text_col).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs = plain(docs, id_col, text_col).select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
     spark, kind = docs.sparkSession, KIND.format(docs.schema["id"].dataType.simpleString())
     rare = spark.sparkContext.broadcast(counted(docs.select("text"), _words))  # of fixed size
     lines = saved(map_arrow(docs, _rows(False, rare), kind), "line-sets")
-    first = F.min(F.struct("id", "line")).alias("first")
+    first = F.min(F.struct("id", "h", "line")).alias("first")
     classes = saved(lines.filter("n > 0").groupBy("n", "d1", "d2", "bits").agg(first, F.max("words").alias("words"))
                     .withColumn("class", F.monotonically_increasing_id()), "line-classes")
     pairs = saved(matches(classes), "line-candidates")
     met = saved(classes.drop("words", "bits").join(
         pairs.select(F.explode(F.array("x", "y")).alias("class")).distinct(), "class", "left_semi"), "line-met")
-    ids = small_side(saved(met.select(F.col("first.id").alias("_id")).distinct(), "line-docs"))
-    rows = docs.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = map_arrow(rows, _rows(True, rare), kind).select("n", "d1", "d2", "id", "line", "words")
+    ids = met.select(F.col("first.id").alias("_id"), F.col("first.h").alias("_h")).distinct()
+    ids = small_side(saved(ids, "line-docs"))
+    rows = docs.join(ids, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left_semi")
+    sets = map_arrow(rows, _rows(True, rare), kind).select("n", "d1", "d2", "id", "h", "line", "words")
     sets = saved(sets.join(small_side(met), ["n", "d1", "d2"]).filter(
-        F.struct("id", "line").eqNullSafe(F.col("first"))).select(
+        F.struct("id", "h", "line").eqNullSafe(F.col("first"))).select(
         "class", "words").dropDuplicates(["class"]), "line-whole")
     x, y = (met.select(F.col("class").alias(s), F.col("first").alias(f"{s}_first")) for s in "xy")
     pairs = pairs.join(x, "x").join(y, "y")
@@ -175,26 +179,30 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ruled = saved(classes.select("n", "d1", "d2", "class", "first").join(later, "class", "left")
                   .select("n", "d1", "d2", "first", F.coalesce("beaten", F.lit(False)).alias("beaten")), "line-ruled")
     out = lines.drop("words", "bits").join(ruled, ["n", "d1", "d2"], "left")
-    gone = (F.col("n") > 0) & (F.col("beaten") | ~F.struct("id", "line").eqNullSafe(F.col("first")))
-    return out.select("id", "line", "n", F.coalesce(gone, F.lit(False)).alias("removed"))
+    gone = (F.col("n") > 0) & (F.col("beaten") | ~F.struct("id", "h", "line").eqNullSafe(F.col("first")))
+    return out.select("id", "h", "line", "n", F.coalesce(gone, F.lit(False)).alias("removed"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the removed lines."""
-    gone = removed_lines(docs, id_col, text_col).filter("removed").groupBy(F.col("id").alias("_id")).agg(
-        F.collect_set("line").alias("_gone"))
+    gone = removed_lines(docs, id_col, text_col).filter("removed").groupBy(
+        F.col("id").alias("_id"), F.col("h").alias("_h")).agg(F.collect_set("line").alias("_gone"))
     parts = F.split(F.regexp_replace(docs[text_col], r"\n$", ""), "\n", -1)
     kept = F.filter(parts, lambda _, i: ~F.array_contains(gone["_gone"], i))
-    out = docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]), "left")
+    out = docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (F.xxhash64(docs[text_col]) == gone["_h"]), "left")
     text = F.when(gone["_gone"].isNull(), docs[text_col]).otherwise(F.array_join(kept, "\n"))
     return out.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = removed_lines(docs).groupBy("id").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.count_if("removed").alias("n_removed"),
-        F.sort_array(F.collect_set(F.when(F.col("removed"), F.col("line")))).alias("gone"))
-    return docs.select("doc_id").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
+    # a document written twice has each of its lines twice
+    gone = F.sort_array(F.collect_set(F.when(F.col("removed"), F.col("line")))).alias("gone")
+    found = removed_lines(docs).groupBy(F.col("id").alias("_id"), F.col("h").alias("_h")).agg(
+        (F.max("line") + 1).cast("long").alias("n_lines"), gone)
+    out = docs.select("doc_id", F.xxhash64("text").alias("h")).join(
+        found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left")
+    return out.select(
+        "doc_id", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
+        F.size(F.coalesce("gone", F.array().cast("array<int>"))).cast("long").alias("n_removed"),
         F.coalesce(F.array_join(F.col("gone").cast("array<string>"), ","), F.lit("")).alias("removed_lines"))

@@ -160,6 +160,23 @@ def test_line_dedup_texts_and_odd_rows(spark, odd_docs, no_docs):
     assert (0, 0, True) in told and (None, 0, False) in told and (6, 0, True) in told     # null ids come first
 
 
+def test_line_dedup_null_and_repeated_ids(spark, tmp_path):
+    """Texts under one id, or under none, keep their own lines; a document written twice counts once."""
+    same = "one line that all of them hold"
+    rows = [(i, f"{same}\nonly {k} has this\n{k}{k} and {k}{k}{k}") for i, k in
+            [(None, "a"), (None, "b"), (5, "c"), (5, "d"), (7, "e"), (7, "e")]] + [(5, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [r.text for r in L.dedup(docs).collect()]
+    whole = [t for t in left if t and same in t]
+    assert len(left) == 8 and len(whole) == 1                 # the first by id and hash, a null-id row
+    cut = {t.split("\n", 1)[1] for _, t in rows if t}
+    assert {t.replace(same + "\n", "") for t in left if t} == cut
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((r.doc_id or 0, r.n_lines, r.n_removed, r.removed_lines) for r in L.op4_line_dedup(spark, str(tmp_path)).collect())
+    assert got == [(0, 0, 0, ""), (0, 3, 0, ""), (0, 3, 1, "0"), (5, 0, 0, ""), (5, 3, 1, "0"), (5, 3, 1, "0"),
+                   (7, 3, 1, "0"), (7, 3, 1, "0")]
+
+
 # ---------------------------------------------------------------- suffix dedup
 
 def spans_of(df):
