@@ -5,7 +5,9 @@ Every document starts in the shard of its id's hash.  In each round a link group
 with one partial aggregate, and members elsewhere want to move to the shard that
 holds most of the group.  The flows between shards form a small matrix; quotas cut
 them so that no shard outgrows its capacity, and a group moves as one because the
-quota is taken by a hash of its key.  After the rounds an exact settling step ranks
+quota is taken by a hash of its key.  Rounds go on until no flow is left or allowed,
+or the rows apart from most of their group stay as many for ``STILL`` rounds; the
+round with fewest counts, and their number is logged.  Then an exact settling step ranks
 each shard's documents, linked ones first, keeps as many as the shard may hold and
 moves the rest (documents without links before all others) into the free places.
 
@@ -23,12 +25,15 @@ table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tarmac.llm.common import plain, saved, table
 
 SHARDS = 24
-ROUNDS = 4
+ROUNDS = 40       # safety bound only
+STILL = 3         # rounds without fewer rows apart, after which none is expected
 BLOCK = 0.25      # largest piece of a link group, as a share of a shard
 GRAIN = 1 << 20   # grain of the hashed quota
 
@@ -64,14 +69,16 @@ def quotas(flows: dict, held: dict, shards: int, cap: float) -> list[int]:
     return [int(share.get((a, b), 0) * GRAIN) for a in range(shards) for b in range(shards)]
 
 
-def propagate(nodes: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
+def propagate(nodes: DataFrame, shards: int, rounds: int = ROUNDS) -> tuple[DataFrame, int]:
     """Move the linked rows of ``nodes`` (id, key, linked, shard, ...) towards their links.
 
+    Also gives the number of rows still apart from most of their group.
     Rows without links give way at no cost, so only linked rows count against the
     capacity here; ``settle`` evens out the rest.
     """
     cap = nodes.count() / shards
-    for n in range(rounds):
+    closest, least, still = nodes, None, 0
+    for n in range(rounds + 1):
         held = saved(nodes.filter("linked").groupBy("key", "shard").count(), f"shard-held-{n}")
         # the shard with most of the group wins, ties fall by hash
         best = held.groupBy("key").agg(
@@ -82,15 +89,23 @@ def propagate(nodes: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
         # at most shards * shards rows
         flows = {(r["shard"], r["target"]): r["w"] for r in
                  moves.groupBy("shard", "target").agg(F.sum("count").alias("w")).collect()}
-        if not flows:
+        apart = sum(flows.values())
+        if least is None or apart < least:
+            closest, least, still = nodes, apart, 0
+        else:
+            still += 1
+        if not flows or still == STILL or n == rounds:
             break
         sizes = {r["shard"]: r["n"] for r in held.groupBy("shard").agg(F.sum("count").alias("n")).collect()}
-        quota = F.get(F.lit(quotas(flows, sizes, shards, cap)), F.col("shard") * shards + F.col("target"))
+        share = quotas(flows, sizes, shards, cap)
+        if not any(share):
+            break
+        quota = F.get(F.lit(share), F.col("shard") * shards + F.col("target"))
         turn = F.pmod(F.xxhash64("key", F.lit(n)), F.lit(GRAIN))
         allowed = moves.filter(turn < quota).select("key", "shard", "target")
         nodes = saved(nodes.join(allowed, ["key", "shard"], "left")
                       .withColumn("shard", F.coalesce("target", "shard")).drop("target"), f"shard-labels-{n}")
-    return nodes
+    return closest, least
 
 
 def settle(nodes: DataFrame, shards: int) -> DataFrame:
@@ -137,7 +152,9 @@ def assign(nodes: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Data
         "linked": F.col("members").isNotNull(),
         "shard": F.pmod(F.xxhash64("id", "rank"), F.lit(shards)).cast("int")})
     nodes = saved(nodes.drop("members", "start", "rank"), "shard-start")
-    return settle(propagate(nodes, shards, rounds), shards)
+    nodes, apart = propagate(nodes, shards, rounds)
+    logging.getLogger(__name__).info("%d linked rows are apart from most of their group before settling", apart)
+    return settle(nodes, shards)
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -266,6 +266,21 @@ def test_sharding_splits_a_hot_group_only_as_needed(spark):
     assert cut <= 20                                            # random placing cuts about 300
 
 
+def test_sharding_goes_on_while_groups_come_together(spark):
+    """Only linked rows: quotas let groups move in small parts, so four rounds leave many apart."""
+    nodes = spark.createDataFrame([(i, f"g{i // 8}") for i in range(960)], "id long, key string")
+
+    def cut(**given):
+        got = placed(Z.assign(nodes, shards=12, **given))
+        check_law(got, 12)
+        where = defaultdict(Counter)
+        for r in got:
+            where[r.key][r.shard] += 1
+        return sum(sum(c.values()) - max(c.values()) for c in where.values())
+
+    assert cut() < cut(rounds=4)
+
+
 def test_sharding_odd_rows(spark):
     rows = [(1, "a"), (1, "a"), (None, None), (2, None), (3, "b")]
     got = placed(Z.assign(spark.createDataFrame(rows, "id long, key string"), shards=3))
