@@ -18,16 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` as Parquet into the cluster's shared folder and read it back.
 
     Cuts the lineage: a lost executor re-reads the table and recomputes nothing
-    above it.
+    above it.  ``options`` are the writer's.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,10 @@ brute force, the tokenizers library, or held-out accuracy.
 
 from __future__ import annotations
 
-from tarmac.llm import bpe, decontaminate, exact_dedup, html_extract, jaccard_join, language_model, line_dedup, quality, sharding, suffix_dedup
+from tarmac.llm import (
+    bpe, decontaminate, embedding_dedup, exact_dedup, hard_negatives, html_extract, jaccard_join, language_model,
+    line_dedup, phrases, quality, sharding, suffix_dedup,
+)
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
@@ -19,10 +22,16 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_sharding": sharding.op9_sharding,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_embedding_near_dedup": embedding_dedup.op11_embedding_near_dedup,
+    "op12_phrase_collocations": phrases.op12_phrase_collocations,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 ORACLE_SQL = {
     "op5_decontaminate": decontaminate.ORACLE,
     "op7_lm_score": language_model.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op11_embedding_near_dedup": embedding_dedup.ORACLE,
+    "op12_phrase_collocations": phrases.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
