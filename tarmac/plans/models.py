@@ -227,7 +227,12 @@ def carrier_month_stats(fact: DataFrame, carriers: DataFrame, dates: DataFrame)
     dimension keys multiply those rows, and with them every count and frequency, as
     they would the flights.
     """
-    days = join_dim(day_sums(fact), carriers, "carrier_key", ["carrier_name"])
+    return stats_from_days(day_sums(fact), carriers, dates)
+
+
+def stats_from_days(days: DataFrame, carriers: DataFrame, dates: DataFrame) -> DataFrame:
+    """The same from day sums, which may be stored ones: sums of them equal sums of their flights."""
+    days = join_dim(days, carriers, "carrier_key", ["carrier_name"])
     days = join_dim(days, dates, "date_key", ["year", "month_num", "month_name"])
     return stats_of(days, MART_KEYS)
 
