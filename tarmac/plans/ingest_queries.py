@@ -242,20 +242,6 @@ def mart_order(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.row_number().over(Window.orderBy("at")).alias("position"))
 
 
-def monthly_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the fixture, run the whole monthly job (incremental load,
-    build of all seven models as written tables, declared rules) and report
-    the row count of every table."""
-    from tarmac.plans.monthly import checks, paths, table_counts_df
-    _, root = _land(spark, sf_dir)
-    p = paths(scratch_path(spark, "monthly"))
-    load_raw(spark, root, p["raw"], p["raw_checkpoint"], pattern=LANDED_GLOB)
-    catalog = build(spark, read_loaded(spark, p["raw"]), p["models"])
-    from tarmac.operators.quality import assert_passed
-    assert_passed(checks(spark, catalog))
-    return table_counts_df(spark, catalog)
-
-
 def ingestion_log_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the fixture and build the ingestion log from the file manifest;
     compare each record's size, hash and names with the bytes of its file, read

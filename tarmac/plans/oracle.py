@@ -495,3 +495,28 @@ _NUMBERED = RAW_FLIGHTS.replace("l_shipdate as _LOAD_TIMESTAMP", "l_shipdate as
 LOAD_RAGGED = f"""select "Year", "Month", "FlightDate", "Reporting_Airline",
   case when ln % 2 = 1 then "Origin" end as "Origin", case when ln % 2 = 1 then "Dest" end as "Dest"
 from ({_NUMBERED}) r"""
+
+
+# ------------------------------------------------------------------ runs that follow one another
+
+FACT_WITHOUT_AUDIT = with_models("select * exclude (source_file, loaded_at) from fact_flights")
+
+CHANGED_FILES = with_models(MART_PERFORMANCE).replace(f"with raw_flights as ({RAW_FLIGHTS})", f"""with raw_flights as (
+  select * exclude (ln) from ({_NUMBERED}) x
+  where cast("Month" as int) not in (4, 5) and (cast("Month" as int) <> 3 or ln <= 3))""", 1)
+
+READER_STEPS = with_models("""select s.step, cast(case s.step when 'folders' then 2 else count(*) filter (
+    where f.m < 3 or f.m = 3 and (s.step in ('before', 'opened_before') or not f.is_cancelled)) end as bigint) as n
+from (values ('before'), ('opened_before'), ('after'), ('failed'), ('folders')) s(step)
+cross join (select month(flight_date) as m, is_cancelled from fact_flights) f group by s.step""")
+
+BOTH_MARTS = with_models(f"""select * from ({MART_PERFORMANCE}) p left join ({MART_DELAY_CAUSES}) c
+using ({MART_KEYS})""")
+
+RUN_SQL = {
+    "monthly_run_counts": with_models(TABLE_COUNTS),
+    "run_after_crash": FACT_WITHOUT_AUDIT,
+    "run_changed_files": CHANGED_FILES,
+    "table_reader_steps": READER_STEPS,
+    "marts_from_partial_runs": BOTH_MARTS,
+}

@@ -15,6 +15,7 @@ from tarmac.plans import oracle as O
 from tarmac.plans import ingest_queries as I
 from tarmac.plans import rule_suites as R
 from tarmac.plans import operator_queries as P
+from tarmac.plans import run_queries as U
 from tarmac.plans.modelset import ModelSet
 from tarmac.session import scratch_path
 
@@ -90,9 +91,9 @@ QUERIES: dict[str, Query] = {
     "fact_month_rebuild": I.fact_month_rebuild,
     "build_mart_layer": I.build_mart_layer,
     "mart_order": I.mart_order,
-    "monthly_run_counts": I.monthly_run_counts,
     "ingestion_log_months": I.ingestion_log_months,
     **P.QUERIES,
+    **U.QUERIES,
 }
 
 # --- fixed values: accepted values declared on stg_flights (for the oracle) ---
@@ -138,7 +139,7 @@ ORACLE_SQL: dict[str, str] = {
     "mart_order": O.with_models(f"""select carrier_key, year, month_num, cast(row_number() over (
         order by carrier_key nulls first, year nulls first, month_num nulls first) as int) as position
         from ({O.MART_PERFORMANCE}) m"""),
-    "monthly_run_counts": O.with_models(O.TABLE_COUNTS),
     "ingestion_log_months": O.INGESTION_LOG_MONTHS,
     **O.OPERATOR_SQL,
+    **O.RUN_SQL,
 }
