@@ -513,10 +513,17 @@ cross join (select month(flight_date) as m, is_cancelled from fact_flights) f gr
 BOTH_MARTS = with_models(f"""select * from ({MART_PERFORMANCE}) p left join ({MART_DELAY_CAUSES}) c
 using ({MART_KEYS})""")
 
+LEGS = with_models("""select s.scope, cast(count(*) filter (where s.scope = 'all' or l.last > 6) as bigint) as failures
+from (values ('all'), ('new')) s(scope) cross join (
+  select max(month(flight_date)) as last from fact_flights
+  group by carrier_key, flight_number, origin_airport_key, dest_airport_key having count(*) > 1) l
+group by s.scope""")
+
 RUN_SQL = {
     "monthly_run_counts": with_models(TABLE_COUNTS),
     "run_after_crash": FACT_WITHOUT_AUDIT,
     "run_changed_files": CHANGED_FILES,
     "table_reader_steps": READER_STEPS,
     "marts_from_partial_runs": BOTH_MARTS,
+    "unique_across_months": LEGS,
 }
