@@ -17,6 +17,7 @@ from tarmac.sinks.files import LANDED_GLOB, land_csv_gz, write_table
 from tarmac.sources.files import file_manifest
 from tarmac.sources.fixture import fixture_raw, raw_flights_from_lineitem, read_table
 from tarmac.sources.landing import CORRUPT_COL, read_raw, relative_path
+from tarmac.sources.records import load_result, read_lines, read_records, scan_records
 from tarmac.sources.schema import FILE_COLUMNS, LOAD_TS_COL, SOURCE_FILE_COL
 from tarmac.streaming.incremental import load_counts, load_raw, read_loaded
 
@@ -124,6 +125,46 @@ def _with_rejects(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     return raw, root
 
 
+def _numbered_lines(raw: DataFrame, root: str, broken) -> None:
+    """Each month's rows as one landed file, sorted by order and line number."""
+    text = broken(F.concat_ws(",", *_fields(raw)))
+    lines = raw.select(text.alias("line"), _month().alias("month"), "l_orderkey", "l_linenumber", "l_partkey")
+    header = F.lit(",".join(FILE_COLUMNS))
+    lines = lines.unionByName(lines.select("month").distinct().select(
+        header.alias("line"), "month", *[F.lit(-1).alias(c) for c in ("l_orderkey", "l_linenumber", "l_partkey")]))
+    (lines.repartition("month").sortWithinPartitions("month", "l_orderkey", "l_linenumber", "l_partkey")
+     .select("line", "month").write.partitionBy("month").option("compression", "gzip").text(root))
+
+
+def load_first_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per landed file what was loaded and where its first error is.
+
+    Line number 7 of an order opens a quote that is never closed, line number 6 has text
+    after a closing quote; both in the file's fourth field.
+    """
+    raw = raw_flights_from_lineitem(read_table(spark, sf_dir, "lineitem"),
+                                    extra=["l_orderkey", "l_linenumber", "l_partkey"])
+    root = scratch_path(spark, "landing-lines")
+    number = F.col("l_linenumber")
+    _numbered_lines(raw, root, lambda line: F.when(number == 7, F.concat(F.lit('2024,1,1,"'), "DayofMonth"))
+                    .when(number == 6, F.concat(F.lit('2024,1,1,"5"'), "DayofMonth")).otherwise(line))
+    found = load_result(scan_records(read_lines(spark, root, pattern="*.txt.gz")))
+    return found.select(F.regexp_extract("file", r"month=(\d+)", 1).cast("int").alias("month"), "status", "rows_parsed",
+                        "rows_loaded", "errors_seen", "first_error", "first_error_line", "first_error_character",
+                        "first_error_column_name")
+
+
+def load_quote_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that are left when every order's lines 6 and 7 break the quoting, and no others are lost."""
+    raw = raw_flights_from_lineitem(read_table(spark, sf_dir, "lineitem"), extra=["l_linenumber"])
+    root = scratch_path(spark, "landing-quotes")
+    line, number = F.concat_ws(",", *_fields(raw)), F.col("l_linenumber")
+    _write_lines(raw, root, line=F.when(number == 7, F.concat(F.lit('2024,1,"'), F.col("Month"))).when(
+        number == 6, F.concat(F.lit('"2024"x,'), line)).otherwise(line))
+    rows, _ = read_records(spark, root, pattern=LANDED_GLOB)
+    return rows.select(*[c for c in _fixture_text_columns(raw) if c != "l_linenumber"])
+
+
 def load_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: records parsed, loaded and rejected by the incremental load, over all its files."""
     _, root = _with_rejects(spark, sf_dir)

@@ -490,11 +490,25 @@ from ({_LINES}) x group by 1"""
 COMPRESSION = f"""with raw_flights as ({RAW_FLIGHTS})
 select distinct cast("Month" as int) as month, true as smaller, true as share_ok from raw_flights"""
 
-_NUMBERED = RAW_FLIGHTS.replace("l_shipdate as _LOAD_TIMESTAMP", "l_shipdate as _LOAD_TIMESTAMP, l_linenumber as ln")
+NUMBERED = RAW_FLIGHTS.replace("l_shipdate as _LOAD_TIMESTAMP", "l_shipdate as _LOAD_TIMESTAMP, l_linenumber as ln")
 
 LOAD_RAGGED = f"""select "Year", "Month", "FlightDate", "Reporting_Airline",
   case when ln % 2 = 1 then "Origin" end as "Origin", case when ln % 2 = 1 then "Dest" end as "Dest"
-from ({_NUMBERED}) r"""
+from ({NUMBERED}) r"""
+
+
+# Line numbers 6 and 7 land broken, one file a month, sorted; line 1 is the header.
+LOAD_FIRST_ERRORS = """
+with x as (select cast(month(date '2024-01-01' + cast(l_orderkey % 340 as int)) as int) as month, l_linenumber as ln,
+  row_number() over (partition by month(date '2024-01-01' + cast(l_orderkey % 340 as int))
+                     order by l_orderkey, l_linenumber, l_partkey) + 1 as line from lineitem),
+m as (select month, count(*) as n, count(*) filter (where ln < 6) as good, min(line) filter (where ln >= 6) as line,
+             arg_min(ln, line) filter (where ln >= 6) as ln from x group by month)
+select month, case when line is null then 'LOADED' when good > 0 then 'PARTIALLY_LOADED' else 'LOAD_FAILED' end as status,
+  cast(n as bigint) as rows_parsed, cast(good as bigint) as rows_loaded, cast(n - good as bigint) as errors_seen,
+  case ln when 7 then 'quoted field is not closed' when 6 then 'text after a closing quote' end as first_error,
+  cast(line as bigint) as first_error_line, case when line is not null then 10 end as first_error_character,
+  case when line is not null then 'DayofMonth' end as first_error_column_name from m"""
 
 
 # ------------------------------------------------------------------ runs that follow one another
@@ -502,7 +516,7 @@ from ({_NUMBERED}) r"""
 FACT_WITHOUT_AUDIT = with_models("select * exclude (source_file, loaded_at) from fact_flights")
 
 CHANGED_FILES = with_models(MART_PERFORMANCE).replace(f"with raw_flights as ({RAW_FLIGHTS})", f"""with raw_flights as (
-  select * exclude (ln) from ({_NUMBERED}) x
+  select * exclude (ln) from ({NUMBERED}) x
   where cast("Month" as int) not in (4, 5) and (cast("Month" as int) <> 3 or ln <= 3))""", 1)
 
 READER_STEPS = with_models("""select s.step, cast(case s.step when 'folders' then 2 else count(*) filter (

@@ -84,6 +84,8 @@ QUERIES: dict[str, Query] = {
     "load_counts": I.load_counts_query,
     "load_rejects": I.load_rejects,
     "load_ragged": I.load_ragged,
+    "load_first_errors": I.load_first_errors,
+    "load_quote_grammar": I.load_quote_grammar,
     "load_pattern": I.load_pattern,
     "land_late_rows": I.land_late_rows,
     "compression_report": I.compression_query,
@@ -130,6 +132,9 @@ ORACLE_SQL: dict[str, str] = {
     "load_counts": O.LOAD_COUNTS,
     "load_rejects": O.LOAD_REJECTS,
     "load_ragged": O.LOAD_RAGGED,
+    "load_first_errors": O.LOAD_FIRST_ERRORS,
+    "load_quote_grammar": O.raw_text_columns_sql().replace(O.RAW_FLIGHTS, f"select * exclude (ln) from ({O.NUMBERED}) x "
+                                                          "where ln < 6"),
     "load_pattern": O.raw_text_columns_sql() + ' where cast("Month" as int) <= 6',
     "land_late_rows": O.raw_text_columns_sql(),
     "compression_report": O.COMPRESSION,
