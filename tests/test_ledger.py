@@ -109,6 +109,24 @@ def test_names_with_spaces_and_empty_landing(spark, landing):
     assert landing.sync()["replaced"] == 1 and landing.dates() == ["2024-01-02"]
 
 
+
+def test_load_by_the_quote_grammar(spark, landing):
+    good = csv_line({**DEFAULT, "OriginCityName": "two\nlines, NY"})
+    path = f"{landing.root}/on_time_x.csv.gz"
+    write_gz(path, [good, '2024,1,"open\n', good, '2024,"abc"x\n', good])
+    sync = lambda: L.sync(spark, landing.root, landing.out, landing.ckpt, landing.ledger, strict_quotes=True)
+    told = sync()
+    assert (told["rows"], told["rejected"]) == (3, 2)
+    live = L.read_live(spark, landing.out, landing.ledger)
+    assert {r.OriginCityName for r in live.collect()} == {"two\nlines, NY"}
+    bad = L.read_live(spark, landing.out, landing.ledger, rejects=True)
+    assert sorted(r._corrupt_record for r in bad.collect()) == ['2024,"abc"x', '2024,1,"open']
+    write_gz(path, [good, '"2024"x\n'])
+    told = sync()
+    assert (told["rows"], told["rejected"], told["replaced"]) == (1, 1, 1)
+    assert landing.files()["on_time_x.csv.gz"] == (2, "live", 1, [202401]) and len(landing.dates()) == 1
+
+
 # ---------------------------------------------------------------- months
 
 def test_only_touched_months_are_read(spark, tmp_path):
