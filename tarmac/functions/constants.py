@@ -33,6 +33,7 @@ REGION_DEFAULT = "Territory/Other"
 # --- fixed values: load contract ---
 NULL_TOKENS = ("", "NULL")                 # text that becomes NULL at load
 LANDING_FILE_GLOB = "*on_time_*.csv.gz"   # only these files are loaded
+LANDING_PATH_REGEX = r".*on_time_.*\.csv\.gz"   # the same over the whole path
 CSV_QUOTE = '"'
 
 # --- fixed values: calendar dimension ---

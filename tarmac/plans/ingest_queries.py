@@ -8,17 +8,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions.casts import cast_fails
+from tarmac.functions.constants import LANDING_PATH_REGEX
 from tarmac.operators.bookkeeping import compression_report, load_report, pending_files
 from tarmac.plans.build import FACT_PARTITION, build, partitioned_fact, rebuild_fact_months
 from tarmac.plans.models import stg_flights
 from tarmac.plans.modelset import ModelSet
 from tarmac.session import scratch_path
-from tarmac.sinks.files import LANDED_GLOB, land_csv_gz, write_table
-from tarmac.sources.files import file_manifest
+from tarmac.sinks.files import LANDED_GLOB, land_csv_gz, write_log_documents, write_table
+from tarmac.sources.files import file_manifest, inspect_csv
 from tarmac.sources.fixture import fixture_raw, raw_flights_from_lineitem, read_table
-from tarmac.sources.landing import CORRUPT_COL, read_raw, relative_path
+from tarmac.sources.landing import CORRUPT_COL, landed_files, read_raw, relative_path
 from tarmac.sources.records import load_result, read_lines, read_records, scan_records
 from tarmac.sources.schema import FILE_COLUMNS, LOAD_TS_COL, SOURCE_FILE_COL
+from tarmac.streaming.ledger import read_live, sync
 from tarmac.streaming.incremental import load_counts, load_raw, read_loaded
 
 
@@ -209,6 +211,39 @@ def load_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, root, pattern=LANDED_GLOB).select(*_fixture_text_columns(raw))
 
 
+def load_path_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default pattern over whole paths: the objects whose folder names them are loaded, others not."""
+    raw = fixture_raw(spark, sf_dir)
+    root = scratch_path(spark, "landing")
+    land_csv_gz(raw.where(_month() <= 4), root, source="on_time_2024_q1")
+    land_csv_gz(raw.where(_month().between(5, 8)), root, source="other_2024")
+    land_csv_gz(raw.where(_month() > 8), f"{root}/deep/on_time_2024/er", source="late")
+    chosen = landed_files(spark, root).select(F.col("path").alias("_path"))
+    rows = read_raw(spark, root, path_regex=LANDING_PATH_REGEX)
+    # every row is from a file of the list
+    return rows.join(chosen, rows[SOURCE_FILE_COL] == chosen["_path"], "left_semi").select(*_fixture_text_columns(raw))
+
+
+def load_same_bytes_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4, K5: every month's files lie there under a second name too; each is loaded once.
+
+    Then the first names of January to June are deleted: the second ones take over.
+    """
+    raw = fixture_raw(spark, sf_dir)
+    root, base = scratch_path(spark, "landing"), scratch_path(spark, "raw")
+    land_csv_gz(raw, f"{root}/first")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs, conf = path(root).getFileSystem(spark._jsc.hadoopConfiguration()), spark._jsc.hadoopConfiguration()
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, path(f"{root}/first"), fs, path(f"{root}/second"), False, conf)
+    places = (root, f"{base}/rows", f"{base}/checkpoint", f"{base}/files")
+    told = sync(spark, *places, pattern=LANDED_GLOB)
+    assert told["copies"] * 2 == told["new"]
+    for month in range(1, 7):
+        fs.delete(path(f"{root}/first/year=2024/month={month:02d}"), True)
+    sync(spark, *places, pattern=LANDED_GLOB)
+    return read_live(spark, f"{base}/rows", f"{base}/files").select(*_fixture_text_columns(raw))
+
+
 def land_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7: two objects hold rows of the same months; landing the first again adds nothing."""
     raw = raw_flights_from_lineitem(read_table(spark, sf_dir, "lineitem"), extra=["l_linenumber"])
@@ -298,3 +333,50 @@ def ingestion_log_months(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "uploaded_at_utc", "log_name", F.col("file_size_bytes").eqNullSafe(F.col("bytes")).alias("size_ok"),
                        F.col("file_sha256").eqNullSafe(F.col("sha")).alias("sha_ok"))
                .distinct())
+
+
+def log_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: the log's JSON files, one per landed file, written twice: their names and 13 fields read back."""
+    _, root = _land(spark, sf_dir)
+    manifest = file_manifest(spark, root, LANDED_GLOB)
+    # a month's files stand for one object: its first file by path
+    first = Window.partitionBy("year", "month").orderBy("path")
+    manifest = manifest.withColumn("at", F.row_number().over(first)).filter("at = 1").drop("at")
+    out = scratch_path(spark, "log")
+    for _ in range(2):
+        write_log_documents(manifest, out, "2024-07-01 09:26:16", aws_region="eu-west-1")
+    docs = spark.read.text(f"{out}/year=*/month=*/*.json", wholetext=True).select(
+        F.element_at(F.split("_metadata.file_path", "/"), -1).alias("document"), F.col("value").alias("text"))
+    schema = ("pipeline_name string, source_system string, step string, year int, month int, s3_bucket string, "
+              "s3_key string, aws_region string, filename string, file_size_bytes long, file_sha256 string, "
+              "uploaded_at_utc string, status string")
+    docs = docs.withColumn("r", F.from_json("text", schema))
+    keys = F.json_object_keys("text")
+    sizes = manifest.select(F.regexp_replace("path", r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?/?", "").alias("k"),
+                            F.col("size").alias("bytes"), F.col("sha256").alias("sha"))
+    docs = docs.join(sizes, F.col("r.s3_key") == F.col("k"), "left")
+    return docs.select(
+        "document", F.array_join(keys, " ").alias("fields"), "r.pipeline_name", "r.source_system", "r.step", "r.year",
+        "r.month", "r.aws_region", "r.uploaded_at_utc", "r.status",
+        F.col("r.file_size_bytes").eqNullSafe(F.col("bytes")).alias("size_ok"),
+        F.col("r.file_sha256").eqNullSafe(F.col("sha")).alias("sha_ok"),
+        F.col("r.filename").eqNullSafe(F.element_at(F.split("r.s3_key", "/"), -1)).alias("name_ok"))
+
+
+def inspect_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, records, columns, names and the cut first line of each month's file."""
+    raw = raw_flights_from_lineitem(read_table(spark, sf_dir, "lineitem"),
+                                    extra=["l_orderkey", "l_linenumber", "l_partkey"])
+    root = scratch_path(spark, "inspect")
+    _numbered_lines(raw, root, lambda line: line)
+    out = None
+    for month in range(1, 13):
+        stats, preview = inspect_csv(spark, f"{root}/month={month}", n=1)
+        part = stats.join(preview, how="full").select(
+            F.lit(month).alias("month"), "n_lines", "n_records", "n_columns",
+            F.array_join("first_columns", " ").alias("first_columns"),
+            F.array_join("last_columns", " ").alias("last_columns"),
+            F.length("line").alias("shown"), F.endswith("line", F.lit("...")).alias("cut"),
+            F.startswith("line", F.lit(f"2024,{(month + 2) // 3},{month},")).alias("first_line"))
+        out = part if out is None else out.unionByName(part)
+    return out

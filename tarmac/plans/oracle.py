@@ -12,6 +12,7 @@ from __future__ import annotations
 from tarmac.functions.constants import (
     CARRIER_GROUP_DEFAULT, CARRIER_GROUPS, CARRIER_NAME_DEFAULT, CARRIER_NAMES, CENSUS_REGIONS, REGION_DEFAULT,
 )
+from tarmac.sources.schema import FILE_COLUMNS
 
 # The F2 fixture: one all-text raw flight per line item.
 RAW_FLIGHTS = """
@@ -497,6 +498,21 @@ LOAD_RAGGED = f"""select "Year", "Month", "FlightDate", "Reporting_Airline",
 from ({NUMBERED}) r"""
 
 
+LOG_DOCUMENTS = f"""with raw_flights as ({RAW_FLIGHTS})
+select distinct 'ingestion_' || cast("Year" as int) || '_' || lpad("Month", 2, '0') || '_gzip_20240701T092616Z.json' as document,
+  'pipeline_name source_system step year month s3_bucket s3_key aws_region filename file_size_bytes file_sha256 uploaded_at_utc status' as fields,
+  'flights_ingestion' as pipeline_name, 'DOT BTS Reporting Carrier On-Time Performance' as source_system,
+  'recompress_and_upload_gzip' as step, cast("Year" as int) as year, cast("Month" as int) as month,
+  'eu-west-1' as aws_region, '2024-07-01T09:26:16+00:00' as uploaded_at_utc, 'SUCCESS' as status,
+  true as size_ok, true as sha_ok, true as name_ok
+from raw_flights"""
+
+INSPECT_FILES = f"""with raw_flights as ({RAW_FLIGHTS})
+select cast("Month" as int) as month, cast(count(*) as bigint) as n_lines, cast(count(*) as bigint) as n_records,
+  {len(FILE_COLUMNS)} as n_columns, '{" ".join(FILE_COLUMNS[:10])}' as first_columns,
+  '{" ".join(FILE_COLUMNS[-5:])}' as last_columns, 203 as shown, true as cut, true as first_line
+from raw_flights group by 1"""
+
 # Line numbers 6 and 7 land broken, one file a month, sorted; line 1 is the header.
 LOAD_FIRST_ERRORS = """
 with x as (select cast(month(date '2024-01-01' + cast(l_orderkey % 340 as int)) as int) as month, l_linenumber as ln,

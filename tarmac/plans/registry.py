@@ -87,6 +87,10 @@ QUERIES: dict[str, Query] = {
     "load_first_errors": I.load_first_errors,
     "load_quote_grammar": I.load_quote_grammar,
     "load_pattern": I.load_pattern,
+    "load_path_pattern": I.load_path_pattern,
+    "load_same_bytes_once": I.load_same_bytes_once,
+    "log_documents": I.log_documents,
+    "inspect_files": I.inspect_files,
     "land_late_rows": I.land_late_rows,
     "compression_report": I.compression_query,
     "strict_cast_errors": I.strict_cast_errors,
@@ -136,6 +140,10 @@ ORACLE_SQL: dict[str, str] = {
     "load_quote_grammar": O.raw_text_columns_sql().replace(O.RAW_FLIGHTS, f"select * exclude (ln) from ({O.NUMBERED}) x "
                                                           "where ln < 6"),
     "load_pattern": O.raw_text_columns_sql() + ' where cast("Month" as int) <= 6',
+    "load_path_pattern": O.raw_text_columns_sql() + ' where cast("Month" as int) not between 5 and 8',
+    "load_same_bytes_once": O.raw_text_columns_sql(),
+    "log_documents": O.LOG_DOCUMENTS,
+    "inspect_files": O.INSPECT_FILES,
     "land_late_rows": O.raw_text_columns_sql(),
     "compression_report": O.COMPRESSION,
     "strict_cast_errors": O.STRICT_CAST_ERRORS,

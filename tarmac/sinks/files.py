@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions.constants import (
@@ -121,6 +121,47 @@ def write_ingestion_log(manifest: DataFrame, out: str, uploaded_at=None, **kwarg
        .write.mode("append").option("ignoreNullFields", "false").partitionBy("log_year", "log_month").json(out))
 
 
+def write_log_documents(manifest: DataFrame, out: str, uploaded_at=None, **kwargs) -> list[str]:
+    """Write every log record as a JSON file of its own under ``year=/month=``, named ``log_name``.
+
+    Records are written aside by Spark and put in place by renames, one per landed file.
+    A retry with the same ``uploaded_at`` replaces its own files and adds none.  Where a
+    month has several files, the second and later records of a name carry their number
+    in the order of the files' paths.  Returns the names, relative to ``out``.
+    """
+    spark = manifest.sparkSession
+    if uploaded_at is None:
+        uploaded_at = spark.range(1).select(F.current_timestamp()).first()[0]     # one time for all names
+    stamp = F.date_format(utc_ntz(F.lit(uploaded_at).cast("timestamp")), "yyyyMMdd'T'HHmmss'Z'")
+    undated = F.concat(F.lit("ingestion_0000_00_gzip_"), stamp, F.lit(".json"))      # a file outside month folders
+    log = ingestion_log(manifest, uploaded_at, **kwargs).withColumn("log_name", F.coalesce("log_name", undated))
+    number = F.row_number().over(Window.partitionBy("log_name").orderBy("s3_key"))
+    name = F.when(number == 1, F.col("log_name")).otherwise(
+        F.concat(F.regexp_replace("log_name", r"\.json$", "_"), number.cast("string"), F.lit(".json")))
+    folder = F.concat(F.lit("year="), F.coalesce(F.col("year").cast("string"), F.lit("0000")), F.lit("/month="),
+                      F.coalesce(F.lpad(F.col("month").cast("string"), 2, "0"), F.lit("00")), F.lit("/"))
+    fields = F.to_json(F.struct(*[c for c in log.columns if c != "log_name"]), {"ignoreNullFields": "false"})
+    docs = log.select(F.concat(folder, name).alias("name"), fields.alias("value"))
+    docs = docs.withColumn("document", F.sha2("name", 256))
+    aside = f"{out.rstrip('/')}/_aside-{uuid.uuid4().hex[:8]}"
+    p, fs = _filesystem(spark, aside)
+    files = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    try:
+        docs.select("value", "document").repartition("document").write.partitionBy("document").text(aside)
+        names = sorted((r.name, r.document) for r in docs.select("name", "document").collect())   # one per landed file
+        for name, document in names:
+            part = fs.globStatus(_filesystem(spark, f"{aside}/document={document}/part-*")[0])[0].getPath()
+            target = _filesystem(spark, f"{out.rstrip('/')}/{name}")[0]
+            fs.mkdirs(target.getParent())
+            files.rename(part, target, over)
+    finally:
+        fs.delete(p, True)
+    return [name for name, _ in names]
+
+
 def _filesystem(spark, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.functions.constants import CSV_QUOTE, LANDING_FILE_GLOB, NULL_TOKENS
+from tarmac.functions.constants import CSV_QUOTE, LANDING_FILE_GLOB, LANDING_PATH_REGEX, NULL_TOKENS
 from tarmac.functions.scalar import null_if_token, utc_ntz
 from tarmac.sources.schema import (
     FILE_COLUMNS, FILE_SCHEMA, LOAD_TS_COL, RAW_COLUMNS, RAW_SCHEMA, SOURCE_FILE_COL,
@@ -130,24 +130,49 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def path_matches(root: str, regex: str) -> Column:
+    """Whether the file's whole path under ``root`` matches ``regex``.
+
+    A condition on the file's path alone: Spark applies it when it lists the files, and
+    opens no others.
+    """
+    return relative_path(F.col("_metadata.file_path"), root).rlike(f"^(?:{regex})$")
+
+
+def landed_files(spark: SparkSession, root: str, regex: str = LANDING_PATH_REGEX) -> DataFrame:
+    """(path under the root, size, modified) of the files whose path matches; none is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return files.where(path_matches(root, regex)).select(
+        relative_path(F.col("_metadata.file_path"), root).alias("path"), F.col("length").alias("size"),
+        F.col("modificationTime").alias("modified"))
+
+
 def scan_landing(spark: SparkSession, root: str, months=None, pattern: str | None = LANDING_FILE_GLOB,
-                 multiline: bool = True, loaded_at=None) -> DataFrame:
-    """Landed files -> 110 text columns + corrupt-record text + audit columns."""
-    reader = spark.read.schema(scan_schema()).options(**csv_options(multiline, pattern))
+                 multiline: bool = True, loaded_at=None, path_regex: str | None = None) -> DataFrame:
+    """Landed files -> 110 text columns + corrupt-record text + audit columns.
+
+    ``path_regex`` selects files by their whole path under ``root`` instead of ``pattern``.
+    """
+    reader = spark.read.schema(scan_schema()).options(**csv_options(multiline, None if path_regex else pattern))
     df = reader.csv(month_paths(root, months))
+    if path_regex:
+        df = df.where(path_matches(root, path_regex))
     return with_audit(null_tokens(df), root, loaded_at)
 
 
 def read_raw(spark: SparkSession, root: str, months=None, pattern: str | None = LANDING_FILE_GLOB,
-             multiline: bool = True, loaded_at=None, with_rejects: bool = False):
+             multiline: bool = True, loaded_at=None, with_rejects: bool = False, path_regex: str | None = None):
     """Raw table rows (112 columns) from the landing folder.
 
+    Files are chosen by ``pattern`` on their name, or by ``path_regex`` on their whole path
+    under ``root`` (``LANDING_PATH_REGEX`` is the load contract's).
+
     With ``with_rejects=True`` returns ``(raw, rejects)`` where ``rejects``
     holds the unparsable records for a quarantine table.
     """
     if months is not None and not list(months):
         empty = spark.createDataFrame([], RAW_SCHEMA)       # nothing selected
         return (empty, spark.createDataFrame([], f"{CORRUPT_COL} string")) if with_rejects else empty
-    good, bad = split_corrupt(scan_landing(spark, root, months, pattern, multiline, loaded_at))
+    good, bad = split_corrupt(scan_landing(spark, root, months, pattern, multiline, loaded_at, path_regex))
     raw = good.select(*RAW_COLUMNS)
     return (raw, bad) if with_rejects else raw

@@ -218,3 +218,63 @@ def test_key_ledger_settles_hash_clashes_on_the_keys(spark, keys, monkeypatch):
     ledger.refresh(table)
     assert ledger.candidates().count() == 1
     assert sorted(map(tuple, ledger.duplicates(table).collect())) == [("b", 2)]
+
+
+# ---------------------------------------------------------------- contents, paths, documents
+
+def test_the_same_bytes_count_once(spark, landing):
+    first = landing.put(1, [1, 2])
+    body = open(first, "rb").read()
+    second, third = (f"{landing.root}/copies/on_time_{n}.csv.gz" for n in "bc")
+    os.makedirs(os.path.dirname(second))
+    for path in (second, third):
+        with open(path, "wb") as f:
+            f.write(body)
+    told = landing.sync()
+    assert (told["new"], told["copies"]) == (3, 2) and landing.dates() == ["2024-01-01", "2024-01-02"]
+    marks = L.month_marks(L.read_ledger(spark, landing.ledger))
+    assert marks[202401].startswith("1:")
+    live = [n for n, f in landing.files().items() if f[1] == "live"]
+    assert live == ["on_time_b.csv.gz"]                        # the first by its path
+    os.remove(second)
+    assert landing.sync()["deleted"] == 1
+    assert landing.dates() == ["2024-01-01", "2024-01-02"]     # another copy takes over
+    assert landing.files()["on_time_c.csv.gz"][1] == "live"
+    write_gz(third, [csv_line({**DEFAULT, "FlightDate": "2024-01-09"})])
+    landing.sync()
+    assert landing.dates() == ["2024-01-01", "2024-01-02", "2024-01-09"]      # no copy any more
+
+
+def test_path_regex_opens_no_other_file(spark, tmp_path):
+    from tarmac.sources.landing import landed_files, read_raw
+    root = str(tmp_path / "l")
+    good = write_gz(f"{root}/on_time_x/a.csv.gz", [csv_line(DEFAULT)])
+    write_gz(f"{root}/other/b.csv.gz", [csv_line(DEFAULT)])
+    write_gz(f"{root}/other/on_time_c.csv.gz.bak", [csv_line(DEFAULT)])
+    with open(f"{root}/other/on_time_broken.csv.gz.x", "w") as f:
+        f.write("not gzip")
+    rows = read_raw(spark, root, path_regex=r".*on_time_.*\.csv\.gz")
+    assert [r._SOURCE_FILE for r in rows.collect()] == ["on_time_x/a.csv.gz"]
+    assert [(r.path, r.size) for r in landed_files(spark, root).collect()] == [
+        ("on_time_x/a.csv.gz", os.path.getsize(good))]
+    assert read_raw(spark, root, path_regex="nothing").count() == 0
+
+
+def test_log_documents_of_one_month_and_a_retry(spark, tmp_path):
+    import json
+    from tarmac.sinks.files import write_log_documents
+    from tarmac.sources.files import file_manifest
+    for n in "ab":
+        write_gz(str(tmp_path / f"in/year=2024/month=03/on_time_{n}.csv.gz"), [csv_line(DEFAULT)])
+    write_gz(str(tmp_path / "in/on_time_c.csv.gz"), [])
+    out = str(tmp_path / "log")
+    manifest = file_manifest(spark, str(tmp_path / "in"))
+    names = write_log_documents(manifest, out, "2024-04-01 12:00:00")
+    assert names == write_log_documents(manifest, out, "2024-04-01 12:00:00")
+    assert [n.split("/")[-1] for n in names if "month=03" in n] == [
+        "ingestion_2024_03_gzip_20240401T120000Z.json", "ingestion_2024_03_gzip_20240401T120000Z_2.json"]
+    assert len(names) == 3
+    found = sorted(os.path.relpath(os.path.join(d, f), out) for d, _, fs in os.walk(out) for f in fs if f.endswith(".json"))
+    assert found == sorted(names) and not [d for d in os.listdir(out) if d.startswith("_aside")]
+    doc = json.loads(open(f"{out}/{names[0]}").read())
+    assert len(doc) == 13 and "aws_region" in doc and doc["aws_region"] is None
