@@ -33,7 +33,7 @@ from tarmac.llm.common import map_arrow, table
 
 CACHE_WORDS = 100_000   # stretches a worker remembers; more are worked out again
 BLOCK = 1 << 18         # parts of words merged side by side
-PIECE = 2 << 20         # bytes of text encoded at once; a longer text is a piece of its own
+PIECE = 1 << 19         # bytes of text encoded at once; a longer text is a piece of its own
 
 
 def byte_alphabet() -> list[str]:
@@ -236,6 +236,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids",
                 for at, k, text in decode_ids(tokens, ids):
                     yield pa.RecordBatch.from_arrays(
                         [*part.slice(at, k).columns, ids.slice(at, k), text], [*names, out, decoded])
+            pa.default_memory_pool().release_unused()
 
     return map_arrow(docs.select(*names), run, kind)
 
