@@ -50,7 +50,6 @@ EPS = 1 - NUM / DEN
 LONG = 512                  # shingles of a set whose parities get more bits than WIDE
 STARS = 2                   # rounds of one pivot per region
 WIDE = [f"w{k}" for k in range(16)]   # parity of the hashes on each of 1024 bits
-BITS = ["b0", "b1", "b2", "b3"]       # the same on 256: words of WIDE that fold onto one another
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS):
@@ -152,20 +151,9 @@ def _reach(nx, ny, px, py):
     return (NUM + DEN) * most >= NUM * (nx + ny)
 
 
-def _folded():
-    """The 256-bit parities from the 1024-bit ones."""
-    out = []
-    for k, b in enumerate(BITS):
-        part = F.col(WIDE[k])
-        for j in range(k + len(BITS), len(WIDE), len(BITS)):
-            part = part.bitwiseXOR(F.col(WIDE[j]))
-        out.append(part.alias(b))
-    return out
-
-
-def _bits_allow(x: str, y: str, nx, ny, bits=BITS):
+def _bits_allow(x: str, y: str, nx, ny):
     """Sets differ in at least as many shingles as their parities do in bits."""
-    apart = sum(F.bit_count(F.col(f"{x}{b}").bitwiseXOR(F.col(f"{y}{b}"))) for b in bits)
+    apart = sum(F.bit_count(F.col(f"{x}{b}").bitwiseXOR(F.col(f"{y}{b}"))) for b in WIDE)
     return (NUM + DEN) * (nx + ny - apart) >= 2 * NUM * (nx + ny)
 
 
@@ -207,7 +195,7 @@ class Sets:
             x, y = (self.nodes.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("n", *WIDE)])
                     for s in "ab")
             pairs = pairs.join(x, "a").join(y, "b").filter(
-                _bits_allow("a_", "b_", F.col("a_n"), F.col("b_n"), WIDE)).select("a", "b")
+                _bits_allow("a_", "b_", F.col("a_n"), F.col("b_n"))).select("a", "b")
         pairs = saved(pairs.withColumn("pair", F.monotonically_increasing_id()), f"{name}-pairs")
         if not all_distances:
             pairs = saved(self._long_allowed(pairs, name), f"{name}-left")
@@ -254,7 +242,7 @@ def _rooted(members: DataFrame, comp: DataFrame) -> DataFrame:
 
 def class_components(cells: DataFrame, sets: Sets, bits: DataFrame, small: int = SMALL,
                      pivots: int = PIVOTS, stars: int = STARS) -> DataFrame:
-    """(node, root) of the nodes with links.  ``cells``: region, node, n, pos; ``bits``: node, b0..b3."""
+    """(node, root) of the nodes with links.  ``cells``: region, node, n, pos; ``bits``: node and WIDE."""
     rest = cells.select("region", "node", "n", "pos", F.lit(None).cast("double").alias("d"), F.lit(True).alias("core"))
     comp = None
     for n in range(stars):
@@ -266,7 +254,7 @@ def class_components(cells: DataFrame, sets: Sets, bits: DataFrame, small: int =
         # of a group of copies.  Later rounds take some other component's member.
         turn = F.lit(0) if n == 0 else F.xxhash64("root", F.lit(n))
         lead = F.min(F.struct(turn.alias("turn"), "pos", F.xxhash64("node").alias("tie"), "node", "n",
-                              *(BITS if n else []), *(["root"] if n else []))).over(W.partitionBy("region"))
+                              *(WIDE if n else []), *(["root"] if n else []))).over(W.partitionBy("region"))
         star = rest.withColumn("p", lead)
         near = F.col("node") != F.col("p.node")
         near &= _close(F.col("n"), F.col("p.n")) & _reach(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos"))
@@ -310,13 +298,13 @@ def class_components(cells: DataFrame, sets: Sets, bits: DataFrame, small: int =
             at = at.withColumn("home", home).filter(F.col("to") <= F.col("home.to") + 2 * EPS + 1e-9)
             again = saved(at.select("region", F.xxhash64("region", "head").alias("inner"), "node", "n", "pos",
                                     F.col("to").alias("d"), (F.col("head") == F.col("home.head")).alias("core"),
-                                    "members", *BITS), f"jaccard-voronoi{n}")
+                                    "members", *WIDE), f"jaccard-voronoi{n}")
             # a region that hardly shrinks is compared by size order, the rest goes on
             sizes = again.groupBy("region", "inner").agg(F.count(F.lit(1)).alias("now"), F.max("members").alias("was"))
             stuck = sizes.filter("now > 0.8 * was").select("region").distinct()
             pairs = pairs.unionByName(_within(large.join(stuck, "region", "left_semi")))
             again = again.join(stuck, "region", "left_anti").select(
-                F.col("inner").alias("region"), "node", "n", "pos", "d", "core", *BITS)
+                F.col("inner").alias("region"), "node", "n", "pos", "d", "core", *WIDE)
         got = sets.verified(pairs.distinct(), f"jaccard-round{n}")
         comp = _merge(comp, got.filter("linked").select("a", "b"), f"jaccard-comp{n}")
         if again is None:
@@ -328,7 +316,7 @@ def class_components(cells: DataFrame, sets: Sets, bits: DataFrame, small: int =
 def _within(members: DataFrame) -> DataFrame:
     """Pairs of different components in a region that sizes, places, bits and the pivot's distance allow."""
     x, y = (members.select("region", *[F.col(c).alias(f"{side}_{c}") for c in (
-        "node", "n", "pos", "d", "root", "core", *BITS)]) for side in "xy")
+        "node", "n", "pos", "d", "root", "core", *WIDE)]) for side in "xy")
     nx, ny = F.col("x_n"), F.col("y_n")
     near = F.expr("x_node < y_node AND x_root <> y_root AND (x_core OR y_core)") & _close(nx, ny) \
         & _reach(nx, ny, F.col("x_pos"), F.col("y_pos")) & _bits_allow("x_", "y_", nx, ny)
@@ -359,7 +347,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
         F.col("place").bitwiseAND((1 << 31) - 1).cast("int").alias("pos"))
     cells = saved(cells, "jaccard-cells")
     sets = Sets(docs, classes.drop("hashes"), words)
-    comp = class_components(cells, sets, classes.select("node", *_folded()))
+    comp = class_components(cells, sets, classes.select("node", *WIDE))
     roots = classes.select("node", "n", "d1", "d2", "first_id").join(comp, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     least = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
