@@ -210,12 +210,13 @@ def _sorted_keys(runs: Runs, lang: str):
     return key[order], count[order], first[order], k[order]
 
 
-def _range_cuts(keys: np.ndarray, n: int) -> np.ndarray:
-    """Where sorted keys pass into each of n equal ranges."""
-    edges = np.array([(i << 64) // n for i in range(n)] + [(1 << 64) - 1], np.uint64)
-    cuts = np.searchsorted(keys, edges)
-    cuts[-1] = len(keys)
-    return cuts
+def _ranges(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(range, first, end) of those of ``n`` equal key ranges that sorted keys fall into; n < 2**31."""
+    at = ((keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    new = np.ones(len(at), bool)
+    new[1:] = at[1:] != at[:-1]
+    first = np.flatnonzero(new)
+    return at[first].astype(np.int32), first, np.append(first[1:], len(at))
 
 
 def sent_keys(chunks: DataFrame, n: int) -> DataFrame:
@@ -225,12 +226,11 @@ def sent_keys(chunks: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             for chunk, lang, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 keys, counts, _, _ = _sorted_keys(Runs(body), lang)
-                cuts = _range_cuts(keys, n)
-                some = [i for i in range(n) if cuts[i] < cuts[i + 1]]
-                packed = [_pack(keys[cuts[i]:cuts[i + 1]], counts[cuts[i]:cuts[i + 1]]) for i in some]
+                some, first, end = _ranges(keys, n)
+                packed = [_pack(keys[i:j], counts[i:j]) for i, j in zip(first, end)]
                 release()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int32()), pa.array([chunk] * len(some), pa.int64()),
+                    [pa.array(some), pa.array(np.full(len(some), chunk, np.int64)),
                      pa.array(packed, pa.binary())], ["range", "chunk", "keys"])
 
     return map_arrow(chunks.select("chunk", "lang", "body"), send, "range int, chunk long, keys binary")
@@ -286,11 +286,11 @@ def counted(chunks: DataFrame, marks: DataFrame, n: int) -> DataFrame:
         for lang, body in zip(own["lang"].to_pylist(), own["body"].to_pylist()):
             runs = Runs(body)
             keys, counts, first, k = _sorted_keys(runs, lang)
-            cuts = _range_cuts(keys, n)
+            place = {r: (i, j) for r, i, j in zip(*(x.tolist() for x in _ranges(keys, n)))}
             chosen = np.zeros(len(keys), bool)
             for at, bits in zip(told["range"].to_pylist(), told["marks"].to_pylist()):
-                size = cuts[at + 1] - cuts[at]
-                chosen[cuts[at]:cuts[at + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=size)
+                i, j = place[at]
+                chosen[i:j] = np.unpackbits(np.frombuffer(bits, np.uint8), count=j - i)
             for length in range(1, LONGEST + 1):
                 these = np.flatnonzero(chosen & (k == length))
                 phrase = runs.text(first[these], length)

@@ -81,8 +81,11 @@ def test_phrases_sorted_keys_round_trip():
         counts = rng.integers(1, 1000, n)
         got, held = P._unpack(P._pack(keys, counts))
         assert (got == keys).all() and (held == np.minimum(counts, 255)).all()
-        cuts = P._range_cuts(keys, 7)
-        assert cuts[0] == 0 and cuts[-1] == n and (np.diff(cuts) >= 0).all()
+        for ranges in (1, 7, 1 << 30):
+            ids, first, end = P._ranges(keys, ranges)
+            assert (np.diff(ids) > 0).all() and (end > first).all() and (end - first).sum() == n
+            assert all(int(k) * ranges >> 64 in (r, r + 1) for r, i in zip(ids.tolist(), first) for k in keys[i:i + 1])
+            assert ids.max(initial=0) < ranges
 
 
 def test_phrases_no_frequent_run_is_lost_however_it_is_spread():
