@@ -9,10 +9,11 @@ whether or not that one stays.
    first of a class goes at once; only classes join.
 2. A class's words are ordered by rarity (counts in a table of fixed size; any total
    order is exact), and its prefix of n - ceil(0.8 n) + 1 words is posted.
-3. Classes that share a prefix word are candidates if their lengths, the places of
-   the shared word and 64 parity bits of both sets allow enough common words.  The
-   filters run inside the join, so only what passes leaves the task, and the skew
-   join splits a word that many prefixes share.
+3. Classes that share a prefix word are candidates if their lengths, the words from
+   the shared one on and 256 parity bits of both sets allow enough common words.  No
+   common word comes before the first shared one, so two matching classes pass there;
+   meetings at later words need not.  The filters run inside the join, so only what
+   passes leaves the task, and the skew join splits a word that many prefixes share.
 4. Candidates are verified on their whole sets, and a class with an earlier match
    goes.
 
@@ -34,6 +35,7 @@ from tarmac.llm.common import map_arrow, plain, saved, small_side, table
 from tarmac.llm.sketch import cell, counted
 
 NUM, DEN = 80, 100     # lines match at DEN * intersection >= NUM * union
+BITS = ["b0", "b1", "b2", "b3"]  # parities of a set's words in 256 cells
 
 
 def line_offsets(data: np.ndarray, offsets: np.ndarray):
@@ -51,9 +53,9 @@ def _words(texts: pa.Array):
 
 
 def _ordered(tokens: np.ndarray, line: np.ndarray, rank: np.ndarray):
-    """Order of the tokens by line, rank and hash."""
+    """Order of the tokens by line, rank (under 2 ** 13) and hash."""
     if not len(line) or int(line[-1]) < 1 << 20:
-        key = (line.astype(np.uint64) << np.uint64(44)) | (rank << np.uint64(38)) | (tokens >> np.uint64(26))
+        key = (line.astype(np.uint64) << np.uint64(44)) | (rank << np.uint64(31)) | (tokens >> np.uint64(33))
         order = np.argsort(key)
         k, t = key[order], tokens[order]
         if not ((k[1:] == k[:-1]) & (t[1:] != t[:-1])).any():
@@ -61,13 +63,18 @@ def _ordered(tokens: np.ndarray, line: np.ndarray, rank: np.ndarray):
     return np.lexsort((tokens, rank, line))  # two words with one short key: compare all bits
 
 
+def ranks(counts: np.ndarray) -> np.ndarray:
+    """Rarity of every cell, in steps of a 128th of a doubling; worked out once, so all tasks order alike."""
+    return (np.log2(np.maximum(counts, 1)) * 128).astype(np.uint16)
+
+
 def line_sets(texts: pa.Array, rare: np.ndarray):
     """Per piece: (first row, line number in its text, row, sets by rarity, their bounds, digests, bits)."""
     for row, data, offsets in H.pieces(texts):
         bounds, first = line_offsets(data, offsets)
         starts, ends, at = H.bounds(data, bounds)
         tokens, line = H.words(data, starts, ends), H.rows_of(at)
-        rank = np.log2(np.maximum(rare[cell(tokens)], 1) * 4.0).astype(np.uint64)
+        rank = rare[cell(tokens)].astype(np.uint64)
         order = _ordered(tokens, line, rank)
         tokens, line = tokens[order], line[order]
         new = np.ones(len(tokens), bool)
@@ -75,13 +82,16 @@ def line_sets(texts: pa.Array, rare: np.ndarray):
         tokens, line = tokens[new], line[new]
         n = len(bounds) - 1
         edge = np.searchsorted(line, np.arange(n + 1))
-        d1, d2, bits = (np.zeros(n, np.uint64) for _ in range(3))
+        d1, d2, *bits = (np.zeros(n, np.uint64) for _ in range(2 + len(BITS)))
         full = np.flatnonzero(np.diff(edge))
         if len(full):
             with np.errstate(over="ignore"):
                 d1[full] = np.add.reduceat(tokens, edge[full])
                 d2[full] = np.add.reduceat(H.mix(tokens + np.uint64(1)), edge[full])
-                bits[full] = np.bitwise_xor.reduceat(np.uint64(1) << (tokens >> np.uint64(58)), edge[full])
+                one = np.uint64(1) << (tokens >> np.uint64(58))
+                part = (tokens >> np.uint64(56)) & np.uint64(len(BITS) - 1)
+                for i, b in enumerate(bits):
+                    b[full] = np.bitwise_xor.reduceat(np.where(part == i, one, np.uint64(0)), edge[full])
         text = np.searchsorted(first, np.arange(n), "right") - 1
         yield row, np.arange(n) - first[text], text, tokens, edge, d1, d2, bits
 
@@ -107,13 +117,13 @@ def _rows(whole: bool, rare):
                 at = pa.array(row + text)
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(at), h.take(at), pa.array(number, pa.int32()), pa.array(size, pa.int32()),
-                     *[pa.array(x.view(np.int64)) for x in (d1, d2, bits)], lists],
-                    ["id", "h", "line", "n", "d1", "d2", "bits", "words"])
+                     *[pa.array(x.view(np.int64)) for x in (d1, d2, *bits)], lists],
+                    ["id", "h", "line", "n", "d1", "d2", *BITS, "words"])
 
     return run
 
 
-KIND = "id {}, h long, line int, n int, d1 long, d2 long, bits long, words array<long>"
+KIND = "id {}, h long, line int, n int, d1 long, d2 long, b0 long, b1 long, b2 long, b3 long, words array<long>"
 
 
 def _enough(common, nx, ny):
@@ -122,15 +132,16 @@ def _enough(common, nx, ny):
 
 def matches(classes: DataFrame) -> DataFrame:
     """Candidate pairs (x, y) of classes: shared prefix word, lengths, places and bits allow a match."""
-    posted = classes.select("class", "n", "bits", F.posexplode("words").alias("pos", "word")).select(
-        "word", "class", (F.col("n").cast("long") * (1 << 31) + F.col("pos")).alias("place"), "bits")
+    posted = classes.select("class", "n", *BITS, F.posexplode("words").alias("pos", "word")).select(
+        "word", "class", (F.col("n").cast("long") * (1 << 31) + F.col("pos")).alias("place"), *BITS)
     x, y = (posted.select(*[F.col(c).alias(f"{s}_{c}") for c in posted.columns]) for s in "xy")
     nx, ny = (F.shiftright(f"{s}_place", 31) for s in "xy")
     px, py = (F.col(f"{s}_place").bitwiseAND((1 << 31) - 1) for s in "xy")
-    apart = F.bit_count(F.col("x_bits").bitwiseXOR(F.col("y_bits")))
-    # words differ at least where the bits do: |x| + |y| - 2 common >= apart
+    apart = sum(F.bit_count(F.col(f"x_{b}").bitwiseXOR(F.col(f"y_{b}"))) for b in BITS)
+    # words differ at least where the bits do: |x| + |y| - 2 common >= apart; from the first
+    # shared word on there are at most as many common words as the shorter rest has
     near = ((nx < ny) | ((nx == ny) & (F.col("x_class") < F.col("y_class")))) & (DEN * nx >= NUM * ny) \
-        & _enough(F.least(px, py) + F.least(nx - px, ny - py), nx, ny) & _enough((nx + ny - apart) / 2, nx, ny)
+        & _enough(F.least(nx - px, ny - py), nx, ny) & _enough((nx + ny - apart) / 2, nx, ny)
     return x.join(y, (F.col("x_word") == F.col("y_word")) & near).select(
         F.col("x_class").alias("x"), F.col("y_class").alias("y")).distinct()
 
@@ -149,13 +160,14 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = plain(docs, id_col, text_col).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
     spark, kind = docs.sparkSession, KIND.format(docs.schema["id"].dataType.simpleString())
-    rare = spark.sparkContext.broadcast(counted(docs.select("text"), _words))  # of fixed size
+    rare = spark.sparkContext.broadcast(ranks(counted(docs.select("text"), _words)))  # of fixed size
     lines = saved(map_arrow(docs, _rows(False, rare), kind), "line-sets")
     first = F.min(F.struct("id", "h", "line")).alias("first")
-    classes = saved(lines.filter("n > 0").groupBy("n", "d1", "d2", "bits").agg(first, F.max("words").alias("words"))
+    classes = saved(lines.filter("n > 0").groupBy("n", "d1", "d2").agg(
+        first, F.max("words").alias("words"), *[F.first(b).alias(b) for b in BITS])
                     .withColumn("class", F.monotonically_increasing_id()), "line-classes")
     pairs = saved(matches(classes), "line-candidates")
-    met = saved(classes.drop("words", "bits").join(
+    met = saved(classes.drop("words", *BITS).join(
         pairs.select(F.explode(F.array("x", "y")).alias("class")).distinct(), "class", "left_semi"), "line-met")
     ids = met.select(F.col("first.id").alias("_id"), F.col("first.h").alias("_h")).distinct()
     ids = small_side(saved(ids, "line-docs"))
@@ -178,7 +190,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     later = saved(later.select(F.col("late").alias("class"), F.lit(True).alias("beaten")), "line-later")
     ruled = saved(classes.select("n", "d1", "d2", "class", "first").join(later, "class", "left")
                   .select("n", "d1", "d2", "first", F.coalesce("beaten", F.lit(False)).alias("beaten")), "line-ruled")
-    out = lines.drop("words", "bits").join(ruled, ["n", "d1", "d2"], "left")
+    out = lines.drop("words", *BITS).join(ruled, ["n", "d1", "d2"], "left")
     gone = (F.col("n") > 0) & (F.col("beaten") | ~F.struct("id", "h", "line").eqNullSafe(F.col("first")))
     return out.select("id", "h", "line", "n", F.coalesce(gone, F.lit(False)).alias("removed"))
 
