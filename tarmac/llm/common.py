@@ -70,3 +70,9 @@ def unused(df: DataFrame, name: str) -> str:
     while name in taken:
         name += "_"
     return name
+
+
+def others(df: DataFrame, *names: str) -> list[str]:
+    """Columns of ``df`` but those with one of ``names``, in any case, as Spark compares names."""
+    new = {n.lower() for n in names}
+    return [c for c in df.columns if c.lower() not in new]

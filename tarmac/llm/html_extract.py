@@ -1,11 +1,13 @@
 """HTML extraction with consensus host paths.
 
-1. Every page is read into elements and text pieces.  A container earns the text of
-   the blocks it holds directly, half of what its children hold, and nothing for text
-   in links or in furniture (menus, headers, footers, sidebars, notices, adverts,
-   forms, comments).  ``article`` and ``main`` earn what they hold at any depth.
+1. Every page is read into elements and text pieces.  A container, or the page itself
+   for what stands outside of all, earns the text of the blocks it holds directly, half
+   of what its children hold, and nothing for text in links or in furniture (menus,
+   headers, footers, sidebars, notices, adverts, forms, comments).  ``article`` and
+   ``main`` earn what they hold at any depth.
 2. Each page votes, with its containers' shares of its text, for their generalised
-   paths: tags and classes from the root, numbers written as ``#``.  Spark adds the
+   paths: tags and classes from the root, numbers written as ``#``, as a digest that
+   goes on from the parent's, so that deep nesting costs no more.  Spark adds the
    votes up per host and path with partial sums, so a host holding a third of all
    pages is a few rows per task, and takes each host's winner.
 3. The pages are read again and the text of every container with the winning path is
@@ -20,18 +22,20 @@ Defined results: null or empty html, and pages without text outside furniture, g
 the empty text; broken markup is closed where a browser would close it for ``p``,
 ``li``, ``td`` and the like, and else at the end; a url without a host belongs to the
 host ''; rows repeating a page are each extracted; an empty table gives an empty
-result; extra columns pass through ``extract``; pages of any length are read whole.
+result; extra columns pass through ``extract``, but one named like its result is replaced; pages of any length are read whole.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tarmac.llm.common import map_arrow, saved, small_side, table, unused
+from tarmac.llm.common import map_arrow, others, saved, small_side, table, unused
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
@@ -40,6 +44,7 @@ NUMBER = re.compile(r"\d+")
 WORD_CUT = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+DEEP = {"article": 1.25, "main": 1.1}  # earn so much of what they hold at any depth
 RAW = set("script style textarea title noscript template svg iframe object select math".split())
 BLOCK = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody
@@ -65,8 +70,9 @@ class Page:
     """Elements in page order, and text pieces with the element each stands in."""
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.path, self.bad, self.end = [-1], [""], [""], [False], [0]
-        self.link, self.inside = [False], [False]
+        self.parent, self.tag, self.path, self.bad, self.end = [-1], [""], [b""], [False], [0]
+        self.link, self.inside, self.block, self.depth = [False], [False], [0], [0]
+        self._open_tags: Counter = Counter()
         self.pieces: list = []   # (element, text), or None at a block's edge
         self._read(source)
 
@@ -106,6 +112,7 @@ class Page:
             self.pieces.append((stack[-1], source[at:]))
         while stack:
             self.end[stack.pop()] = len(self.tag)
+        self._open_tags.clear()
 
     def _open(self, stack: list, tag: str, text: str) -> None:
         up = stack[-1]
@@ -115,7 +122,10 @@ class Page:
         bad = self.bad[up] or self._furniture(tag, classes, given, self.inside[up])
         self.parent.append(up)
         self.tag.append(tag)
-        self.path.append(f"{self.path[up]}/{name}")
+        self.path.append(blake2b(self.path[up] + name.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+        self.block.append(len(self.tag) - 1 if tag in BLOCK else self.block[up])
+        self.depth.append(self.depth[up] + 1)
+        self._open_tags[tag] += 1
         self.bad.append(bad)
         self.link.append(self.link[up] or tag == "a")
         self.inside.append(self.inside[up] or tag in ("article", "main"))
@@ -144,11 +154,13 @@ class Page:
     def _pop(self, stack: list) -> None:
         node = stack.pop()
         self.end[node] = len(self.tag)
+        self._open_tags[self.tag[node]] -= 1
         if self.tag[node] in BLOCK:
             self.pieces.append(None)
 
     def _close(self, stack: list, tag: str) -> None:
-        for i in range(len(stack) - 1, 0, -1):
+        walk = self._open_tags[tag] or tag == "p" and (self._open_tags["table"] or self._open_tags["body"])
+        for i in range(len(stack) - 1, 0, -1) if walk else ():
             if self.tag[stack[i]] == tag:
                 while len(stack) > i:
                     self._pop(stack)
@@ -159,6 +171,8 @@ class Page:
             self.pieces.append(None)
 
     def _implied(self, stack: list, tags: set, stops: set) -> None:
+        if not any(self._open_tags[t] for t in tags):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if self.tag[stack[i]] in tags:
                 while len(stack) > i:
@@ -168,38 +182,34 @@ class Page:
                 return
 
     def scores(self) -> dict:
-        """Share of the page's text that each container earns."""
+        """Share of the page's text that each container earns; 0 is the page."""
         holds = [0.0] * len(self.tag)
-        deep = [0.0] * len(self.tag)
-        total = 0.0
+        below = [0] * len(self.tag)
         for piece in self.pieces:
             if piece is None or self.bad[piece[0]] or self.link[piece[0]]:
                 continue
             n = len(piece[1].strip())
             if not n:
                 continue
-            node = piece[0]
-            total += n
-            while node > 0 and self.tag[node] not in BLOCK:
-                node = self.parent[node]
+            node = self.block[piece[0]]
             # a paragraph, heading, item or cell speaks for the element around it
-            if self.tag[node] not in ("div", "section", "article", "main", "body"):
+            if node and self.tag[node] not in ("div", "section", "article", "main", "body"):
                 node = self.parent[node]
             holds[node] += n
-            up = self.parent[node]
-            if up > 0:
-                holds[up] += n / 2
-            while node > 0:
-                if self.tag[node] in ("article", "main"):
-                    deep[node] += n * (1.25 if self.tag[node] == "article" else 1.1)
-                node = self.parent[node]
-        return {i: max(h, d) / total for i, (h, d) in enumerate(zip(holds, deep)) if i and (h or d)}
-
-    def best(self, path: str | None) -> list[int]:
+            below[node] += n
+            if node:
+                holds[self.parent[node]] += n / 2
+        for node in range(len(self.tag) - 1, 0, -1):  # children come after their parents
+            below[self.parent[node]] += below[node]
+            if self.tag[node] in DEEP:
+                holds[node] = max(holds[node], below[node] * DEEP[self.tag[node]])
+        return {i: h / below[0] for i, h in enumerate(holds) if h}
+
+    def best(self, path: bytes | None) -> list[int]:
         """The containers of ``path``, else those of the path whose container earns most; 0 is the page."""
         scores = self.scores()
         if not any(self.path[i] == path for i in scores):
-            path = self.path[max(scores, key=lambda i: (scores[i], -i))] if scores else ""
+            path = self.path[max(scores, key=lambda i: (scores[i], -i))] if scores else b""
         return [i for i, p in enumerate(self.path) if p == path]
 
     def text(self, nodes: list[int]) -> str:
@@ -224,15 +234,17 @@ class Page:
 
 def _votes(batches):
     for batch in batches:
-        hosts, paths, votes = [], [], []
+        hosts, paths, depths, votes = [], [], [], []
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             page = Page(source or "")
             for node, share in page.scores().items():
                 hosts.append(host)
                 paths.append(page.path[node])
+                depths.append(page.depth[node])
                 votes.append(share)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()),
-                                          pa.array(votes, pa.float64())], ["host", "path", "vote"])
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.binary()),
+                                          pa.array(depths, pa.int32()), pa.array(votes, pa.float64())],
+                                         ["host", "path", "depth", "vote"])
 
 
 def host_of(url: Column) -> Column:
@@ -240,18 +252,18 @@ def host_of(url: Column) -> Column:
 
 
 def host_paths(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """(host, path): the path with most votes of each host; ties to the shorter, then lesser path."""
+    """(host, path): the path with most votes of each host; ties to the less deep, then greater digest."""
     each = map_arrow(pages.select(host_of(pages[url_col]).alias("host"), pages[html_col].alias("html")),
-                     _votes, "host string, path string, vote double")
+                     _votes, "host string, path binary, depth int, vote double")
     # votes in whole millionths, so that their sum does not depend on the order of adding
-    summed = each.groupBy("host", "path").agg(F.sum(F.round(F.col("vote") * 1e6).cast("long")).alias("votes"))
-    top = F.max(F.struct("votes", (-F.length("path")).alias("short"), "path"))
+    summed = each.groupBy("host", "path", "depth").agg(F.sum(F.round(F.col("vote") * 1e6).cast("long")).alias("votes"))
+    top = F.max(F.struct("votes", (-F.col("depth")).alias("short"), "path"))
     return summed.groupBy("host").agg(top.alias("top")).select("host", F.col("top.path").alias("path"))
 
 
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", out: str = "text") -> DataFrame:
-    """``pages`` with the main text of every page."""
-    names = [c for c in pages.columns if c != out]
+    """``pages`` with the main text of every page; a column named ``out``, in any case, gives way to it."""
+    names = others(pages, out)
     paths = small_side(saved(host_paths(pages, url_col, html_col), "host-paths"))
     own = unused(pages, "winning_path")
     rows = pages.join(paths, host_of(pages[url_col]) == paths["host"], "left").select(
