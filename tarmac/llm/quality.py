@@ -9,10 +9,12 @@ non-negative unbiased risk
     prior * E_pos[l(g)] + max(0, E_unl[l(-g)] - prior * E_pos[l(-g)])
 
 with the sigmoid loss.  Features describe the whole text and nothing else: how its
-bytes, words and lines are made up.  They are worked out by Spark for every
-document; only the bounded training sample (``SAMPLE`` rows of each kind, by least
-hash of the id, so the same rows at every size and order) goes to the driver, and
-only the weights come back.
+bytes, words and lines are made up, scaled by their mean and spread over all training
+rows.  They are worked out by Spark for every document.  The weights are fitted on
+``SAMPLE`` texts of each kind at most, by least hash of id and text, so the same ones
+at every size and order; rows that repeat both are one of them.  The class prior
+comes from how all training rows of one half of the hashes rank under a model fitted
+on the other half.  The driver gets that sample, the sums and a histogram.
 
 Defined results: a null or empty text has the features of an empty text and a score
 like any other; ids may repeat (each row is scored on its own text) or be null (not
@@ -27,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tarmac.llm import wordhash as H
-from tarmac.llm.common import map_arrow, plain, release, saved, table, unused
+from tarmac.llm.common import map_arrow, others, plain, release, saved, table, unused
 
 SAMPLE = 12_000       # rows of each kind the model is fitted on
 STEPS, RATE, DECAY = 400, 0.03, 1e-4
+BINS = 4096           # of a first model's scores, for the class prior
+UNIT = 2.0 ** -16     # features are added up in such steps, so their order does not matter
 HOLD, FOLDS = 1, 3    # held out: crc32(id as text) mod FOLDS = HOLD
 
 _ASCII = 128
@@ -127,36 +131,28 @@ def _fit(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = STEPS) ->
 def estimated_prior(pos: np.ndarray, unl: np.ndarray) -> float:
     """Share of positives in the unlabelled text.
 
-    A first model tells the two apart.  In its best bins both hold positives only,
-    so the ratio of their shares there is the prior; the least upper bound over the
-    thresholds that keep enough positives is taken.
+    ``pos`` and ``unl`` count rows by a first model's score, in BINS bins.  In its best
+    bins both hold positives only, so the ratio of their shares there is the prior; the
+    least upper bound over the thresholds that keep enough positives is taken.
     """
-    if min(len(pos), len(unl)) < 4:
+    n, m = pos.sum(), unl.sum()
+    if min(n, m) < 2:
         return 0.5  # nothing to estimate it from
-    half = slice(0, None, 2), slice(1, None, 2)
-    w = _fit(pos[half[0]], unl[half[0]], 0.5, STEPS // 2)
-    p, u = np.sort(pos[half[1]] @ w), np.sort(unl[half[1]] @ w)
-    cuts = np.quantile(p, np.linspace(0.05, 0.95, 19))
-    share_p = 1 - np.searchsorted(p, cuts, "left") / len(p)
-    share_u = 1 - np.searchsorted(u, cuts, "left") / len(u)
-    slack = np.sqrt(np.log(len(p) + 2) / (2 * len(p))) + np.sqrt(np.log(len(u) + 2) / (2 * len(u)))
+    share_p, share_u = np.cumsum(pos[::-1]) / n, np.cumsum(unl[::-1]) / m
+    cuts = np.searchsorted(share_p, np.linspace(0.05, 0.95, 19))
+    share_p, share_u = share_p[cuts], share_u[cuts]
+    slack = np.sqrt(np.log(n + 2) / (2 * n)) + np.sqrt(np.log(m + 2) / (2 * m))
     bound = (share_u + slack) / share_p
     at = int(bound.argmin())
     return float(np.clip(share_u[at] / share_p[at], 0.05, 0.95))
 
 
 class Model:
-    def __init__(self, pos: np.ndarray, unl: np.ndarray):
-        both = [x for x in (pos, unl) if len(x)]
-        n = max(1, sum(map(len, both)))
-        self.mean = sum((x.sum(0, dtype=np.float64) for x in both), np.zeros(WIDTH)) / n
-        square = sum((np.einsum("ij,ij->j", x, x, dtype=np.float64) for x in both), np.zeros(WIDTH)) / n
-        self.spread = np.sqrt(np.maximum(square - self.mean ** 2, 0)) + 1e-3
+    """Weights over features scaled by ``mean`` and ``spread``; without weights every score is 0.5."""
+
+    def __init__(self, mean: np.ndarray, spread: np.ndarray):
+        self.mean, self.spread = mean, spread
         self.weights, self.prior = np.zeros(2 * WIDTH + 1), 0.5
-        if len(pos) and len(unl):
-            pos, unl = (scaled(x, self.mean, self.spread) for x in (pos, unl))
-            self.prior = estimated_prior(pos, unl)
-            self.weights = _fit(pos, unl, self.prior)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return _sigmoid(scaled(x, self.mean, self.spread) @ self.weights)
@@ -167,27 +163,85 @@ def held_out(id_col: Column) -> Column:
     return F.pmod(F.crc32(text), F.lit(FOLDS)) == HOLD
 
 
+def _sums(batches):
+    """Per task and feature: sum and sum of squares, in whole UNITs, and the rows."""
+    n, total, square = 0, np.zeros(WIDTH), np.zeros(WIDTH)
+    for batch in batches:
+        x = features(batch.column(0)).astype(np.float64)
+        n += len(x)
+        total += np.rint(x / UNIT).sum(0)
+        square += np.rint(x * x / UNIT).sum(0)
+    yield pa.RecordBatch.from_arrays([pa.array(range(WIDTH), pa.int32()), pa.array([n] * WIDTH, pa.int64()),
+                                      pa.array(total), pa.array(square)], ["feature", "n", "total", "square"])
+
+
+def scaling(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and spread of every feature over all rows of ``texts``."""
+    whole = [F.sum(F.col(c).cast("decimal(38,0)")).cast("double").alias(c) for c in ("total", "square")]
+    got = (map_arrow(texts, _sums, "feature int, n long, total double, square double")
+           .groupBy("feature").agg(F.sum("n").alias("n"), *whole).collect())  # WIDTH rows
+    mean, square = np.zeros(WIDTH), np.zeros(WIDTH)
+    for r in got:
+        n = max(r["n"], 1)
+        mean[r["feature"]], square[r["feature"]] = r["total"] * UNIT / n, r["square"] * UNIT / n
+    return mean, np.sqrt(np.maximum(square - mean ** 2, 0)) + 1e-3
+
+
+def _histogram(rows: DataFrame, good: DataFrame, model: Model) -> dict:
+    """Rows of ``rows`` (id, text) by score, for positives (True) and the others (False)."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # weights of fixed size
+
+    def run(batches):
+        for batch in batches:
+            at = np.minimum(shared.value.score(features(batch.column(1))) * BINS, BINS - 1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(at)], ["id", "bin"])
+
+    kind = rows.select("id").withColumn("bin", F.lit(0)).schema
+    # added up per id before the join, so a hot id is few rows
+    bins = map_arrow(rows.select("id", "text"), run, kind).groupBy("id", "bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = bins.join(good, "id", "left").groupBy(
+        F.col("good").isNotNull().alias("good"), "bin").agg(F.sum("n").alias("n")).collect()  # 2 * BINS rows
+    out = {True: np.zeros(BINS), False: np.zeros(BINS)}
+    for r in counts:
+        out[r["good"]][r["bin"]] = r["n"]
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         sample: int = SAMPLE) -> Model:
     """Model from the training rows of ``docs`` and ``labels`` (id, quality)."""
-    turn = F.xxhash64("id", F.lit(11))
     train = plain(docs, id_col, text_col).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    train = train.filter(F.col("id").isNotNull() & ~held_out(F.col("id")))
+    train = train.filter(F.col("id").isNotNull() & ~held_out(F.col("id"))).withColumn("h", F.xxhash64("id", "text"))
     good = plain(labels, id_col, "quality").filter("quality = 1").select(F.col(id_col).alias("id")).distinct()
-    ids = train.select("id").join(good.withColumn("good", F.lit(True)), "id", "left").select(
-        "id", F.coalesce("good", F.lit(False)).alias("good"))
+    good = saved(good.withColumn("good", F.lit(True)), "quality-good")
+    model = Model(*scaling(train.select("text")))
+    # a text written often is one row per task before the join
+    ids = train.select("id", "h").distinct().join(good, "id", "left").select(
+        "id", "h", F.coalesce("good", F.lit(False)).alias("good"))
     ids = saved(ids, "quality-ids")
-    # the same rows at any partitioning: least hashes, ties by id
-    picked = [ids.filter(kind).orderBy(turn, "id").limit(sample) for kind in ("good", "NOT good")]
-    picked = saved(picked[0].unionByName(picked[1]).distinct(), "quality-sample")
-    rows = train.join(F.broadcast(picked), "id")
-    kept = map_arrow(rows.select("id", "good", "text"), _numbers(["good"]), "id string, good boolean, x binary")
-    got = kept.orderBy("id", "x").collect()  # at most 2 * sample rows of WIDTH numbers
-    kinds = [np.frombuffer(b"".join(r["x"] for r in got if r["good"] == kind), np.float32).reshape(-1, WIDTH)
-             for kind in (True, False)]
+    # the same rows at any partitioning: least hashes
+    picked = [ids.filter(kind).orderBy("h", "id").limit(sample) for kind in ("good", "NOT good")]
+    picked = saved(picked[0].unionByName(picked[1]), "quality-sample")
+    rows = train.join(F.broadcast(picked), ["id", "h"])  # 2 * sample rows at most
+    kept = map_arrow(rows.select("id", "h", "good", "text"), _numbers(["h", "good"]),
+                     "id string, h long, good boolean, x binary")
+    # one row per id and text
+    got = kept.groupBy("id", "h", "good").agg(F.min("x").alias("x")).orderBy("h", "id").collect()
+    kinds = []
+    for kind in (True, False):
+        mine = [r for r in got if r["good"] == kind]
+        x = np.frombuffer(b"".join(r["x"] for r in mine), np.float32).reshape(-1, WIDTH)
+        half = np.array([r["h"] & 1 for r in mine], bool)
+        kinds.append((scaled(x, model.mean, model.spread), half))
     del got
-    model = Model(*kinds)
-    del kinds
+    (pos, pos_half), (unl, unl_half) = kinds
+    if len(pos) and len(unl):
+        if (~pos_half).any() and (~unl_half).any():
+            model.weights = _fit(pos[~pos_half], unl[~unl_half], 0.5, STEPS // 2)
+            counts = _histogram(train.filter(F.col("h").bitwiseAND(1) == 1), good, model)
+            model.prior = estimated_prior(counts[True], counts[False])
+        model.weights = _fit(pos, unl, model.prior)
+    del kinds, pos, unl
     release()  # the driver keeps running for long
     return model
 
@@ -203,8 +257,8 @@ def _numbers(keep: list[str]):
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with the score of every row."""
-    names = [c for c in docs.columns if c != out]
+    """``docs`` with the score of every row, in place of a column named ``out`` in any case."""
+    names = others(docs, out)
     kind = docs.select(*names).withColumn(out, F.lit(0.0)).schema
     shared = docs.sparkSession.sparkContext.broadcast(model)  # weights of fixed size
 
