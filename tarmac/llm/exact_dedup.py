@@ -11,7 +11,8 @@ Defined results: a null text is the empty text; empty texts equal each other; of
 equal texts the row with the largest id stays, and rows repeating an id in full
 form one group (each carries ``kept`` true: they are the same document).  Null
 ids are allowed: they lose against any other id.  An empty table gives an empty
-result.  Extra columns are ignored.  Texts of any length are hashed whole.
+result.  Extra columns are ignored.  Texts of any length are hashed whole.  With a kept
+state, rows whose file is gone count no more.
 """
 
 from __future__ import annotations
@@ -99,14 +100,21 @@ def resolve(docs: DataFrame, state: DataFrame, id_col: str, text_col: str,
     text = F.coalesce(docs[text_col], F.lit(""))
     rows = docs.select(docs[id_col].alias("id"), text.alias("body"), digest(text).alias("digest"))
     # full bytes of every hit, grouped with map-side combining: a hot text becomes one row per task
-    hit = small_side(saved(state.filter("n > 1").select("digest"), "dedup-hits"))
+    hits = saved(state.filter("n > 1").select("digest", "n", F.col("keep.id").alias("keep_id")), "dedup-hits")
+    hit = small_side(hits.select("digest"))
     same = saved(rows.join(hit, "digest", "left_semi").groupBy("digest", "body")
                  .agg(F.max("id").alias("true_keep"), F.count(F.lit(1)).alias("true_n"))
                  .withColumn("texts", F.lit(1)), "dedup-bytes")
-    clash = saved(same.groupBy("digest").agg(F.sum("texts").alias("texts")).filter("texts > 1")
+    # several texts under one digest, or rows of the state whose file is gone: what is there now counts
+    now = same.groupBy("digest").agg(F.sum("texts").alias("texts"), F.sum("true_n").alias("now"),
+                                     F.max("true_keep").alias("last"))
+    clash = saved(now.join(hits, "digest").filter("texts > 1 OR now <> n OR NOT (last <=> keep_id)")
                   .select("digest"), "dedup-clash")
     seen = state.select("digest", F.col("keep.id").alias("keep_id"), F.col("n").alias("group_size"))
-    whole = rows.select("id", "digest").join(small_side(clash), "digest", "left_anti").join(seen, "digest")
+    unseen = F.raise_error(F.lit("exact dedup: a file was rewritten in place after it was read; "
+                                 "start again with a new state_root"))
+    whole = rows.select("id", "digest").join(small_side(clash), "digest", "left_anti").join(seen, "digest", "left")
+    whole = whole.withColumn("group_size", F.coalesce("group_size", unseen.cast("long")))
     parts = [whole]
     if not clash.isEmpty():
         split = same.join(clash, "digest", "left_semi").withColumnsRenamed(
@@ -133,9 +141,12 @@ def dedup_files(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     """Dedup the Parquet rows under ``path``; the file of the kept row is its locator.
 
     With a ``state_root`` of its own a later call reads only files that are new
-    since, while the returned decisions cover all rows under ``path``.
+    since, while the returned decisions cover the rows that are under ``path`` now: where
+    files are gone, the groups of their rows are counted anew.  A file rewritten under
+    its old name is an error.
     """
     ensure_checkpoint_dir(spark)
+    path = path.rstrip("/")
     root = state_root or scratch_path(spark, "dedup-state")
     stream = file_stream(spark, path, max_files=max_files)
     state = remember(fingerprints(stream, id_col, text_col, digest, F.col("_metadata.file_path")), root)
