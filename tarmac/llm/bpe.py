@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm.common import map_arrow, table
+from tarmac.llm.common import map_arrow, others, table
 
 CACHE_WORDS = 100_000   # stretches a worker remembers; more are worked out again
 BLOCK = 1 << 18         # parts of words merged side by side
@@ -216,9 +216,12 @@ def decode_ids(tokens: pa.Array, lists: pa.Array):
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids",
            decoded: str | None = None) -> DataFrame:
-    """``docs`` with the column ``out`` of token ids and, if named, ``decoded``: the ids' text."""
+    """``docs`` with the column ``out`` of token ids and, if named, ``decoded``: the ids' text.
+
+    Other columns with these names, in any case, give way to them.
+    """
     new = [out, decoded] if decoded else [out]
-    names = [c for c in docs.columns if c not in new]
+    names = others(docs, *new)
     kind = docs.select(*names).withColumn(out, F.lit(None).cast("array<int>"))
     kind = (kind.withColumn(decoded, F.lit("").cast("string")) if decoded else kind).schema
 
@@ -242,8 +245,8 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids",
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """``rows`` with the column ``out`` of decoded texts; special tokens are kept."""
-    names = [c for c in rows.columns if c != out]
+    """``rows`` with the column ``out`` of decoded texts, in place of any so named; special tokens are kept."""
+    names = others(rows, out)
     kind = rows.select(*names).withColumn(out, F.lit("").cast("string")).schema
 
     def run(batches):

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tarmac.llm import wordhash as H
-from tarmac.llm.common import map_arrow, plain, saved, table
+from tarmac.llm.common import map_arrow, others, plain, saved, table
 from tarmac.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 HOLD, FOLDS = 1, 5          # held out: crc32(id as text) mod FOLDS = HOLD
@@ -309,9 +309,9 @@ def score_texts(model: Model, texts: pa.Array):
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with n_tokens, n_known, base_score and score."""
+    """``docs`` with n_tokens, n_known, base_score and score, in place of columns so named in any case."""
     new = ["n_tokens", "n_known", "base_score", "score"]
-    names = [c for c in docs.columns if c not in new]
+    names = others(docs, *new)
     kind = docs.select(*names).withColumns({
         "n_tokens": F.lit(0).cast("long"), "n_known": F.lit(0).cast("long"),
         "base_score": F.lit(0.0), "score": F.lit(0.0)}).schema
