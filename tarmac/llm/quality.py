@@ -13,7 +13,7 @@ bytes, words and lines are made up, scaled by their mean and spread over all tra
 rows.  They are worked out by Spark for every document.  The weights are fitted on
 ``SAMPLE`` texts of each kind at most, by least hash of id and text, so the same ones
 at every size and order; rows that repeat both are one of them.  The class prior
-comes from how all training rows of one half of the hashes rank under a model fitted
+comes from how all training texts of one half of the hashes rank under a model fitted
 on the other half.  The driver gets that sample, the sums and a histogram.
 
 Defined results: a null or empty text has the features of an empty text and a score
@@ -188,17 +188,21 @@ def scaling(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _histogram(rows: DataFrame, good: DataFrame, model: Model) -> dict:
-    """Rows of ``rows`` (id, text) by score, for positives (True) and the others (False)."""
+    """Rows of ``rows`` (id, h, text) by score, for positives (True) and the others (False).
+
+    As in the sample, rows that repeat an id and a text are one: the prior is of what is fitted.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(model)  # weights of fixed size
 
     def run(batches):
         for batch in batches:
-            at = np.minimum(shared.value.score(features(batch.column(1))) * BINS, BINS - 1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(at)], ["id", "bin"])
+            at = np.minimum(shared.value.score(features(batch.column(2))) * BINS, BINS - 1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at)], ["id", "h", "bin"])
 
-    kind = rows.select("id").withColumn("bin", F.lit(0)).schema
-    # added up per id before the join, so a hot id is few rows
-    bins = map_arrow(rows.select("id", "text"), run, kind).groupBy("id", "bin").agg(F.count(F.lit(1)).alias("n"))
+    kind = rows.select("id", "h").withColumn("bin", F.lit(0)).schema
+    each = map_arrow(rows.select("id", "h", "text"), run, kind).groupBy("id", "h").agg(F.min("bin").alias("bin"))
+    # added up per id before the join, so a hot id is BINS rows at most
+    bins = each.groupBy("id", "bin").agg(F.count(F.lit(1)).alias("n"))
     counts = bins.join(good, "id", "left").groupBy(
         F.col("good").isNotNull().alias("good"), "bin").agg(F.sum("n").alias("n")).collect()  # 2 * BINS rows
     out = {True: np.zeros(BINS), False: np.zeros(BINS)}
