@@ -1,5 +1,6 @@
 """Exact dedup (10), n-gram Jaccard join (1), line dedup (4) and suffix dedup (8)."""
 
+import os
 import random
 
 import pytest
@@ -50,6 +51,29 @@ def test_exact_dedup_state_goes_on_over_batches_and_runs(spark, tmp_path):
     assert (3, 6, 3, False) in again and (6, 6, 3, True) in again and (0, 4, 2, False) in again
 
 
+def test_exact_dedup_state_outlives_its_files(spark, tmp_path):
+    """Rows whose file is gone count no more; a file rewritten in place is told, not dropped."""
+    state = str(tmp_path / "state")
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for k, rows in enumerate(([(1, "a"), (2, "b"), (7, "z")], [(3, "a"), (4, "c")])):
+        frame(rows).write.parquet(str(tmp_path / f"w{k}"))
+    docs = tmp_path / "docs"
+    docs.mkdir()
+    for k in (0, 1):
+        part = next((tmp_path / f"w{k}").glob("part-*"))
+        (docs / f"f{k}.parquet").write_bytes(part.read_bytes())
+    path = f"{docs}/"
+    first = groups(E.dedup_files(spark, path, state_root=state))
+    assert first == [(1, 3, 2, False), (2, 2, 1, True), (3, 3, 2, True), (4, 4, 1, True), (7, 7, 1, True)]
+    (docs / "f1.parquet").unlink()
+    assert groups(E.dedup_files(spark, path, state_root=state)) == [(1, 1, 1, True), (2, 2, 1, True), (7, 7, 1, True)]
+    frame([(8, "new")]).write.parquet(str(tmp_path / "w2"))
+    (docs / "f0.parquet").write_bytes(next((tmp_path / "w2").glob("part-*")).read_bytes())
+    os.utime(docs / "f0.parquet", (1, 1))
+    with pytest.raises(Exception, match="rewritten in place|new state_root"):
+        E.dedup_files(spark, path, state_root=state).collect()
+
+
 def test_exact_dedup_stage_keeps_columns_and_one_row(odd_docs):
     got = E.stage(odd_docs.sparkSession, odd_docs, SF001)
     assert got.columns == odd_docs.columns

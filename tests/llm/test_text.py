@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -19,7 +20,7 @@ from tarmac.oracle_check import compare
 def test_queries_match_their_sql(spark):
     got = compare(spark, SF001, list(ORACLE_SQL), verbose=False)
     assert all(r["match"] for r in got.values()), got
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 # ---------------------------------------------------------------- HTML
@@ -63,6 +64,29 @@ def test_html_odd_pages(spark):
     assert X.extract(empty).count() == 0
 
 
+def test_html_text_outside_of_blocks(spark):
+    got = extracted(spark, [
+        ("http://a.b/1", "Hello world this is plain text <b>bold</b> and more text <i>end</i>"),
+        ("http://c.d/1", "plain text of the whole page <div class='ad'>Buy</div>"),
+        ("http://e.f/1", "<p>first para</p>loose text of some length<p>second para</p><i>x</i>")])
+    assert got == ["Hello world this is plain text bold and more text end", "plain text of the whole page",
+                   "first para\nloose text of some length\nsecond para\nx"]
+
+
+def test_html_deep_nesting_takes_linear_time(spark):
+    """100,000 open tags, blocks and inline, within the seconds that a quadratic walk would not keep."""
+    deep = "<div>" * 50_000 + "<p>deep text" + "<b><span>" * 25_000 + " goes on" + "</i>" * 50_000
+    start = time.monotonic()
+    assert extracted(spark, [("http://a.b/", deep)]) == ["deep text goes on"]
+    assert time.monotonic() - start < 60
+
+
+@pytest.mark.parametrize("name", ["text", "TEXT", "Text"])
+def test_html_result_replaces_a_column_of_its_name(spark, name):
+    pages = spark.createDataFrame([("http://a.b/", "<p>x y</p>", 5)], f"url string, html string, {name} int")
+    assert [tuple(r) for r in X.extract(pages).select("url", "text").collect()] == [("http://a.b/", "x y")]
+
+
 def test_html_article_over_several_containers(spark):
     """Every container with the winning path counts, on a host's own path and on a page that lacks it."""
     parts = ["words of part %d " % i * 20 for i in range(3)]
@@ -115,6 +139,16 @@ def test_bpe_round_trip_in_spark(spark, library, odd_docs, no_docs):
     assert bpe.encode(no_docs, path).count() == 0
 
 
+def test_bpe_result_replaces_columns_of_its_names(spark, library):
+    docs = spark.createDataFrame([(1, "some words", 7, "z")], "doc_id long, text string, IDS int, Decoded string")
+    got = bpe.encode(docs, bpe.default_path(), decoded="decoded")
+    assert got.columns == ["doc_id", "text", "ids", "decoded"]
+    assert got.first().ids == library.encode("some words", add_special_tokens=False).ids
+    again = bpe.decode(got.withColumnRenamed("decoded", "DECODED"), bpe.default_path())
+    assert again.columns == ["doc_id", "text", "ids", "decoded"] and again.first().decoded == library.decode(
+        got.first().ids, skip_special_tokens=False)
+
+
 def test_bpe_query(spark, library):
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     got = {r.doc_id: tuple(r)[1:] for r in bpe.op3_bpe(spark, SF001).collect()}
@@ -179,6 +213,26 @@ def test_quality_odd_rows(spark, odd_docs, no_docs):
     assert {r.score for r in Q.score(odd_docs, none).collect()} == {0.5}
 
 
+def test_quality_hot_id_and_scaling_over_all_rows(spark, monkeypatch):
+    """One id on a third of the rows: the sample keeps its bound, and the scaling is that of all training rows."""
+    good, bad = "A calm and well written sentence number {}. It says what it means.", "xx {} !! BUY $$$ now {}"
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(ids[0], good.format(i)) for i in range(500)] + [
+        (i, (good if i % 2 else bad).format(i, i)) for i in ids[1:1001]] + [(ids[5], good.format("same"))] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in ids[:1001] if i % 4 == 1 or i == ids[0]], "doc_id long, quality int")
+    seen = []
+    real = Q._fit
+    monkeypatch.setattr(Q, "_fit", lambda p, u, *a: seen.append((len(p), len(u))) or real(p, u, *a))
+    model = Q.fit(docs, labels, sample=50)
+    assert seen[-1] == (50, 50) and all(max(x) <= 50 for x in seen)
+    x = Q.features(pa.array([t for _, t in rows])).astype(float)
+    assert abs(model.mean - x.mean(0)).max() < 1e-3 and abs(model.spread - x.std(0)).max() < 2e-2
+    assert 0.05 <= model.prior <= 0.95
+    rows = Q.score(docs.withColumn("SCORE", F.lit(1)), model, out="Score").collect()
+    assert sum((r.Score >= 0.5) == r.text.startswith("A calm") for r in rows) > 0.95 * len(rows)
+
+
 # ---------------------------------------------------------------- language model
 
 def test_language_model_matches_brute_force(spark):
