@@ -54,3 +54,17 @@ def test_wide_rows_get_the_method_limit_unless_the_session_has_its_own(spark):
             assert spark.conf.get(session.HUGE_METHOD) == wanted
     finally:
         spark.conf.set(session.HUGE_METHOD, before)
+
+
+def test_lines_are_not_shuffled_to_find_their_file(spark, tmp_path):
+    from tarmac.sources.records import read_lines, scan_records
+
+    write_gz(str(tmp_path / "a.csv.gz"), [csv_line({"Year": "2024"})] * 3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        records = scan_records(read_lines(spark, str(tmp_path), pattern=LANDED_GLOB), multiline=False).records
+        plan = records._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and records.count() == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
