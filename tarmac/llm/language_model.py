@@ -42,7 +42,8 @@ HOLD, FOLDS = 1, 5          # held out: crc32(id as text) mod FOLDS = HOLD
 START, END = np.uint64(0x5D1AF5A1B7C3E94D), np.uint64(0x2C9E77D0A3B1F685)
 SPREAD = 8                  # shards over which one word's followers spread
 MANY = 255                  # counts from here on are in arrays of their own; one byte holds the others
-PAIRS = 3_000_000           # pairs a task sums before it passes them on
+PAIRS = 3_000_000           # pairs a task holds before it passes their sums on
+RANGES = 16                 # parts, by the word before, in which held pairs are summed and passed on
 
 
 def sequences(texts: pa.Array):
@@ -79,13 +80,22 @@ def _summed(before: np.ndarray, after: np.ndarray, count: np.ndarray):
 
 
 def _count(shards: int):
-    """Tasks' part of the counting: summed pairs, in order of the word before."""
+    """Tasks' part of the counting: summed pairs, in order of the word before.
+
+    What is held is sorted by that word, so it is cut into ranges of it; only one
+    range is copied, sorted and handed to Spark at a time.
+    """
+    edges = np.arange(1, RANGES, dtype=np.uint64) * np.uint64((1 << 64) // RANGES)
 
     def out(held):
-        b, a, c = _summed(*(np.concatenate(x) for x in zip(*held)))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(pair_shard(b, a, shards)), pa.array(b.view(np.int64)), pa.array(a.view(np.int64)),
-             pa.array(c)], ["shard", "v", "w", "c"])
+        cuts = [[0, *np.searchsorted(b, edges), len(b)] for b, _, _ in held]
+        for k in range(RANGES):
+            parts = [[x[cut[k]:cut[k + 1]] for x in piece] for piece, cut in zip(held, cuts)]
+            b, a, c = _summed(*(np.concatenate(x) for x in zip(*parts)))
+            if len(b):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pair_shard(b, a, shards)), pa.array(b.view(np.int64)), pa.array(a.view(np.int64)),
+                     pa.array(c)], ["shard", "v", "w", "c"])
 
     def run(batches):
         held, n = [], 0
@@ -95,10 +105,10 @@ def _count(shards: int):
                 held.append((b, a, c))
                 n += len(b)
                 if n > PAIRS:
-                    yield out(held)
+                    yield from out(held)
                     held, n = [], 0
         if held:
-            yield out(held)
+            yield from out(held)
 
     return run
 

@@ -269,6 +269,23 @@ def test_language_model_matches_brute_force(spark):
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and math.isclose(r.score, score, rel_tol=1e-5)
 
 
+def test_language_model_counts_in_little_memory():
+    """A task holds its pairs once and passes their sums on in parts, each pair in one of them."""
+    import tracemalloc
+    texts = pa.array([" ".join(f"w{(i * 7919 + k) % 90_000}" for i in range(100_000)) for k in range(4)] * 2)
+    tracemalloc.start()
+    got = list(M._count(5)([pa.RecordBatch.from_arrays([texts], ["text"])]))
+    peak = tracemalloc.get_traced_memory()[1]
+    held = 24 * sum(len(set(zip(b[:-1], b[1:]))) for b in (t.split() for t in texts.to_pylist()))
+    tracemalloc.stop()
+    assert max(b.num_rows for b in got) < sum(b.num_rows for b in got) / 8
+    rows = pa.Table.from_batches(got)
+    assert sum(rows["c"].to_pylist()) == 8 * 100_001
+    assert len(set(zip(rows["v"].to_pylist(), rows["w"].to_pylist()))) == rows.num_rows
+    assert rows["v"].to_numpy().view("uint64").tolist() == sorted(rows["v"].to_numpy().view("uint64").tolist())
+    assert peak < 3 * held
+
+
 def test_language_model_odd_rows(spark, odd_docs, no_docs):
     docs = odd_docs.drop("score")
     model = M.fit(docs)
