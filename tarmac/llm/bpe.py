@@ -3,8 +3,8 @@
 A word is held as the array of its parts and, beside it, the array of the merge
 ranks of neighbouring parts.  The least rank is looked for by scanning, its right
 part is taken out, and the ranks on both sides are looked up anew, until no rank is
-left.  Words are short, so scanning contiguous arrays beats any heap; all words of
-a batch that were not met before are worked on at once, one row each.
+left.  Words are short, so scanning contiguous arrays beats any heap; words are
+worked on many at once, one row each, and every distinct one of a run of rows once.
 
 The text pipeline is the vocabulary file's: special tokens are cut out first, then
 NFC, white space to one space, lower case, the split pattern, and bytes written in
@@ -18,7 +18,6 @@ repeated rows pass through unchanged.  Texts of any length are encoded whole.
 
 from __future__ import annotations
 
-import itertools
 import json
 import unicodedata
 from functools import lru_cache
@@ -31,7 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarmac.llm.common import map_arrow, others, table
 
-CACHE_WORDS = 100_000   # stretches a worker remembers; more are worked out again
+RUN = 1 << 24           # bytes of text whose distinct stretches are worked out once; a longer text is a run of its own
+STRETCHES = 100_000     # stretches split and merged at once
 BLOCK = 1 << 18         # parts of words merged side by side
 PIECE = 1 << 19         # bytes of text encoded at once; a longer text is a piece of its own
 
@@ -76,22 +76,31 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], self.none)
 
-    def merge(self, words: list[bytes]) -> list[tuple]:
-        """Ids of every word; words of one length are worked on side by side."""
-        out: list = [None] * len(words)
-        size = np.fromiter(map(len, words), np.int64, len(words))
+    def merge(self, words: pa.Array) -> pa.Array:
+        """Ids of every word, as lists; words of one length are worked on side by side."""
+        ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+        data = np.frombuffer(words.buffers()[2], np.uint8) if words.buffers()[2] else np.zeros(0, np.uint8)
+        size = np.diff(ends)
         order = np.argsort(size, kind="stable")
         cuts = np.flatnonzero(np.diff(size[order])) + 1
+        done: list = []
         for same in np.split(order, cuts):
             length = int(size[same[0]]) if len(same) else 0
             step = max(1, BLOCK // max(1, length))
-            for lo in range(0, len(same), step):
-                rows = same[lo:lo + step].tolist()
-                self._block([words[k] for k in rows], np.array(rows), length, out)
-        return out
-
-    def _block(self, words: list[bytes], place: np.ndarray, length: int, out: list) -> None:
-        raw = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), length)
+            for lo in range(0, len(same) if length else 0, step):
+                rows = same[lo:lo + step]
+                self._block(data[ends[rows][:, None] + np.arange(length)], rows, done)
+        count = np.zeros(len(words), np.int64)
+        for place, ids in done:
+            count[place] = ids.shape[1]
+        ends = np.append(0, np.cumsum(count))
+        flat = np.empty(ends[-1], np.int32)
+        for place, ids in done:
+            flat[ends[place][:, None] + np.arange(ids.shape[1])] = ids
+        return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+    def _block(self, raw: np.ndarray, place: np.ndarray, out: list) -> None:
+        """Add (places, ids of each) to ``out``; ``raw`` has the bytes of one word in each row."""
         ids = self.inner[raw]
         ids[:, -1] = self.last[raw[:, -1]]
         ranks = self.rank(ids[:, :-1], ids[:, 1:])
@@ -102,8 +111,7 @@ class Vocabulary:
             least = ranks[row, at] if ranks.shape[1] else np.full(len(ids), self.none)
             go = least < self.none
             if not go.all():
-                for k, done in zip(place[~go].tolist(), ids[~go].tolist()):
-                    out[k] = tuple(done)
+                out.append((place[~go], ids[~go]))
                 ids, ranks, place, at, least = ids[go], ranks[go], place[go], at[go], least[go]
                 row = row[:len(ids)]
             if not len(ids):
@@ -119,16 +127,9 @@ class Vocabulary:
             r, c = row[after], at[after]
             ranks[r, c] = self.rank(ids[r, c], ids[r, c + 1])
 
-    def words(self, chunks: list[str]) -> list[list[str]]:
-        """Words of each stretch; stretches hold no line end and no special token."""
-        text = lower(unicodedata.normalize("NFC", "\n".join(chunks)))
-        out: list = [[]]
-        for word in self.mark.findall(text):
-            if word == "\n":
-                out.append([])
-            else:
-                out[-1].append(word)
-        return out
+    def words(self, chunks: list[str]) -> list[str]:
+        """Words of the stretches in order, a line end after each; stretches hold none and no special token."""
+        return self.mark.findall(lower(unicodedata.normalize("NFC", "\n".join([*chunks, ""]))))
 
 
 def lower(text: str) -> str:
@@ -141,58 +142,82 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+class Coded:
+    """A column of texts as numbers of distinct stretches, and these stretches' ids."""
+
+    def __init__(self, codes: list[pa.Array], known: pa.Array):
+        self.codes, self.known = codes, known
+
+    def ids(self, at: int) -> pa.Array:
+        """Ids of every text of the piece ``at``, as lists."""
+        lists = self.codes[at]
+        got = self.known.take(lists.values)
+        ends = np.asarray(got.offsets)
+        return pa.ListArray.from_arrays(pa.array(ends[np.asarray(lists.offsets)] - ends[0], pa.int32()), got.flatten())
+
+
 class Encoder:
-    """Encodes text columns and remembers the ids of stretches between spaces.
+    """Encodes text columns; every distinct stretch between spaces is worked out once.
 
     No word crosses a space or line end, normal forms and lower case do not look
     past one, and a special token is set apart by spaces; so a text is the sequence
-    of its stretches.
+    of its stretches.  Nothing is kept from one column to the next: a run of rows
+    repeats its common stretches often enough, and rare ones would only fill memory.
     """
 
-    def __init__(self, vocab: Vocabulary, limit: int = CACHE_WORDS):
+    def __init__(self, vocab: Vocabulary, limit: int = STRETCHES):
         self.vocab, self.limit = vocab, limit
-        self._reset()
-
-    def _reset(self) -> None:
-        self.known = {text: (i,) for text, i in self.vocab.special.items()}
-        self.known[""] = ()
-
-    def learn(self, stretches: list[str]) -> None:
-        new = [s for s in stretches if s not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self._reset()
-            new = [s for s in stretches if s not in self.known]
-        split = self.vocab.words(new) if new else []
-        words = list({w for ws in split for w in ws})
-        ids = dict(zip(words, self.vocab.merge([w.encode("utf-8") for w in words]))) if words else {}
-        for stretch, ws in zip(new, split):
-            self.known[stretch] = ids[ws[0]] if len(ws) == 1 else tuple(i for w in ws for i in ids[w])
+
+    def learn(self, stretches: pa.Array) -> pa.Array:
+        """Ids of every stretch, as lists."""
+        parts = [self._learn(stretches.slice(lo, self.limit)) for lo in range(0, len(stretches), self.limit)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.large_list(pa.int32()))
+
+    def _learn(self, stretches: pa.Array) -> pa.Array:
+        special = pa.array(list(self.vocab.special), pa.large_string())
+        which = pc.index_in(stretches, special)
+        texts = pc.if_else(pc.is_null(which), stretches, "").to_pylist()
+        words = pa.array(self.vocab.words(texts), pa.large_string()).dictionary_encode()
+        line_end = pc.index(words.dictionary, "\n").as_py()
+        codes = words.indices.to_numpy()
+        ends = np.flatnonzero(codes == line_end)
+        ids = self.vocab.merge(pc.if_else(pc.equal(words.dictionary, "\n"), "", words.dictionary))
+        got = ids.take(pa.array(codes))
+        bounds = np.asarray(got.offsets)[np.append(0, ends + 1)]
+        out = pa.LargeListArray.from_arrays(pa.array(bounds - bounds[0]), got.flatten())
+        if which.null_count == len(which):
+            return out
+        own = pa.array([[i] for i in self.vocab.special.values()], out.type)
+        at = pc.if_else(pc.is_null(which), pa.array(np.arange(len(out)), pa.int64()), pc.add(which.cast(pa.int64()), len(out)))
+        return pa.concat_arrays([out, own]).take(at)
+
+    def code(self, texts: pa.Array, cuts: list[tuple[int, int]]) -> Coded:
+        """``texts`` coded in the pieces (first row, rows) of ``cuts``."""
+        offsets, codes = [], []
+        for row, n in cuts:
+            part = pc.fill_null(texts.slice(row, n).cast(pa.large_string()), "")
+            for special in self.vocab.special:
+                part = pc.replace_substring(part, special, f" {special} ")
+            lists = pc.split_pattern(pc.replace_substring(part, "\n", " "), " ")
+            first = np.asarray(lists.offsets)
+            offsets.append(pa.array(first - first[0], pa.int64()))
+            codes.append(lists.flatten().dictionary_encode())
+        if not codes:
+            return Coded([], self.learn(pa.array([], pa.large_string())))
+        whole = pa.chunked_array(codes).unify_dictionaries()
+        del codes
+        known = self.learn(whole.chunk(0).dictionary)
+        return Coded([pa.LargeListArray.from_arrays(o, c.indices) for o, c in zip(offsets, whole.chunks)], known)
 
     def __call__(self, texts: pa.Array) -> pa.Array:
         """Ids of every text, as lists."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        for special in self.vocab.special:
-            texts = pc.replace_substring(texts, special, f" {special} ")
-        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        coded = lists.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        self.learn(distinct)
-        ids = [self.known[s] for s in distinct]
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(size.sum()))
-        start = np.cumsum(size) - size
-        codes = coded.indices.to_numpy()
-        each = size[codes]
-        ends = np.concatenate([[0], np.cumsum(each)])
-        # position of every output id in ``flat``
-        at = np.arange(ends[-1]) + np.repeat(start[codes] - ends[:-1], each)
-        first = np.asarray(lists.offsets) - lists.offsets[0].as_py()
-        return pa.ListArray.from_arrays(pa.array(ends[first], pa.int32()), pa.array(flat[at], pa.int32()))
+        if not len(texts):
+            return pa.array([], pa.list_(pa.int32()))
+        return self.code(texts, [(0, len(texts))]).ids(0)
 
 
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    """One per worker process: what a task has learned serves the next one too."""
     return Encoder(vocabulary(path))
 
 
@@ -229,17 +254,21 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids",
         code = encoder(path)
         tokens = pa.array(code.vocab.tokens.tolist(), pa.string())
         for batch in batches:
-            size = pc.fill_null(pc.binary_length(batch.column(text_col)), 0)
-            for row, n in slices(size.to_numpy(zero_copy_only=False), PIECE):
-                part = batch.slice(row, n)
-                ids = code(part.column(text_col))
-                if not decoded:
-                    yield pa.RecordBatch.from_arrays([*part.columns, ids], [*names, out])
-                    continue
-                for at, k, text in decode_ids(tokens, ids):
-                    yield pa.RecordBatch.from_arrays(
-                        [*part.slice(at, k).columns, ids.slice(at, k), text], [*names, out, decoded])
-            pa.default_memory_pool().release_unused()
+            size = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
+            for start, rows in slices(size, RUN):
+                part = batch.slice(start, rows)
+                cuts = list(slices(size[start:start + rows], PIECE))
+                coded = code.code(part.column(text_col), cuts)
+                for piece, (row, n) in enumerate(cuts):
+                    some, ids = part.slice(row, n), coded.ids(piece)
+                    if not decoded:
+                        yield pa.RecordBatch.from_arrays([*some.columns, ids], [*names, out])
+                        continue
+                    for at, k, text in decode_ids(tokens, ids):
+                        yield pa.RecordBatch.from_arrays(
+                            [*some.slice(at, k).columns, ids.slice(at, k), text], [*names, out, decoded])
+                del coded
+                pa.default_memory_pool().release_unused()
 
     return map_arrow(docs.select(*names), run, kind)
 

@@ -126,6 +126,19 @@ def test_bpe_equals_the_library(library):
         assert got == [e.ids for e in library.encode_batch(ODD_TEXTS, add_special_tokens=False)]
 
 
+def test_bpe_works_out_a_stretch_once_in_all_pieces(library, monkeypatch):
+    """However many distinct stretches there are, later pieces of a run do not work them out again."""
+    vocab, seen = bpe.vocabulary(bpe.default_path()), Counter()
+    real = bpe.Vocabulary.words
+    monkeypatch.setattr(bpe.Vocabulary, "words", lambda self, chunks: seen.update(chunks) or real(self, chunks))
+    texts = [" ".join(f"word{i}, it's" for i in range(k, 200 + k)) for k in range(6)] + ["<|endoftext|>"]
+    coded = bpe.Encoder(vocab, limit=50).code(pa.array(texts), [(0, 2), (2, 3), (5, 2)])
+    got = [ids for piece in range(3) for ids in coded.ids(piece).to_pylist()]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    del seen[""]
+    assert len(seen) == 206 and set(seen.values()) == {1}
+
+
 def test_bpe_round_trip_in_spark(spark, library, odd_docs, no_docs):
     path = bpe.default_path()
     both = bpe.encode(odd_docs, path, decoded="decoded")
