@@ -7,7 +7,7 @@ import ctypes
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.session import ensure_checkpoint_dir, scratch_path, ship_package
+from tarmac.session import ensure_checkpoint_dir, scratch_path, shuffles_dropped, ship_package
 
 # Rows a broadcast side may hold.  Callers count first (a partial aggregate) and
 # join by shuffle beyond it, so nothing unbounded is ever broadcast.
@@ -22,12 +22,13 @@ def saved(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` as Parquet into the cluster's shared folder and read it back.
 
     Cuts the lineage: a lost executor re-reads the table and recomputes nothing
-    above it.  ``options`` are the writer's.
+    above it, and the shuffle files of the write go with it.  ``options`` are the writer's.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").options(**options).parquet(path)
+    with shuffles_dropped(spark):
+        df.write.mode("overwrite").options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,10 +10,11 @@ whether or not that one stays.
 2. A class's words are ordered by rarity (counts in a table of fixed size; any total
    order is exact), and its prefix of n - ceil(0.8 n) + 1 words is posted.
 3. Classes that share a prefix word are candidates if their lengths, the words from
-   the shared one on and 256 parity bits of both sets allow enough common words.  No
+   the shared one on and 128 parity bits of both sets allow enough common words.  No
    common word comes before the first shared one, so two matching classes pass there;
    meetings at later words need not.  The filters run inside the join, so only what
    passes leaves the task, and the skew join splits a word that many prefixes share.
+   The postings carry half of a class's 256 bits; all are compared for the pairs left.
 4. Candidates are verified on their whole sets, and a class with an earlier match
    goes.
 
@@ -130,16 +131,23 @@ def _enough(common, nx, ny):
     return (NUM + DEN) * common >= NUM * (nx + ny)
 
 
+def _apart(x: str, y: str, bits: list[str]):
+    """Bits that differ: |X| + |Y| - 2 common >= these."""
+    return sum(F.bit_count(F.col(x + b).bitwiseXOR(F.col(y + b))) for b in bits)
+
+
 def matches(classes: DataFrame) -> DataFrame:
     """Candidate pairs (x, y) of classes: shared prefix word, lengths, places and bits allow a match."""
-    posted = classes.select("class", "n", *BITS, F.posexplode("words").alias("pos", "word")).select(
-        "word", "class", (F.col("n").cast("long") * (1 << 31) + F.col("pos")).alias("place"), *BITS)
+    half = len(BITS) // 2
+    bits = [F.col(a).bitwiseXOR(F.col(b)).alias(a) for a, b in zip(BITS, BITS[half:])]  # parities of wider cells
+    posted = classes.select("class", "n", *bits, F.posexplode("words").alias("pos", "word")).select(
+        "word", "class", (F.col("n").cast("long") * (1 << 31) + F.col("pos")).alias("place"), *BITS[:half])
     x, y = (posted.select(*[F.col(c).alias(f"{s}_{c}") for c in posted.columns]) for s in "xy")
     nx, ny = (F.shiftright(f"{s}_place", 31) for s in "xy")
     px, py = (F.col(f"{s}_place").bitwiseAND((1 << 31) - 1) for s in "xy")
-    apart = sum(F.bit_count(F.col(f"x_{b}").bitwiseXOR(F.col(f"y_{b}"))) for b in BITS)
-    # words differ at least where the bits do: |x| + |y| - 2 common >= apart; from the first
-    # shared word on there are at most as many common words as the shorter rest has
+    apart = _apart("x_", "y_", BITS[:half])
+    # words differ at least where the bits do; from the first shared word on there are at
+    # most as many common words as the shorter rest has
     near = ((nx < ny) | ((nx == ny) & (F.col("x_class") < F.col("y_class")))) & (DEN * nx >= NUM * ny) \
         & _enough(F.least(nx - px, ny - py), nx, ny) & _enough((nx + ny - apart) / 2, nx, ny)
     return x.join(y, (F.col("x_word") == F.col("y_word")) & near).select(
@@ -167,8 +175,9 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         first, F.max("words").alias("words"), *[F.first(b).alias(b) for b in BITS])
                     .withColumn("class", F.monotonically_increasing_id()), "line-classes")
     pairs = saved(matches(classes), "line-candidates")
-    met = saved(classes.drop("words", *BITS).join(
+    met = saved(classes.drop("words").join(
         pairs.select(F.explode(F.array("x", "y")).alias("class")).distinct(), "class", "left_semi"), "line-met")
+    ends, met = met, met.drop(*BITS)
     ids = met.select(F.col("first.id").alias("_id"), F.col("first.h").alias("_h")).distinct()
     ids = small_side(saved(ids, "line-docs"))
     rows = docs.join(ids, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left_semi")
@@ -176,8 +185,10 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sets = saved(sets.join(small_side(met), ["n", "d1", "d2"]).filter(
         F.struct("id", "h", "line").eqNullSafe(F.col("first"))).select(
         "class", "words").dropDuplicates(["class"]), "line-whole")
-    x, y = (met.select(F.col("class").alias(s), F.col("first").alias(f"{s}_first")) for s in "xy")
-    pairs = pairs.join(x, "x").join(y, "y")
+    x, y = (ends.select(F.col("class").alias(s), F.col("first").alias(f"{s}_first"), F.col("n").alias(f"{s}_n"),
+                        *[F.col(b).alias(f"{s}_{b}") for b in BITS]) for s in "xy")
+    n = F.col("x_n") + F.col("y_n")
+    pairs = pairs.join(x, "x").join(y, "y").filter(_enough((n - _apart("x_", "y_", BITS)) / 2, n, F.lit(0)))
     early = F.when(F.col("x_first") < F.col("y_first"), F.struct(F.col("x_first").alias("at"), F.col("x").alias("class")))
     early = early.otherwise(F.struct(F.col("y_first").alias("at"), F.col("y").alias("class")))
     late = F.when(F.col("x_first") < F.col("y_first"), F.col("y")).otherwise(F.col("x"))

@@ -1,7 +1,10 @@
 """Exact dedup (10), n-gram Jaccard join (1), line dedup (4) and suffix dedup (8)."""
 
+import glob
 import os
 import random
+import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +15,7 @@ from tarmac.llm import exact_dedup as E
 from tarmac.llm import jaccard_join as J
 from tarmac.llm import line_dedup as L
 from tarmac.llm import suffix_dedup as S
+from tarmac.llm.common import saved
 
 
 def rows_of(spark):
@@ -242,3 +246,32 @@ def test_suffix_dedup_odd_rows(spark, odd_docs, no_docs):
     text = " ".join(f"z{i}" for i in range(55))
     twice = spark.createDataFrame([(None, text), (3, "x " + text), (3, text)], "doc_id long, text string")
     assert spans_of(S.spans(twice)) == {None: [(0, 55)], 3: [(0, 56)]}
+
+
+# ---------------------------------------------------------------- tables between steps
+
+def test_a_saved_table_leaves_no_shuffle_files(spark):
+    """The shuffles of several steps must not add up on disk until the driver collects garbage."""
+    found = lambda: set(glob.glob(f"{tempfile.gettempdir()}/blockmgr-*/*/shuffle_*.data"))
+    df = spark.range(50_000).groupBy((F.col("id") % 9_000).alias("k")).count()
+    df.write.format("noop").mode("overwrite").save()
+    start = found()
+    assert start  # this is where they are
+    kept = saved(df, "no-shuffle-left")
+    for _ in range(50):
+        if not found() - start:
+            break
+        time.sleep(0.1)
+    assert not found() - start
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert kept.count() == df.count() == 9_000
+
+
+def test_line_dedup_long_lines_keep_their_filter(spark):
+    """Postings carry 128 bits; pairs of long lines that only these let through are dropped by all 256."""
+    words = [f"w{i}" for i in range(5_000)]
+    lines = [" ".join(["rare", *random.Random(k).sample(words, 400)]) for k in range(6)]
+    lines += [lines[0] + " more", lines[1].replace("rare", "scarce")]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r.id for r in L.removed_lines(docs).filter("removed").collect()}
+    assert got == {6, 7}
