@@ -68,3 +68,28 @@ def test_lines_are_not_shuffled_to_find_their_file(spark, tmp_path):
         assert "SortMergeJoin" not in plan and records.count() == 3
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_load_of_month_folders_keeps_files_open(spark, tmp_path):
+    lines = [csv_line({"FlightDate": "2024-01-05"})] * 3 + ['2024,1,"x\n']
+    write_gz(str(tmp_path / "in/year=2024/month=01/a.csv.gz"), lines)
+    write_gz(str(tmp_path / "mixed/a.csv.gz"), lines)
+    name, told = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(name)
+    from tarmac.streaming import incremental as I
+    write = I._write_batch
+
+    def probe(rows, out, batch):
+        told.append(rows.sparkSession.conf.get(name))
+        return write(rows, out, batch)
+
+    I._write_batch = probe
+    try:
+        for folder in ("in", "mixed"):
+            got = load_raw(spark, str(tmp_path / folder), str(tmp_path / f"raw-{folder}"), str(tmp_path / f"ckpt-{folder}"),
+                           pattern=LANDED_GLOB, multiline=False)
+            assert (got["rows"], got["rejected"]) == (3, 1)
+    finally:
+        I._write_batch = write
+    assert told == [str(session.LOAD_WRITERS), "0"]
+    assert spark.conf.get(name) == before
