@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm import bpe, decontaminate, exact_dedup, jaccard_join, quality
 from tarmac.llm.common import saved, table
+from tarmac.session import small_arrow_batches
 
 STAGES = [
     ("quality_classifier", quality.stage),
@@ -29,5 +30,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with small_arrow_batches(spark):
+            docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

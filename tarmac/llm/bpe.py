@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarmac.llm.common import map_arrow, others, table
 
-RUN = 1 << 24           # bytes of text whose distinct stretches are worked out once; a longer text is a run of its own
-STRETCHES = 100_000     # stretches split and merged at once
+RUN = 1 << 22           # bytes of text whose distinct stretches are worked out once; a longer text is a run of its own
+STRETCHES = 25_000      # stretches split and merged at once
 BLOCK = 1 << 18         # parts of words merged side by side
 PIECE = 1 << 19         # bytes of text encoded at once; a longer text is a piece of its own
 

@@ -38,6 +38,28 @@ def test_pipeline_decisions(spark):
     assert P.run(spark, SF001).count() == len(after)
 
 
+def test_pipeline_sends_small_batches(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tarmac import session
+    from tarmac.llm import bpe
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    long = spark.range(64, numPartitions=1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    monkeypatch.setattr(P, "table", lambda *a: long)
+    monkeypatch.setattr(P, "STAGES", [("sizes", lambda s, docs, d: docs.mapInArrow(sizes, "n long"))])
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    told = [r.n for r in P.run(spark, SF001).collect()]
+    assert 64 << 20 <= sum(told) and max(told) <= 2 * session.ARROW_BATCH
+    assert spark.conf.get(name) == before
+    assert bpe.RUN <= session.ARROW_BATCH      # and the encoder's tables are of no more text than that
+
+
 def test_pipeline_empty_table(spark, tmp_path):
     docs = table(spark, SF001, "documents").limit(0)
     for _, stage in P.STAGES[1:]:
