@@ -8,14 +8,19 @@ whether or not that one stays.
 1. Lines with equal sets are one class, named by its first line.  Every line but the
    first of a class goes at once; only classes join.
 2. A class's words are ordered by rarity (counts in a table of fixed size; any total
-   order is exact), and its prefix of n - ceil(0.8 n) + 1 words is posted.
-3. Classes that share a prefix word are candidates if their lengths, the words from
+   order is exact), and its prefix of n - ceil(0.8 n) + 1 words is kept.
+3. Where many classes have a part of their 256 parity bits in common, as near copies
+   have where no word of theirs differs, they meet a few early ones of them first, so a
+   group of near copies costs its size times a constant.  Whoever matches an earlier
+   class there needs no other one.
+4. The prefixes are posted.  Classes that share a prefix word are candidates if their lengths, the words from
    the shared one on and 128 parity bits of both sets allow enough common words.  No
    common word comes before the first shared one, so two matching classes pass there;
    meetings at later words need not.  The filters run inside the join, so only what
    passes leaves the task, and the skew join splits a word that many prefixes share.
    The postings carry half of a class's 256 bits; all are compared for the pairs left.
-4. Candidates are verified on their whole sets, and a class with an earlier match
+   Two classes that both match an earlier one already do not meet.
+5. Candidates are verified on their whole sets, and a class with an earlier match
    goes.
 
 Defined results: white space around words does not count; lines without words are
@@ -37,6 +42,10 @@ from tarmac.llm.sketch import cell, counted
 
 NUM, DEN = 80, 100     # lines match at DEN * intersection >= NUM * union
 BITS = ["b0", "b1", "b2", "b3"]  # parities of a set's words in 256 cells
+SLICE = 32             # bits that near copies have in common where no word differs; groups are found by them
+LEAST = 6              # of these are set in a slice that tells a set from others
+DENSE = 16             # classes that make a group
+LEADERS = 4            # early classes of a group that its others meet first
 
 
 def line_offsets(data: np.ndarray, offsets: np.ndarray):
@@ -136,22 +145,59 @@ def _apart(x: str, y: str, bits: list[str]):
     return sum(F.bit_count(F.col(x + b).bitwiseXOR(F.col(y + b))) for b in bits)
 
 
-def matches(classes: DataFrame) -> DataFrame:
-    """Candidate pairs (x, y) of classes: shared prefix word, lengths, places and bits allow a match."""
+def _near(x: str, y: str, bits: list[str]):
+    """Whether the lengths and parity bits of both sides allow a match."""
+    n = F.col(f"{x}n") + F.col(f"{y}n")
+    return _enough((n - _apart(x, y, bits)) / 2, n, F.lit(0))
+
+
+def leaders(classes: DataFrame) -> DataFrame:
+    """Candidate pairs (early, late) of classes in large groups: every one and its group's early classes."""
+    parts = [F.shiftrightunsigned(b, at).bitwiseAND((1 << SLICE) - 1) for b in BITS for at in range(0, 64, SLICE)]
+    parts = [F.when(F.bit_count(x) >= LEAST, x * len(parts) + i) for i, x in enumerate(parts)]
+    key = F.explode(F.array(*parts)).alias("key")
+    dense = saved(classes.select(key).filter("key IS NOT NULL").groupBy("key").count().filter(F.col("count") >= DENSE).select("key"), "line-dense")
+    group = saved(classes.select("class", "first", "n", *BITS, key).join(small_side(dense), "key"), "line-groups")
+    lead = saved(group.groupBy("key", F.pmod("class", F.lit(LEADERS))).agg(
+        F.min(F.struct("first", "class", "n", *BITS)).alias("lead")).select(
+        "key", *[F.col(f"lead.{c}").alias(f"l_{c}") for c in ("first", "class", "n", *BITS)]), "line-leaders")
+    found = group.select("key", *[F.col(c).alias(f"c_{c}") for c in ("first", "class", "n", *BITS)]).join(
+        small_side(lead), "key").filter((F.col("l_first") < F.col("c_first")) & _near("l_", "c_", BITS))
+    return found.select(F.struct(F.col("l_first").alias("at"), F.col("l_class").alias("class")).alias("early"),
+                        F.col("c_class").alias("late")).distinct()
+
+
+def matches(classes: DataFrame, beaten: DataFrame) -> DataFrame:
+    """Candidate pairs (x, y) of classes: shared prefix word, lengths, places and bits allow a match.
+
+    ``beaten`` (late) are classes known to match an earlier one; two of them make no pair.
+    """
     half = len(BITS) // 2
     bits = [F.col(a).bitwiseXOR(F.col(b)).alias(a) for a, b in zip(BITS, BITS[half:])]  # parities of wider cells
-    posted = classes.select("class", "n", *bits, F.posexplode("words").alias("pos", "word")).select(
-        "word", "class", (F.col("n").cast("long") * (1 << 31) + F.col("pos")).alias("place"), *BITS[:half])
-    x, y = (posted.select(*[F.col(c).alias(f"{s}_{c}") for c in posted.columns]) for s in "xy")
-    nx, ny = (F.shiftright(f"{s}_place", 31) for s in "xy")
+    known = small_side(beaten.select(F.col("late").alias("class"), F.lit(1).alias("known")))
+    posted = classes.join(known, "class", "left").select(
+        "class", F.col("n").cast("long").alias("n"), F.coalesce("known", F.lit(0)).alias("known"), *bits,
+        F.posexplode("words").alias("pos", "word"))
+    place = (F.col("n") * 2 + F.col("known")) * (1 << 31) + F.col("pos")
+    # the shorter class of a match shares so much of itself that its first shared word stands early
+    early = _enough(F.col("n") - F.col("pos"), F.col("n"), F.col("n"))
+
+    def side(some: DataFrame, s: str) -> DataFrame:
+        return some.select(F.col("word").alias(f"{s}_word"), F.col("class").alias(f"{s}_class"),
+                           place.alias(f"{s}_place"), *[F.col(b).alias(f"{s}_{b}") for b in BITS[:half]])
+
+    nx, ny = (F.shiftright(f"{s}_place", 32) for s in "xy")
     px, py = (F.col(f"{s}_place").bitwiseAND((1 << 31) - 1) for s in "xy")
+    both = F.col("x_place").bitwiseAND(F.col("y_place")).bitwiseAND(1 << 31) != 0
     apart = _apart("x_", "y_", BITS[:half])
     # words differ at least where the bits do; from the first shared word on there are at
     # most as many common words as the shorter rest has
-    near = ((nx < ny) | ((nx == ny) & (F.col("x_class") < F.col("y_class")))) & (DEN * nx >= NUM * ny) \
+    near = ((nx < ny) | ((nx == ny) & (F.col("x_class") < F.col("y_class")))) & (DEN * nx >= NUM * ny) & ~both \
         & _enough(F.least(nx - px, ny - py), nx, ny) & _enough((nx + ny - apart) / 2, nx, ny)
-    return x.join(y, (F.col("x_word") == F.col("y_word")) & near).select(
-        F.col("x_class").alias("x"), F.col("y_class").alias("y")).distinct()
+    x = side(posted.filter(early), "x")
+    met = [x.join(side(posted.filter(where), "y"), (F.col("x_word") == F.col("y_word")) & near).select(
+        F.col("x_class").alias("x"), F.col("y_class").alias("y")) for where in (early, ~early)]
+    return met[0].unionByName(met[1]).distinct()
 
 
 def _true(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -163,6 +209,15 @@ def _true(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return found.filter(_enough(both, size, F.lit(0))).select(F.col("y").alias("late")).distinct()
 
 
+def _later(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+    """Classes (late) that match an earlier one of the candidate pairs (early, late)."""
+    # most lines with a match already match their earliest candidate; only the others meet the rest
+    lead = saved(pairs.groupBy("late").agg(F.min("early").alias("early")), f"{name}-leads")
+    beaten = saved(_true(lead, sets), f"{name}-beaten")
+    rest = pairs.join(beaten, "late", "left_anti").join(lead, ["late", "early"], "left_anti")
+    return saved(beaten.unionByName(_true(rest, sets)).distinct(), f"{name}-later")
+
+
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every line: id, h (hash of the text), line, n (distinct words), removed."""
     docs = plain(docs, id_col, text_col).select(
@@ -172,37 +227,44 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lines = saved(map_arrow(docs, _rows(False, rare), kind), "line-sets")
     first = F.min(F.struct("id", "h", "line")).alias("first")
     classes = saved(lines.filter("n > 0").groupBy("n", "d1", "d2").agg(
-        first, F.max("words").alias("words"), *[F.first(b).alias(b) for b in BITS])
+        first, F.count(F.lit(1)).alias("held"), F.max("words").alias("words"), *[F.first(b).alias(b) for b in BITS])
                     .withColumn("class", F.monotonically_increasing_id()), "line-classes")
-    pairs = saved(matches(classes), "line-candidates")
-    met = saved(classes.drop("words").join(
-        pairs.select(F.explode(F.array("x", "y")).alias("class")).distinct(), "class", "left_semi"), "line-met")
-    ends, met = met, met.drop(*BITS)
-    ids = met.select(F.col("first.id").alias("_id"), F.col("first.h").alias("_h")).distinct()
-    ids = small_side(saved(ids, "line-docs"))
-    rows = docs.join(ids, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left_semi")
-    sets = map_arrow(rows, _rows(True, rare), kind).select("n", "d1", "d2", "id", "h", "line", "words")
-    sets = saved(sets.join(small_side(met), ["n", "d1", "d2"]).filter(
-        F.struct("id", "h", "line").eqNullSafe(F.col("first"))).select(
-        "class", "words").dropDuplicates(["class"]), "line-whole")
+
+    def whole(some: DataFrame, name: str) -> DataFrame:
+        """(class, words) of the classes of ``some``: whole sets, from the texts that hold their first lines."""
+        met = saved(classes.drop("held", "words", *BITS).join(some.distinct(), "class", "left_semi"), f"{name}-met")
+        ids = met.select(F.col("first.id").alias("_id"), F.col("first.h").alias("_h")).distinct()
+        ids = small_side(saved(ids, f"{name}-docs"))
+        rows = docs.join(ids, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left_semi")
+        sets = map_arrow(rows, _rows(True, rare), kind).select("n", "d1", "d2", "id", "h", "line", "words")
+        return saved(sets.join(small_side(met), ["n", "d1", "d2"]).filter(
+            F.struct("id", "h", "line").eqNullSafe(F.col("first"))).select(
+            "class", "words").dropDuplicates(["class"]), f"{name}-whole")
+
+    def named(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("early.class", "late")).alias("class"))
+
+    pairs = saved(leaders(classes), "line-lead-pairs")
+    beaten = _later(pairs, whole(named(pairs), "line-lead"), "line-lead")
+    pairs = saved(matches(classes, beaten), "line-candidates")
+    ends = saved(classes.drop("held", "words").join(
+        pairs.select(F.explode(F.array("x", "y")).alias("class")).distinct(), "class", "left_semi"), "line-ends")
     x, y = (ends.select(F.col("class").alias(s), F.col("first").alias(f"{s}_first"), F.col("n").alias(f"{s}_n"),
                         *[F.col(b).alias(f"{s}_{b}") for b in BITS]) for s in "xy")
-    n = F.col("x_n") + F.col("y_n")
-    pairs = pairs.join(x, "x").join(y, "y").filter(_enough((n - _apart("x_", "y_", BITS)) / 2, n, F.lit(0)))
+    pairs = pairs.join(x, "x").join(y, "y").filter(_near("x_", "y_", BITS))
     early = F.when(F.col("x_first") < F.col("y_first"), F.struct(F.col("x_first").alias("at"), F.col("x").alias("class")))
     early = early.otherwise(F.struct(F.col("y_first").alias("at"), F.col("y").alias("class")))
     late = F.when(F.col("x_first") < F.col("y_first"), F.col("y")).otherwise(F.col("x"))
-    pairs = saved(pairs.select(early.alias("early"), late.alias("late")), "line-pairs")
-    # most lines with a match already match their earliest candidate; only the others meet the rest
-    lead = saved(pairs.groupBy("late").agg(F.min("early").alias("early")), "line-leads")
-    beaten = saved(_true(lead, sets), "line-beaten")
-    rest = pairs.join(beaten, "late", "left_anti").join(lead, ["late", "early"], "left_anti")
-    later = beaten.unionByName(_true(rest, sets)).distinct()
-    later = saved(later.select(F.col("late").alias("class"), F.lit(True).alias("beaten")), "line-later")
-    ruled = saved(classes.select("n", "d1", "d2", "class", "first").join(later, "class", "left")
+    pairs = saved(pairs.select(early.alias("early"), late.alias("late")).join(
+        small_side(beaten), "late", "left_anti"), "line-pairs")
+    later = beaten.unionByName(_later(pairs, whole(named(pairs), "line"), "line"))
+    later = saved(later.select(F.col("late").alias("class"), F.lit(True).alias("beaten")), "line-later-all")
+    # a class of one line without an earlier match loses nothing, so its line need not meet it
+    ruled = saved(classes.join(later, "class", "left").filter("held > 1 OR beaten")
                   .select("n", "d1", "d2", "first", F.coalesce("beaten", F.lit(False)).alias("beaten")), "line-ruled")
-    out = lines.drop("words", *BITS).join(ruled, ["n", "d1", "d2"], "left")
-    gone = (F.col("n") > 0) & (F.col("beaten") | ~F.struct("id", "h", "line").eqNullSafe(F.col("first")))
+    out = lines.drop("words", *BITS).join(small_side(ruled), ["n", "d1", "d2"], "left")
+    gone = F.col("beaten") | ~F.struct("id", "h", "line").eqNullSafe(F.col("first"))
+    gone = F.when((F.col("n") > 0) & F.col("beaten").isNotNull(), gone)
     return out.select("id", "h", "line", "n", F.coalesce(gone, F.lit(False)).alias("removed"))
 
 

@@ -275,3 +275,31 @@ def test_line_dedup_long_lines_keep_their_filter(spark):
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     got = {r.id for r in L.removed_lines(docs).filter("removed").collect()}
     assert got == {6, 7}
+
+
+def test_line_dedup_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    """Near copies meet a few of their group, not each other; lines that match a later copy only are still found."""
+    rng = random.Random(11)
+    base = [f"n{i}" for i in range(40)]
+    lines = []
+    for k in range(300):
+        line = list(base)
+        for at in rng.sample(range(40), rng.randint(0, 6)):
+            line[at] = f"e{rng.randrange(10 ** 6)}"
+        lines.append(" ".join(line))
+    lines += [" ".join(f"o{rng.randrange(10 ** 6)}" for _ in range(40)) for _ in range(50)]
+    rows = [(i if i % 7 else None, text) for i, text in enumerate(lines)]
+    made = {}
+
+    def spy(df, name, **options):
+        made[name] = saved(df, name, **options)
+        return made[name]
+
+    monkeypatch.setattr(L, "saved", spy)
+    got = {(r.id, r.h): r.removed for r in L.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    pairs = made["line-candidates"].count() + made["line-lead-pairs"].count()
+    h = {r.text: r.h for r in spark.createDataFrame(rows, "doc_id long, text string").select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, h[r[1]]))
+    want = brute.removed_lines([(i, text) for i, (_, text) in enumerate(order)])
+    assert got == {(i, h[text]): bool(want[k]) for k, (i, text) in enumerate(order)}
+    assert pairs < 10_000                                   # some 40,000 when all near copies meet
