@@ -156,7 +156,8 @@ def leaders(classes: DataFrame) -> DataFrame:
     parts = [F.shiftrightunsigned(b, at).bitwiseAND((1 << SLICE) - 1) for b in BITS for at in range(0, 64, SLICE)]
     parts = [F.when(F.bit_count(x) >= LEAST, x * len(parts) + i) for i, x in enumerate(parts)]
     key = F.explode(F.array(*parts)).alias("key")
-    dense = saved(classes.select(key).filter("key IS NOT NULL").groupBy("key").count().filter(F.col("count") >= DENSE).select("key"), "line-dense")
+    dense = saved(classes.select(key).filter("key IS NOT NULL").groupBy("key").count().filter(
+        F.col("count") >= DENSE).select("key"), "line-dense")
     group = saved(classes.select("class", "first", "n", *BITS, key).join(small_side(dense), "key"), "line-groups")
     lead = saved(group.groupBy("key", F.pmod("class", F.lit(LEADERS))).agg(
         F.min(F.struct("first", "class", "n", *BITS)).alias("lead")).select(
